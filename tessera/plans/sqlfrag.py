@@ -38,3 +38,24 @@ def tax(base: str) -> str:
             f" + (CASE WHEN {s2} > 250000 THEN ({s2} - 250000) * 0.30 ELSE 0.0 END)"
             f" + (CASE WHEN {s3} > 100000 THEN ({s3} - 100000) * 0.25 ELSE 0.0 END)"
             f" + (CASE WHEN {s4} > 30000 THEN ({s4} - 30000) * 0.20 ELSE 0.0 END))")
+
+EMAIL_RE = r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$"
+PY_INT_RE = rf"^[{PY_WS_CHARS}]*[+-]?[0-9]+(_[0-9]+)*[{PY_WS_CHARS}]*$"
+
+
+def py_int(expr: str) -> str:
+    return (f"CASE WHEN regexp_matches({expr}, '{PY_INT_RE}') "
+            f"THEN TRY_CAST(replace({py_strip(expr)}, '_', '') AS BIGINT) END")
+
+
+def email_ok(expr: str) -> str:
+    return f"coalesce(regexp_matches({expr}, '{EMAIL_RE}'), false)"
+
+
+def py_blank(expr: str) -> str:
+    return f"({expr} IS NULL OR {py_strip(expr)} = '')"
+
+
+def clean_text(expr: str) -> str:
+    return (f"trim(regexp_replace(regexp_replace(lower({expr}), '[^a-z0-9{PY_WS_CHARS}]', '', 'g'), "
+            f"'[{PY_WS_CHARS}]+', ' ', 'g'))")
