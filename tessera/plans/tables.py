@@ -84,6 +84,11 @@ SELECT event_id AS seq,
        CASE WHEN event_type = 'click' THEN 'salary' ELSE 'bonus' END AS field,
        CAST(floor((value - 20) * 5000) AS DOUBLE) AS new_value
 FROM events WHERE event_type IN ('click', 'purchase')""",
+    # Removal requests for employees (error events); every 13th names an unknown id.
+    "employee_removals_v": """
+SELECT event_id AS seq,
+       CASE WHEN event_id % 13 = 0 THEN user_id + 1000000000 ELSE user_id END AS employee_id
+FROM events WHERE event_type = 'error'""",
     # Rental fleet (every customer is a vehicle) and its rent / return log.
     "vehicles_v": """
 SELECT c_custkey AS seq, c_custkey AS vehicle_id, CAST(20 + c_custkey % 80 AS DOUBLE) AS base_price,
