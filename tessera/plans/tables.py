@@ -102,9 +102,19 @@ SELECT event_id AS seq, ts,
 FROM events WHERE event_type <> 'signup'""",
     # Library: every part is a book, every order a loan of the part with key o_custkey.
     "books_v": """
-SELECT p_partkey AS seq, CAST(p_partkey AS STRING) AS isbn,
-       concat(p_name, ' ', lower(p_type)) AS title, p_type AS category, p_brand AS book_type,
-       p_size AS copies, CAST(1900 + p_size AS STRING) AS year, p_brand AS author_name
+SELECT p_partkey AS seq,
+       CAST(CASE WHEN p_partkey % 61 = 0 THEN p_partkey - 1 ELSE p_partkey END AS STRING) AS isbn,
+       CASE WHEN p_partkey % 53 = 0 THEN concat(p_name, ' 2nd') ELSE concat(p_name, ' ', lower(p_type)) END AS title,
+       CASE WHEN p_partkey % 41 = 0 THEN NULL
+            ELSE CASE p_type WHEN 'STANDARD' THEN 'Fiction' WHEN 'ECONOMY' THEN 'Self-Help'
+                             WHEN 'MEDIUM' THEN 'Science Fiction' WHEN 'PROMO' THEN 'History'
+                             WHEN 'LARGE' THEN 'Technology' ELSE 'Cooking' END END AS category,
+       CASE WHEN p_partkey % 43 = 0 THEN 'Scroll'
+            ELSE CASE p_partkey % 5 WHEN 0 THEN 'Hardcover' WHEN 1 THEN 'Paperback' WHEN 2 THEN 'Ebook'
+                                    WHEN 3 THEN 'Audiobook' END END AS book_type,
+       CASE WHEN p_partkey % 47 = 0 THEN NULL ELSE CAST(p_size AS BIGINT) END AS copies,
+       CAST(1900 + p_size AS STRING) AS year,
+       CASE WHEN p_partkey % 59 = 0 THEN NULL ELSE p_brand END AS author_name
 FROM part""",
     "loans_v": """
 SELECT o.o_orderkey AS seq, concat('b', CAST(o.o_custkey % 50 AS STRING)) AS borrower_name,
@@ -113,6 +123,24 @@ SELECT o.o_orderkey AS seq, concat('b', CAST(o.o_custkey % 50 AS STRING)) AS bor
        CASE WHEN o.o_orderkey % 5 <> 0 THEN CAST(o.o_orderdate AS DATE) + 14 END AS due_date,
        CASE WHEN o.o_orderstatus = 'F' THEN CAST(o.o_orderdate AS DATE) + 10 END AS return_date
 FROM orders o JOIN part p ON p.p_partkey = o.o_custkey""",
+    # Borrow / return / delete requests against the catalogue.
+    "borrow_requests_v": """
+SELECT o_orderkey AS seq, concat('r', CAST(o_custkey % 97 AS STRING)) AS borrower_name,
+       CASE WHEN o_orderkey % 29 = 0 THEN 'unknown' ELSE CAST(o_custkey + o_orderkey % 3 AS STRING) END AS isbn
+FROM orders""",
+    "return_requests_v": """
+SELECT o_orderkey AS seq, concat('b', CAST(o_custkey % 50 AS STRING)) AS borrower_name,
+       CASE WHEN o_orderkey % 31 = 0 THEN 'unknown' ELSE CAST(o_custkey AS STRING) END AS isbn
+FROM orders""",
+    "delete_requests_v": """
+SELECT event_id AS seq, CASE WHEN event_id % 17 = 0 THEN 'unknown' ELSE CAST(user_id AS STRING) END AS isbn
+FROM events WHERE event_type = 'view'""",
+    "authors_v": """
+SELECT s_suppkey AS seq, concat('Brand#', CAST(s_suppkey % 40 AS STRING)) AS name,
+       CASE s_nationkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE concat('N', CAST(s_nationkey AS STRING)) END
+         AS nationality,
+       CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE CAST(1900 + s_suppkey % 90 AS STRING) END AS birth_year
+FROM supplier""",
     # Academics: students, courses (every part), enrolment requests, grade changes.
     "students_v": """
 SELECT c_custkey AS seq, CAST(c_custkey AS STRING) AS student_id, c_name AS name,
