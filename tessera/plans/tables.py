@@ -143,18 +143,42 @@ SELECT s_suppkey AS seq, concat('Brand#', CAST(s_suppkey % 40 AS STRING)) AS nam
 FROM supplier""",
     # Academics: students, courses (every part), enrolment requests, grade changes.
     "students_v": """
-SELECT c_custkey AS seq, CAST(c_custkey AS STRING) AS student_id, c_name AS name,
-       CASE c_custkey % 2 WHEN 0 THEN 'undergraduate' ELSE 'graduate' END AS level,
-       CASE c_custkey % 6 WHEN 0 THEN 'science' WHEN 1 THEN 'arts' WHEN 2 THEN 'commerce'
-            WHEN 3 THEN 'engineering' WHEN 4 THEN 'medicine' ELSE 'law' END AS field
+SELECT c_custkey AS seq,
+       CASE WHEN c_custkey % 43 = 0 THEN CAST(c_custkey - 1 AS STRING) WHEN c_custkey % 67 = 0 THEN ' '
+            ELSE CAST(c_custkey AS STRING) END AS student_id,
+       CASE WHEN c_custkey % 37 = 0 THEN '  ' WHEN c_custkey % 41 = 0 THEN c_name
+            ELSE concat(lower(c_mktsegment), ' ', translate(substr(c_name, 10), '0123456789', 'abcdefghij')) END
+         AS name,
+       CASE WHEN c_custkey % 71 = 0 THEN 'other'
+            ELSE CASE c_custkey % 4 WHEN 0 THEN 'Male' WHEN 1 THEN 'female' WHEN 2 THEN 'FEMALE' ELSE 'male' END END
+         AS gender,
+       CASE WHEN c_custkey % 73 = 0 THEN 'no-at-sign' ELSE concat('s', CAST(c_custkey AS STRING), '@uni.edu') END
+         AS email,
+       CASE WHEN c_custkey % 47 = 0 THEN 'phd' WHEN c_custkey % 2 = 0 THEN 'undergraduate' ELSE 'graduate' END
+         AS level,
+       CASE WHEN c_custkey % 53 = 0 THEN 'history'
+            ELSE CASE c_custkey % 6 WHEN 0 THEN 'science' WHEN 1 THEN 'arts' WHEN 2 THEN 'commerce'
+                                    WHEN 3 THEN 'engineering' WHEN 4 THEN 'medicine' ELSE 'law' END END AS field
 FROM customer""",
     "courses_v": """
-SELECT p_partkey AS seq, CAST(p_partkey AS STRING) AS course_id, p_name AS title,
-       CASE p_partkey % 3 WHEN 0 THEN 'undergraduate' WHEN 1 THEN 'graduate'
-            ELSE 'undergraduate,graduate' END AS allowed_levels,
-       CASE p_partkey % 4 WHEN 0 THEN 'science, arts' WHEN 1 THEN 'law' WHEN 2 THEN 'medicine,engineering'
-            ELSE 'commerce, science ,law' END AS allowed_fields
+SELECT p_partkey AS seq,
+       CAST(CASE WHEN p_partkey % 83 = 0 THEN p_partkey - 1 ELSE p_partkey END AS STRING) AS course_id,
+       CASE WHEN p_partkey % 59 = 0 THEN concat(p_name, '!') WHEN p_partkey % 97 = 0 THEN ' ' ELSE p_name END
+         AS title,
+       CASE WHEN p_partkey % 89 = 0 THEN 'doctorate' WHEN p_partkey % 79 = 0 THEN NULL
+            ELSE CASE p_partkey % 3 WHEN 0 THEN 'undergraduate' WHEN 1 THEN 'graduate'
+                                    ELSE 'undergraduate, graduate' END END AS allowed_levels,
+       CASE WHEN p_partkey % 71 = 0 THEN 'science, poetry' WHEN p_partkey % 73 = 0 THEN NULL
+            ELSE CASE p_partkey % 4 WHEN 0 THEN 'science, arts' WHEN 1 THEN 'law' WHEN 2 THEN 'medicine,engineering'
+                                    ELSE 'commerce, science ,law' END END AS allowed_fields
 FROM part""",
+    "course_changes_v": """
+SELECT event_id AS seq, CAST(event_id % 60 AS STRING) AS course_id,
+       CASE WHEN event_id % 7 = 0 THEN '  ' ELSE concat(' Renamed ', CAST(user_id AS STRING), ' ') END AS new_title
+FROM events WHERE event_type = 'click'""",
+    "unenroll_requests_v": """
+SELECT event_id AS seq, CAST(user_id AS STRING) AS student_id, CAST(event_id % 45 AS STRING) AS course_id
+FROM events WHERE event_type = 'signup'""",
     "enroll_requests_v": """
 SELECT o_orderkey AS seq, CAST(o_custkey AS STRING) AS student_id,
        CAST(o_orderkey % 45 AS STRING) AS course_id
