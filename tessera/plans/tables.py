@@ -28,7 +28,7 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
     # Raw user rows as text, before parsing.
     "users_raw_v": """
 SELECT c_custkey AS seq,
-       CASE WHEN c_custkey % 23 = 0 THEN 'abc' WHEN c_custkey % 19 = 0 THEN '0'
+       CASE WHEN c_custkey % 23 = 22 THEN 'abc' WHEN c_custkey % 19 = 0 THEN '0'
             WHEN c_custkey % 31 = 0 THEN concat(' +', CAST(c_custkey % 1000 AS STRING), ' ')
             ELSE CAST(c_custkey % 1000 AS STRING) END AS user_id,
        CASE WHEN c_custkey % 17 = 0 THEN '' ELSE c_name END AS name,
