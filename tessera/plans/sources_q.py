@@ -176,3 +176,20 @@ SELECT CAST(student_id AS VARCHAR) AS student_id, arg_min(name, seq) AS name, ar
                                  "grades_v"),
 }
 _ = email_ok
+
+from tessera.plans.importer_q import _O as _IMPORT_O  # noqa: E402
+from tessera.plans.text_q import _C as _TEXT_C  # noqa: E402
+from tessera.plans.web_q import _O as _WEB_O  # noqa: E402
+
+_ADDED = with_views(f"{_IMPORT_O} SELECT user_id, name, email FROM o WHERE outcome = 'added'",
+                    "users_raw_v", "users_existing_v")
+ORACLE.update({
+    "csv_user_roundtrip": _ADDED,
+    "keyed_json_write": _ADDED,
+    "keyed_json_read": _ADDED,
+    "sentiment_store": with_views(f", {_TEXT_C} SELECT clean_text AS text, sentiment, score FROM r "
+                                  "WHERE error_stage IS NULL", "text_v"),
+    "page_results_export": with_views(f"""{_WEB_O}
+SELECT url, title, description, CAST(status_code AS BIGINT) AS status_code, round(fetch_time, 3) AS fetch_time, error
+FROM o""", "pages_v", "fetch_v"),
+})
