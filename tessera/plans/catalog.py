@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("grades_q", "text_q", "importer_q", "identity_q", "payroll_q", "library_q", "academics_q", "web_q", "sources_q")
+_MODULES = ("grades_q", "text_q", "importer_q", "identity_q", "payroll_q", "library_q", "academics_q", "web_q", "sources_q", "streaming_q")
 
 
 def _collect(attr: str) -> dict:
