@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from tessera.functions.text import PY_WS, py_strip
 from tessera.operators.ordering import DEFAULT_CHUNK, position_in_key
@@ -33,7 +34,7 @@ _CONTENT = r"\b(?i:content)\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
 _OG = (rf"(?i)<meta{PY_WS}+property=[\"']og:description[\"']{PY_WS}+content=[\"']([^\"']+)[\"']")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _unescape(s: pd.Series) -> pd.Series:
     """HTML character references (named and numeric), Arrow-batched."""
     return s.map(lambda v: None if v is None else _html.unescape(v))
