@@ -37,8 +37,9 @@ def py_strip(col: Column) -> Column:
 
 
 def py_is_blank(col: Column) -> Column:
-    """True for null, empty, or whitespace-only (``not s.strip()``)."""
-    return col.isNull() | (py_strip(col) == F.lit(""))
+    """True for null, empty, or whitespace-only (``not s.strip()``). A search
+    for the first non-space character: it stops at once on ordinary text."""
+    return col.isNull() | ~col.rlike(f"[^{PY_WS_CHARS}]")
 
 
 def py_int(col: Column) -> Column:
@@ -55,8 +56,24 @@ def email_ok(col: Column) -> Column:
     return F.coalesce(col.rlike(EMAIL_PATTERN), F.lit(False))
 
 
+# Every character whose Python lower-case form keeps something
+# in [a-z0-9] besides ASCII letters and digits (checked over all code points in
+# the tests): U+0130 lower-cases to "i" + a combining dot, U+212A (Kelvin) to "k".
+_SPECIAL_LOWER = {"\u0130": "i", "\u212a": "k"}
+_WS_LITERAL = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+               + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
+_FROM = _WS_LITERAL + "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + "".join(_SPECIAL_LOWER)
+_TO = " " * len(_WS_LITERAL) + "abcdefghijklmnopqrstuvwxyz" + "".join(_SPECIAL_LOWER.values())
+
+
 def clean_text(col: Column) -> Column:
     """Lower-case, drop everything but ``[a-z0-9]`` and whitespace, collapse
-    whitespace runs to one space, strip."""
-    kept = F.regexp_replace(F.lower(col), f"[^a-z0-9{PY_WS_CHARS}]", "")
-    return F.trim(F.regexp_replace(kept, f"{PY_WS}+", " "))
+    whitespace runs to one space, strip.
+
+    Only characters that survive the deletion matter, so instead of a full
+    Unicode ``lower`` one ``translate`` maps whitespace to ' ', A-Z to a-z and
+    the two non-ASCII characters that lower-case into [a-z]; the remaining
+    regexes then work on ASCII classes (several times faster, same result)."""
+    mapped = F.translate(col, _FROM, _TO)
+    kept = F.regexp_replace(mapped, "[^a-z0-9 ]+", "")
+    return F.trim(F.regexp_replace(kept, " {2,}", " "))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import clean_text, py_is_blank
+from tessera.operators.parallel import spread
 
 # The sentiment lexicon.
 POSITIVE_WORDS = ("good", "excellent")
@@ -28,7 +29,8 @@ def _lexicon(words: Sequence[str]) -> Column:
 def clean(df: DataFrame, text: str = "text", out: str = "clean_text") -> DataFrame:
     """Lower, keep [a-z0-9] and whitespace, collapse whitespace, strip.
     Rows that fail the cleaning guard (null / blank) get null."""
-    return df.withColumn(out, F.when(~py_is_blank(F.col(text)), clean_text(F.col(text))))
+    src = df if df.isStreaming else spread(df)
+    return src.withColumn(out, F.when(~py_is_blank(F.col(text)), clean_text(F.col(text))))
 
 
 def sentiment_columns(cleaned: Column, positive: Sequence[str] = POSITIVE_WORDS,
@@ -55,24 +57,27 @@ def text_errors(df: DataFrame, text: str = "text", cleaned: str = "clean_text")
     """Which stage rejects the row. Null/blank input fails cleaning;
     text that is empty after cleaning (e.g. punctuation only) fails analysis."""
     raw = F.col(text)
+    blank_raw = py_is_blank(raw)
+    empty_clean = F.coalesce(F.col(cleaned) == F.lit(""), F.lit(True))  # cleaned text is already stripped
     return df.withColumn(
         "error_stage",
-        F.when(raw.isNull() | py_is_blank(raw), F.lit(STAGE_CLEAN))
-        .when(py_is_blank(F.col(cleaned)), F.lit(STAGE_ANALYZE))
+        F.when(blank_raw, F.lit(STAGE_CLEAN)).when(empty_clean, F.lit(STAGE_ANALYZE))
     ).withColumn(
         "error_code",
         F.when(raw.isNull(), F.lit("null_text"))
-        .when(py_is_blank(raw), F.lit("empty_text"))
-        .when(py_is_blank(F.col(cleaned)), F.lit("empty_after_cleaning")))
+        .when(F.col("error_stage") == STAGE_CLEAN, F.lit("empty_text"))
+        .when(F.col("error_stage") == STAGE_ANALYZE, F.lit("empty_after_cleaning")))
 
 
 def clean_and_score(df: DataFrame, text: str = "text", positive: Sequence[str] = POSITIVE_WORDS,
                     negative: Sequence[str] = NEGATIVE_WORDS) -> DataFrame:
     """P25: clean -> analyse with per-row error columns. Result columns:
-    input columns + clean_text, score, sentiment, error_stage, error_code."""
-    out = clean(df, text)
-    out = text_errors(out, text)
-    return analyze(out, "clean_text", positive, negative)
+    input columns + clean_text, score, sentiment, error_stage, error_code.
+    The cleaned text is computed once; the later columns refer to it."""
+    out = text_errors(clean(df, text), text)
+    score, label = sentiment_columns(F.col("clean_text"), positive, negative)
+    ok = F.col("error_stage").isNull()
+    return out.withColumn("score", F.when(ok, score)).withColumn("sentiment", F.when(ok, label))
 
 
 def split_outcomes(scored: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -17,6 +17,7 @@ from pyspark.sql.types import StringType
 
 from tessera.functions.text import PY_WS, py_strip
 from tessera.operators.ordering import DEFAULT_CHUNK, position_in_key
+from tessera.operators.parallel import spread
 
 # Method preference on equal elapsed time (first wins) and the
 # baseline method of the speed-up.
@@ -69,7 +70,8 @@ def page_metadata(pages: DataFrame, html: str = "html") -> DataFrame:
     meta_desc = html_unescape(content)
     og = F.nullif(F.regexp_extract(raw, _OG, 1), F.lit(""))
     description = F.coalesce(F.nullif(meta_desc, F.lit("")), og)
-    return pages.withColumn("title", title).withColumn("description", description)
+    src = pages if pages.isStreaming else spread(pages)
+    return src.withColumn("title", title).withColumn("description", description)
 
 
 def fetch_outcomes(fetches: DataFrame, metadata: DataFrame | None = None) -> DataFrame:

@@ -36,3 +36,17 @@ def test_guards(spark):
 def test_sentiment(spark, text, label, score):
     r = run(spark, [text])[0]
     assert (r["sentiment"], r["score"]) == (label, score)
+
+
+def test_clean_matches_python_for_every_code_point(spark):
+    import re
+    from pyspark.sql import functions as F
+    from tessera.functions.text import clean_text
+    chars = [chr(c) for c in range(0x10000) if not 0xD800 <= c <= 0xDFFF]
+    # each code point framed by letters so deletions / whitespace are visible
+    rows = [(i, f"A{c}b {c}{c} Z") for i, c in enumerate(chars)]
+    got = dict(spark.createDataFrame(rows, "i long, t string").select("i", clean_text(F.col("t")).alias("c")).collect())
+    for i, c in enumerate(chars):
+        t = f"A{c}b {c}{c} Z"
+        exp = re.sub(r"\s+", " ", re.sub(r"[^a-z0-9\s]", "", t.lower())).strip()
+        assert got[i] == exp, (hex(ord(c)), got[i], exp)
