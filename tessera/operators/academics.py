@@ -192,3 +192,18 @@ def course_title_updates(changes: DataFrame, courses: DataFrame) -> tuple[DataFr
     u = co.join(last, co["course_id"] == F.col("__c"), "left") \
         .withColumn("title", F.coalesce(F.col("new_title"), F.col("title"))).drop("__c", "new_title")
     return c, u
+
+
+def course_average(graded: DataFrame) -> DataFrame:
+    """Course average over graded enrolments (ungraded skipped), rounded to 2
+    half-to-even on the exact mean."""
+    from tessera.functions.numeric import exact_sum, half_even_mean
+
+    return graded.groupBy("course_id").agg(
+        F.count("grade").alias("n_graded"),
+        half_even_mean(exact_sum(F.col("grade")), F.count("grade")).alias("average_grade"))
+
+
+def listing(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Accepted rows in insertion (``seq``) order — a range-partitioned sort."""
+    return _valid(df).select("seq", *cols).orderBy("seq")

@@ -95,3 +95,18 @@ def unique_insert(requests: DataFrame, key: str, seq: str, existing_keys: DataFr
     df = flag_first(df, key, seq, "__first", candidates=~exists)
     return df.withColumn("outcome", F.when(exists, "exists").when(F.col("__first"), "inserted")
                          .otherwise("duplicate")).drop("__exists", "__first")
+
+
+def append_last_wins(base: DataFrame, new: DataFrame, key: str, seq: str, cols: list[str]) -> DataFrame:
+    """Append ``new`` to ``base``; a keyed repository keeps the last
+    written row per key (``new`` after ``base``, then ``seq`` order).
+    Without a key (``key=None``) it is a plain bag union."""
+    from tessera.operators.ordering import latest_per_key
+
+    both = base.select(F.lit(0).alias("__src"), seq, *([key] if key else []), *cols) \
+        .unionByName(new.select(F.lit(1).alias("__src"), seq, *([key] if key else []), *cols))
+    if key is None:
+        return both.drop("__src")
+    ordered = both.withColumn("__ord", F.struct("__src", seq))
+    last = latest_per_key(ordered, key, "__ord", [seq] + list(cols))
+    return last.drop("__ord")

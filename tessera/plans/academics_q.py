@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import academics as S
-from tessera.plans.sqlfrag import py_blank, py_strip
+from tessera.plans.sqlfrag import half_even_mean, py_blank, py_strip
 from tessera.plans.tables import view, with_views
 
 
@@ -39,6 +39,9 @@ QUERIES = {
                                                      _students(spark, sf), _courses(spark, sf)),
     "course_update": lambda spark, sf: S.course_title_updates(view(spark, sf, "course_changes_v"),
                                                               _courses(spark, sf))[0],
+    "course_average": lambda spark, sf: S.course_average(_graded(spark, sf)[1]),
+    "student_listing": lambda spark, sf: S.listing(_students(spark, sf), ["student_id", "name", "level", "field"]),
+    "course_listing": lambda spark, sf: S.listing(_courses(spark, sf), ["course_id", "title"]),
 }
 
 _LETTERS = lambda c: f"coalesce(regexp_matches({c}, '^ *\\p{{L}}[\\p{{L}} ]*$'), false)"
@@ -121,6 +124,11 @@ SELECT u.seq, u.student_id, u.course_id,
        ELSE 'not_enrolled' END AS outcome
 FROM unenroll_requests_v u LEFT JOIN vs ON u.student_id = vs.student_id LEFT JOIN vc ON u.course_id = vc.course_id
 LEFT JOIN gr ON u.student_id = gr.student_id AND u.course_id = gr.course_id""", *_VIEWS, "unenroll_requests_v"),
+    "course_average": with_views(f""", {_SC}
+SELECT course_id, count(grade) AS n_graded, {half_even_mean('sum(grade)', 'count(grade)')} AS average_grade
+FROM gr GROUP BY course_id""", *_VIEWS),
+    "student_listing": with_views(f", {_SC} SELECT seq, student_id, name, level, field FROM vs", *_VIEWS),
+    "course_listing": with_views(f", {_SC} SELECT seq, course_id, title FROM vc", *_VIEWS),
     "course_update": with_views(f""", {_SC}
 SELECT c.seq, c.course_id, {py_strip('c.new_title')} AS new_title,
   CASE WHEN vc.course_id IS NULL THEN 'not_found' WHEN {py_blank('c.new_title')} THEN 'skipped' ELSE 'applied' END

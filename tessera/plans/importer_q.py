@@ -21,6 +21,9 @@ QUERIES = {
     .select("seq", "email", email_ok_col(F.col("email")).alias("email_valid")),
     "import_outcome": _outcomes,
     "import_audit": lambda spark, sf: I.import_audit(_outcomes(spark, sf)),
+    "append_last_wins": lambda spark, sf: I.append_last_wins(
+        view(spark, sf, "attempts_v").filter(F.col("password_length") >= 8),
+        view(spark, sf, "attempts_v").filter(F.col("password_length") < 8), "email", "seq", ["credential"]),
     "unique_insert": lambda spark, sf: I.unique_insert(
         view(spark, sf, "users_raw_v").select("seq", F.col("user_id").alias("key")), "key", "seq",
         view(spark, sf, "users_existing_v").select(F.col("user_id").cast("string").alias("key")), "key"),
@@ -58,6 +61,11 @@ ORACLE = {
     "import_outcome": with_views(f"{_O} SELECT * FROM o", "users_raw_v", "users_existing_v"),
     "import_audit": with_views(f"{_O} SELECT outcome, count(*) AS n_rows FROM o GROUP BY outcome",
                                "users_raw_v", "users_existing_v"),
+    "append_last_wins": with_views("""
+, b AS (SELECT 0 AS src, seq, email, credential FROM attempts_v WHERE password_length >= 8
+        UNION ALL SELECT 1, seq, email, credential FROM attempts_v WHERE password_length < 8)
+SELECT email, arg_max(seq, src * 1000000000000 + seq) AS seq, arg_max(credential, src * 1000000000000 + seq)
+  AS credential FROM b GROUP BY email""", "attempts_v"),
     "unique_insert": with_views("""
 , e AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS k FROM users_existing_v),
 r AS (SELECT u.seq, u.user_id AS key, e.k IS NOT NULL AS ex FROM users_raw_v u LEFT JOIN e ON u.user_id = e.k)
