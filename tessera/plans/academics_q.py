@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.operators import academics as S
 from tessera.plans.sqlfrag import half_even_mean, py_blank, py_strip
 from tessera.plans.tables import view, with_views
+from tessera.session import checkpoint_root
 
 
 def _students(spark, sf):
@@ -17,29 +18,37 @@ def _courses(spark, sf):
     return S.validate_courses(view(spark, sf, "courses_v"))
 
 
-def _enrol(spark, sf):
-    return S.enroll(view(spark, sf, "enroll_requests_v"), _students(spark, sf), _courses(spark, sf))
+def _ctx(spark, sf):
+    """Validated students / courses and enrolment outcomes, each written once
+    to the checkpoint folder (reliable checkpoint: lineage is cut and every
+    later branch reads the stored rows instead of recomputing them)."""
+    checkpoint_root(spark)
+    st = _students(spark, sf).checkpoint()
+    co = _courses(spark, sf).checkpoint()
+    en = S.enroll(view(spark, sf, "enroll_requests_v"), st, co).checkpoint()
+    changes, graded = S.apply_grades(view(spark, sf, "grade_changes_v"), S.enrolments(en))
+    return st, co, en, changes, graded
 
 
-def _graded(spark, sf):
-    return S.apply_grades(view(spark, sf, "grade_changes_v"), S.enrolments(_enrol(spark, sf)))
+def _enrol(spark, sf):
+    return _ctx(spark, sf)[2]
 
 
 QUERIES = {
     "student_validate": lambda spark, sf: _students(spark, sf).select("seq", "student_id", "gender", "error_code"),
     "course_validate": lambda spark, sf: _courses(spark, sf).select("seq", "course_id", "error_code"),
     "enroll_outcome": _enrol,
-    "grade_apply": lambda spark, sf: _graded(spark, sf)[0].select("seq", "student_id", "course_id", "grade",
-                                                                   "outcome"),
-    "transcript": lambda spark, sf: S.transcript(_graded(spark, sf)[1], _courses(spark, sf)),
-    "transcript_average": lambda spark, sf: S.transcript_average(_graded(spark, sf)[1], _students(spark, sf)),
-    "course_roster": lambda spark, sf: S.course_roster(_graded(spark, sf)[1], _students(spark, sf)),
-    "enrolment_counts": lambda spark, sf: S.enrolment_counts(_graded(spark, sf)[1], _courses(spark, sf)),
-    "unenroll_outcome": lambda spark, sf: S.unenroll(view(spark, sf, "unenroll_requests_v"), _graded(spark, sf)[1],
-                                                     _students(spark, sf), _courses(spark, sf)),
+    "grade_apply": lambda spark, sf: _ctx(spark, sf)[3].select("seq", "student_id", "course_id", "grade",
+                                                                "outcome"),
+    "transcript": lambda spark, sf: (lambda c: S.transcript(c[4], c[1]))(_ctx(spark, sf)),
+    "transcript_average": lambda spark, sf: (lambda c: S.transcript_average(c[4], c[0]))(_ctx(spark, sf)),
+    "course_roster": lambda spark, sf: (lambda c: S.course_roster(c[4], c[0]))(_ctx(spark, sf)),
+    "enrolment_counts": lambda spark, sf: (lambda c: S.enrolment_counts(c[4], c[1]))(_ctx(spark, sf)),
+    "unenroll_outcome": lambda spark, sf: (lambda c: S.unenroll(view(spark, sf, "unenroll_requests_v"), c[4],
+                                                                c[0], c[1]))(_ctx(spark, sf)),
     "course_update": lambda spark, sf: S.course_title_updates(view(spark, sf, "course_changes_v"),
                                                               _courses(spark, sf))[0],
-    "course_average": lambda spark, sf: S.course_average(_graded(spark, sf)[1]),
+    "course_average": lambda spark, sf: S.course_average(_ctx(spark, sf)[4]),
     "student_listing": lambda spark, sf: S.listing(_students(spark, sf), ["student_id", "name", "level", "field"]),
     "course_listing": lambda spark, sf: S.listing(_courses(spark, sf), ["course_id", "title"]),
 }
