@@ -10,6 +10,8 @@ get an unknown id, a blank name, a lexicon word...), it never drops rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -203,21 +205,36 @@ FROM customer""",
 }
 
 
-def register_tables(spark: SparkSession, sf_dir: str) -> None:
-    for t in TABLES:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The driver table ``name`` in ``sf_dir``, resolved once per session.
+
+    ``spark.read.parquet`` lists the files and runs a small job to read the
+    schema from a footer; resolving each table once (instead of once per
+    view) keeps that out of every query. The scan itself stays lazy, so
+    filters and column pruning still reach each query's plan.
+    """
+    cache = spark.__dict__.setdefault("_tessera_tables", {})
+    key = (sf_dir.rstrip("/"), name)
+    if key not in cache:
+        cache[key] = spark.read.parquet(f"{key[0]}/{name}.parquet")
+    return cache[key]
+
+
+def tables_in(sql: str) -> list[str]:
+    return [t for t in TABLES if re.search(rf"\b{t}\b", sql)]
+
+
+def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
+    for t in names:
+        table(spark, sf_dir, t).createOrReplaceTempView(t)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The derived view ``name`` over the tables in ``sf_dir``."""
-    register_tables(spark, sf_dir)
+    register_tables(spark, sf_dir, tables_in(VIEWS[name]))
     return spark.sql(VIEWS[name])
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def with_views(sql: str, *names: str) -> str:
     """Prefix ``sql`` with the named views as CTEs (for the DuckDB oracle)."""
     ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in names)
