@@ -81,19 +81,22 @@ def enroll(requests: DataFrame, students: DataFrame, courses: DataFrame) -> Data
     """Enrolment requests (seq, student_id, course_id) against validated
     students and courses: unknown_student -> unknown_course ->
     level_not_allowed -> field_not_allowed -> already_enrolled -> enrolled.
-    The first eligible request of a (student, course) pair enrols it."""
+    The first eligible request of a (student, course) pair enrols it.
+
+    Every eligibility rule depends on the pair only, so the first eligible
+    request of a pair is simply its first request: it is flagged on the
+    request log alone (partial ``min(seq)`` per pair, joined back on seq)
+    before the student / course lookups, which then run once."""
     st = _valid(students).select(F.col("student_id").alias("__sid"), "level", "field")
     co = _valid(courses).select(F.col("course_id").alias("__cid"), "levels", "fields")
-    r = requests.join(st, requests["student_id"] == F.col("__sid"), "left") \
-        .join(co, requests["course_id"] == F.col("__cid"), "left")
+    r = flag_first(requests, ["student_id", "course_id"], "seq", "__first")
+    r = r.join(st, r["student_id"] == F.col("__sid"), "left") \
+        .join(co, r["course_id"] == F.col("__cid"), "left")
     pre = (F.when(F.col("__sid").isNull(), F.lit("unknown_student"))
            .when(F.col("__cid").isNull(), F.lit("unknown_course"))
            .when(~F.array_contains("levels", F.col("level")), F.lit("level_not_allowed"))
            .when(~F.array_contains("fields", F.col("field")), F.lit("field_not_allowed")))
-    r = r.withColumn("__pre", pre)
-    r = r.withColumn("__pair", F.struct("student_id", "course_id"))
-    r = flag_first(r, "__pair", "seq", "__first", candidates=F.col("__pre").isNull())
-    outcome = F.coalesce(F.col("__pre"), F.when(F.col("__first"), F.lit("enrolled")).otherwise(F.lit("already_enrolled")))
+    outcome = F.coalesce(pre, F.when(F.col("__first"), F.lit("enrolled")).otherwise(F.lit("already_enrolled")))
     return r.select(*requests.columns, outcome.alias("outcome"))
 
 
@@ -115,11 +118,24 @@ def apply_grades(changes: DataFrame, enrolled: DataFrame) -> tuple[DataFrame, Da
                .when(~F.col("grade").between(GRADE_MIN, GRADE_MAX), F.lit("out_of_range"))
                .otherwise(F.lit("applied")))
     c = c.withColumn("outcome", outcome).drop("__in")
-    last = latest_per_key(c.filter(F.col("outcome") == "applied"), ["student_id", "course_id"], "seq", ["grade"]) \
-        .select(F.col("student_id").alias("__s"), F.col("course_id").alias("__c"), "grade")
-    g = enrolled.join(last, (enrolled["student_id"] == F.col("__s")) & (enrolled["course_id"] == F.col("__c")),
-                      "left").drop("__s", "__c")
-    return c, g
+    return c, current_grades(changes, enrolled)
+
+
+def current_grades(changes: DataFrame, enrolled: DataFrame) -> DataFrame:
+    """Enrolled pairs (seq, student_id, course_id) with their current grade:
+    the last in-range change of an enrolled pair is the last applied one.
+    One aggregation over enrolments and in-range changes by pair (partial
+    ``min`` / ``max_by`` combine map-side, so a hot pair stays cheap); the
+    enrolment set is read once and no per-change join is needed."""
+    pair = ["student_id", "course_id"]
+    marks = enrolled.select(*pair, F.col("seq").alias("__enrol_seq"), F.lit(None).cast("double").alias("grade"),
+                            F.lit(None).cast("bigint").alias("__change_seq"))
+    graded = changes.filter(F.col("grade").between(GRADE_MIN, GRADE_MAX)).select(
+        *pair, F.lit(None).cast("bigint").alias("__enrol_seq"), F.col("grade").cast("double").alias("grade"),
+        F.col("seq").alias("__change_seq"))
+    g = marks.unionByName(graded).groupBy(*pair).agg(
+        F.min("__enrol_seq").alias("seq"), F.max_by("grade", "__change_seq").alias("grade"))
+    return g.filter(F.col("seq").isNotNull()).select("seq", *pair, "grade")
 
 
 def transcript(graded: DataFrame, courses: DataFrame) -> DataFrame:

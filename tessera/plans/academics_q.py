@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tessera.operators import academics as S
 from tessera.plans.sqlfrag import half_even_mean, py_blank, py_strip
 from tessera.plans.tables import view, with_views
-from tessera.session import checkpoint_root
 
 
 def _students(spark, sf):
@@ -19,13 +18,15 @@ def _courses(spark, sf):
 
 
 def _ctx(spark, sf):
-    """Validated students / courses and enrolment outcomes, each written once
-    to the checkpoint folder (reliable checkpoint: lineage is cut and every
-    later branch reads the stored rows instead of recomputing them)."""
-    checkpoint_root(spark)
-    st = _students(spark, sf).checkpoint()
-    co = _courses(spark, sf).checkpoint()
-    en = S.enroll(view(spark, sf, "enroll_requests_v"), st, co).checkpoint()
+    """Validated students / courses, enrolment outcomes and graded enrolments.
+
+    Each registered query uses these once, through a plan a few stages deep,
+    so nothing is materialised: writing and re-reading them costs more than
+    the recomputation (measured), and a lost executor only re-runs the
+    missing shuffle outputs."""
+    st = _students(spark, sf)
+    co = _courses(spark, sf)
+    en = S.enroll(view(spark, sf, "enroll_requests_v"), st, co)
     changes, graded = S.apply_grades(view(spark, sf, "grade_changes_v"), S.enrolments(en))
     return st, co, en, changes, graded
 
