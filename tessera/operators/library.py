@@ -218,14 +218,15 @@ def author_listing(authors: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- capacity-checked borrowing
 
-def _borrow_sequential(batches, a0_col="a0"):
+def _borrow_sequential(batches):
     """Per title in seq order (rows arrive sorted by title, seq): accept while
     active < copies. State is one counter per title, so memory stays bounded
-    however long a title's log is."""
+    however long a title's log is. Rows pass through (without ``a0``) with
+    an ``outcome``."""
     title, active = None, 0
     for pdf in batches:
         out = []
-        for t, copies, a0 in zip(pdf["book_title"], pdf["copies"], pdf[a0_col]):
+        for t, copies, a0 in zip(pdf["book_title"], pdf["copies"], pdf["a0"]):
             if t != title:
                 title, active = t, int(a0)
             if active < copies:
@@ -233,7 +234,7 @@ def _borrow_sequential(batches, a0_col="a0"):
                 out.append("borrowed")
             else:
                 out.append("no_copies")
-        yield pd.DataFrame({"seq": pdf["seq"], "outcome": out})
+        yield pdf.drop(columns=["a0"]).assign(outcome=out)
 
 
 def borrow_outcomes(requests: DataFrame, books: DataFrame, loans: DataFrame,
@@ -243,32 +244,32 @@ def borrow_outcomes(requests: DataFrame, books: DataFrame, loans: DataFrame,
     book's copies exceed the title's active loans at that moment (initial
     active loans plus the requests accepted before it).
 
-    When every request of a title sees the same copies (one ISBN per title,
-    the usual case) the k-th request is accepted iff k <= copies - initial
-    active: a chunked position, parallel over any hot title. Titles whose
-    requests see different copies are solved exactly by a sorted, streaming
-    per-title scan with O(1) state per title.
+    The ISBN lookup table carries everything per title: the book's copies,
+    the title's initial active loans ``a0`` and whether all of the title's
+    books have one copy count. For such uniform titles (the usual case) the
+    k-th request is accepted iff k <= copies - a0: a chunked position,
+    parallel over any hot title. Other titles are solved exactly by a
+    sorted, streaming per-title scan with O(1) state per title (a title
+    whose requests happen to see one count is still solved exactly there).
+    The request log is joined once; each branch is a filter of that join.
     """
     fb = _first_book_by_isbn(books).select(F.col("isbn").alias("__isbn"), F.col("title").alias("book_title"),
                                            "copies")
-    r = requests.join(fb, requests["isbn"] == F.col("__isbn"), "left").drop("__isbn")
-    missing = r.filter(F.col("book_title").isNull()).withColumn("outcome", F.lit("book_not_found"))
-    found = r.filter(F.col("book_title").isNotNull())
-    a0 = active_loans(loans).withColumnRenamed("book_title", "__t").withColumnRenamed("active_loans", "a0")
-    shape = found.groupBy("book_title").agg((F.min("copies") == F.max("copies")).alias("__uniform"))
-    found = found.join(shape.withColumnRenamed("book_title", "__s"), F.col("book_title") == F.col("__s"), "left") \
-        .drop("__s").join(a0, F.col("book_title") == F.col("__t"), "left").drop("__t") \
+    per_title = fb.groupBy("book_title").agg((F.min("copies") == F.max("copies")).alias("__uniform"))
+    a0 = active_loans(loans).select(F.col("book_title").alias("__t"), F.col("active_loans").alias("a0"))
+    per_title = per_title.join(a0, F.col("book_title") == F.col("__t"), "left").drop("__t") \
         .withColumn("a0", F.coalesce(F.col("a0"), F.lit(0)).cast("bigint"))
-    uniform = position_in_key(found.filter(F.col("__uniform")), "book_title", "seq", "__k", chunk_width)
-    uniform = uniform.withColumn("outcome", F.when(F.col("__k") <= F.col("copies") - F.col("a0"), "borrowed")
-                                 .otherwise("no_copies")).drop("__k")
-    mixed = found.filter(~F.col("__uniform"))
-    scanned = mixed.select("seq", "book_title", "copies", "a0") \
-        .repartition("book_title").sortWithinPartitions("book_title", "seq") \
-        .mapInPandas(_borrow_sequential, "seq long, outcome string")
-    mixed = mixed.join(scanned.withColumnRenamed("seq", "__seq"), F.col("seq") == F.col("__seq"), "left") \
-        .drop("__seq")
+    lookup = fb.join(per_title, "book_title", "left")
+    r = requests.join(lookup, requests["isbn"] == F.col("__isbn"), "left").drop("__isbn")
     cols = requests.columns + ["book_title", "copies", "outcome"]
+    missing = r.filter(F.col("book_title").isNull()).withColumn("outcome", F.lit("book_not_found"))
+    uniform = position_in_key(r.filter(F.col("__uniform")), "book_title", "seq", "__k", chunk_width)
+    uniform = uniform.withColumn("outcome", F.when(F.col("__k") <= F.col("copies") - F.col("a0"), "borrowed")
+                                 .otherwise("no_copies"))
+    mixed = r.filter(~F.col("__uniform")).select(*requests.columns, "book_title", "copies", "a0")
+    out_schema = mixed.select(*cols[:-1], F.lit("").alias("outcome")).schema
+    mixed = mixed.repartition("book_title").sortWithinPartitions("book_title", "seq") \
+        .mapInPandas(_borrow_sequential, out_schema)
     return uniform.select(*cols).unionByName(mixed.select(*cols)).unionByName(missing.select(*cols)) \
         .withColumn("due_offset_days", F.when(F.col("outcome") == "borrowed", F.lit(LOAN_DAYS)))
 
