@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions.numeric import (LETTER_BANDS, LETTER_FLOOR, exact_sum, half_even_mean,
                                        letter_grade)
 from tessera.operators.ordering import (DEFAULT_CHUNK, earliest_per_key, join_keys_null_safe,
-                                        position_in_key, trailing_mean)
+                                        position_in_key, trailing_mean_in_key)
 
 DEFAULT_TOP_N = 3
 DEFAULT_WINDOW = 3
@@ -121,9 +121,8 @@ def rolling_averages(grades: DataFrame, window_size: int = DEFAULT_WINDOW,
     """Per student, in input order, mean of the current and previous
     ``window_size - 1`` grades, rounded 2. Keyed by student_id (names can
     repeat). Columns: student_id, name, position, rolling_average."""
-    pos = position_in_key(grades.select("student_id", "name", "score", "seq"),
-                          "student_id", "seq", "position", chunk_width)
-    out = trailing_mean(pos, "student_id", "position", "score", window_size, "rolling_average")
+    out = trailing_mean_in_key(grades.select("student_id", "name", "score", "seq"), "student_id", "seq", "score",
+                               window_size, "rolling_average", "position", chunk_width)
     return out.select("student_id", "name", "position", "rolling_average")
 
 

@@ -18,6 +18,7 @@ do that:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -135,22 +136,58 @@ def previous_in_key(df: DataFrame, keys: str | Sequence[str], seq: str, value: s
     ).drop("__lag_v", "__lag_s", "__prev_tail", _CHUNK)
 
 
-def trailing_mean(df: DataFrame, keys: str | Sequence[str], position: str, value: str,
-                  width: int, name: str, scale: int = 2) -> DataFrame:
-    """Mean of ``value`` over the current and previous ``width - 1`` rows of the
-    key (by dense ``position``), rounded half-even on the exact rational.
-
-    Each row is sent to the ``width`` positions whose frame contains it and
-    summed there: ``width``x rows, hash-partitioned on (key, position), so a
-    hot key spreads over all tasks.
+def trailing_mean_in_key(df: DataFrame, keys: str | Sequence[str], seq: str, value: str, width: int,
+                         name: str, position: str = "position", chunk_width: int = DEFAULT_CHUNK,
+                         scale: int = 2) -> DataFrame:
+    """Per key in ``seq`` order: the 1-based ``position`` and the mean of
+    ``value`` over the current and previous ``width - 1`` rows (partial frames
+    at the start; NULL values skipped), rounded half-even on the exact
+    rational.
+
+    One full shuffle. Rows are windowed per chunk (key + slice of the seq
+    range), where ``lag`` gives the predecessors inside the chunk. A summary
+    per chunk (row count and its last ``width - 1`` values, bounded) is
+    aggregated from the windowed rows, which are already partitioned and
+    sorted by chunk. A small window over the summaries gives each chunk its
+    position offset and the values carried over from earlier chunks (the
+    previous ``width - 1`` non-empty chunks hold enough of them); it is
+    joined back on (key, chunk). A hot key is spread over its chunks.
     """
     from tessera.functions.numeric import EXACT, half_even_mean
 
     keys = _keys(keys)
-    spread = df.select(*keys, F.explode(F.sequence(F.col(position),
-                                                   F.col(position) + F.lit(width - 1))).alias("__target"),
-                       F.col(value).cast(EXACT).alias("__v"))
-    sums = spread.groupBy(*keys, "__target").agg(F.sum("__v").alias("__s"), F.count("__v").alias("__c"))
-    sums = sums.withColumnRenamed("__target", position)
-    out = join_keys_null_safe(df, sums, keys + [position], "left")
-    return out.withColumn(name, half_even_mean(F.col("__s"), F.col("__c"), scale)).drop("__s", "__c")
+    k = width - 1
+    chunked = _with_chunk(df, seq, chunk_width)
+    part = keys + [_CHUNK]
+    w = Window.partitionBy(*part).orderBy(seq)
+    v = F.col(value).cast(EXACT)
+    lag_names = [f"__lag{j}" for j in range(1, k + 1)]
+    rows = chunked.select("*", F.row_number().over(w).alias("__rn"),
+                          *[F.lag(v, j).over(w).alias(n) for j, n in zip(range(1, k + 1), lag_names)])
+    # the last min(n, k) values of each chunk, oldest first (from its last row)
+    recent = F.array(*[F.col(n) for n in reversed(lag_names)], v)
+    summary = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"),
+                                      F.max_by(recent, F.col(seq)).alias("__last"))
+    take = F.least(F.col("__n"), F.lit(k))
+    summary = summary.select(*part, "__n", F.slice(F.col("__last"), F.lit(k + 2) - take, take).alias("__tail"))
+    by_key = Window.partitionBy(*keys).orderBy(_CHUNK)
+    offset = F.coalesce(F.sum("__n").over(by_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    if k > 0:
+        carried = F.flatten(F.collect_list("__tail").over(by_key.rowsBetween(-k, -1)))
+        carry = F.slice(carried, F.greatest(F.size(carried) - F.lit(k - 1), F.lit(1)), k)
+    else:
+        carry = F.array().cast(f"array<{EXACT}>")
+    summary = summary.select(*part, offset.alias("__off"), carry.alias("__carry"))
+
+    out = join_keys_null_safe(rows, summary, part, "left")
+    # frame slot j (j rows back): inside the chunk while j < rn, else carried over
+    slots = [v]
+    for j in range(1, k + 1):
+        # the (j - rn + 1)-th carried value from the end; clamped below 0 (index 0 is an error)
+        from_carry = F.try_element_at(F.col("__carry"), F.least(F.col("__rn") - F.lit(j + 1), F.lit(-1)))
+        slots.append(F.when(F.col("__rn") > j, F.col(f"__lag{j}")).otherwise(from_carry))
+    total = reduce(lambda a, b: a + b, [F.coalesce(x, F.lit(0).cast(EXACT)) for x in slots])
+    n = reduce(lambda a, b: a + b, [x.isNotNull().cast("int") for x in slots])
+    return out.withColumn(position, (F.col("__rn") + F.col("__off")).cast("bigint")) \
+        .withColumn(name, half_even_mean(total.cast(EXACT), n, scale)) \
+        .drop("__rn", "__off", "__carry", _CHUNK, *lag_names)

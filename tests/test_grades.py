@@ -100,3 +100,29 @@ def test_rolling_chunks_match_plain_window(spark):
             exp.append((sid, i + 1, round(sum(w) / len(w), 2)))
     got = sorted((r.student_id, r.position, r.rolling_average) for r in a.itertuples())
     assert got == sorted(exp)
+
+
+@pytest.mark.parametrize("width,chunk", [(3, 3), (2, 1), (4, 5), (1, 2)])
+def test_rolling_matches_brute_force(spark, width, chunk):
+    # a hot student spread over many tiny chunks, a student with one row, gaps in seq
+    import random
+    from decimal import ROUND_HALF_EVEN, Decimal
+
+    rnd = random.Random(width * 10 + chunk)
+    rows = []
+    for seq in rnd.sample(range(200), 70):
+        sid = "hot" if rnd.random() < 0.6 else rnd.choice(["a", "b", "c"])
+        rows.append((sid, "n" + sid, "m", 1, "x", float(rnd.randint(0, 100)), seq))
+    rows.append(("solo", "nsolo", "m", 1, "x", 77.0, 500))
+    df = spark.createDataFrame(rows, "student_id string, name string, major string, year int, "
+                                     "course_name string, score double, seq long")
+    got = {(r["student_id"], r["position"]): r["rolling_average"]
+           for r in G.rolling_averages(df, width, chunk_width=chunk).collect()}
+    want = {}
+    by_student = {}
+    for r in sorted(rows, key=lambda r: r[6]):
+        vals = by_student.setdefault(r[0], [])
+        vals.append(Decimal(str(r[5])))
+        frame = vals[-width:]
+        want[(r[0], len(vals))] = float((sum(frame) / len(frame)).quantize(Decimal("0.01"), ROUND_HALF_EVEN))
+    assert got == want
