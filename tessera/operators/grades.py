@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import (LETTER_BANDS, LETTER_FLOOR, exact_sum, half_even_mean,
                                        letter_grade)
-from tessera.operators.ordering import (DEFAULT_CHUNK, earliest_per_key, join_keys_null_safe,
+from tessera.operators.ordering import (DEFAULT_CHUNK, join_keys_null_safe,
                                         position_in_key, trailing_mean_in_key)
 
 DEFAULT_TOP_N = 3
@@ -31,10 +31,10 @@ def student_dimension(grades: DataFrame) -> DataFrame:
 
     Columns: student_id, first_seq, name, major, year, n_courses.
     """
-    first = earliest_per_key(grades, "student_id", "seq", ["name", "major", "year"]) \
-        .withColumnRenamed("seq", "first_seq")
-    counts = grades.groupBy("student_id").agg(F.count(F.lit(1)).alias("n_courses"))
-    return join_keys_null_safe(first, counts, ["student_id"], "inner")
+    first = F.min_by(F.struct("name", "major", "year"), F.col("seq"))
+    return grades.groupBy("student_id").agg(first.alias("__first"), F.min("seq").alias("first_seq"),
+                                             F.count(F.lit(1)).alias("n_courses")) \
+        .select("student_id", "first_seq", "__first.name", "__first.major", "__first.year", "n_courses")
 
 
 def _with_student_order(grades: DataFrame) -> DataFrame:
@@ -74,10 +74,9 @@ def major_grouping(grades: DataFrame, chunk_width: int = DEFAULT_CHUNK) -> DataF
 def student_averages(grades: DataFrame) -> DataFrame:
     """A4: per-student average over all its grades, rounded to 2 (half-even).
     Columns: student_id, name, first_seq, average_score."""
-    sums = grades.groupBy("student_id").agg(
-        exact_sum(F.col("score")).alias("__s"), F.count("score").alias("__n"))
-    dim = earliest_per_key(grades, "student_id", "seq", ["name"]).withColumnRenamed("seq", "first_seq")
-    out = join_keys_null_safe(dim, sums, ["student_id"], "inner")
+    out = grades.groupBy("student_id").agg(
+        exact_sum(F.col("score")).alias("__s"), F.count("score").alias("__n"),
+        F.min_by(F.col("name"), F.col("seq")).alias("name"), F.min("seq").alias("first_seq"))
     return out.select("student_id", "name", "first_seq",
                       F.coalesce(half_even_mean(F.col("__s"), F.col("__n")), F.lit(0.0))
                       .alias("average_score"))
