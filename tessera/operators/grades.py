@@ -135,7 +135,7 @@ def grade_report(grades: DataFrame, top_n: int = DEFAULT_TOP_N) -> DataFrame:
     students, letter distribution (<= 5 entries), mode, top-n performers and
     overall average. The unbounded sections (names per major, rolling
     averages) stay distributed tables — see ``sources.sinks.write_grade_report``."""
-    g = with_letter_grade(grades).cache()
+    g = with_letter_grade(grades)
     dist = grade_distribution(g).agg(F.map_from_entries(F.array_sort(F.collect_list(
         F.struct("category", "n_grades")))).alias("grade_distribution"))
     top = top_performers(g, top_n).agg(F.transform(
