@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import progressive_tax
 from tessera.functions.text import py_is_blank, py_strip
-from tessera.operators.ordering import DEFAULT_CHUNK, latest_per_key, position_in_key
+from tessera.operators.ordering import DEFAULT_CHUNK, position_in_key
 
 EMP_TYPES = ("fulltime", "contract", "intern")
 MONEY = "decimal(20,2)"
@@ -89,12 +89,13 @@ def apply_changes(emps: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataF
                .when(F.col("new_value") < 0, F.lit("rejected"))
                .otherwise(F.lit("applied")))
     c = c.withColumn("outcome", outcome).drop("__known")
-    good = c.filter(F.col("outcome") == "applied")
-    last = latest_per_key(good, ["employee_id", "field"], "seq", ["new_value"])
-    wide = last.groupBy("employee_id").agg(
-        F.max(F.when(F.col("field") == "salary", F.col("new_value"))).alias("__salary"),
-        F.max(F.when(F.col("field") == "bonus", F.col("new_value"))).alias("__bonus"))
-    wide = wide.withColumnRenamed("employee_id", "__eid")
+    # Last accepted value per field, pivoted, in one aggregation per employee
+    # (max_by skips rows whose ordering is NULL, i.e. the other field). Changes
+    # of unknown ids simply find no roster row in the join below.
+    good = changes.filter(~F.coalesce(F.col("new_value") < 0, F.lit(False)))
+    last_of = lambda f: F.max_by(F.col("new_value"), F.when(F.col("field") == f, F.col("seq")))
+    wide = good.groupBy(F.col("employee_id").alias("__eid")).agg(
+        last_of("salary").alias("__salary"), last_of("bonus").alias("__bonus"))
     u = roster.join(wide, roster["employee_id"] == F.col("__eid"), "left").drop("__eid")
     base_tax = F.when(F.col("emp_type") == "contract", F.lit(0.0)).otherwise(F.col("base_pay"))
     u = u.withColumn("tax_base", F.coalesce(F.col("__salary"), base_tax)) \
