@@ -52,9 +52,12 @@ def grade_mode(grades: DataFrame) -> DataFrame:
     """A2: most common letter; ties go to the letter met first in
     student-then-course order; ``N/A`` when there are no grades. One row."""
     g = grades if "category" in grades.columns else with_letter_grade(grades)
-    g = _with_student_order(g)
-    per_cat = g.groupBy("category").agg(
-        F.count(F.lit(1)).alias("n"),
+    # per (student, letter): count and first row; a student's first row is the
+    # smallest of these, found by a window holding at most one row per letter
+    per_sl = g.groupBy("student_id", "category").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("seq"))
+    per_sl = per_sl.withColumn("student_seq", F.min("seq").over(Window.partitionBy("student_id")))
+    per_cat = per_sl.groupBy("category").agg(
+        F.sum("n").alias("n"),
         F.min(F.struct("student_seq", "seq")).alias("first_seen"))
     # Global aggregate over at most one row per letter: always exactly one row.
     best = per_cat.agg(F.max_by(F.col("category"), F.struct(
