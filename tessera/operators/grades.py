@@ -37,11 +37,6 @@ def student_dimension(grades: DataFrame) -> DataFrame:
         .select("student_id", "first_seq", "__first.name", "__first.major", "__first.year", "n_courses")
 
 
-def _with_student_order(grades: DataFrame) -> DataFrame:
-    firsts = grades.groupBy("student_id").agg(F.min("seq").alias("student_seq"))
-    return join_keys_null_safe(grades, firsts, ["student_id"], "left")
-
-
 def grade_distribution(grades: DataFrame) -> DataFrame:
     """A1: number of grades per letter (absent letters omitted)."""
     g = grades if "category" in grades.columns else with_letter_grade(grades)
@@ -98,8 +93,14 @@ def course_best_grade(grades: DataFrame, course_name: str | None = None) -> Data
     g = grades if "category" in grades.columns else with_letter_grade(grades)
     if course_name is not None:
         g = g.filter(F.col("course_name") == F.lit(course_name))
-    g = _with_student_order(g)
-    best = g.groupBy("course_name").agg(F.max_by(
+    # best row per (student, course) first (ties: earliest row), so the join
+    # with each student's first row runs on that aggregate, not on every grade
+    per_sc = g.groupBy("student_id", "course_name").agg(F.max_by(
+        F.struct("score", "category", "seq"), F.struct(F.col("score"), (-F.col("seq")).alias("b"))).alias("top"))
+    per_sc = per_sc.select("student_id", "course_name", "top.*")
+    firsts = grades.groupBy("student_id").agg(F.min("seq").alias("student_seq"))
+    ranked = join_keys_null_safe(per_sc, firsts, ["student_id"], "left")
+    best = ranked.groupBy("course_name").agg(F.max_by(
         F.struct("student_id", "score", "category"),
         F.struct(F.col("score"), (-F.col("student_seq")).alias("a"), (-F.col("seq")).alias("b"))
     ).alias("best"))

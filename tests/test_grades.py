@@ -126,3 +126,11 @@ def test_rolling_matches_brute_force(spark, width, chunk):
         frame = vals[-width:]
         want[(r[0], len(vals))] = float((sum(frame) / len(frame)).quantize(Decimal("0.01"), ROUND_HALF_EVEN))
     assert got == want
+
+
+def test_course_best_uses_overall_student_order(spark):
+    # "a" is listed first (row 1, course m) although its row for course p (10) comes after b's (5)
+    df = spark.createDataFrame([("a", "A", "x", 1, "m", 70.0, 1), ("b", "B", "x", 1, "p", 90.0, 5),
+                                ("a", "A", "x", 1, "p", 90.0, 10)], SCHEMA)
+    assert G.course_best_grade(df, "p").first()["student_id"] == "a"
+    assert {r["course_name"]: r["student_id"] for r in G.course_best_grade(df).collect()} == {"m": "a", "p": "a"}
