@@ -4,7 +4,9 @@ R3 keeps one value per vehicle (the kind of its last event); R4 keeps, per
 title, the number of active loans and the active loans per borrower. Both use
 ``transformWithStateInPandas``: state lives in the (RocksDB) state store, is
 checkpointed with the stream and is bounded by the key's own state size,
-never by its event count.
+never by its event count. A key's events of one micro-batch are sorted by seq
+in the task, so they are bounded by the batch size: sources read with a rate
+limit (``maxFilesPerTrigger``, honoured by ``availableNow`` too).
 """
 
 from __future__ import annotations
