@@ -171,4 +171,38 @@ SELECT q.seq, q.borrower_name, q.isbn, q.book_title, q.copies, rec.outcome,
 UNION ALL SELECT r.seq, r.borrower_name, r.isbn, NULL, NULL, 'book_not_found', NULL
 FROM borrow_requests_v r LEFT JOIN fb ON r.isbn = fb.fisbn WHERE fb.fisbn IS NULL""",
                                   "books_v", "loans_v", "borrow_requests_v").replace("WITH ", "WITH RECURSIVE ", 1),
+    # Mixed borrow / return ledger: each title's events are walked in order,
+    # carrying the active count and a map borrower -> active loans (a seed row
+    # k = 0 per title holds the initial count and an empty map).
+    "loan_ledger": with_views(f""", {_NB},
+ev AS (SELECT seq * 2 AS seq, 'borrow' AS kind, borrower_name, isbn FROM borrow_requests_v
+       UNION ALL SELECT seq * 2 + 1, 'return', borrower_name, isbn FROM return_requests_v),
+hl AS (SELECT book_title AS h_title, borrower_name AS h_who, count(*) AS h_n FROM loans_v
+       WHERE return_date IS NULL GROUP BY book_title, borrower_name),
+q AS (SELECT e.seq, e.kind, e.borrower_name, e.isbn, fb.ftitle AS book_title, fb.fcopies AS copies,
+             coalesce(al.al_n, 0) AS a0, coalesce(hl.h_n, 0) AS h0,
+             row_number() OVER (PARTITION BY fb.ftitle ORDER BY e.seq) AS k
+      FROM ev e JOIN fb ON e.isbn = fb.fisbn LEFT JOIN al ON al.al_title = fb.ftitle
+      LEFT JOIN hl ON hl.h_title = fb.ftitle AND hl.h_who = e.borrower_name),
+rec AS (
+  SELECT DISTINCT CAST(NULL AS BIGINT) AS seq, book_title, CAST(0 AS BIGINT) AS k, CAST(a0 AS BIGINT) AS act,
+         map([]::VARCHAR[], []::BIGINT[]) AS held, CAST(NULL AS VARCHAR) AS outcome FROM q
+  UNION ALL
+  SELECT q.seq, q.book_title, q.k,
+         CASE WHEN q.kind = 'borrow' AND rec.act < q.copies THEN rec.act + 1
+              WHEN q.kind = 'return' AND coalesce(rec.held[q.borrower_name], q.h0) > 0 THEN rec.act - 1
+              ELSE rec.act END,
+         CASE WHEN q.kind = 'borrow' AND rec.act < q.copies
+                THEN map_concat(rec.held, map([q.borrower_name], [coalesce(rec.held[q.borrower_name], q.h0) + 1]))
+              WHEN q.kind = 'return' AND coalesce(rec.held[q.borrower_name], q.h0) > 0
+                THEN map_concat(rec.held, map([q.borrower_name], [coalesce(rec.held[q.borrower_name], q.h0) - 1]))
+              ELSE rec.held END,
+         CASE WHEN q.kind = 'borrow' THEN CASE WHEN rec.act < q.copies THEN 'borrowed' ELSE 'no_copies' END
+              WHEN coalesce(rec.held[q.borrower_name], q.h0) > 0 THEN 'returned' ELSE 'no_active_loan' END
+  FROM rec JOIN q ON q.book_title = rec.book_title AND q.k = rec.k + 1)
+SELECT q.seq, q.kind, q.borrower_name, q.isbn, q.book_title, rec.outcome FROM q JOIN rec ON q.seq = rec.seq
+UNION ALL SELECT e.seq, e.kind, e.borrower_name, e.isbn, NULL, 'book_not_found'
+FROM ev e LEFT JOIN fb ON e.isbn = fb.fisbn WHERE fb.fisbn IS NULL""",
+                              "books_v", "loans_v", "borrow_requests_v", "return_requests_v")
+    .replace("WITH ", "WITH RECURSIVE ", 1),
 }

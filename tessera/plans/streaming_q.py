@@ -89,6 +89,7 @@ QUERIES = {
 from tessera.plans.sources_q import ORACLE as _SRC  # noqa: E402
 from tessera.plans.text_q import _C as _TEXT_C  # noqa: E402
 from tessera.plans.payroll_q import ORACLE as _PAY  # noqa: E402
+from tessera.plans.library_q import ORACLE as _LIB  # noqa: E402
 
 ORACLE = {
     "stream_import": "SELECT user_id, name, email, outcome FROM (" + _SRC["csv_user_parse"].replace(
@@ -96,4 +97,6 @@ ORACLE = {
     "stream_text_sentiment": with_views(f", {_TEXT_C} SELECT doc_id, clean_text AS text, sentiment, score FROM r "
                                         "WHERE error_stage IS NULL", "text_v"),
     "stream_rental_outcomes": _PAY["rental_outcomes"],
+    "stream_loan_ledger": "SELECT seq, book_title, kind, borrower_name, outcome FROM ("
+    + _LIB["loan_ledger"] + ")",
 }
