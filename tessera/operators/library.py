@@ -157,17 +157,21 @@ def loan_returns(requests: DataFrame, books: DataFrame, loans: DataFrame,
     book_not_found / no_active_loan / returned (+ ``loan_seq`` closed)."""
     fb = _first_book_by_isbn(books).select(F.col("isbn").alias("__isbn"), F.col("title").alias("book_title"))
     r = requests.join(fb, requests["isbn"] == F.col("__isbn"), "left").drop("__isbn")
-    found = r.filter(F.col("book_title").isNotNull())
-    missing = r.filter(F.col("book_title").isNull())
-    found = position_in_key(found, ["borrower_name", "book_title"], "seq", "__k", chunk_width)
+    # Requests of unknown ISBNs (NULL title) are ranked too, in one pass with
+    # the others; a NULL title never equals a loan's title below.
+    r = position_in_key(r, ["borrower_name", "book_title"], "seq", "__k", chunk_width)
     act = loans.filter(F.col("return_date").isNull()).select(
         "borrower_name", "book_title", F.col("seq").alias("loan_seq"))
     act = position_in_key(act.withColumn("seq", F.col("loan_seq")), ["borrower_name", "book_title"], "seq",
                           "__k", chunk_width).drop("seq")
-    j = join_keys_null_safe(found, act, ["borrower_name", "book_title", "__k"], "left")
-    j = j.withColumn("outcome", F.when(F.col("loan_seq").isNotNull(), "returned").otherwise("no_active_loan"))
-    missing = missing.withColumn("loan_seq", F.lit(None).cast("bigint")).withColumn("outcome", F.lit("book_not_found"))
-    return j.drop("__k").unionByName(missing)
+    act = act.select(F.col("borrower_name").alias("__b"), F.col("book_title").alias("__t"),
+                     F.col("__k").alias("__ak"), "loan_seq")
+    cond = r["borrower_name"].eqNullSafe(F.col("__b")) & (r["book_title"] == F.col("__t")) & \
+        (r["__k"] == F.col("__ak"))
+    j = r.join(act, cond, "left").drop("__b", "__t", "__ak", "__k")
+    outcome = (F.when(F.col("book_title").isNull(), F.lit("book_not_found"))
+               .when(F.col("loan_seq").isNotNull(), F.lit("returned")).otherwise(F.lit("no_active_loan")))
+    return j.withColumn("outcome", outcome)
 
 
 def book_deletes(requests: DataFrame, books: DataFrame, loans: DataFrame,
