@@ -8,6 +8,7 @@ fetched pages / fetch results, batch or stream.
 from __future__ import annotations
 
 import html as _html
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -29,9 +30,10 @@ DEFAULT_FIRST_N = 20
 _COMMENT = r"(?s)<!--.*?-->"
 _RAW_TEXT = r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>"
 _TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-_DESC_TAG = (r"<(?i:meta)\b[^>]*\b(?i:name)\s*=\s*(?:\"description\"|'description'|description)"
+# An attribute name follows whitespace, a quote or '/' (so ``data-name`` is not ``name``).
+_DESC_TAG = (r"<(?i:meta)\b[^>]*[\s\"'/](?i:name)\s*=\s*(?:\"description\"|'description'|description)"
              r"(?:[\s/][^>]*)?>")
-_CONTENT = r"\b(?i:content)\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+_CONTENT = r"[\s\"'/](?i:content)\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
 _OG = (rf"(?i)<meta{PY_WS}+property=[\"']og:description[\"']{PY_WS}+content=[\"']([^\"']+)[\"']")
 
 
@@ -41,6 +43,17 @@ def _unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else _html.unescape(v))
 
 
+_TAG = re.compile(r"<[^>]*>")
+
+
+@pandas_udf(StringType())
+def _title_pieces(s: pd.Series) -> pd.Series:
+    """Title text as a parser gives it: the text between tags is decoded and
+    stripped piece by piece, then joined (entity-encoded spaces at a piece's
+    edge go too). Arrow-batched; called only for titles that contain '&'."""
+    return s.map(lambda v: None if v is None else "".join(_html.unescape(p).strip() for p in _TAG.split(v)))
+
+
 def html_unescape(col: Column) -> Column:
     """Decode character references; the Python helper only sees values that
     contain '&' — everything else stays in the JVM."""
@@ -53,7 +66,7 @@ def _first_group(col: Column, pattern: str, group: int = 1) -> Column:
 
 def page_metadata(pages: DataFrame, html: str = "html") -> DataFrame:
     """title = text of the first ``<title>`` (inner tags dropped, each
-    text piece stripped, entities decoded), null without a tag; description =
+    text piece decoded and stripped), null without a tag; description =
     non-empty content of the first ``<meta name="description">``, else the
     raw ``og:description`` content (attribute order property, content;
     case-insensitive; not decoded). Comments and script/style bodies are not
@@ -61,8 +74,10 @@ def page_metadata(pages: DataFrame, html: str = "html") -> DataFrame:
     raw = F.col(html)
     markup = F.regexp_replace(F.regexp_replace(raw, _COMMENT, ""), _RAW_TEXT, "")
     inner = _first_group(markup, _TITLE)
-    text = py_strip(F.regexp_replace(inner, rf"{PY_WS}*<[^>]*>{PY_WS}*", ""))
-    title = html_unescape(text)
+    # without references, dropping tags with the spaces around them and one
+    # strip gives the same text as stripping each piece
+    plain = py_strip(F.regexp_replace(inner, rf"{PY_WS}*<[^>]*>{PY_WS}*", ""))
+    title = F.when(inner.contains("&"), _title_pieces(inner)).otherwise(plain)
     tag = _first_group(markup, _DESC_TAG, 0)
     content = F.when(tag.rlike(_CONTENT), F.coalesce(
         F.nullif(F.regexp_extract(tag, _CONTENT, 1), F.lit("")),

@@ -35,6 +35,19 @@ def test_first_description_only(spark):
     assert r["description"] is None
 
 
+def test_attribute_names_are_whole(spark):
+    # data-name / data-content are other attributes, not name / content
+    r = meta(spark, '<meta data-name="description" content="no"><meta name="description" data-content="no"'
+                    ' content="yes">')
+    assert r["description"] == "yes"
+
+
+def test_title_pieces_decoded_then_stripped(spark):
+    # an encoded no-break space at a piece's edge is stripped like a plain space
+    r = meta(spark, "<title>&nbsp;A&nbsp;<b> B </b>&amp; C</title>")
+    assert r["title"] == "AB& C"
+
+
 def test_fetch_outcomes_and_summary(spark):
     f = spark.createDataFrame([(1, "u1", "async", 200, None, 100), (2, "u2", "async", 404, None, 300),
                                (3, "u3", "sequential", None, "Timeout", 1000), (4, "u4", "threaded", 200, None, 400)],
