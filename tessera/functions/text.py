@@ -8,6 +8,8 @@ the same answer; every expression stays inside whole-stage codegen.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,10 +45,22 @@ def py_is_blank(col: Column) -> Column:
     return col.isNull() | ~col.rlike(f"[^{PY_WS_CHARS}]")
 
 
+@functools.cache
+def decimal_digits() -> tuple[str, str]:
+    """Every non-ASCII character with a decimal digit value (Unicode category
+    Nd, which Python's ``int()`` accepts) and its ASCII digit, by rule."""
+    import unicodedata
+
+    src = [chr(c) for c in range(128, 0x110000) if unicodedata.decimal(chr(c), None) is not None]
+    return "".join(src), "".join(str(unicodedata.decimal(c)) for c in src)
+
+
 def py_int(col: Column) -> Column:
-    """``int(s)`` for strings: null where Python would raise (or BIGINT overflows)."""
-    cleaned = F.regexp_replace(py_strip(col), "_", "")
-    return F.when(col.rlike(PY_INT_PATTERN), cleaned.try_cast("bigint"))
+    """``int(s)`` for strings: null where Python would raise (or BIGINT overflows).
+    Decimal digits of any script count, as in Python (mapped to ASCII first)."""
+    ascii_digits = F.translate(col, *decimal_digits())
+    cleaned = F.regexp_replace(py_strip(ascii_digits), "_", "")
+    return F.when(ascii_digits.rlike(PY_INT_PATTERN), cleaned.try_cast("bigint"))
 
 
 def is_letters_and_spaces(col: Column) -> Column:

@@ -44,8 +44,12 @@ PY_INT_RE = rf"^[{PY_WS_CHARS}]*[+-]?[0-9]+(_[0-9]+)*[{PY_WS_CHARS}]*$"
 
 
 def py_int(expr: str) -> str:
-    return (f"CASE WHEN regexp_matches({expr}, '{PY_INT_RE}') "
-            f"THEN TRY_CAST(replace({py_strip(expr)}, '_', '') AS BIGINT) END")
+    from tessera.functions.text import decimal_digits
+
+    src, dst = decimal_digits()
+    d = f"translate({expr}, '{src}', '{dst}')"
+    return (f"CASE WHEN regexp_matches({d}, '{PY_INT_RE}') "
+            f"THEN TRY_CAST(replace({py_strip(d)}, '_', '') AS BIGINT) END")
 
 
 def email_ok(expr: str) -> str:

@@ -87,3 +87,21 @@ def test_csv_roundtrip(spark, tmp):
     U.write_users_csv(users, os.path.join(tmp, "out"))
     back = U.read_users_csv(spark, os.path.join(tmp, "out"))
     assert sorted((r["user_id"], r["name"]) for r in back.collect()) == [("1", "A"), ("2", "B, b")]
+
+
+def test_int_parse_matches_python_for_every_decimal_digit(spark):
+    import unicodedata
+    from pyspark.sql import functions as F
+    from tessera.functions.text import py_int
+
+    digits = [chr(c) for c in range(0x110000) if unicodedata.decimal(chr(c), None) is not None]
+    vals = [f" +{d}{d}_{d} " for d in digits] + [f"-{d}" for d in digits] + [f"{d}.{d}" for d in digits[:20]]
+    got = {r["i"]: r["n"] for r in spark.createDataFrame(list(enumerate(vals)), "i int, v string")
+           .select("i", py_int(F.col("v")).alias("n")).collect()}
+
+    def python_int(v):
+        try:
+            return int(v)
+        except ValueError:
+            return None
+    assert got == {i: python_int(v) for i, v in enumerate(vals)}
