@@ -12,6 +12,12 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the task slots when it has fewer partitions.
+
+    Call it on a scan (the plans do, for the text and page tables): a scan's
+    partition count comes from the file listing, while the count of a plan
+    with shuffles is only known after running them (adaptive execution), so
+    asking would execute the upstream once more."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     try:
         current = df.rdd.getNumPartitions()

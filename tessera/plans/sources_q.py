@@ -11,6 +11,7 @@ from tessera.operators import importer as I
 from tessera.operators import library as B
 from tessera.operators import text as T
 from tessera.operators import web as W
+from tessera.operators.parallel import spread
 from tessera.plans.importer_q import _V as _IMPORT_V
 from tessera.plans.library_q import AS_OF, _DUE
 from tessera.plans.sqlfrag import email_ok, py_int, py_strip
@@ -104,13 +105,13 @@ def _grade_report_export(spark, sf):
 
 def _sentiment_store(spark, sf):
     path = staging_path(spark, "sentiment-table")
-    K.append_table(K.sentiment_rows(T.clean_and_score(view(spark, sf, "text_v"))), path)
+    K.append_table(K.sentiment_rows(T.clean_and_score(spread(view(spark, sf, "text_v")))), path)
     return spark.read.parquet(path)
 
 
 def _page_results(spark, sf):
     path = staging_path(spark, "page-results")
-    meta = W.page_metadata(view(spark, sf, "pages_v")).select("page_id", "url", "title", "description")
+    meta = W.page_metadata(spread(view(spark, sf, "pages_v"))).select("page_id", "url", "title", "description")
     K.write_page_results(W.fetch_outcomes(view(spark, sf, "fetch_v"), meta), path)
     return spark.read.json(path)
 

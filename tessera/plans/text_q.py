@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import text as T
+from tessera.operators.parallel import spread
 from tessera.plans.sqlfrag import clean_text, py_blank
 from tessera.plans.tables import view, with_views
 
 
 def _scored(spark, sf):
-    return T.clean_and_score(view(spark, sf, "text_v"))
+    return T.clean_and_score(spread(view(spark, sf, "text_v")))
 
 
 QUERIES = {
-    "text_clean": lambda spark, sf: T.clean(view(spark, sf, "text_v")).select("doc_id", "clean_text"),
+    "text_clean": lambda spark, sf: T.clean(spread(view(spark, sf, "text_v"))).select("doc_id", "clean_text"),
     "text_sentiment": lambda spark, sf: T.split_outcomes(_scored(spark, sf))[0]
     .select("doc_id", "score", "sentiment"),
     "text_quarantine": lambda spark, sf: T.split_outcomes(_scored(spark, sf))[1]
