@@ -105,6 +105,19 @@ def enrolments(outcomes: DataFrame) -> DataFrame:
     return outcomes.filter(F.col("outcome") == "enrolled").select("seq", "student_id", "course_id")
 
 
+def enrolled_pairs(requests: DataFrame, students: DataFrame, courses: DataFrame) -> DataFrame:
+    """``enrolments(enroll(...))`` without per-request outcomes: each eligible
+    (student, course) pair with its first request's seq. One partial
+    aggregation of the request log; the lookups run on the pair table."""
+    st = _valid(students).select(F.col("student_id").alias("__sid"), "level", "field")
+    co = _valid(courses).select(F.col("course_id").alias("__cid"), "levels", "fields")
+    pairs = requests.groupBy("student_id", "course_id").agg(F.min("seq").alias("seq"))
+    p = pairs.join(st, pairs["student_id"] == F.col("__sid"), "inner") \
+        .join(co, pairs["course_id"] == F.col("__cid"), "inner")
+    ok = F.array_contains("levels", F.col("level")) & F.array_contains("fields", F.col("field"))
+    return p.filter(ok).select("seq", "student_id", "course_id")
+
+
 def apply_grades(changes: DataFrame, enrolled: DataFrame) -> tuple[DataFrame, DataFrame]:
     """J15 + P5: grade changes (seq, student_id, course_id, grade):
     not_enrolled -> out_of_range (outside 0..100) -> applied; the last applied

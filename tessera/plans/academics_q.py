@@ -26,8 +26,9 @@ def _ctx(spark, sf):
     missing shuffle outputs."""
     st = _students(spark, sf)
     co = _courses(spark, sf)
-    en = S.enroll(view(spark, sf, "enroll_requests_v"), st, co)
-    changes, graded = S.apply_grades(view(spark, sf, "grade_changes_v"), S.enrolments(en))
+    requests = view(spark, sf, "enroll_requests_v")
+    en = S.enroll(requests, st, co)
+    changes, graded = S.apply_grades(view(spark, sf, "grade_changes_v"), S.enrolled_pairs(requests, st, co))
     return st, co, en, changes, graded
 
 

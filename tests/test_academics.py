@@ -73,6 +73,8 @@ def test_enrolment_grades_and_averages_match_sequential(spark, seed):
     co = S.validate_courses(spark.createDataFrame(courses, COURSES))
     en = S.enroll(spark.createDataFrame(requests, PAIRS), st, co)
     assert {r["seq"]: r["outcome"] for r in en.collect()} == want_out
+    pairs = S.enrolled_pairs(spark.createDataFrame(requests, PAIRS), st, co)
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, S.enrolments(en).collect()))
     ch, graded = S.apply_grades(spark.createDataFrame(changes, CHANGES), S.enrolments(en))
     assert {r["seq"]: r["outcome"] for r in ch.collect()} == want_applied
     assert {(r["student_id"], r["course_id"]): r["grade"] for r in graded.collect()} == want_grades
