@@ -105,3 +105,21 @@ def test_int_parse_matches_python_for_every_decimal_digit(spark):
         except ValueError:
             return None
     assert got == {i: python_int(v) for i, v in enumerate(vals)}
+
+
+def test_store_object_missing_blank_or_invalid_is_empty(spark, tmp):
+    import os
+    from tessera.sources.records import read_user_store_object
+
+    def write(name, text):
+        p = os.path.join(tmp, name)
+        with open(p, "w") as f:
+            f.write(text)
+        return p
+
+    ok = write("ok.json", '{"1": {"name": "Ann", "email": "a@x.io"}, "2": {"name": "Bo", "email": "b@x.io"}}')
+    assert sorted(map(tuple, read_user_store_object(spark, ok).collect())) == [(1, "Ann", "a@x.io"),
+                                                                             (2, "Bo", "b@x.io")]
+    for p in (write("blank.json", "   \n"), write("bad.json", '{"1": {"name": '),
+              os.path.join(tmp, "missing.json")):
+        assert read_user_store_object(spark, p).count() == 0
