@@ -134,3 +134,17 @@ def test_course_best_uses_overall_student_order(spark):
                                 ("a", "A", "x", 1, "p", 90.0, 10)], SCHEMA)
     assert G.course_best_grade(df, "p").first()["student_id"] == "a"
     assert {r["course_name"]: r["student_id"] for r in G.course_best_grade(df).collect()} == {"m": "a", "p": "a"}
+
+
+def test_grade_csv_python_number_rules(spark, tmp_path):
+    from tessera.sources.records import read_grades_csv
+
+    ok = tmp_path / "ok.csv"
+    ok.write_text("student_id,name,major,year,course_name,grade\n"
+                  "S1,Ann,Math, 2 ,Algebra, 95.5 \nS1,Ann,Math,2,Logic,80\n")
+    rows = read_grades_csv(spark, str(ok)).orderBy("seq").select("year", "score").collect()
+    assert [tuple(r) for r in rows] == [(2, 95.5), (2, 80.0)]
+    bad = tmp_path / "bad.csv"
+    bad.write_text("student_id,name,major,year,course_name,grade\nS1,Ann,Math,2,Algebra,ninety\n")
+    with pytest.raises(Exception, match="invalid grade: ninety"):
+        read_grades_csv(spark, str(bad)).collect()
