@@ -88,3 +88,42 @@ def test_rent_return_machine(spark, width):
     cost = {r["seq"]: (r["status"], r["cost"]) for r in R.rental_cost(req, R.vehicle_state(ev, veh)).collect()}
     assert cost == {1: ("ok", 60.0), 2: ("not_rented", None), 3: ("not_found", None)}
     assert [r["vehicle_id"] for r in R.available_vehicles(R.vehicle_state(ev, veh)).collect()] == [7]
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_change_log_matches_in_order_model(spark, seed):
+    import random
+
+    rnd = random.Random(seed)
+    kinds = ["fulltime", "contract", "intern"]
+    emps = []
+    for i in range(1, 9):
+        k = kinds[i % 3]
+        emps.append((i, i, f"E{i}", "D", k, None if k == "contract" else float(rnd.randint(0, 9) * 1000),
+                     10.0 if k == "contract" else None, 7.0 if k == "contract" else None, 100.0))
+    changes = [(s, rnd.randint(1, 10), rnd.choice(["salary", "bonus"]), float(rnd.choice([-50, 0, 500, 42000])))
+               for s in rnd.sample(range(1000), 60)]                 # ids 9, 10 are unknown
+    # in-order model
+    state = {e[1]: {"kind": e[4], "base": e[5], "bonus": 0.0 if e[4] == "intern" else e[8],
+                    "tax_base": 0.0 if e[4] == "contract" else e[5]} for e in emps}
+    want = {}
+    for seq, eid, field, v in sorted(changes):
+        if eid not in state:
+            want[seq] = "not_found"
+        elif v < 0:
+            want[seq] = "rejected"
+        else:
+            want[seq] = "applied"
+            st = state[eid]
+            if field == "bonus":
+                st["bonus"] = v
+            else:
+                st["tax_base"] = v
+                if st["kind"] != "contract":
+                    st["base"] = v
+    out, upd = P.apply_changes(spark.createDataFrame(emps, EMP), spark.createDataFrame(
+        changes, "seq long, employee_id long, field string, new_value double"))
+    assert {r["seq"]: r["outcome"] for r in out.collect()} == want
+    got = {r["employee_id"]: {"base": r["base_pay"], "bonus": r["bonus"], "tax_base": r["tax_base"]}
+           for r in upd.collect()}
+    assert got == {k: {"base": v["base"], "bonus": v["bonus"], "tax_base": v["tax_base"]} for k, v in state.items()}
