@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import DEFAULT_CHUNK, earliest_per_key, latest_per_key, previous_in_key
+from tessera.operators.ordering import DEFAULT_CHUNK, earliest_per_key, flag_first, latest_per_key, previous_in_key
 
 
 def fleet(vehicles: DataFrame) -> DataFrame:
@@ -36,13 +36,17 @@ def rental_outcomes(events: DataFrame, vehicles: DataFrame, chunk_width: int = D
 
 
 def vehicle_state(events: DataFrame, vehicles: DataFrame) -> DataFrame:
-    """Current state per registered vehicle: rented iff its last event is a rent."""
-    f = fleet(vehicles)
+    """Every registered vehicle (``seq`` = registration order) and whether it
+    is rented now. Events act on the first registration of an id, so that one
+    is rented iff the id's last event is a rent; a later registration of the
+    same id is listed too, and never rented (as in the source's listings)."""
+    v = flag_first(vehicles.select("seq", "vehicle_id", "vehicle_type", "base_price"), "vehicle_id", "seq",
+                   "__first")
     last = latest_per_key(events, "vehicle_id", "seq", ["kind"]).select(
         F.col("vehicle_id").alias("__vid"), F.col("kind").alias("__last"))
-    out = f.join(last, f["vehicle_id"] == F.col("__vid"), "left")
-    return out.select("vehicle_id", "vehicle_type", "base_price",
-                      F.coalesce(F.col("__last") == "rent", F.lit(False)).alias("is_rented"))
+    out = v.join(last, v["vehicle_id"] == F.col("__vid"), "left")
+    rented = F.col("__first") & F.coalesce(F.col("__last") == "rent", F.lit(False))
+    return out.select("seq", "vehicle_id", "vehicle_type", "base_price", rented.alias("is_rented"))
 
 
 def available_vehicles(state: DataFrame) -> DataFrame:
@@ -57,7 +61,8 @@ def rented_vehicles(state: DataFrame) -> DataFrame:
 def rental_cost(requests: DataFrame, state: DataFrame) -> DataFrame:
     """cost = base_price x days for a currently rented vehicle, else
     status ``not_rented`` / ``not_found``. Requests: (seq, vehicle_id, days)."""
-    s = state.select(F.col("vehicle_id").alias("__vid"), "base_price", "is_rented")
+    s = earliest_per_key(state, "vehicle_id", "seq", ["base_price", "is_rented"]).select(
+        F.col("vehicle_id").alias("__vid"), "base_price", "is_rented")   # the first registration
     out = requests.join(s, requests["vehicle_id"] == F.col("__vid"), "left")
     status = (F.when(F.col("__vid").isNull(), F.lit("not_found"))
               .when(~F.col("is_rented"), F.lit("not_rented")).otherwise(F.lit("ok")))

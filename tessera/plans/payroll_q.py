@@ -87,11 +87,13 @@ u AS (SELECT r.seq, r.employee_id, r.name, r.department, r.emp_type,
 _RENT = """k AS (SELECT DISTINCT vehicle_id AS vid FROM vehicles_v),
 e AS (SELECT x.seq, x.vehicle_id, x.days, x.kind, k.vid IS NOT NULL AS known
       FROM vehicle_events_v x LEFT JOIN k ON x.vehicle_id = k.vid),
-st AS (SELECT f.vehicle_id, f.vehicle_type, f.base_price, coalesce(l.last = 'rent', false) AS is_rented
-       FROM (SELECT vehicle_id, arg_min(vehicle_type, seq) AS vehicle_type, arg_min(base_price, seq) AS base_price
-             FROM vehicles_v GROUP BY vehicle_id) f
+fr AS (SELECT vehicle_id AS fid, min(seq) AS fseq FROM vehicles_v GROUP BY vehicle_id),
+st AS (SELECT v.seq, v.vehicle_id, v.vehicle_type, v.base_price,
+              coalesce(v.seq = fr.fseq AND l.last = 'rent', false) AS is_rented
+       FROM vehicles_v v JOIN fr ON v.vehicle_id = fr.fid
        LEFT JOIN (SELECT vehicle_id, arg_max(kind, seq) AS last FROM vehicle_events_v GROUP BY vehicle_id) l
-       ON f.vehicle_id = l.vehicle_id)"""
+       ON v.vehicle_id = l.vehicle_id),
+st1 AS (SELECT st.* FROM st JOIN fr ON st.vehicle_id = fr.fid AND st.seq = fr.fseq)"""
 
 ORACLE = {
     "employee_validate": with_views(f", {_V} SELECT seq, employee_id, emp_type, error_code FROM w", "employees_v"),
@@ -122,13 +124,15 @@ SELECT seq, vehicle_id, kind, CASE WHEN kind = 'rent' THEN
   CASE WHEN prev = 'rent' THEN 'already_rented' ELSE 'rented' END
   ELSE CASE WHEN prev = 'rent' THEN 'returned' ELSE 'not_rented' END END AS outcome FROM p
 UNION ALL SELECT seq, vehicle_id, kind, 'not_found' FROM e WHERE NOT known""", "vehicles_v", "vehicle_events_v"),
-    "vehicle_state": with_views(f", {_RENT} SELECT * FROM st", "vehicles_v", "vehicle_events_v"),
-    "vehicles_available": with_views(f", {_RENT} SELECT * FROM st WHERE NOT is_rented",
+    "vehicle_state": with_views(f", {_RENT} SELECT seq, vehicle_id, vehicle_type, base_price, is_rented FROM st",
+                                "vehicles_v", "vehicle_events_v"),
+    "vehicles_available": with_views(f", {_RENT} SELECT seq, vehicle_id, vehicle_type, base_price, is_rented "
+                                     "FROM st WHERE NOT is_rented",
                                      "vehicles_v", "vehicle_events_v"),
     "rental_cost": with_views(f""", {_RENT}
 SELECT x.seq, x.vehicle_id, x.days,
-  CASE WHEN st.vehicle_id IS NULL THEN 'not_found' WHEN NOT st.is_rented THEN 'not_rented' ELSE 'ok' END AS status,
-  CASE WHEN st.is_rented THEN st.base_price * x.days END AS cost
-FROM vehicle_events_v x LEFT JOIN st ON x.vehicle_id = st.vehicle_id WHERE x.kind = 'rent'""",
+  CASE WHEN st1.vehicle_id IS NULL THEN 'not_found' WHEN NOT st1.is_rented THEN 'not_rented' ELSE 'ok' END AS status,
+  CASE WHEN st1.is_rented THEN st1.base_price * x.days END AS cost
+FROM vehicle_events_v x LEFT JOIN st1 ON x.vehicle_id = st1.vehicle_id WHERE x.kind = 'rent'""",
                               "vehicles_v", "vehicle_events_v"),
 }

@@ -82,12 +82,19 @@ def test_rent_return_machine(spark, width):
                                 (5, 9, 1, "rent"), (6, 8, 3, "return"), (7, 8, 3, "rent")], EV)
     got = [r["outcome"] for r in R.rental_outcomes(ev, veh, chunk_width=width).orderBy("seq").collect()]
     assert got == ["rented", "already_rented", "returned", "not_rented", "not_found", "not_rented", "rented"]
-    st = {r["vehicle_id"]: r for r in R.vehicle_state(ev, veh).collect()}
-    assert st[7]["is_rented"] is False and st[8]["is_rented"] is True and st[7]["base_price"] == 50.0
+    st = {r["seq"]: r for r in R.vehicle_state(ev, veh).collect()}   # by registration
+    assert st[1]["is_rented"] is False and st[3]["is_rented"] is True and st[1]["base_price"] == 50.0
+    assert st[2]["vehicle_id"] == 7 and st[2]["is_rented"] is False   # a second registration of id 7
     req = spark.createDataFrame([(1, 8, 3), (2, 7, 1), (3, 9, 1)], "seq long, vehicle_id long, days long")
     cost = {r["seq"]: (r["status"], r["cost"]) for r in R.rental_cost(req, R.vehicle_state(ev, veh)).collect()}
     assert cost == {1: ("ok", 60.0), 2: ("not_rented", None), 3: ("not_found", None)}
-    assert [r["vehicle_id"] for r in R.available_vehicles(R.vehicle_state(ev, veh)).collect()] == [7]
+    # listings show every registration, like the source's vehicle list
+    assert sorted(r["seq"] for r in R.available_vehicles(R.vehicle_state(ev, veh)).collect()) == [1, 2]
+    # rented, so a cost: the first registration of 7 (price 50), not the later one
+    ev2 = ev.unionByName(spark.createDataFrame([(8, 7, 1, "rent")], EV))
+    cost2 = R.rental_cost(spark.createDataFrame([(9, 7, 2)], "seq long, vehicle_id long, days long"),
+                          R.vehicle_state(ev2, veh)).collect()
+    assert [(r["status"], r["cost"]) for r in cost2] == [("ok", 100.0)]
 
 
 @pytest.mark.parametrize("seed", [3, 4])
