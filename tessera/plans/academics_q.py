@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tessera.operators import academics as S
 from tessera.plans.sqlfrag import half_even_mean, py_blank, py_strip
 from tessera.plans.tables import view, with_views

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tessera.operators import grades as G
 from tessera.plans.sqlfrag import LETTER_SQL, half_even_mean
 from tessera.plans.tables import view, with_views

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tessera.operators import text as T
 from tessera.operators.parallel import spread
 from tessera.plans.sqlfrag import clean_text, py_blank
