@@ -106,3 +106,24 @@ def test_forecast_lookup(spark):
            for r in L.forecast_lookup(req, L.forecast_dimension(spark)).collect()}
     assert got["Kigali"] == (25.0, "Sunny", "ok") and got["Dar es Salaam"] == (28.0, "Sunny", "ok")
     assert got["Paris"][2] == "city_not_found" and got["kigali"][2] == "city_not_found"
+
+
+def test_registration_matches_in_order_model(spark):
+    import random
+
+    rnd = random.Random(11)
+    emails = ["hot@x"] * 6 + ["a@x", "b@x", "c@x", "d@x"]          # one email takes most attempts
+    att = [(s, rnd.choice(emails), rnd.randint(0, 12)) for s in rnd.sample(range(10_000), 80)]
+    existing = {"d@x"}
+    repo, want = set(existing), {}
+    for seq, email, length in sorted(att):
+        if email in repo:
+            want[seq] = "already_exists"
+        elif length < 8:
+            want[seq] = "invalid_password"
+        else:
+            repo.add(email)
+            want[seq] = "registered"
+    got = A.registration_outcomes(spark.createDataFrame(att, ATT),
+                                  spark.createDataFrame([(e,) for e in existing], "email string"))
+    assert {r["seq"]: r["outcome"] for r in got.collect()} == want
