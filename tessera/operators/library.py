@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -222,23 +223,67 @@ def author_listing(authors: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- capacity-checked borrowing
 
-def _borrow_sequential(batches):
-    """Per title in seq order (rows arrive sorted by title, seq): accept while
-    active < copies. State is one counter per title, so memory stays bounded
-    however long a title's log is. Rows pass through (without ``a0``) with
-    an ``outcome``."""
-    title, active = None, 0
+_TABLE_COLS = ["book_title", "__chunk", "a0", "__after"]
+
+
+def _chunk_tables(batches):
+    """Rows sorted by (title, chunk, seq) -> one transfer table per chunk: the
+    active count after the chunk for every start value 0..m (m = the chunk's
+    largest copy count; a start above m accepts nothing). Each request maps
+    ``a`` to ``a + [a < copies]``, applied to all start values at once. A
+    chunk's copy counts are held until it ends (bounded by the chunk)."""
+    key, copies, a0, done = None, [], 0, []
+
+    def close():
+        after = np.arange(max(copies) + 1, dtype=np.int64)
+        for c in copies:
+            after = after + (after < c)
+        done.append((key[0], key[1], a0, after.tolist()))
+
     for pdf in batches:
-        out = []
-        for t, copies, a0 in zip(pdf["book_title"], pdf["copies"], pdf["a0"]):
+        for t, ch, c, a in zip(pdf["book_title"], pdf["__chunk"], pdf["copies"], pdf["a0"]):
+            if (t, ch) != key:
+                if key is not None:
+                    close()
+                key, copies, a0 = (t, ch), [], int(a)
+            copies.append(int(c))
+        if done:
+            yield pd.DataFrame(done, columns=_TABLE_COLS)
+            done.clear()
+    if key is not None:
+        close()
+        yield pd.DataFrame(done, columns=_TABLE_COLS)
+
+
+def _chunk_starts(batches):
+    """Transfer tables sorted by (title, chunk) -> each chunk's start count,
+    chaining the tables of a title (one row per chunk)."""
+    title, a = None, 0
+    for pdf in batches:
+        starts = []
+        for t, a0, after in zip(pdf["book_title"], pdf["a0"], pdf["__after"]):
             if t != title:
-                title, active = t, int(a0)
-            if active < copies:
+                title, a = t, int(a0)
+            starts.append(a)
+            a = int(after[a]) if a < len(after) else a
+        yield pd.DataFrame({"book_title": pdf["book_title"], "__chunk": pdf["__chunk"], "__start": starts})
+
+
+def _chunk_replay(batches):
+    """Rows sorted by (title, chunk, seq) with their chunk's start count ->
+    per-request outcomes (O(1) state)."""
+    key, active = None, 0
+    for pdf in batches:
+        out = []
+        for t, ch, c, s0 in zip(pdf["book_title"], pdf["__chunk"], pdf["copies"], pdf["__start"]):
+            if (t, ch) != key:
+                key, active = (t, ch), int(s0)
+            if active < c:
                 active += 1
                 out.append("borrowed")
             else:
                 out.append("no_copies")
-        yield pdf.drop(columns=["a0"]).assign(outcome=out)
+        yield pdf.drop(columns=["__chunk", "__start"]).assign(outcome=out)
 
 
 def borrow_outcomes(requests: DataFrame, books: DataFrame, loans: DataFrame,
@@ -253,8 +298,12 @@ def borrow_outcomes(requests: DataFrame, books: DataFrame, loans: DataFrame,
     books have one copy count. For such uniform titles (the usual case) the
     k-th request is accepted iff k <= copies - a0: a chunked position,
     parallel over any hot title. Other titles are solved exactly by a
-    sorted, streaming per-title scan with O(1) state per title (a title
-    whose requests happen to see one count is still solved exactly there).
+    chunked scan: each request maps the active count ``a`` to
+    ``a + [a < copies]``, so a chunk (title + slice of the seq range)
+    composes into a table over start values 0..max copies, built in parallel;
+    the tables of a title (one row per chunk) are chained to give each
+    chunk's start, and the chunks are replayed in parallel. No task holds
+    more than one chunk, however hot the title.
     The request log is joined once; each branch is a filter of that join.
     """
     fb = _first_book_by_isbn(books).select(F.col("isbn").alias("__isbn"), F.col("title").alias("book_title"),
@@ -270,10 +319,17 @@ def borrow_outcomes(requests: DataFrame, books: DataFrame, loans: DataFrame,
     uniform = position_in_key(r.filter(F.col("__uniform")), "book_title", "seq", "__k", chunk_width)
     uniform = uniform.withColumn("outcome", F.when(F.col("__k") <= F.col("copies") - F.col("a0"), "borrowed")
                                  .otherwise("no_copies"))
-    mixed = r.filter(~F.col("__uniform")).select(*requests.columns, "book_title", "copies", "a0")
+    mixed = r.filter(~F.col("__uniform")).select(*requests.columns, "book_title", "copies", "a0") \
+        .withColumn("__chunk", F.floor(F.col("seq") / F.lit(chunk_width)).cast("bigint"))
+    part = ["book_title", "__chunk"]
+    by_chunk = lambda df: df.repartition(*part).sortWithinPartitions(*part, "seq")
+    tables = by_chunk(mixed.select(*part, "seq", "copies", "a0")).mapInPandas(
+        _chunk_tables, "book_title string, __chunk long, a0 long, __after array<long>")
+    starts = tables.repartition("book_title").sortWithinPartitions(*part).mapInPandas(
+        _chunk_starts, "book_title string, __chunk long, __start long")
     out_schema = mixed.select(*cols[:-1], F.lit("").alias("outcome")).schema
-    mixed = mixed.repartition("book_title").sortWithinPartitions("book_title", "seq") \
-        .mapInPandas(_borrow_sequential, out_schema)
+    replay_in = mixed.drop("a0").join(starts, part, "inner").select(*cols[:-1], "__chunk", "__start")
+    mixed = by_chunk(replay_in).mapInPandas(_chunk_replay, out_schema)
     return uniform.select(*cols).unionByName(mixed.select(*cols)).unionByName(missing.select(*cols)) \
         .withColumn("due_offset_days", F.when(F.col("outcome") == "borrowed", F.lit(LOAN_DAYS)))
 
