@@ -13,8 +13,35 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
+def op7_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tessera.llm.bpe import encode_digests
+
+    return encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tessera.llm.token_count import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tessera.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op7_prefix_bpe": op7_prefix_bpe,
+    "op8_token_counts": op8_token_counts,
+    "op10_packing": op10_packing,
 }
 
 ORACLE: dict[str, str] = {}

@@ -193,6 +193,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     linked = reps.join(roots.withColumnRenamed("node", "fp"), "fp")
     smallest = linked.groupBy("root").agg(F.min("first").alias("least"))
     named = linked.join(smallest, "root").select("fp", "least")
-    of_fp = reps.join(named, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    # staged, so that the last join has plain exchanges on both sides and a common fingerprint's rows can be split
+    of_fp = staged(reps.join(named, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "component-ids")
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return fps.join(of_fp, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
