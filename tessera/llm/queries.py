@@ -13,6 +13,18 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.warc import archive_round_trip
+
+    return archive_round_trip(table(spark, sf_dir, "pages"), least=0)
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.pca_dedup import embedding_components
+
+    return embedding_components(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op7_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -39,9 +51,36 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_warc": op3_warc,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_prefix_bpe": op7_prefix_bpe,
     "op8_token_counts": op8_token_counts,
     "op10_packing": op10_packing,
 }
 
-ORACLE: dict[str, str] = {}
+_BASE32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"  # fixed value: the base-32 alphabet
+
+ORACLE: dict[str, str] = {
+    "op3_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+t AS (SELECT h, max(page_id) AS top FROM p GROUP BY h),
+r AS (SELECT p.page_id, p.h, sha1(p.h) AS hex, t.top FROM p JOIN t USING (h))
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 8), lambda g: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+    substr({_BASE32}, CAST(((list_sum(list_transform(range(0, 5), lambda k:
+      CAST((instr('0123456789abcdef', substr(hex, CAST(5 * g + k + 1 AS BIGINT), 1)) - 1) AS BIGINT) << CAST(4 * (4 - k) AS BIGINT)))::BIGINT >> s) & 31) + 1 AS BIGINT), 1)), '')), '') AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM r""",
+    "op6_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(b.e, b.e))) >= 0.95),
+reach(vec_id, root) AS (SELECT vec_id, vec_id FROM v UNION SELECT l.b, r.root FROM reach r JOIN link l ON l.a = r.vec_id),
+least AS (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN least USING (vec_id) LEFT JOIN n USING (vec_id)""",
+}
