@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.common import table
+from tessera.llm.divergence import CLASSES, COMMON_WORDS, MAX_CLASS_DISTANCE, MIN_CHARS, MIN_WORDS, WORD_BASE, WORD_NOISE, WORDS
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"), least=0)
 
 
+def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.divergence import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.pca_dedup import embedding_components
 
@@ -52,6 +59,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_warc": op3_warc,
+    "op4_divergence": op4_divergence,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_prefix_bpe": op7_prefix_bpe,
     "op8_token_counts": op8_token_counts,
@@ -60,7 +68,44 @@ QUERIES = {
 
 _BASE32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"  # fixed value: the base-32 alphabet
 
+_SPACES = r"[\x20\x09-\x0D]+"
+_COUNT = {"lower": "[^a-z]+", "space": r"[^\x20\x09-\x0D]+", "upper": "[^A-Z]+", "digit": "[^0-9]+", "symbol": "[^#*$%&|<>]+",
+          "ascii": r"[a-zA-Z0-9#*$%&|<>\x20\x09-\x0D]+|[^\x00-\x7F]+", "other": r"[\x00-\x7F]+"}  # what is not of the class
+
+
+def _sql_list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+_DIVERGENCE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
+  list_filter(string_split_regex(coalesce(text, ''), '{_SPACES}'), lambda x: x <> '') AS w FROM documents),
+win AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM d, unnest(range(1, CAST(len(w) AS BIGINT) - 1)) AS u(i)),
+twice AS (SELECT r, s FROM win GROUP BY r, s HAVING count(*) > 1),
+cover AS (SELECT r, count(DISTINCT i + o) AS n FROM win JOIN twice USING (r, s), (SELECT unnest([0, 1, 2]) AS o) GROUP BY r),
+dup AS (SELECT r, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n FROM
+  (SELECT r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d)),
+f AS (SELECT d.r, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, length(t) AS chars, coalesce(cover.n, 0) AS n_repeat_words, dup.n AS n_dup_lines,
+  [{", ".join(f"CAST(length(regexp_replace(t, '{p}', '', 'g')) AS BIGINT)" for p in _COUNT.values())}] AS classes,
+  list_transform({_sql_list(WORDS)}, lambda c: CAST(len(list_filter(w, lambda x: x = c)) AS BIGINT)) AS common
+  FROM d JOIN dup USING (r) LEFT JOIN cover USING (r)),
+g AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, list_append(common, n_words - CAST(list_sum(common) AS BIGINT)) AS words FROM f),
+h AS (SELECT r, lang, base_failed, n_words, chars, kind, k, v FROM
+  (SELECT r, lang, base_failed, n_words, chars, 'c' AS kind, unnest(range(1, {len(CLASSES) + 2})) AS k, unnest(classes) AS v FROM g
+   UNION ALL SELECT r, lang, base_failed, n_words, chars, 'w', unnest(range(1, {len(WORDS) + 2})), unnest(words) FROM g)),
+q AS (SELECT lang, kind, k, sum(v) / sum(sum(v)) OVER (PARTITION BY lang, kind) AS q FROM h
+  WHERE NOT base_failed AND list_contains({_sql_list(sorted(COMMON_WORDS))}, lang) GROUP BY lang, kind, k),
+p AS (SELECT r, kind, k, v / CASE WHEN kind = 'c' THEN chars ELSE n_words END AS p FROM h
+  WHERE CASE WHEN kind = 'c' THEN chars >= {MIN_CHARS} ELSE n_words >= {MIN_WORDS} END),
+j AS (SELECT r, q.lang, kind, sqrt(greatest(sum((CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2), 0)) AS js
+  FROM p JOIN q USING (kind, k) GROUP BY r, q.lang, kind),
+m AS (SELECT r, min(js) FILTER (WHERE kind = 'c') AS cd, min(js) FILTER (WHERE kind = 'w') AS wd FROM j GROUP BY r)
+SELECT doc_id, n_words, CAST(chars - classes[2] AS BIGINT) AS word_chars, classes[5] AS n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (coalesce(cd, 0) > {MAX_CLASS_DISTANCE} OR coalesce(wd, 0) > {WORD_BASE} + {WORD_NOISE} / n_words) AS kept
+FROM g LEFT JOIN m USING (r)"""
+
 ORACLE: dict[str, str] = {
+    "op4_divergence": _DIVERGENCE_SQL,
     "op3_warc": f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 t AS (SELECT h, max(page_id) AS top FROM p GROUP BY h),
