@@ -48,6 +48,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op9_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.rules import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -63,6 +69,7 @@ QUERIES = {
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_prefix_bpe": op7_prefix_bpe,
     "op8_token_counts": op8_token_counts,
+    "op9_rule_ensemble": op9_rule_ensemble,
     "op10_packing": op10_packing,
 }
 
