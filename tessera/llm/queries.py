@@ -26,6 +26,12 @@ def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.pii import personal_data
+
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.pca_dedup import embedding_components
 
@@ -66,6 +72,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_warc": op3_warc,
     "op4_divergence": op4_divergence,
+    "op5_personal_data": op5_personal_data,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_prefix_bpe": op7_prefix_bpe,
     "op8_token_counts": op8_token_counts,
