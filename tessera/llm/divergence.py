@@ -62,12 +62,12 @@ def _word_features(words: Column) -> Column:
     return F.struct(n.cast("long").alias("n_words"), _let(hashes, _repeated).cast("long").alias("n_repeat_words"), F.concat_ws("", marks).alias("marks"))
 
 
-def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
-    """doc_id, lang, the base counts, ``classes`` and ``common`` (counts of
+def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, lang, the ``carried`` columns, the base counts, ``classes`` and ``common`` (counts of
     character classes and of common words, the rest last). Null text is empty."""
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    out = docs.select(F.col(id_col).cast("long").alias("doc_id"), lang.alias("lang"), text.alias("text"))
+    out = docs.select(F.col(id_col).cast("long").alias("doc_id"), lang.alias("lang"), text.alias("text"), *carried)
     bare = F.btrim("text", F.lit(_SPACE))
     words = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, CLASSES[1][1]))
     lines = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(_SPACE)) != "")
@@ -86,7 +86,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     })
     marks = F.col("w.marks")
     common = F.transform(F.lit([chr(65 + k) for k in range(len(WORDS))]), lambda m: (F.char_length(marks) - F.char_length(F.replace(marks, m))).cast("long"))
-    out = out.select("doc_id", "lang", "w.n_words", (F.char_length("text") - F.col("classes")[1]).cast("long").alias("word_chars"),
+    out = out.select("doc_id", "lang", *carried, "w.n_words", (F.char_length("text") - F.col("classes")[1]).cast("long").alias("word_chars"),
                      F.col("classes")[4].alias("n_symbols"), "n_dup_lines", "w.n_repeat_words", "classes", common.alias("common"))
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rest = F.col("n_words") - F.aggregate("common", F.lit(0).cast("long"), lambda a, x: a + x)
@@ -138,3 +138,13 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     are ignored."""
     feats = staged(features(docs, id_col, text_col, lang_col), "quality-features")
     return verdicts(feats, references(feats)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
+
+
+def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
+    """The rows of ``docs``, unchanged, that the rules keep. A verdict follows
+    from the text, so rejects are told by id and text hash."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    keyed = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(-1)), "__hash": F.xxhash64(text)})
+    feats = staged(features(keyed, id_col, text_col, lang_col, ("__id", "__hash")), "quality-features")
+    rejects = verdicts(feats, references(feats)).where(~F.col("kept")).select("__id", "__hash").distinct()
+    return keyed.join(rejects, ["__id", "__hash"], "left_anti").select(*[F.col(c) for c in docs.columns])

@@ -147,6 +147,8 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
             if at and ends[at - 1] > s:
                 continue
             span = m[0]
+            if kind == "card_part" and not luhn("".join(_DIGIT.findall(span))):
+                continue
             votes = "".join("-0+"[v + 1] for v in _votes(kind, text, s, e))
             shape = f"{min(4, len(span) // 8)}{int(4 * sum(c.isdigit() for c in span) / len(span))}{int(span.isalnum())}"
             out.append((KINDS.index(kind), s, e, votes, shape))

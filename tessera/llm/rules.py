@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tessera.llm.common import column_of, id_text_crc, staged, text_list
 
@@ -79,13 +80,13 @@ class RuleModel:
     bias: float = 0.0
     rules: list[tuple[Rule, float]] = field(default_factory=list)
 
-    def column(self) -> Column:
+    def column(self, prefix: str = "") -> Column:
         """The score as a Spark expression over the statistics' columns."""
         z = F.lit(self.bias)
         for rule, weight in self.rules:
             holds = F.lit(True)
             for k, above, cut in rule:
-                c = F.col(STATISTICS[k])
+                c = F.col(prefix + STATISTICS[k])
                 holds = holds & (c > cut if above else c <= cut)
             z = z + F.when(holds, F.lit(weight)).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
@@ -191,6 +192,31 @@ def training_rows(stats: DataFrame, labels: DataFrame, fold: int = 1, folds: int
     return x, np.array([r["label"] for r in rows], dtype=np.float64)
 
 
+def sampled_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> RuleModel:
+    """The model of ``quality_scores``, from statistics of the sample only."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
+    known = known.where("label in (0, 1)").where(id_text_crc("doc_id") % 3 != 1).select("doc_id").distinct()
+    here = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    ids = here.select("doc_id").join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+    rows = here.join(F.broadcast(ids.distinct()), "doc_id")  # at most SAMPLE_ROWS ids
+    return fit(*training_rows(staged(with_statistics(rows), "statistics"), labels))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose score is at least ``least``."""
+    model = sampled_model(docs, labels, id_col, text_col)
+    text = docs.columns.index(text_col)
+    extra = [f"__{s}" for s in STATISTICS]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.array([statistics(t or "") for t in b.column(text).to_pylist()], dtype=np.float64).reshape(-1, len(STATISTICS))
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(x[:, k]) for k in range(x.shape[1]))], [*b.schema.names, *extra])
+
+    schema = StructType([*docs.schema.fields, *(StructField(s, DoubleType()) for s in extra)])
+    return docs.mapInArrow(run, schema).where(model.column("__") >= least).drop(*extra)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row: doc_id, held_out, score (0 to 1) and predicted.
 

@@ -197,3 +197,13 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     of_fp = staged(reps.join(named, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "component-ids")
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return fps.join(of_fp, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
+    """The rows of ``docs``, unchanged, one of each component: that of the
+    smallest id (null ids last; of repeated rows any one)."""
+    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    parts = simhash_components(rows, "__row", text_col, shingle, distance).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__part"))
+    ids = rows.select("__row", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__row").alias("row")).alias("__id"))
+    first = parts.join(ids, "__row").groupBy("__part").agg(F.min("__id").alias("__id")).select(F.col("__id.row").alias("__row"))
+    return rows.join(first, "__row", "left_semi").select(*[F.col(c) for c in docs.columns])
