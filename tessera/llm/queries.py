@@ -14,6 +14,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
+def op2_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.hpylm import scores
+
+    return scores(table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.warc import archive_round_trip
 
@@ -70,6 +76,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_hpylm": op2_hpylm,
     "op3_warc": op3_warc,
     "op4_divergence": op4_divergence,
     "op5_personal_data": op5_personal_data,
