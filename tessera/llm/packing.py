@@ -24,12 +24,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import column_of, staged, text_list
-from tessera.llm.pieces import segments
+from tessera.llm.pieces import loose, segments
 
-#: Token-id bytes kept by segment in each worker, and text tokenised at once.
-KEEP_ENTRIES, BLOCK_CHARS = 400_000, 4_000_000
+#: Segments whose ids are kept in each worker, characters tokenised at once,
+#: new segments encoded in one text.
+KEEP_ENTRIES, BLOCK_CHARS, GROUP = 800_000, 4_000_000, 64
 #: Rows per rank bucket, so that no task ranks all pieces of a common length.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 5_000
 #: Rounds of the multiplicative weights, how fast weights fall with cover,
 #: share of a class bought at once, share of the best price that still counts,
 #: configurations bought a round.
@@ -44,7 +45,11 @@ class SegmentIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocab = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocab.values()) + 1, dtype=bool)  # tokens that begin with a space
+        self.spaced[[k for t, k in vocab.items() if t.startswith("\u0120")]] = True
         self.kept: dict[str, bytes] = {}
+        self.loose: set[str] = set()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         at = 0
@@ -56,32 +61,45 @@ class SegmentIds:
             yield from self._block(texts[at:stop])
             at = stop
 
-    def _block(self, texts: list[str]) -> Iterator[bytes]:
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _segment_ids(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of " " + segment. Segments without inner spaces are encoded many
+        in one text and told apart by the tokens that begin with a space."""
+        out: dict[str, bytes] = {}
+        alone = [s for s in new if " " in s]
+        many = [s for s in new if " " not in s]
+        groups = [many[k : k + GROUP] for k in range(0, len(many), GROUP)]
+        for group, data in zip(groups, self._ids([" " + " ".join(g) for g in groups])):
+            cuts = np.flatnonzero(self.spaced[np.frombuffer(data, "<u4")]) * 4
+            if len(cuts) != len(group):
+                alone += group
+                continue
+            cuts = cuts.tolist()
+            out.update((s, data[i:j]) for s, i, j in zip(group, cuts, [*cuts[1:], len(data)]))
+        out.update(zip(alone, self._ids([" " + s for s in alone])))
+        return out
+
+    def _block(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) > KEEP_ENTRIES:
             self.kept.clear()
-        rows = [segments(t) for t in texts]
-        heads = [r[0] for r in rows]
+            self.loose.clear()
+        rows = [t.split(" ") for t in texts]
+        new = set().union(*rows).difference(self.kept)
+        self.loose.update(filter(loose, new))
+        rows = [r if self.loose.isdisjoint(r) else segments(t) for r, t in zip(rows, texts)]
         new = set().union(*(r[1:] for r in rows)).difference(self.kept)
-        new, plain = list(new), list(set(heads))
-        coded = self.tokenizer.encode_batch_fast([" " + s for s in new] + plain, add_special_tokens=False)
-        as_bytes = [np.array(e.ids, dtype="<u4").tobytes() for e in coded]
-        fresh = dict(zip(new, as_bytes))
-        first = dict(zip(plain, as_bytes[len(new) :]))
-        self.kept.update((s, v) for s, v in fresh.items() if len(s) <= 64)
-        table = {**fresh, **self.kept} if len(fresh) > len(self.kept) else _Both(self.kept, fresh)
-        for head, *rest in rows:
-            yield first[head] + b"".join(map(table.__getitem__, rest))
-
-
-class _Both(dict):
-    """The kept table, with a block's long segments beside it."""
-
-    def __init__(self, kept: dict, fresh: dict):
-        super().__init__((s, v) for s, v in fresh.items() if len(s) > 64)
-        self.kept = kept
-
-    def __missing__(self, key):
-        return self.kept[key]
+        fresh = self._segment_ids(list(new))
+        heads = list({r[0] for r in rows})
+        first = dict(zip(heads, self._ids(heads)))
+        self.kept.update(fresh)
+        get = self.kept.__getitem__
+        out = [first[head] + b"".join(map(get, rest)) for head, *rest in rows]
+        for s in fresh:
+            if len(s) > 64:
+                del self.kept[s]
+        return out
 
 
 _ENCODERS: dict[str, SegmentIds] = {}
