@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_CHUNK = 1 << 20
+#: Consecutive chunk numbers whose sizes are summed in one window.
+CHUNKS_TOGETHER = 1 << 16
 
 _CHUNK = "__chunk"
 
@@ -59,14 +61,19 @@ def flag_first(df: DataFrame, keys: str | Sequence[str], seq: str, name: str = "
     the rows matching ``candidates`` (all rows when None).
 
     Plan: partial ``min(seq)`` per key (hot keys collapse map-side), then a
-    join on the unique ``seq`` — no window over the key.
+    join on ``seq`` and key — no window over the key. Rows of a key that share
+    its smallest ``seq`` are all flagged; none is multiplied. The rows are
+    shuffled on (seq, key), which spreads a hot key, after the aggregate's
+    small shuffle on the key.
     """
     keys = _keys(keys)
     cand = df if candidates is None else df.filter(candidates)
-    winners = cand.groupBy(*keys).agg(F.min(seq).alias("__win_seq")) \
-        .select(F.col("__win_seq"), F.lit(True).alias("__win"))
-    out = df.join(winners, df[seq] == winners["__win_seq"], "left")
-    return out.withColumn(name, F.coalesce(F.col("__win"), F.lit(False))).drop("__win_seq", "__win")
+    winners = cand.groupBy(*keys).agg(F.min(seq).alias(seq)).withColumn("__win", F.lit(True))
+    out = join_keys_null_safe(df, winners, [seq, *keys], "left")
+    won = F.coalesce(F.col("__win"), F.lit(False))
+    if candidates is not None:  # a row that is no candidate may share the winner's seq
+        won = won & F.coalesce(candidates, F.lit(False))
+    return out.withColumn(name, won).drop("__win")
 
 
 def latest_per_key(df: DataFrame, keys: str | Sequence[str], seq: str,
@@ -96,18 +103,29 @@ def position_in_key(df: DataFrame, keys: str | Sequence[str] | None, seq: str,
     """1-based rank of each row inside its key, in ``seq`` order.
 
     With no keys this is a gap-free global row index (without ``zipWithIndex``
-    and without an unpartitioned window over the rows: only the per-chunk
-    count table, at most ``seq range / chunk_width`` rows, is scanned in order).
+    and without an unpartitioned window over the rows). Chunk sizes are taken
+    from the ranked rows, on the exchange that ranked them, and summed in two
+    levels: inside a group of ``CHUNKS_TOGETHER`` consecutive chunk numbers,
+    then over the groups. However sparse ``seq`` is, no window holds more
+    chunks than that, and the last one sees one row per occupied group.
     """
     keys = _keys(keys)
     chunked = _with_chunk(df, seq, chunk_width)
     part = keys + [_CHUNK]
-    counts = chunked.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*keys).orderBy(_CHUNK) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*part, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     in_chunk = Window.partitionBy(*part).orderBy(seq)
     ranked = chunked.withColumn("__rn", F.row_number().over(in_chunk))
+    counts = ranked.groupBy(*part).agg(F.max("__rn").cast("bigint").alias("__n")) \
+        .withColumn("__group", F.floor(F.col(_CHUNK) / F.lit(CHUNKS_TOGETHER)).cast("bigint"))
+
+    def before(*by, order):
+        w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("__n").over(w), F.lit(0))
+
+    inner = counts.withColumn("__in", before(*keys, "__group", order=_CHUNK))
+    groups = inner.groupBy(*keys, "__group").agg(F.sum("__n").alias("__n"))
+    groups = groups.select(*keys, "__group", before(*keys, order="__group").alias("__out"))
+    offsets = join_keys_null_safe(inner.drop("__n"), groups, [*keys, "__group"], "left") \
+        .select(*part, (F.col("__in") + F.col("__out")).alias("__off"))
     out = join_keys_null_safe(ranked, offsets, part, "left") if keys else \
         ranked.join(offsets, _CHUNK, "left")
     return out.withColumn(name, (F.col("__rn") + F.col("__off")).cast("bigint")) \

@@ -14,7 +14,7 @@ from tessera.operators import web as W
 from tessera.operators.parallel import spread
 from tessera.plans.importer_q import _V as _IMPORT_V
 from tessera.plans.library_q import AS_OF, _DUE
-from tessera.plans.sqlfrag import email_ok, py_int, py_strip
+from tessera.plans.sqlfrag import py_int, py_strip
 from tessera.plans.tables import view, with_views
 from tessera.session import staging_path
 from tessera.sources import records as R
@@ -23,9 +23,17 @@ from tessera.sources import users_csv as U
 from tessera.sources.files import dense_row_number
 
 
+FILES = 8
+
+
+def _in_files(df):
+    """Rows dealt in ``seq`` order over FILES files whose names keep the order."""
+    return df.repartitionByRange(FILES, "seq").sortWithinPartitions("seq")
+
+
 def _users_csv(spark, sf):
     path = staging_path(spark, "users-csv")
-    U.write_users_csv(view(spark, sf, "users_raw_v").orderBy("seq"), path)
+    U.write_users_csv(_in_files(view(spark, sf, "users_raw_v")), path)
     return path
 
 
@@ -58,36 +66,36 @@ def _store_write(spark, sf):
 
 def _store_object(spark, sf):
     path = staging_path(spark, "user-store-object")
-    R.export_user_store_object(_added(spark, sf), path)
-    return R.read_user_store_object(spark, path)
+    R.export_user_store_objects(_added(spark, sf), path, object_rows=100)
+    return R.read_user_store_object(spark, path, layout="lines")
 
 
 def _books_roundtrip(spark, sf):
     path = staging_path(spark, "books-json")
     b = view(spark, sf, "books_v").withColumn("author_nationality", F.lit(None).cast("string")) \
         .withColumn("author_birth_year", F.lit(None).cast("string"))
-    R.write_books(b.orderBy("seq"), path)
+    R.write_books(_in_files(b), path)
     return B.normalise_books(R.read_books(spark, path, layout="lines")) \
         .select("isbn", "title", "category", "book_type", "copies", "error_code")
 
 
 def _loans_roundtrip(spark, sf):
     path = staging_path(spark, "loans-json")
-    R.write_loans(view(spark, sf, "loans_v").orderBy("seq"), path)
+    R.write_loans(_in_files(view(spark, sf, "loans_v")), path)
     return B.normalise_loans(R.read_loans(spark, path, layout="lines"), AS_OF) \
         .select("borrower_name", "book_title", "borrow_date", "due_date", "return_date")
 
 
 def _authors_roundtrip(spark, sf):
     path = staging_path(spark, "authors-json")
-    R.write_authors(view(spark, sf, "authors_v").orderBy("seq"), path)
+    R.write_authors(_in_files(view(spark, sf, "authors_v")), path)
     return B.normalise_authors(R.read_authors(spark, path, layout="lines")) \
         .select("name", "nationality", "birth_year", "error_code")
 
 
 def _grades_csv(spark, sf):
     path = staging_path(spark, "grades-csv")
-    g = view(spark, sf, "grades_v").orderBy("seq").select(
+    g = _in_files(view(spark, sf, "grades_v")).select(
         F.col("student_id").cast("string"), "name", "major", "year", "course_name", F.col("score").alias("grade"))
     g.write.mode("overwrite").option("header", True).csv(path)
     return R.read_grades_csv(spark, path)
@@ -100,7 +108,14 @@ def _grade_csv_scan(spark, sf):
 def _grade_report_export(spark, sf):
     path = staging_path(spark, "grade-report")
     K.write_grade_report(_grades_csv(spark, sf), path)
-    return spark.read.json(f"{path}/summary")
+    named = "section string, key string, value string"
+    summary = spark.read.schema(named).json(f"{path}/summary")
+    majors = spark.read.json(f"{path}/major_grouping").select(
+        F.lit("major_grouping").alias("section"), F.concat_ws(" ", "major", F.col("position").cast("string")).alias("key"), F.col("name").alias("value"))
+    rolling = spark.read.json(f"{path}/rolling_averages").select(
+        F.lit("rolling_averages").alias("section"), F.concat_ws(" ", F.col("student_id").cast("string"), F.col("position").cast("string")).alias("key"),
+        F.col("rolling_average").cast("string").alias("value"))
+    return summary.unionByName(majors).unionByName(rolling)
 
 
 def _sentiment_store(spark, sf):
@@ -156,7 +171,7 @@ WHERE row_no < coalesce((SELECT min(row_no) FROM r WHERE user_id IS NULL), 92233
     "books_json_roundtrip": with_views("""
 SELECT isbn, title, coalesce(category, 'General') AS category, coalesce(book_type, 'Hardcover') AS book_type,
   coalesce(copies, 1) AS copies,
-  CASE WHEN NOT coalesce(regexp_matches(title, '^ *\\p{L}[\\p{L} ]*$'), false) THEN 'invalid_title'
+  CASE WHEN NOT coalesce(regexp_matches(title, '^ *\\p{L}[\\p{L} ]*\\z'), false) THEN 'invalid_title'
   WHEN author_name IS NULL OR trim(author_name) = '' THEN 'missing_author' WHEN isbn IS NULL OR trim(isbn) = ''
   THEN 'missing_isbn'
   WHEN coalesce(category, 'General') NOT IN ('Fiction', 'Non-Fiction', 'Science Fiction', 'Fantasy', 'Mystery',
@@ -176,7 +191,6 @@ SELECT CAST(student_id AS VARCHAR) AS student_id, arg_min(name, seq) AS name, ar
   CAST(arg_min(year, seq) AS INTEGER) AS year, count(*) AS n_courses FROM grades_v GROUP BY student_id""",
                                  "grades_v"),
 }
-_ = email_ok
 
 from tessera.plans.importer_q import _O as _IMPORT_O  # noqa: E402
 from tessera.plans.text_q import _C as _TEXT_C  # noqa: E402
@@ -184,7 +198,16 @@ from tessera.plans.web_q import _O as _WEB_O  # noqa: E402
 
 _ADDED = with_views(f"{_IMPORT_O} SELECT user_id, name, email FROM o WHERE outcome = 'added'",
                     "users_raw_v", "users_existing_v")
+from tessera.plans import grades_q as _GR  # noqa: E402
+
 ORACLE.update({
+    "grade_report_export": with_views(f""", {_GR._ORDERED}, {_GR._AVGS}, m AS (SELECT student_id, min(seq) AS first_seq,
+  arg_min(name, seq) AS name, arg_min(major, seq) AS major FROM grades_v GROUP BY student_id)
+{_GR._REPORT}
+UNION ALL SELECT 'major_grouping', concat(major, ' ', CAST(row_number() OVER (PARTITION BY major ORDER BY first_seq) AS VARCHAR)), name FROM m
+UNION ALL SELECT 'rolling_averages', concat(CAST(student_id AS VARCHAR), ' ', CAST(row_number() OVER (PARTITION BY student_id ORDER BY seq) AS VARCHAR)),
+  CAST({_GR.half_even_mean('sum(score) OVER w', 'count(score) OVER w')} AS VARCHAR) FROM grades_v
+  WINDOW w AS (PARTITION BY student_id ORDER BY seq ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""", "grades_v"),
     "csv_user_roundtrip": _ADDED,
     "keyed_json_write": _ADDED,
     "keyed_json_read": _ADDED,

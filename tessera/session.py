@@ -6,7 +6,6 @@ Library functions never create a session themselves; they take the caller's.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -46,13 +45,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is read, never
-    overridden. Only when it is unset (local tests) a private folder is created
-    and registered so that later ``checkpoint()`` calls and staged tables work.
+    overridden; without it executors could not see each other's files, so that
+    is an error. Only a session whose driver runs every task (``local``,
+    ``local[n]``) may leave it out: a private folder is then created and
+    registered.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -65,21 +69,3 @@ def staging_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/tessera-staging/{label}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so plain-Python helpers can touch local paths."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_dir(path: str) -> None:
-    if is_local(path):
-        os.makedirs(local_path(path), exist_ok=True)

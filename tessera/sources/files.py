@@ -1,17 +1,18 @@
 """File-order keys and small per-file probes shared by the file sources.
 
 A DataFrame read from files carries no order, but "first row wins" rules need
-the order of the source. Rows get ``seq = file_rank * 2^33 + row_in_part``:
-``file_rank`` is the rank of the file path (a table with one row per file,
-a known bound, so it is broadcast) and the low bits come from
-``monotonically_increasing_id`` — increasing in read order within a file,
-because the sources below read whole files (``multiLine``) without splitting.
+the order of the source. Rows get ``seq = split_rank * 2^33 + row_in_task``:
+``split_rank`` is the rank of (file path, first byte of the split) among the
+values that the scan itself reports, and the low bits come from
+``monotonically_increasing_id``, which grows in read order inside a split. A
+task may read several splits in any order; their ranks keep them apart.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,31 +34,39 @@ def list_files(spark: SparkSession, path: str | list[str], fmt: str = "text") ->
         raise
 
 
-def with_file_order(df: DataFrame, files: list[str]) -> DataFrame:
-    """Adds ``seq`` (file order, then row order) and drops helper columns.
-    ``df`` must carry ``__file`` (``_metadata.file_path``) and ``__mono``."""
-    spark = df.sparkSession
-    ranks = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "__f string, __rank long")
-    # one row per input file: bounded by the listing already held by the driver
-    out = df.join(F.broadcast(ranks), F.col("__file") == F.col("__f"), "left")
+def order_columns() -> list:
+    """What ``with_file_order`` needs; select it directly over a file scan."""
+    return [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
+            F.monotonically_increasing_id().alias("__mono")]
+
+
+def with_file_order(df: DataFrame) -> DataFrame:
+    """Adds ``seq`` (file path, then split, then row) and drops the
+    ``order_columns``. The ranks are those of the splits the scan reports (one
+    row per split), so no path has to be spelled the way a listing spells it;
+    a row without a rank fails the job."""
+    splits = df.select("__file", "__block").distinct()
+    ranks = splits.select(F.col("__file").alias("__f"), F.col("__block").alias("__b"),
+                          (F.row_number().over(Window.orderBy("__file", "__block")) - 1).cast("long").alias("__rank"))
+    out = df.join(ranks, (F.col("__file") == F.col("__f")) & (F.col("__block") == F.col("__b")), "left")
+    rank = F.when(F.col("__rank").isNull(), F.raise_error(F.concat(F.lit("no rank for "), F.col("__file"))).cast("long")) \
+        .otherwise(F.col("__rank"))
     low = F.col("__mono").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    return out.withColumn("seq", F.shiftleft(F.coalesce(F.col("__rank"), F.lit(0)), ROW_BITS) + low) \
-        .drop("__file", "__f", "__rank", "__mono")
+    return out.withColumn("seq", F.shiftleft(rank, ROW_BITS) + low) \
+        .drop("__file", "__block", "__f", "__b", "__rank", "__mono")
 
 
 def _first_line_of(path: str) -> str | None:
-    """First line of one file, read with a bounded buffer (never the whole file)."""
+    """First line of one file, however long, and little beyond it."""
     from pyarrow import fs as pafs
 
     if path.startswith("file:"):
-        filesystem, p = pafs.LocalFileSystem(), path[len("file:"):]
-        while p.startswith("//"):
-            p = p[1:]
+        filesystem, p = pafs.LocalFileSystem(), "/" + unquote(path[len("file:"):]).lstrip("/")  # listings escape paths
     else:
         filesystem, p = pafs.FileSystem.from_uri(path)
     buf = b""
     with filesystem.open_input_stream(p) as f:
-        while b"\n" not in buf and len(buf) < (1 << 20):
+        while b"\n" not in buf:
             chunk = f.read(64 * 1024)
             if not chunk:
                 break
@@ -91,4 +100,4 @@ def dense_row_number(df: DataFrame, seq: str = "seq", name: str = "row_no") -> D
     return position_in_key(df, None, seq, name)
 
 
-__all__ = ["list_files", "with_file_order", "csv_headers", "dense_row_number", "Window"]
+__all__ = ["list_files", "order_columns", "with_file_order", "csv_headers", "dense_row_number"]

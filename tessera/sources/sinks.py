@@ -12,11 +12,11 @@ RESULT_FIELDS = ("url", "title", "description", "status_code", "fetch_time", "er
 
 def write_grade_report(grades: DataFrame, path: str, top_n: int = G.DEFAULT_TOP_N,
                        window_size: int = G.DEFAULT_WINDOW) -> None:
-    """The report as a folder: ``summary`` (one JSON object with the
-    bounded sections) and the unbounded sections as partitioned JSON lines
+    """The report as a folder: ``summary`` (the bounded sections as
+    (section, key, value) lines) and the unbounded sections as partitioned JSON lines
     (``major_grouping``, ``rolling_averages``) — nothing is gathered into one
     task. Overwrites."""
-    G.grade_report(grades, top_n).coalesce(1).write.mode("overwrite").json(f"{path}/summary")
+    G.report_rows(grades, top_n).write.mode("overwrite").json(f"{path}/summary")
     G.major_grouping(grades).write.mode("overwrite").json(f"{path}/major_grouping")
     G.rolling_averages(grades, window_size).write.mode("overwrite").json(f"{path}/rolling_averages")
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import py_int
-from tessera.sources.files import csv_headers, list_files, with_file_order
+from tessera.sources.files import csv_headers, list_files, order_columns, with_file_order
 
 HEADER = ["user_id", "name", "email"]
 # Never equal to real data: empty fields then read as '' (as Python's csv
@@ -24,7 +24,7 @@ class FileFormatError(ValueError):
     """A file does not have the expected header."""
 
 
-def _scan(spark: SparkSession, path, files: list[str]) -> DataFrame:
+def _scan(spark: SparkSession, path) -> DataFrame:
     schema = "c0 string, c1 string, c2 string, _corrupt string"
     df = (spark.read.schema(schema)
           .option("header", True).option("multiLine", True).option("mode", "PERMISSIVE")
@@ -36,8 +36,8 @@ def _scan(spark: SparkSession, path, files: list[str]) -> DataFrame:
     short = F.col("_corrupt").isNotNull() & F.col("c2").isNull()
     df = df.select(*[F.when(short & F.col(c).isNull(), F.lit(None)).otherwise(F.coalesce(F.col(c), F.lit("")))
                      .alias(c) for c in ("c0", "c1", "c2")],
-                   F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__mono"))
-    return with_file_order(df, files)
+                   *order_columns())
+    return with_file_order(df)
 
 
 def check_headers(spark: SparkSession, files: list[str], expected: list[str] = HEADER) -> None:
@@ -52,10 +52,9 @@ def check_headers(spark: SparkSession, files: list[str], expected: list[str] = H
 def read_users_csv(spark: SparkSession, path, strict_header: bool = True) -> DataFrame:
     """Raw user rows (seq, user_id, name, email as text; email NULL for a
     short row). Feed to ``operators.importer.import_users``."""
-    files = list_files(spark, path)
     if strict_header:
-        check_headers(spark, files)
-    raw = _scan(spark, path, files)
+        check_headers(spark, list_files(spark, path))
+    raw = _scan(spark, path)
     return raw.select("seq", F.col("c0").alias("user_id"), F.col("c1").alias("name"), F.col("c2").alias("email"))
 
 
@@ -64,16 +63,16 @@ def read_users_csv_lenient(spark: SparkSession, path) -> DataFrame:
     stripped; the first row whose id does not parse stops the load, so only
     the rows before it are kept. A missing path gives an empty result."""
     try:
-        files = list_files(spark, path)
+        list_files(spark, path)
     except FileNotFoundError:
         return spark.createDataFrame([], "seq long, user_id long, name string, email string")
-    raw = _scan(spark, path, files).filter(F.col("c2").isNotNull())
+    raw = _scan(spark, path).filter(F.col("c2").isNotNull())
     parsed = raw.select("seq", py_int(F.col("c0")).alias("user_id"), F.col("c1").alias("name"),
                         F.col("c2").alias("email"))
     stop = parsed.filter(F.col("user_id").isNull()).agg(F.min("seq").alias("__stop"))
-    # a single-row global aggregate, paired on a constant key
-    out = parsed.withColumn("__one", F.lit(1)).join(stop.withColumn("__one", F.lit(1)), "__one", "left")
-    return out.filter(F.col("__stop").isNull() | (F.col("seq") < F.col("__stop"))).drop("__one", "__stop")
+    # the one row of a global aggregate beside every row: one row by definition, so it is broadcast
+    out = parsed.crossJoin(F.broadcast(stop))
+    return out.filter(F.col("__stop").isNull() | (F.col("seq") < F.col("__stop"))).drop("__stop")
 
 
 def write_users_csv(users: DataFrame, path: str, mode: str = "overwrite") -> None:
