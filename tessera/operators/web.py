@@ -11,7 +11,7 @@ import html as _html
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
@@ -33,6 +33,7 @@ _TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 _DESC_TAG = (r"<(?i:meta)\b[^>]*[\s\"'/](?i:name)\s*=\s*(?:\"description\"|'description'|description)"
              r"(?:[\s/][^>]*)?>")
 _CONTENT = r"[\s\"'/](?i:content)\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+# Fixed value: the fallback description is matched exactly like this.
 _OG = (rf"(?i)<meta{PY_WS}+property=[\"']og:description[\"']{PY_WS}+content=[\"']([^\"']+)[\"']")
 
 
@@ -53,16 +54,6 @@ def _title_pieces(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else "".join(_html.unescape(p).strip() for p in _TAG.split(v)))
 
 
-def html_unescape(col: Column) -> Column:
-    """Decode character references; the Python helper only sees values that
-    contain '&' — everything else stays in the JVM."""
-    return F.when(col.contains("&"), _unescape(col)).otherwise(col)
-
-
-def _first_group(col: Column, pattern: str, group: int = 1) -> Column:
-    return F.when(col.rlike(pattern), F.regexp_extract(col, pattern, group))
-
-
 def page_metadata(pages: DataFrame, html: str = "html") -> DataFrame:
     """title = text of the first ``<title>`` (inner tags dropped, each
     text piece decoded and stripped), null without a tag; description =
@@ -70,31 +61,47 @@ def page_metadata(pages: DataFrame, html: str = "html") -> DataFrame:
     raw ``og:description`` content (attribute order property, content;
     case-insensitive; not decoded). Comments and script/style bodies are not
     markup, so they are removed before looking for tags."""
-    raw = F.col(html)
-    markup = F.regexp_replace(F.regexp_replace(raw, _COMMENT, ""), _RAW_TEXT, "")
-    inner = _first_group(markup, _TITLE)
+    # each step is a projection of its own, so that the clean-up of a page and
+    # each search run once and not once for every place that uses the result
+    once = pages.withColumn("__markup", F.regexp_replace(F.regexp_replace(F.col(html), _COMMENT, ""), _RAW_TEXT, ""))
+    # null without a match: the match is wrapped in a one-element array
+    once = once.withColumns({
+        "__inner": F.get(F.regexp_extract_all(F.col("__markup"), F.lit(_TITLE), F.lit(1)), F.lit(0)),
+        "__tag": F.get(F.regexp_extract_all(F.col("__markup"), F.lit(f"({_DESC_TAG})"), F.lit(1)), F.lit(0)),
+        "__og": F.nullif(F.regexp_extract(F.col(html), _OG, 1), F.lit("")),
+    })
+    tag = F.col("__tag")
+    once = once.withColumn("__content", F.when(tag.rlike(_CONTENT), F.coalesce(
+        F.nullif(F.regexp_extract(tag, _CONTENT, 1), F.lit("")),
+        F.nullif(F.regexp_extract(tag, _CONTENT, 2), F.lit("")))))
+    inner, content = F.col("__inner"), F.col("__content")
     # without references, dropping tags with the spaces around them and one
     # strip gives the same text as stripping each piece
     plain = py_strip(F.regexp_replace(inner, rf"{PY_WS}*<[^>]*>{PY_WS}*", ""))
-    title = F.when(inner.contains("&"), _title_pieces(inner)).otherwise(plain)
-    tag = _first_group(markup, _DESC_TAG, 0)
-    content = F.when(tag.rlike(_CONTENT), F.coalesce(
-        F.nullif(F.regexp_extract(tag, _CONTENT, 1), F.lit("")),
-        F.nullif(F.regexp_extract(tag, _CONTENT, 2), F.lit(""))))
-    meta_desc = html_unescape(content)
-    og = F.nullif(F.regexp_extract(raw, _OG, 1), F.lit(""))
-    description = F.coalesce(F.nullif(meta_desc, F.lit("")), og)
-    return pages.withColumn("title", title).withColumn("description", description)
+    # the helpers run on every row; only values with a reference are sent, the others as null
+    decoded = once.withColumns({"__title": _title_pieces(F.when(inner.contains("&"), inner)),
+                                "__meta": _unescape(F.when(content.contains("&"), content))})
+    out = decoded.withColumns({
+        "title": F.coalesce("__title", F.when(~inner.contains("&"), plain)),
+        "description": F.coalesce(F.nullif(F.coalesce(F.col("__meta"), content), F.lit("")), F.col("__og"))})
+    return out.drop("__markup", "__inner", "__tag", "__og", "__content", "__title", "__meta")
 
 
 def fetch_outcomes(fetches: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
     """P20: (seq, url, method, status_code, fetch_error, elapsed_ms [+ title,
     description]): 200 keeps the metadata and no error; another status gives
-    ``HTTP <code>`` and drops metadata; no status gives the fetch error."""
+    ``HTTP <code>`` and drops metadata; no status gives the fetch error.
+
+    One row out per fetch: metadata with a ``page_id`` belongs to the fetch of
+    that ``seq``; metadata without one is taken by url, of a url that repeats
+    the smallest (title, description)."""
     f = fetches
-    if metadata is not None:
-        m = metadata.select(F.col("url").alias("__u"), "title", "description")
-        f = f.join(m, f["url"] == F.col("__u"), "left").drop("__u")
+    if metadata is not None and "page_id" in metadata.columns:
+        m = metadata.select(F.col("page_id").alias("__p"), "title", "description")
+        f = f.join(m, f["seq"] == F.col("__p"), "left").drop("__p")
+    elif metadata is not None:
+        m = metadata.groupBy(F.col("url").alias("__u")).agg(F.min(F.struct("title", "description")).alias("__m"))
+        f = f.join(m.select("__u", "__m.title", "__m.description"), f["url"] == F.col("__u"), "left").drop("__u")
     ok = F.col("status_code") == 200
     error = (F.when(F.col("status_code").isNull(), F.coalesce(F.col("fetch_error"), F.lit("Unknown error")))
              .when(~ok, F.concat(F.lit("HTTP "), F.col("status_code").cast("string"))))
@@ -123,8 +130,9 @@ def method_comparison(summary: DataFrame) -> DataFrame:
     """Speed-up of each method against the sequential run and the
     winner (least time; ties prefer async, then threaded, then sequential).
     The summary has one row per method, so the window below is tiny."""
-    base = summary.filter(F.col("method") == BASELINE_METHOD).select(F.col("elapsed_sec").alias("__base"))
-    s = summary.withColumn("__one", F.lit(1)).join(base.withColumn("__one", F.lit(1)), "__one", "left").drop("__one")
+    every = Window.partitionBy()  # one row per method
+    base = F.max(F.when(F.col("method") == BASELINE_METHOD, F.col("elapsed_sec"))).over(every)
+    s = summary.withColumn("__base", base)
     pref = F.coalesce(F.array_position(F.array(*[F.lit(m) for m in METHOD_PREFERENCE]), F.col("method")),
                       F.lit(len(METHOD_PREFERENCE) + 1))
     rank = F.row_number().over(Window.orderBy(F.col("elapsed_sec").asc(), pref.asc(), F.col("method").asc()))
