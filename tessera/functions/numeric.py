@@ -63,8 +63,3 @@ def progressive_tax(base: Column, bands=TAX_BANDS) -> Column:
         tax = part if tax is None else tax + part
         remaining = F.least(remaining, F.lit(float(threshold)))
     return tax
-
-
-def py_float_text(col: Column) -> Column:
-    """Parse a decimal string like Python ``float()`` for plain numerals."""
-    return F.trim(col).try_cast("double")

@@ -21,16 +21,17 @@ PY_WS_CHARS = (
 )
 PY_WS = f"[{PY_WS_CHARS}]"
 
-# Fixed value: the email pattern of the user importer.
-EMAIL_PATTERN = r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$"
+# Fixed value: the email pattern of the user importer. Python's ``$`` also matches
+# before one final newline and nothing else; Java's before any line end.
+EMAIL_PATTERN = r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+\n?\z"
 
 # Unicode letters only, optional spaces anywhere, at least one letter
 # (Python: ``s.strip() and s.replace(' ', '').isalpha()``).
-LETTERS_AND_SPACES = r"^ *\p{L}[\p{L} ]*$"
+LETTERS_AND_SPACES = r"^ *\p{L}[\p{L} ]*\z"
 
 # Python ``int(str)`` accepts surrounding whitespace, a sign and single
 # underscores between digits.
-PY_INT_PATTERN = rf"^{PY_WS}*[+-]?[0-9]+(_[0-9]+)*{PY_WS}*$"
+PY_INT_PATTERN = rf"^{PY_WS}*[+-]?[0-9]+(_[0-9]+)*{PY_WS}*\z"
 
 
 def py_strip(col: Column) -> Column:

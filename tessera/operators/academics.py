@@ -205,6 +205,12 @@ def unenroll(requests: DataFrame, graded: DataFrame, students: DataFrame, course
     return r.select(*requests.columns, outcome.alias("outcome"))
 
 
+def remaining_enrolments(graded: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """The enrolments left after the removals in ``unenroll`` outcomes."""
+    gone = outcomes.filter(F.col("outcome") == "removed").select("student_id", "course_id")
+    return graded.join(gone, ["student_id", "course_id"], "left_anti")
+
+
 def course_title_updates(changes: DataFrame, courses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Title changes (seq, course_id, new_title): not_found for an
     unknown course; a blank title is skipped; otherwise the stripped title is

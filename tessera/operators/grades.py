@@ -134,6 +134,23 @@ def total_students(grades: DataFrame) -> DataFrame:
     return grades.agg(F.countDistinct("student_id").alias("total_students"))
 
 
+def report_rows(grades: DataFrame, top_n: int = DEFAULT_TOP_N) -> DataFrame:
+    """A7 flat: (section, key, value) with the total, the distribution by
+    letter, the mode, the top performers by rank and the overall average."""
+    g = with_letter_grade(grades)
+
+    def rows(df, section, key, value):
+        return df.select(F.lit(section).alias("section"), F.col(key).cast("string").alias("key") if key else F.lit("").alias("key"),
+                         F.col(value).cast("string").alias("value"))
+
+    top = top_performers(g, top_n).withColumn("__who", F.concat_ws(" ", "name", F.col("average_score").cast("string")))
+    return rows(total_students(g), "total_students", None, "total_students") \
+        .unionByName(rows(grade_distribution(g), "grade_distribution", "category", "n_grades")) \
+        .unionByName(rows(grade_mode(g), "mode", None, "mode")) \
+        .unionByName(rows(top, "top_performers", "rank", "__who")) \
+        .unionByName(rows(overall_average(g), "overall_average", None, "overall_average"))
+
+
 def grade_report(grades: DataFrame, top_n: int = DEFAULT_TOP_N) -> DataFrame:
     """The bounded part of the analytics report as one row: total
     students, letter distribution (<= 5 entries), mode, top-n performers and
@@ -147,8 +164,8 @@ def grade_report(grades: DataFrame, top_n: int = DEFAULT_TOP_N) -> DataFrame:
         lambda t: F.struct(t["name"].alias("name"), t["average_score"].alias("average_score")),
     ).alias("top_performers"))
     parts = [total_students(g), dist, grade_mode(g), top, overall_average(g)]
-    # Every part is a single-row global aggregate: pair them on a constant key.
-    out = parts[0].withColumn("__one", F.lit(1))
+    # every part is one row by definition, so the others are broadcast beside the first
+    out = parts[0]
     for p in parts[1:]:
-        out = out.join(p.withColumn("__one", F.lit(1)), "__one", "inner")
-    return out.drop("__one")
+        out = out.crossJoin(F.broadcast(p))
+    return out

@@ -16,7 +16,8 @@ from tessera.functions.text import py_is_blank, py_strip
 from tessera.operators.ordering import DEFAULT_CHUNK, position_in_key
 
 EMP_TYPES = ("fulltime", "contract", "intern")
-MONEY = "decimal(20,2)"
+#: Wide enough to sum pay without rounding each row first.
+MONEY = "decimal(38,12)"
 
 
 def validate_employees(emps: DataFrame) -> DataFrame:
@@ -35,6 +36,27 @@ def validate_employees(emps: DataFrame) -> DataFrame:
     return emps.withColumn("emp_type", t).withColumn("bonus", bonus).withColumn("error_code", code)
 
 
+#: Python ``float()`` text without infinities and NaN, which are no pay.
+_FLOAT = r"^[+-]?([0-9]+(_[0-9]+)*(\.([0-9]+(_[0-9]+)*)?)?|\.[0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+)?\z"
+
+
+def parse_employees(raw: DataFrame) -> DataFrame:
+    """P7 from text: numbers as typed in become doubles (null where they do
+    not parse, which ``validate_employees`` reports as ``bad_number``); a blank
+    bonus is 0, a bonus that is no number a bad number."""
+    def number(c):
+        t = py_strip(F.col(c))
+        return F.when(t.rlike(_FLOAT), F.regexp_replace(t, "_", "").try_cast("double"))
+
+    blank = py_is_blank(F.col("bonus"))
+    bonus = F.when(blank, F.lit(0.0)).otherwise(number("bonus"))
+    parsed = raw.withColumns({"__bad": ~blank & number("bonus").isNull(), "base_pay": number("base_pay"),
+                              "hours": number("hours"), "rate": number("rate"), "bonus": bonus})
+    v = validate_employees(parsed)
+    bad = F.col("__bad") & (F.col("emp_type") != "intern") & (F.col("error_code").isNull() | ~F.col("error_code").isin("invalid_type"))
+    return v.withColumn("error_code", F.when(bad, F.lit("bad_number")).otherwise(F.col("error_code"))).drop("__bad")
+
+
 def assign_ids(emps: DataFrame, name: str = "auto_id", chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
     """Ids 1, 2, 3... in creation order. An id is taken by every row that
     reaches construction (type, numbers and name pass) — a negative bonus still
@@ -65,7 +87,9 @@ def payslips(emps: DataFrame) -> DataFrame:
 
 
 def payroll_totals(slips: DataFrame) -> DataFrame:
-    """Totals over all employees (exact cents), 0 when empty."""
+    """Totals over all employees, 0 when empty. Amounts are summed as
+    decimals of twelve places, so the total does not depend on the order of
+    the rows and parts of a cent count."""
     def tot(c):
         return F.coalesce(F.sum(F.col(c).cast(MONEY)), F.lit(0).cast(MONEY)).cast("double")
     return slips.agg(F.count(F.lit(1)).alias("n_employees"), tot("gross").alias("total_gross"),

@@ -43,14 +43,6 @@ def sentiment_columns(cleaned: Column, positive: Sequence[str] = POSITIVE_WORDS,
     return score, label
 
 
-def analyze(df: DataFrame, cleaned: str = "clean_text", positive: Sequence[str] = POSITIVE_WORDS,
-            negative: Sequence[str] = NEGATIVE_WORDS) -> DataFrame:
-    """P24 on already cleaned text; blank input gets null score/sentiment."""
-    score, label = sentiment_columns(F.col(cleaned), positive, negative)
-    ok = ~py_is_blank(F.col(cleaned))
-    return df.withColumn("score", F.when(ok, score)).withColumn("sentiment", F.when(ok, label))
-
-
 def text_errors(df: DataFrame, text: str = "text", cleaned: str = "clean_text") -> DataFrame:
     """Which stage rejects the row. Null/blank input fails cleaning;
     text that is empty after cleaning (e.g. punctuation only) fails analysis."""

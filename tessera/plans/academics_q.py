@@ -46,6 +46,11 @@ QUERIES = {
     "enrolment_counts": lambda spark, sf: (lambda c: S.enrolment_counts(c[4], c[1]))(_ctx(spark, sf)),
     "unenroll_outcome": lambda spark, sf: (lambda c: S.unenroll(view(spark, sf, "unenroll_requests_v"), c[4],
                                                                 c[0], c[1]))(_ctx(spark, sf)),
+    "unenroll_remaining": lambda spark, sf: (lambda c: S.remaining_enrolments(
+        c[4], S.unenroll(view(spark, sf, "unenroll_requests_v"), c[4], c[0], c[1])))(_ctx(spark, sf))
+    .select("student_id", "course_id", "grade"),
+    "course_titles": lambda spark, sf: S.course_title_updates(view(spark, sf, "course_changes_v"),
+                                                              _courses(spark, sf))[1].select("seq", "course_id", "title"),
     "course_update": lambda spark, sf: S.course_title_updates(view(spark, sf, "course_changes_v"),
                                                               _courses(spark, sf))[0],
     "course_average": lambda spark, sf: S.course_average(_ctx(spark, sf)[4]),
@@ -53,7 +58,7 @@ QUERIES = {
     "course_listing": lambda spark, sf: S.listing(_courses(spark, sf), ["course_id", "title"]),
 }
 
-_LETTERS = lambda c: f"coalesce(regexp_matches({c}, '^ *\\p{{L}}[\\p{{L}} ]*$'), false)"
+_LETTERS = lambda c: f"coalesce(regexp_matches({c}, '^ *\\p{{L}}[\\p{{L}} ]*\\z'), false)"
 _LV = "['undergraduate', 'graduate']"
 _FD = "['science', 'arts', 'commerce', 'engineering', 'medicine', 'law']"
 
@@ -133,6 +138,15 @@ SELECT u.seq, u.student_id, u.course_id,
        ELSE 'not_enrolled' END AS outcome
 FROM unenroll_requests_v u LEFT JOIN vs ON u.student_id = vs.student_id LEFT JOIN vc ON u.course_id = vc.course_id
 LEFT JOIN gr ON u.student_id = gr.student_id AND u.course_id = gr.course_id""", *_VIEWS, "unenroll_requests_v"),
+    "unenroll_remaining": with_views(f""", {_SC}
+SELECT student_id, course_id, grade FROM gr WHERE (student_id, course_id) NOT IN (
+  SELECT (u.student_id, u.course_id) FROM unenroll_requests_v u JOIN vs ON u.student_id = vs.student_id
+  JOIN vc ON u.course_id = vc.course_id)""", *_VIEWS, "unenroll_requests_v"),
+    "course_titles": with_views(f""", {_SC},
+ch AS (SELECT course_id AS c, arg_max({py_strip('new_title')}, seq) AS t FROM course_changes_v
+       WHERE NOT {py_blank('new_title')} GROUP BY course_id)
+SELECT vc.seq, vc.course_id, coalesce(ch.t, vc.title) AS title FROM vc LEFT JOIN ch ON vc.course_id = ch.c""",
+                                *_VIEWS, "course_changes_v"),
     "course_average": with_views(f""", {_SC}
 SELECT course_id, count(grade) AS n_graded, {half_even_mean('sum(grade)', 'count(grade)')} AS average_grade
 FROM gr GROUP BY course_id""", *_VIEWS),

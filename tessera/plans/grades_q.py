@@ -24,7 +24,8 @@ QUERIES = {
     "course_best_grade": lambda spark, sf: G.course_best_grade(_g(spark, sf)),
     "top_performers": lambda spark, sf: G.top_performers(_g(spark, sf)),
     "rolling_average": lambda spark, sf: G.rolling_averages(_g(spark, sf)),
-    "grade_report": lambda spark, sf: G.grade_report(_g(spark, sf)),
+    "total_students": lambda spark, sf: G.total_students(_g(spark, sf)),
+    "grade_report": lambda spark, sf: G.report_rows(_g(spark, sf)),
 }
 
 _ORDERED = f"""g AS (SELECT *, {LETTER_SQL} AS category,
@@ -34,7 +35,17 @@ _AVGS = f"""a AS (SELECT student_id, arg_min(name, seq) AS name, min(seq) AS fir
        {half_even_mean('sum(score)', 'count(score)')} AS average_score
   FROM grades_v GROUP BY student_id)"""
 
+_REPORT = f"""SELECT 'total_students' AS section, '' AS key, CAST(count(DISTINCT student_id) AS VARCHAR) AS value FROM grades_v
+UNION ALL SELECT 'grade_distribution', category, CAST(count(*) AS VARCHAR) FROM g GROUP BY category
+UNION ALL SELECT 'mode', '', coalesce((SELECT category FROM (SELECT category, count(*) AS n, arg_min(category, (student_seq, seq)) AS c,
+  min((student_seq, seq)) AS f FROM g GROUP BY category) ORDER BY n DESC, f LIMIT 1), 'N/A')
+UNION ALL SELECT 'top_performers', CAST(rank AS VARCHAR), concat(name, ' ', CAST(average_score AS VARCHAR)) FROM (
+  SELECT row_number() OVER (ORDER BY average_score DESC, first_seq) AS rank, name, average_score FROM a) WHERE rank <= 3
+UNION ALL SELECT 'overall_average', '', CAST(coalesce({half_even_mean('sum(score)', 'count(score)')}, 0.0) AS VARCHAR) FROM grades_v"""
+
 ORACLE = {
+    "total_students": with_views("SELECT count(DISTINCT student_id) AS total_students FROM grades_v", "grades_v"),
+    "grade_report": with_views(f", {_ORDERED}, {_AVGS} {_REPORT}", "grades_v"),
     "letter_grade": with_views(f"SELECT seq, student_id, score, {LETTER_SQL} AS category FROM grades_v",
                                "grades_v"),
     "student_dim_first_wins": with_views("""

@@ -24,6 +24,9 @@ QUERIES = {
     "append_last_wins": lambda spark, sf: I.append_last_wins(
         view(spark, sf, "attempts_v").filter(F.col("password_length") >= 8),
         view(spark, sf, "attempts_v").filter(F.col("password_length") < 8), "email", "seq", ["credential"]),
+    "append_bag": lambda spark, sf: I.append_last_wins(
+        view(spark, sf, "attempts_v").select("seq", "credential"),
+        view(spark, sf, "attempts_v").select("seq", "credential"), None, "seq", ["credential"]),
     "unique_insert": lambda spark, sf: I.unique_insert(
         view(spark, sf, "users_raw_v").select("seq", F.col("user_id").alias("key")), "key", "seq",
         view(spark, sf, "users_existing_v").select(F.col("user_id").cast("string").alias("key")), "key"),
@@ -66,6 +69,8 @@ ORACLE = {
         UNION ALL SELECT 1, seq, email, credential FROM attempts_v WHERE password_length < 8)
 SELECT email, arg_max(seq, src * 1000000000000 + seq) AS seq, arg_max(credential, src * 1000000000000 + seq)
   AS credential FROM b GROUP BY email""", "attempts_v"),
+    "append_bag": with_views("""
+SELECT seq, credential FROM attempts_v UNION ALL SELECT seq, credential FROM attempts_v""", "attempts_v"),
     "unique_insert": with_views("""
 , e AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS k FROM users_existing_v),
 r AS (SELECT u.seq, u.user_id AS key, e.k IS NOT NULL AS ex FROM users_raw_v u LEFT JOIN e ON u.user_id = e.k)

@@ -73,7 +73,7 @@ al AS (SELECT book_title AS al_title, count(*) AS al_n FROM loans_v WHERE return
 
 _CATS = ("'Fiction', 'Non-Fiction', 'Science Fiction', 'Fantasy', 'Mystery', 'Thriller', 'Romance', 'Biography', "
          "'History', 'Children', 'Poetry', 'Cookbooks', 'Self-Help', 'Technology', 'Science', 'General'")
-_LETTERS = "regexp_matches(title, '^ *\\p{L}[\\p{L} ]*$')"
+_LETTERS = "regexp_matches(title, '^ *\\p{L}[\\p{L} ]*\\z')"
 _BLANK = lambda c: f"({c} IS NULL OR trim({c}) = '')"
 _DUE = "coalesce(due_date, borrow_date + 14)"
 _STATUS = (f"CASE WHEN return_date IS NOT NULL THEN 'Returned' WHEN DATE '{AS_OF}' > {_DUE} THEN 'Overdue' "

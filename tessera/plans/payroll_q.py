@@ -29,6 +29,8 @@ def _state(spark, sf):
 
 QUERIES = {
     "employee_validate": lambda spark, sf: _emps(spark, sf).select("seq", "employee_id", "emp_type", "error_code"),
+    "employee_parse": lambda spark, sf: P.parse_employees(view(spark, sf, "employees_text_v"))
+    .select("seq", "emp_type", "base_pay", "hours", "rate", "bonus", "error_code"),
     "employee_ids": lambda spark, sf: P.assign_ids(_emps(spark, sf)).select("seq", "employee_id", "auto_id"),
     "payroll_payslips": lambda spark, sf: P.payslips(_emps(spark, sf)),
     "payroll_tax": lambda spark, sf: _emps(spark, sf).filter(F.col("error_code").isNull()).select(
@@ -41,14 +43,20 @@ QUERIES = {
     "keyed_delete": lambda spark, sf: P.remove_by_key(
         _emps(spark, sf).filter(F.col("error_code").isNull()), view(spark, sf, "employee_removals_v"),
         "employee_id", "seq")[0],
+    "keyed_remaining": lambda spark, sf: P.remove_by_key(
+        _emps(spark, sf).filter(F.col("error_code").isNull()), view(spark, sf, "employee_removals_v"),
+        "employee_id", "seq")[1].select("seq", "employee_id", "name", "emp_type"),
     "rental_outcomes": lambda spark, sf: R.rental_outcomes(_events(spark, sf), view(spark, sf, "vehicles_v"))
     .select("seq", "vehicle_id", "kind", "outcome"),
     "vehicle_state": _state,
     "vehicles_available": lambda spark, sf: R.available_vehicles(_state(spark, sf)),
+    "vehicles_rented": lambda spark, sf: R.rented_vehicles(_state(spark, sf)),
     "rental_cost": lambda spark, sf: R.rental_cost(
-        _events(spark, sf).filter(F.col("kind") == "rent").select("seq", "vehicle_id", "days"), _state(spark, sf)),
+        _events(spark, sf).select("seq", "vehicle_id", "days"), _state(spark, sf)),
 }
 
+_NUM = lambda c: (f"CASE WHEN regexp_matches({py_strip(c)}, '{P._FLOAT}') "
+                  f"THEN TRY_CAST(replace({py_strip(c)}, '_', '') AS DOUBLE) END")
 _T = f"lower({py_strip('emp_type')})"
 _V = f"""v AS (SELECT seq, employee_id, name, department, {_T} AS emp_type, base_pay, hours, rate,
        CASE WHEN {_T} = 'intern' THEN 0.0 ELSE coalesce(bonus, 0.0) END AS bonus FROM employees_v),
@@ -108,9 +116,9 @@ FROM w WHERE error_code IS NULL AND base_pay IS NOT NULL""", "employees_v"),
     "payroll_totals": with_views(f""", {_V}, r AS (SELECT *, CASE WHEN emp_type = 'contract' THEN 0.0
   ELSE base_pay END AS tb FROM w WHERE error_code IS NULL), s AS ({_slips('r', 'tb')})
 SELECT count(*) AS n_employees,
-  CAST(coalesce(sum(CAST(gross AS DECIMAL(20,2))), 0) AS DOUBLE) AS total_gross,
-  CAST(coalesce(sum(CAST(tax AS DECIMAL(20,2))), 0) AS DOUBLE) AS total_tax,
-  CAST(coalesce(sum(CAST(net AS DECIMAL(20,2))), 0) AS DOUBLE) AS total_net FROM s""", "employees_v"),
+  CAST(coalesce(sum(CAST(gross AS DECIMAL(38,12))), 0) AS DOUBLE) AS total_gross,
+  CAST(coalesce(sum(CAST(tax AS DECIMAL(38,12))), 0) AS DOUBLE) AS total_tax,
+  CAST(coalesce(sum(CAST(net AS DECIMAL(38,12))), 0) AS DOUBLE) AS total_net FROM s""", "employees_v"),
     "payroll_apply_changes": with_views(f"{_CH} SELECT * FROM c", "employees_v", "pay_changes_v"),
     "payroll_after_changes": with_views(f"{_CH} {_slips('u', 'tax_base')}", "employees_v", "pay_changes_v"),
     "keyed_delete": with_views(f""", {_V},
@@ -118,6 +126,17 @@ k AS (SELECT DISTINCT employee_id AS k FROM w WHERE error_code IS NULL)
 SELECT seq, employee_id, CASE WHEN k.k IS NOT NULL AND seq = min(seq) OVER (PARTITION BY employee_id)
   THEN 'removed' ELSE 'not_found' END AS outcome
 FROM employee_removals_v LEFT JOIN k ON employee_id = k.k""", "employees_v", "employee_removals_v"),
+    "keyed_remaining": with_views(f""", {_V} SELECT seq, employee_id, name, emp_type FROM w WHERE error_code IS NULL
+AND employee_id NOT IN (SELECT employee_id FROM employee_removals_v)""", "employees_v", "employee_removals_v"),
+    "employee_parse": with_views(f""", p AS (SELECT seq, name, {_T} AS emp_type, {_NUM('base_pay')} AS base_pay, {_NUM('hours')} AS hours,
+  {_NUM('rate')} AS rate, {py_blank('bonus')} AS no_bonus, {_NUM('bonus')} AS typed FROM employees_text_v),
+b AS (SELECT *, CASE WHEN emp_type = 'intern' OR no_bonus THEN 0.0 ELSE coalesce(typed, 0.0) END AS bonus FROM p)
+SELECT seq, emp_type, base_pay, hours, rate, bonus, CASE WHEN emp_type NOT IN ('fulltime', 'contract', 'intern') THEN 'invalid_type'
+  WHEN CASE WHEN emp_type = 'contract' THEN hours IS NULL OR rate IS NULL ELSE base_pay IS NULL END THEN 'bad_number'
+  WHEN emp_type <> 'intern' AND NOT no_bonus AND typed IS NULL THEN 'bad_number'
+  WHEN {py_blank('name')} THEN 'missing_name' WHEN bonus < 0 THEN 'negative_bonus' END AS error_code FROM b""", "employees_text_v"),
+    "vehicles_rented": with_views(f", {_RENT} SELECT seq, vehicle_id, vehicle_type, base_price, is_rented "
+                                  "FROM st WHERE is_rented", "vehicles_v", "vehicle_events_v"),
     "rental_outcomes": with_views(f""", {_RENT},
 p AS (SELECT *, lag(kind) OVER (PARTITION BY vehicle_id ORDER BY seq) AS prev FROM e WHERE known)
 SELECT seq, vehicle_id, kind, CASE WHEN kind = 'rent' THEN
@@ -133,6 +152,6 @@ UNION ALL SELECT seq, vehicle_id, kind, 'not_found' FROM e WHERE NOT known""", "
 SELECT x.seq, x.vehicle_id, x.days,
   CASE WHEN st1.vehicle_id IS NULL THEN 'not_found' WHEN NOT st1.is_rented THEN 'not_rented' ELSE 'ok' END AS status,
   CASE WHEN st1.is_rented THEN st1.base_price * x.days END AS cost
-FROM vehicle_events_v x LEFT JOIN st1 ON x.vehicle_id = st1.vehicle_id WHERE x.kind = 'rent'""",
+FROM vehicle_events_v x LEFT JOIN st1 ON x.vehicle_id = st1.vehicle_id""",
                               "vehicles_v", "vehicle_events_v"),
 }

@@ -39,7 +39,8 @@ def tax(base: str) -> str:
             f" + (CASE WHEN {s3} > 100000 THEN ({s3} - 100000) * 0.25 ELSE 0.0 END)"
             f" + (CASE WHEN {s4} > 30000 THEN ({s4} - 30000) * 0.20 ELSE 0.0 END))")
 
-EMAIL_RE = r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$"
+# The email pattern and the integer syntax, as in functions/text.py.
+EMAIL_RE = r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+\n?\z"
 PY_INT_RE = rf"^[{PY_WS_CHARS}]*[+-]?[0-9]+(_[0-9]+)*[{PY_WS_CHARS}]*$"
 
 

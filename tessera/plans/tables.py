@@ -5,7 +5,8 @@ side builds the view with ``spark.sql`` over the registered parquet tables and
 then applies the library operators (DataFrame API); the oracle side inlines
 the very same view text as a CTE in front of a hand-written SQL equivalent.
 Views read whole tables: modular arithmetic only derives values (which rows
-get an unknown id, a blank name, a lexicon word...), it never drops rows.
+get an unknown id, a blank name, a lexicon word...), it never drops rows, and
+keys are derived so that their number grows with the table.
 """
 
 from __future__ import annotations
@@ -31,15 +32,15 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
     "users_raw_v": """
 SELECT c_custkey AS seq,
        CASE WHEN c_custkey % 23 = 22 THEN 'abc' WHEN c_custkey % 19 = 0 THEN '0'
-            WHEN c_custkey % 31 = 0 THEN concat(' +', CAST(c_custkey % 1000 AS STRING), ' ')
-            ELSE CAST(c_custkey % 1000 AS STRING) END AS user_id,
+            WHEN c_custkey % 31 = 0 THEN concat(' +', CAST(c_custkey - c_custkey % 3 AS STRING), ' ')
+            ELSE CAST(c_custkey - c_custkey % 3 AS STRING) END AS user_id,
        CASE WHEN c_custkey % 17 = 0 THEN '' ELSE c_name END AS name,
        CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 11 = 0 THEN 'invalid-email'
             ELSE concat('user', CAST(c_custkey AS STRING), '@example.com') END AS email
 FROM customer""",
     # Ids already in the keyed user store (derived from the whole supplier table).
     "users_existing_v": """
-SELECT s_suppkey * 7 % 1000 AS user_id, s_name AS name,
+SELECT s_suppkey * 6 AS user_id, s_name AS name,
        concat('s', CAST(s_suppkey AS STRING), '@example.com') AS email
 FROM supplier""",
     # Free text with lexicon words appended, plus null / blank / punctuation-only rows.
@@ -61,8 +62,9 @@ SELECT page_id, url,
            ELSE '' END)) AS html
 FROM pages""",
     # Fetch outcomes per page and scrape method.
+    # A url is fetched several times.
     "fetch_v": """
-SELECT page_id AS seq, url,
+SELECT page_id AS seq, concat('https://example.com/p', CAST(floor(page_id / 4) AS BIGINT)) AS url,
        CASE page_id % 3 WHEN 0 THEN 'sequential' WHEN 1 THEN 'threaded' ELSE 'async' END AS method,
        CASE page_id % 10 WHEN 7 THEN 404 WHEN 8 THEN 503 WHEN 9 THEN NULL ELSE 200 END AS status_code,
        CASE WHEN page_id % 10 = 9 THEN 'Timeout' END AS fetch_error,
@@ -76,21 +78,32 @@ SELECT c_custkey AS seq, c_custkey AS employee_id,
        CASE c_custkey % 3 WHEN 0 THEN 'fulltime' WHEN 1 THEN 'contract' ELSE 'intern' END AS emp_type,
        CASE WHEN c_custkey % 3 <> 1 THEN CAST(floor(c_acctbal * 150) AS DOUBLE) END AS base_pay,
        CASE WHEN c_custkey % 3 = 1 THEN CAST(c_custkey % 200 AS DOUBLE) END AS hours,
-       CASE WHEN c_custkey % 3 = 1 THEN CAST(5000 + c_custkey % 50 AS DOUBLE) END AS rate,
+       CASE WHEN c_custkey % 3 = 1 THEN CAST(5000 + c_custkey % 50 AS DOUBLE) + 0.0625 * (c_custkey % 7) END AS rate,
        CAST(CASE WHEN c_custkey % 29 = 0 THEN -1 ELSE c_custkey % 7 * 1000 END AS DOUBLE) AS bonus
+FROM customer""",
+    # The same employees as typed in: numbers as text, some blank, padded or no numbers.
+    "employees_text_v": """
+SELECT c_custkey AS seq, c_custkey AS employee_id, c_name AS name, c_mktsegment AS department,
+       CASE c_custkey % 3 WHEN 0 THEN ' FullTime ' WHEN 1 THEN 'contract' ELSE 'Intern' END AS emp_type,
+       CASE WHEN c_custkey % 41 = 0 THEN 'abc' WHEN c_custkey % 43 = 0 THEN '' WHEN c_custkey % 5 = 0 THEN concat(' ', CAST(c_custkey * 10 AS STRING), '.5 ')
+            ELSE CAST(c_custkey * 10 AS STRING) END AS base_pay,
+       CASE WHEN c_custkey % 47 = 0 THEN '1.2.3' WHEN c_custkey % 53 = 0 THEN '1e2' ELSE CAST(c_custkey % 200 AS STRING) END AS hours,
+       CASE WHEN c_custkey % 59 = 0 THEN '+7_0' ELSE CAST(c_custkey % 90 AS STRING) END AS rate,
+       CASE WHEN c_custkey % 7 = 0 THEN '  ' WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 61 = 0 THEN 'x'
+            WHEN c_custkey % 67 = 0 THEN '-3' ELSE CAST(c_custkey % 9 AS STRING) END AS bonus
 FROM customer""",
     # Salary / bonus change log; every 11th change names an unknown employee.
     "pay_changes_v": """
 SELECT event_id AS seq,
        CASE WHEN event_id % 11 = 0 THEN user_id + 1000000000 ELSE user_id END AS employee_id,
-       CASE WHEN event_type = 'click' THEN 'salary' ELSE 'bonus' END AS field,
+       CASE WHEN event_type IN ('click', 'view') THEN 'salary' ELSE 'bonus' END AS field,
        CAST(floor((value - 20) * 5000) AS DOUBLE) AS new_value
-FROM events WHERE event_type IN ('click', 'purchase')""",
-    # Removal requests for employees (error events); every 13th names an unknown id.
+FROM events""",
+    # Removal requests for employees; every 13th names an unknown id.
     "employee_removals_v": """
 SELECT event_id AS seq,
-       CASE WHEN event_id % 13 = 0 THEN user_id + 1000000000 ELSE user_id END AS employee_id
-FROM events WHERE event_type = 'error'""",
+       CASE WHEN event_id % 13 = 0 THEN user_id + 1000000000 ELSE user_id * 3 END AS employee_id
+FROM events""",
     # Rental fleet (every customer is a vehicle) and its rent / return log.
     "vehicles_v": """
 SELECT c_custkey AS seq, c_custkey AS vehicle_id, CAST(20 + c_custkey % 80 AS DOUBLE) AS base_price,
@@ -101,7 +114,7 @@ SELECT event_id AS seq, ts,
        CASE WHEN event_id % 13 = 0 THEN user_id + 1000000000 ELSE user_id END AS vehicle_id,
        CAST(event_id % 14 + 1 AS BIGINT) AS days,
        CASE WHEN event_type IN ('click', 'purchase') THEN 'rent' ELSE 'return' END AS kind
-FROM events WHERE event_type <> 'signup'""",
+FROM events""",
     # Library: every part is a book, every order a loan of the part with key o_custkey.
     "books_v": """
 SELECT p_partkey AS seq,
@@ -136,7 +149,7 @@ SELECT o_orderkey AS seq, concat('b', CAST(o_custkey % 50 AS STRING)) AS borrowe
 FROM orders""",
     "delete_requests_v": """
 SELECT event_id AS seq, CASE WHEN event_id % 17 = 0 THEN 'unknown' ELSE CAST(user_id AS STRING) END AS isbn
-FROM events WHERE event_type = 'view'""",
+FROM events""",
     "authors_v": """
 SELECT s_suppkey AS seq, concat('Brand#', CAST(s_suppkey % 40 AS STRING)) AS name,
        CASE s_nationkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE concat('N', CAST(s_nationkey AS STRING)) END
@@ -175,25 +188,25 @@ SELECT p_partkey AS seq,
                                     ELSE 'commerce, science ,law' END END AS allowed_fields
 FROM part""",
     "course_changes_v": """
-SELECT event_id AS seq, CAST(event_id % 60 AS STRING) AS course_id,
+SELECT event_id AS seq, CAST(user_id + event_id % 3 AS STRING) AS course_id,
        CASE WHEN event_id % 7 = 0 THEN '  ' ELSE concat(' Renamed ', CAST(user_id AS STRING), ' ') END AS new_title
-FROM events WHERE event_type = 'click'""",
+FROM events""",
     "unenroll_requests_v": """
-SELECT event_id AS seq, CAST(user_id AS STRING) AS student_id, CAST(event_id % 45 AS STRING) AS course_id
-FROM events WHERE event_type = 'signup'""",
+SELECT event_id AS seq, CAST(user_id AS STRING) AS student_id, CAST(CAST(floor(user_id / 8) AS BIGINT) + event_id % 4 AS STRING) AS course_id
+FROM events""",
     "enroll_requests_v": """
 SELECT o_orderkey AS seq, CAST(o_custkey AS STRING) AS student_id,
-       CAST(o_orderkey % 45 AS STRING) AS course_id
+       CAST(CAST(floor(o_custkey / 8) AS BIGINT) + o_orderkey % 4 AS STRING) AS course_id
 FROM orders""",
     "grade_changes_v": """
 SELECT o_orderkey AS seq, CAST(o_custkey AS STRING) AS student_id,
-       CAST(o_orderkey % 45 AS STRING) AS course_id,
+       CAST(CAST(floor(o_custkey / 8) AS BIGINT) + o_orderkey % 4 AS STRING) AS course_id,
        CASE WHEN o_orderkey % 3 = 0 THEN CAST(100 + o_orderkey % 7 AS DOUBLE)
             ELSE CAST(floor(o_totalprice / 4500) AS DOUBLE) END AS grade
 FROM orders""",
     # Registration / login attempts.
     "attempts_v": """
-SELECT event_id AS seq, concat('u', CAST(user_id % 40 AS STRING), '@example.com') AS email,
+SELECT event_id AS seq, concat('u', CAST(user_id - user_id % 5 AS STRING), '@example.com') AS email,
        CAST(event_id % 14 AS BIGINT) AS password_length,
        concat('h', CAST(event_id % 5 AS STRING)) AS credential
 FROM events""",
