@@ -14,14 +14,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows that one replayed file holds at most on average.
+ROWS_PER_FILE = 1_000_000
+
+
 def write_stream_chunks(df: DataFrame, path: str, key: str, seq: str = "seq", n_chunks: int = 3,
                         files_per_chunk: int = 2, fmt: str = "parquet", options: dict | None = None,
                         columns: list[str] | None = None) -> None:
-    bounds = df.agg(F.min(seq).alias("lo"), F.max(seq).alias("hi")).first()  # one row
+    bounds = df.agg(F.min(seq).alias("lo"), F.max(seq).alias("hi"), F.count(F.lit(1)).alias("n")).first()  # one row
     if bounds["lo"] is None:
         return
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     step = (hi - lo) // n_chunks + 1
+    files_per_chunk += int(bounds["n"]) // (n_chunks * ROWS_PER_FILE)  # as many as the table needs
     for k in range(n_chunks):
         part = df.filter((F.col(seq) >= lo + k * step) & (F.col(seq) < lo + (k + 1) * step))
         part = part.repartition(files_per_chunk, key).sortWithinPartitions(seq)

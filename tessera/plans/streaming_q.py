@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.text import py_int
 from tessera.operators import library as B
 from tessera.plans.library_q import AS_OF
 from tessera.plans.tables import view, with_views
 from tessera.session import staging_path
-from tessera.streaming.chunks import write_stream_chunks
+from tessera.plans.replay import write_stream_chunks
 from tessera.streaming.importer import start_import_stream
 from tessera.streaming.stateful import ledger_stream, rental_stream, start_to_parquet, use_rocksdb
 from tessera.streaming.text import start_text_stream
@@ -19,8 +20,9 @@ FILES_PER_CHUNK = 2
 
 def _stream_import(spark, sf):
     src = staging_path(spark, "stream-users-src")
-    raw = view(spark, sf, "users_raw_v")
-    write_stream_chunks(raw, src, "user_id", files_per_chunk=FILES_PER_CHUNK, fmt="csv",
+    # spellings of one id (' +7 ', '7') must stay in one file, in order
+    raw = view(spark, sf, "users_raw_v").withColumn("__id", py_int(F.col("user_id")))
+    write_stream_chunks(raw, src, "__id", files_per_chunk=FILES_PER_CHUNK, fmt="csv",
                         options={"header": True, "ignoreLeadingWhiteSpace": False,
                                  "ignoreTrailingWhiteSpace": False},
                         columns=["user_id", "name", "email"])

@@ -4,7 +4,8 @@ Each micro-batch is imported with the batch operator against the store as it
 stood before that batch. Outcomes and newly added users are written into a
 ``batch_id`` partition with dynamic overwrite, and the store view of batch N
 excludes partitions >= N — so a retried batch reproduces exactly the same
-result (idempotent sink) and cross-batch duplicates are found.
+result (idempotent sink) and cross-batch duplicates are found. ``seq`` orders
+the rows of one batch; the order of the whole stream is (``batch_id``, ``seq``).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
 from tessera.operators.importer import import_users
+from tessera.sources.files import ROW_BITS
 
 RAW_SCHEMA = "c0 string, c1 string, c2 string, _corrupt string"
 _NO_NULL = "\u0000\u0001"
@@ -23,8 +25,10 @@ _NO_NULL = "\u0000\u0001"
 def _read_partitioned(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return spark.createDataFrame([], schema)  # nothing has been written yet
+        raise
 
 
 def start_import_stream(spark: SparkSession, source_dir: str, store_path: str, outcomes_path: str,
@@ -36,17 +40,19 @@ def start_import_stream(spark: SparkSession, source_dir: str, store_path: str, o
               .option("nullValue", _NO_NULL).option("multiLine", True)
               .option("maxFilesPerTrigger", files_per_batch)
               .csv(source_dir)
-              .select("*", F.col("_metadata.file_path").alias("__file")))
+              .select("*", F.col("_metadata.file_path").alias("__file"),
+                      F.col("_metadata.file_modification_time").alias("__time")))
 
     def import_batch(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
         short = F.col("_corrupt").isNotNull() & F.col("c2").isNull()
-        files = batch.select("__file").distinct()  # bounded by maxFilesPerTrigger
-        ranks = files.select("__file", F.dense_rank().over(Window.orderBy("__file")).alias("__rank"))
+        files = batch.select("__file", "__time").distinct()  # bounded by maxFilesPerTrigger
+        # as the file source hands them out: oldest first, then by path
+        ranks = files.select("__file", F.row_number().over(Window.orderBy("__time", "__file")).alias("__rank"))
         raw = batch.withColumn("__mono", F.monotonically_increasing_id()) \
             .join(F.broadcast(ranks), "__file") \
-            .select((F.lit(batch_id).cast("long") * F.lit(1 << 40) + F.col("__rank").cast("long") * F.lit(1 << 30)
-                     + F.col("__mono").bitwiseAND(F.lit((1 << 30) - 1))).alias("seq"),
+            .select((F.shiftleft(F.col("__rank").cast("long"), ROW_BITS)  # order inside the batch; batches are compared by id
+                     + F.col("__mono").bitwiseAND(F.lit((1 << ROW_BITS) - 1))).alias("seq"),
                     *[F.when(short & F.col(c).isNull(), F.lit(None)).otherwise(F.coalesce(F.col(c), F.lit("")))
                       .alias(n) for c, n in (("c0", "user_id"), ("c1", "name"), ("c2", "email"))])
         stored = _read_partitioned(s, store_path, "user_id long, name string, email string, batch_id long") \

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import library as B
 from tessera.operators import rental as R
-from tessera.streaming.chunks import write_stream_chunks
+from tessera.plans.replay import write_stream_chunks
 from tessera.streaming.importer import start_import_stream
 from tessera.streaming.stateful import ledger_stream, rental_stream, start_to_parquet, use_rocksdb
 
@@ -69,7 +69,7 @@ def test_import_stream_dedups_across_batches(spark, tmp):
     existing = spark.createDataFrame([(4,)], "user_id long")
     q = start_import_stream(spark, src, store, out, os.path.join(tmp, "ck"), existing)
     q.awaitTermination()
-    rows = spark.read.parquet(out).orderBy("seq").select("user_id", "outcome", "error_code").collect()
+    rows = spark.read.parquet(out).orderBy("batch_id", "seq").select("user_id", "outcome", "error_code").collect()
     assert [(r[0], r[1]) for r in rows] == [(1, "added"), (2, "added"), (1, "duplicate"), (3, "invalid"),
                                             (4, "duplicate"), (2, "duplicate")]
     assert sorted(r["user_id"] for r in spark.read.parquet(store).collect()) == [1, 2]
