@@ -4,19 +4,15 @@ from pyspark.sql import functions as F
 
 from tessera.operators import grades as G
 
-# The sample grade file of the source project, typed in (student, name, major, year, course, grade).
+# (student, name, major, year, course, grade)
 ROWS = [
-    ("S001", "Alice Johnson", "Computer Science", 2, "Data Structures", 95.0),
-    ("S001", "Alice Johnson", "Computer Science", 2, "Algorithms", 88.0),
-    ("S001", "Alice Johnson", "Computer Science", 2, "Database Systems", 92.0),
-    ("S002", "Bob Smith", "Mathematics", 1, "Calculus", 78.0),
-    ("S002", "Bob Smith", "Mathematics", 1, "Linear Algebra", 82.0),
-    ("S003", "Charlie Brown", "Physics", 3, "Quantum Mechanics", 91.0),
-    ("S003", "Charlie Brown", "Physics", 3, "Electromagnetism", 85.0),
-    ("S004", "David Wilson", "Computer Science", 2, "Data Structures", 70.0),
-    ("S004", "David Wilson", "Computer Science", 2, "Machine Learning", 75.0),
-    ("S005", "Eva Davis", "Biology", 1, "Genetics", 96.0),
-    ("S005", "Eva Davis", "Biology", 1, "Cell Biology", 94.0),
+    ("k7", "Ines Vidal", "Geology", 3, "Minerals", 61.0),
+    ("k2", "Otto Brandt", "Music", 1, "Harmony", 99.5),
+    ("k7", "Ines Vidal", "Geology", 3, "Field Work", 72.0),
+    ("k9", "Mara Lind", "Geology", 2, "Minerals", 58.25),
+    ("k2", "Otto Brandt", "Music", 1, "Solfege", 90.0),
+    ("k7", "Ines Vidal", "Geology", 3, "Maps", 66.5),
+    ("k4", "Joao Reis", "Law", 4, "Contracts", 83.0),
 ]
 SCHEMA = "student_id string, name string, major string, year int, course_name string, score double, seq long"
 
@@ -26,41 +22,41 @@ def grades(spark):
     return spark.createDataFrame([r + (i,) for i, r in enumerate(ROWS)], SCHEMA)
 
 
-def test_report_golden(grades):
+def test_report(grades):
     r = G.grade_report(grades).first()
-    assert r["total_students"] == 5
-    assert dict(r["grade_distribution"]) == {"A": 5, "B": 3, "C": 3}
-    assert r["overall_average"] == 86.0
+    assert r["total_students"] == 4
+    assert dict(r["grade_distribution"]) == {"A": 2, "B": 1, "C": 1, "D": 2, "F": 1}
+    assert r["overall_average"] == 75.75  # 530.25 / 7
     assert [(t["name"], t["average_score"]) for t in r["top_performers"]] == [
-        ("Eva Davis", 95.0), ("Alice Johnson", 91.67), ("Charlie Brown", 88.0)]
-    assert r["mode"] == "A"
+        ("Otto Brandt", 94.75), ("Joao Reis", 83.0), ("Ines Vidal", 66.5)]
+    assert r["mode"] == "D"  # A and D twice each; Ines, the first student, opens with a D
+
+
+def test_report_rows_hold_the_report(grades):
+    rows = {(r["section"], r["key"]): r["value"] for r in G.report_rows(grades).collect()}
+    assert rows[("total_students", "")] == "4" and rows[("mode", "")] == "D"
+    assert rows[("grade_distribution", "D")] == "2" and rows[("top_performers", "1")] == "Otto Brandt 94.75"
+    assert rows[("overall_average", "")] == "75.75" and len(rows) == 11
 
 
 def test_student_averages(grades):
     got = {r["student_id"]: r["average_score"] for r in G.student_averages(grades).collect()}
-    assert got == {"S001": 91.67, "S002": 80.0, "S003": 88.0, "S004": 72.5, "S005": 95.0}
+    assert got == {"k7": 66.5, "k2": 94.75, "k9": 58.25, "k4": 83.0}
+
+
+def test_rolling_window_of_three(grades):
+    rows = G.rolling_averages(grades).filter(F.col("student_id") == "k7").orderBy("position").collect()
+    assert [r["rolling_average"] for r in rows] == [61.0, 66.5, 66.5]
 
 
-def test_rolling_golden(grades):
-    rows = G.rolling_averages(grades).filter(F.col("student_id") == "S001").orderBy("position").collect()
-    assert [r["rolling_average"] for r in rows] == [95.0, 91.5, 91.67]
+def test_rolling_window_of_two(grades):
+    rows = G.rolling_averages(grades, window_size=2).filter(F.col("student_id") == "k7").orderBy("position").collect()
+    assert [r["rolling_average"] for r in rows] == [61.0, 66.5, 69.25]
 
 
 def test_major_grouping_order(grades):
-    rows = G.major_grouping(grades).filter(F.col("major") == "Computer Science").orderBy("position").collect()
-    assert [r["name"] for r in rows] == ["Alice Johnson", "David Wilson"]
-
-
-def test_in_memory_case(spark):
-    # Alice 95 (A), 85 (B); Bob 75 (C): rolling window 2 -> [95, 90]; top performer Alice 90.0
-    df = spark.createDataFrame([("1", "Alice", "CS", 1, "c1", 95.0, 1), ("1", "Alice", "CS", 1, "c2", 85.0, 2),
-                                ("2", "Bob", "Math", 1, "c1", 75.0, 3)], SCHEMA)
-    roll = G.rolling_averages(df, window_size=2).filter(F.col("student_id") == "1").orderBy("position")
-    assert [r["rolling_average"] for r in roll.collect()] == [95.0, 90.0]
-    top = G.top_performers(df, 1).first()
-    assert (top["name"], top["average_score"]) == ("Alice", 90.0)
-    dist = {r["category"]: r["n_grades"] for r in G.grade_distribution(df).collect()}
-    assert dist == {"A": 1, "B": 1, "C": 1}
+    rows = G.major_grouping(grades).filter(F.col("major") == "Geology").orderBy("position").collect()
+    assert [r["name"] for r in rows] == ["Ines Vidal", "Mara Lind"]
 
 
 def test_mode_tie_first_encountered(spark):

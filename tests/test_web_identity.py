@@ -10,14 +10,14 @@ def meta(spark, html):
 
 
 def test_title_and_meta_description(spark):
-    r = meta(spark, "<html><head><title>  Test Page  </title>"
-                    '<meta name="description" content="A test description"></head></html>')
-    assert (r["title"], r["description"]) == ("Test Page", "A test description")
+    r = meta(spark, "<html><head><title>  Tide tables  </title>"
+                    '<meta name="description" content="High and low water"></head></html>')
+    assert (r["title"], r["description"]) == ("Tide tables", "High and low water")
 
 
 def test_og_fallback(spark):
-    r = meta(spark, '<html><head><title>OG</title><meta property="og:description" content="OG desc"></head></html>')
-    assert r["description"] == "OG desc"
+    r = meta(spark, '<html><head><title>Ferry</title><meta property="og:description" content="Crossing times"></head></html>')
+    assert r["description"] == "Crossing times"
     r = meta(spark, '<head><meta name="description" content=""><META PROPERTY="og:description" content="fb"></head>')
     assert (r["title"], r["description"]) == (None, "fb")
 
