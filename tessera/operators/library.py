@@ -336,7 +336,8 @@ def borrow_outcomes(requests: DataFrame, books: DataFrame, loans: DataFrame,
 
 def _ledger_sequential(batches):
     """Mixed borrow / return log per title, rows sorted by (title, seq).
-    State per title: active count and active loans per borrower."""
+    State per title: active count and loans of the borrowers who hold some or
+    held some at the start (the others' zeros are dropped)."""
     title, active, by_borrower = None, 0, {}
     for pdf in batches:
         out = []
@@ -360,6 +361,8 @@ def _ledger_sequential(batches):
                     out.append("returned")
                 else:
                     out.append("no_active_loan")
+            if not by_borrower[who] and not int(held):
+                del by_borrower[who]
         yield pd.DataFrame({"seq": pdf["seq"], "outcome": out})
 
 
@@ -368,7 +371,9 @@ def loan_ledger(events: DataFrame, books: DataFrame, loans: DataFrame) -> DataFr
     (seq, kind in borrow/return, borrower_name, isbn). Returns need an active
     loan of the same borrower and title; borrows need a free copy. Inherently
     sequential per title, so it runs as a per-title streaming scan whose state
-    holds only the title's active loans (bounded by its copies)."""
+    holds the title's active loans (bounded by its copies) and the borrowers
+    who had loans at the start. Open: the events of one title are read by one
+    task, which more machines do not shorten."""
     fb = _first_book_by_isbn(books).select(F.col("isbn").alias("__isbn"), F.col("title").alias("book_title"),
                                            "copies")
     r = events.join(fb, events["isbn"] == F.col("__isbn"), "left").drop("__isbn")

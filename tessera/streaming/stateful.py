@@ -79,9 +79,11 @@ class LedgerState(StatefulProcessor):
         ev = pd.concat(list(rows)).sort_values("seq")
         active = self.active.get()[0] if self.active.exists() else int(ev["a0"].iloc[0])
         cache: dict[str, int] = {}
+        started: dict[str, int] = {}
         out = []
         for kind, who, copies, held0 in zip(ev["kind"], ev["borrower_name"], ev["copies"], ev["held"]):
             if who not in cache:
+                started[who] = int(held0)
                 cache[who] = self.held.getValue((who,))[0] if self.held.containsKey((who,)) else int(held0)
             if kind == "borrow":
                 if active < copies:
@@ -98,7 +100,10 @@ class LedgerState(StatefulProcessor):
                 out.append("no_active_loan")
         self.active.update((active,))
         for who, n in cache.items():
-            self.held.updateValue((who,), (n,))
+            if n or started[who]:
+                self.held.updateValue((who,), (n,))
+            elif self.held.containsKey((who,)):
+                self.held.removeKey((who,))  # an unknown borrower holds none anyway
         yield pd.DataFrame({"seq": ev["seq"].astype("int64"), "book_title": ev["book_title"], "kind": ev["kind"],
                             "borrower_name": ev["borrower_name"], "outcome": out})
 
