@@ -42,7 +42,8 @@ def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 def words_of(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
     """All words of an Arrow string column, flat, and each row's word count."""
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    texts = pc.fill_null(texts, "")
+    texts = pa.concat_arrays([texts, texts[:0]])  # a copy from offset 0: some kernels misread slices
     parts = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     flat = parts.flatten()
     real = pc.greater(pc.binary_length(flat), 0)

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,20 +41,35 @@ CONTEXTS = 1 + SHORT_BUCKETS + ENDING_BUCKETS
 #: the first is not averaged; Gibbs moves for each dish in a sweep.
 CONTEXT_STRENGTH, PARENT_STRENGTH, SWEEPS, MOVES = 1.0, 1.0, 3, 6
 #: Text bytes in a chunk of documents.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 #: Stands for the end of a text; no word holds a space.
 END = b" "
 
-_BLOBS = "chunk long, part long, kind int, a binary, b binary, c binary, d binary"
-_NAMES = ["chunk", "part", "kind", "a", "b", "c", "d"]
+_NAMES = ["chunk", "part", "kind", *"abcdef"]
+_BLOBS = "chunk long, part long, kind int, " + ", ".join(f"{c} binary" for c in "abcdef")
 _DOCS, _PAIRS, _COUNTS, _ANSWER = range(4)
 
 
+def pack(a: np.ndarray) -> bytes:
+    """An array as compressed byte planes: low bytes first, high bytes last."""
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def unpack(cell: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(cell), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def _row(chunk: int, part: int, kind: int, *data: np.ndarray) -> pa.RecordBatch:
-    cells = [d.tobytes() for d in data] + [None] * (4 - len(data))
+    cells = [pack(d) for d in data] + [None] * (6 - len(data))
     return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part], pa.int64()), pa.array([kind], pa.int32()), *(pa.array([c], pa.binary()) for c in cells)], _NAMES)
 
 
+def _arrays(row: tuple, *kinds: type) -> list[np.ndarray]:
+    return [unpack(c, k) for c, k in zip(row[3:], kinds)]
+
+
 def context_of(word: bytes) -> int:
     """The restaurant of the token that follows ``word``."""
     if len(word) <= SHORT_BYTES:
@@ -69,46 +85,51 @@ def part_of(words: np.ndarray, parts: int) -> np.ndarray:
 def _chunk(ids: pa.Array, held: np.ndarray, texts: pa.Array, chunk: int, parts: int) -> Iterator[pa.RecordBatch]:
     """The rows of one chunk: its documents, and its pairs by partition."""
     flat, n = words_of(texts)
-    coded = pa.chunked_array([flat]).combine_chunks().dictionary_encode()
+    coded = flat.dictionary_encode()
+    del flat
     spelled = [w.encode() for w in coded.dictionary.to_pylist()] + [END]
     hashes = np.array([xxhash.xxh64_intdigest(w) for w in spelled], dtype=np.uint64)
-    follow = np.array([context_of(w) for w in spelled], dtype=np.int64)
+    follow = np.array([context_of(w) for w in spelled], dtype=np.uint16)
+    end = len(spelled) - 1
+    del spelled
+    order = np.argsort(hashes)
+    words = hashes[order]
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
     sizes = n + 1  # with the end
     ends = np.cumsum(sizes) - 1
-    token = np.empty(int(sizes.sum()), np.int64)
-    token[ends] = len(spelled) - 1
+    token = np.full(int(sizes.sum()), end, np.int32)
     inner = np.ones(len(token), bool)
     inner[ends] = False
     token[inner] = coded.indices.to_numpy()
-    context = np.zeros(len(token), np.int64)
-    context[1:] = follow[token[:-1]]
-    context[ends + 1 - sizes] = 0
-    order = np.argsort(hashes)
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    pair, index = np.unique(rank[token] * CONTEXTS + context, return_inverse=True)
+    del coded, inner
+    key = rank[token].astype(np.int64) * CONTEXTS
+    key[1:] += follow[token[:-1]]
+    starts = ends + 1 - sizes
+    key[starts] = rank[token[starts]].astype(np.int64) * CONTEXTS
+    del token
+    pair, index = np.unique(key, return_inverse=True)
+    del key
+    index = index.astype(np.uint32)
     learned = np.bincount(index, np.repeat(~held, sizes), len(pair)).astype(np.uint32)
-    yield pa.RecordBatch.from_arrays([
-        pa.array([chunk], pa.int64()), pa.array([-1], pa.int64()), pa.array([_DOCS], pa.int32()),
-        pa.array([_packed_ids(ids)], pa.binary()), pa.array([held.tobytes()], pa.binary()), pa.array([sizes.astype(np.uint32).tobytes()], pa.binary()), pa.array([index.astype(np.uint32).tobytes()], pa.binary()),
-    ], _NAMES)
-    words = hashes[order]
+    # numbered by frequency in the chunk's record, so that most numbers are small
+    often = np.argsort(-np.bincount(index, minlength=len(pair)), kind="stable").astype(np.uint32)
+    number = np.empty(len(pair), np.uint32)
+    number[often] = np.arange(len(pair), dtype=np.uint32)
+    null = ids.is_null().to_numpy(zero_copy_only=False)
+    values = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    yield _row(chunk, -1, _DOCS, values, null, held, sizes.astype(np.uint32), number[index], often)
+    del index, number, often
     word_of, its_context = pair // CONTEXTS, (pair % CONTEXTS).astype(np.uint16)
     many = np.bincount(word_of, minlength=len(words)).astype(np.uint32)
     where = part_of(words, parts)
-    starts = np.r_[0, np.cumsum(many)]
+    begin = np.r_[0, np.cumsum(many)]
     cuts = np.r_[np.flatnonzero(np.r_[True, where[1:] != where[:-1]]), len(words)]
     for lo, hi in zip(cuts, cuts[1:]):
-        a, b = starts[lo], starts[hi]
+        a, b = begin[lo], begin[hi]
         yield _row(chunk, int(where[lo]), _PAIRS, words[lo:hi], many[lo:hi], its_context[a:b], learned[a:b])
 
 
-def _packed_ids(ids: pa.Array) -> bytes:
-    """Nullable ids as bytes: the null flags, then the values."""
-    null = ids.is_null().to_numpy(zero_copy_only=False)
-    return null.tobytes() + pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype(np.int64).tobytes()
-
-
 def chunks(docs: DataFrame, parts: int) -> DataFrame:
     """Document and pair rows of all chunks, from (doc_id, held, text)."""
 
@@ -131,26 +152,46 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(*(c.to_pylist() for c in b.columns))
 
 
-def _arrays(row: tuple, *kinds: type) -> list[np.ndarray]:
-    return [np.frombuffer(c, t) if c else np.zeros(0, t) for c, t in zip(row[3:], kinds)]
-
-
-def _pairs(row: tuple) -> tuple[np.ndarray, ...]:
-    words, many, context, n = _arrays(row, np.uint64, np.uint32, np.uint16, np.uint32)
-    return words, many.astype(np.int64), context.astype(np.int64), n.astype(np.int64)
+def _steps(at: np.ndarray) -> np.ndarray:
+    """Ascending positions as the steps between them."""
+    return np.diff(at, prepend=0).astype(np.uint32)
 
 
 def _add_up(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One partition's training counts: words, dishes by word, context, customers."""
-    read = [_pairs(r) for r in _cells(batches)]
-    word = np.concatenate([np.repeat(w, m) for w, m, _, _ in read])
-    context, n = np.concatenate([r[2] for r in read]), np.concatenate([r[3] for r in read])
-    word, context, n = word[n > 0], context[n > 0], n[n > 0]
-    words, at = np.unique(word, return_inverse=True)
-    pair, index = np.unique(at * CONTEXTS + context, return_inverse=True)
-    total = np.bincount(index, n, len(pair)).astype(np.int64) if len(pair) else np.zeros(0, np.int64)
+    """One row for a partition of the words: all words, their pairs and
+    training customers, and at which of them each chunk has its own."""
+    read = [(r[0], *_arrays(r, np.uint64, np.uint32, np.uint16, np.uint32)) for r in _cells(batches)]
+    words, at = np.unique(np.concatenate([r[1] for r in read]), return_inverse=True)
+    at, word_cuts = at.astype(np.int64), np.cumsum([len(r[1]) for r in read])
+    pair_keys = np.repeat(at, np.concatenate([r[2] for r in read])) * CONTEXTS + np.concatenate([r[3] for r in read])
+    pair, index = np.unique(pair_keys, return_inverse=True)
+    total = np.bincount(index, np.concatenate([r[4] for r in read]), len(pair)).astype(np.int64)
     many = np.bincount(pair // CONTEXTS, minlength=len(words)).astype(np.uint32)
-    yield _row(-1, key[0].as_py(), _COUNTS, words, many, (pair % CONTEXTS).astype(np.uint16), total)
+    sizes = np.array([[r[0], len(r[1]), len(r[3])] for r in read], dtype=np.int64).ravel()
+    pair_cuts = np.cumsum([len(r[3]) for r in read])
+    steps = [_steps(x) for x in [*np.split(at, word_cuts[:-1]), *np.split(index, pair_cuts[:-1])]]
+    yield _row(-1, key[0].as_py(), _COUNTS, words, many, (pair % CONTEXTS).astype(np.uint16), total, sizes, np.concatenate(steps))
+
+
+class Counts:
+    """A partition's row: all pairs, and those with training customers."""
+
+    def __init__(self, row: tuple):
+        self.words, self.many, self.context, self.n, self.sizes, self.steps = _arrays(row, np.uint64, np.uint32, np.uint16, np.int64, np.int64, np.uint32)
+        self.many, self.context = self.many.astype(np.int64), self.context.astype(np.int64)
+        self.word_of = np.repeat(np.arange(len(self.words)), self.many)
+
+    def learned(self) -> tuple[np.ndarray, ...]:
+        has = self.n > 0
+        known, at = np.unique(self.word_of[has], return_inverse=True)
+        return self.words[known], np.bincount(at, minlength=len(known)), self.context[has], self.n[has]
+
+    def members(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(chunk, its words, its pairs) as positions here."""
+        sizes = self.sizes.reshape(-1, 3)
+        cuts = np.split(self.steps.astype(np.int64), np.cumsum(np.r_[sizes[:, 1], sizes[:, 2]])[:-1])
+        for k, (chunk, _, _) in enumerate(sizes.tolist()):
+            yield chunk, np.cumsum(cuts[k]), np.cumsum(cuts[k + len(sizes)])
 
 
 def block_draw(customers: np.ndarray, strength: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
@@ -295,7 +336,7 @@ def _summed(counts: DataFrame, history: list[Totals], seed: int) -> Totals:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(2 * CONTEXTS + 7)
         for r in _cells(batches):
-            s = Sampler(r[1], _counts(r), seed)
+            s = Sampler(r[1], Counts(r).learned(), seed)
             for k, t in enumerate(history):
                 s.sweep(k + 1, t)
             total += s.totals()
@@ -306,11 +347,6 @@ def _summed(counts: DataFrame, history: list[Totals], seed: int) -> Totals:
     return Totals({r["at"]: r["value"] for r in rows})
 
 
-def _counts(row: tuple) -> tuple[np.ndarray, ...]:
-    words, many, context, n = _arrays(row, np.uint64, np.uint32, np.uint16, np.int64)
-    return words, many.astype(np.int64), context.astype(np.int64), n
-
-
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = 1, folds: int = 5, seed: int = 0) -> DataFrame:
     """One row per row: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score and score (log10 probability of the text and its end).
@@ -330,21 +366,16 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
         history.append(_summed(counts, list(history), seed))
     sent = docs.sparkSession.sparkContext.broadcast(history)  # a fixed number of totals
 
-    def answer(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, own = [], None
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in _cells(batches):
-            if r[2] == _COUNTS:
-                own = Sampler(r[1], _counts(r), seed)
-            else:
-                asked.append((r[0], *_pairs(r)[:3]))
-        words, many, context = (np.concatenate([a[k] for a in asked]) for k in (1, 2, 3))
-        logs, count = own.averaged(sent.value, words, many, context)
-        logs, w, p = logs.astype(np.float32), 0, 0
-        for chunk, its_words, its_many, its_context in asked:
-            yield _row(chunk, key[0].as_py(), _ANSWER, logs[p : p + len(its_context)], count[w : w + len(its_words)], its_many.astype(np.uint32))
-            w, p = w + len(its_words), p + len(its_context)
-
-    answers = pairs.withColumn("d", F.lit(None).cast("binary")).unionByName(counts).groupBy("part").applyInArrow(answer, _BLOBS)
+            every = Counts(r)
+            logs, count = Sampler(r[1], every.learned(), seed).averaged(sent.value, every.words, every.many, every.context)
+            logs = logs.astype(np.float32)
+            for chunk, its_words, its_pairs in every.members():
+                many = np.bincount(np.searchsorted(its_words, every.word_of[its_pairs]), minlength=len(its_words))
+                yield _row(chunk, r[1], _ANSWER, logs[its_pairs], count[its_words], many.astype(np.uint32))
+
+    answers = counts.mapInArrow(answer, _BLOBS)
     tokens, words = history[0].tokens, history[0].words
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,18 +385,17 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
                 own = r
             else:
                 found[r[1]] = r  # by partition: the order of the words
-        order = [found[k] for k in sorted(found)]
-        logs = np.concatenate([np.frombuffer(r[3], np.float32) for r in order]).astype(np.float64)
-        count = np.concatenate([np.repeat(np.frombuffer(r[4], np.int64), np.frombuffer(r[5], np.uint32)) for r in order])
-        n = len(own[4])
-        null, ids = np.frombuffer(own[3][:n], bool), np.frombuffer(own[3][n:], np.int64)
-        sizes, index = np.frombuffer(own[5], np.uint32).astype(np.int64), np.frombuffer(own[6], np.uint32)
+        answers = [_arrays(found[k], np.float32, np.int64, np.uint32) for k in sorted(found)]
+        logs = np.concatenate([a[0] for a in answers]).astype(np.float64)
+        count = np.concatenate([np.repeat(a[1], a[2]) for a in answers])
+        ids, null, held, sizes, number, often = _arrays(own, np.int64, bool, bool, np.uint32, np.uint32, np.uint32)
+        sizes = sizes.astype(np.int64)
         starts = np.cumsum(sizes) - sizes
         base = np.log10((count + 0.5) / (tokens + 0.5 * (words + 1)))
-        per_doc = lambda x: np.add.reduceat(x[index], starts)
+        per_doc = lambda x: np.add.reduceat(x[often][number], starts)
         yield pa.RecordBatch.from_arrays([
-            pa.array(ids, pa.int64(), mask=null), pa.array(np.frombuffer(own[4], bool)), pa.array(sizes), pa.array(per_doc((count > 0).astype(np.int64))),
-            pa.array(np.full(n, int(tokens), np.int64)), pa.array(per_doc(base)), pa.array(per_doc(logs)),
+            pa.array(ids, pa.int64(), mask=null), pa.array(held), pa.array(sizes), pa.array(per_doc((count > 0).astype(np.int64))),
+            pa.array(np.full(len(ids), int(tokens), np.int64)), pa.array(per_doc(base)), pa.array(per_doc(logs)),
         ], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     records = rows.where(F.col("kind") == _DOCS)

@@ -102,3 +102,30 @@ def test_odd_rows_and_repetition(spark):
 
 def test_contexts_are_bounded():
     assert all(0 < context_of(w) < CONTEXTS for w in (b"", b"a", b"the", b"longer", "é日本語".encode()))
+
+
+def test_chunks_of_any_size_give_the_same_scores(spark, monkeypatch):
+    """Sliced batches, several chunks a batch: the same text, the same columns."""
+    import tessera.llm.hpylm as module
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(3)
+    whole = {r.doc_id: r for r in scores(docs).collect()}
+    monkeypatch.setattr(module, "CHUNK_BYTES", 20_000)
+    cut = {r.doc_id: r for r in scores(docs).collect()}
+    want = {b[0]: b for b in base([(r.doc_id, r.text) for r in docs.collect()])}
+    assert len(cut) == len(whole) == len(want)
+    for i, r in cut.items():
+        assert (r.n_tokens, r.n_known, r.train_tokens) == want[i][2:5] and abs(r.base_score - want[i][5]) < 1e-6
+        assert abs(r.score - whole[i].score) < 1e-3 * abs(r.score)
+
+
+def test_words_of_slices():
+    import pyarrow as pa
+
+    from tessera.llm.common import words_of
+
+    texts = ["AB cd", None, "É\x1ca b", " x\x0b\x0cy z ", "", "q"] * 50
+    for lo, hi in ((0, 300), (7, 200), (290, 300), (3, 3)):
+        flat, n = words_of(pa.array(texts)[lo:hi])
+        want = [[w.decode() for w in (t or "").encode().lower().split()] for t in texts[lo:hi]]
+        assert n.tolist() == [len(w) for w in want] and flat.to_pylist() == [w for ws in want for w in ws]
