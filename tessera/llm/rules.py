@@ -32,8 +32,8 @@ _COMMON = frozenset(
 _TABLES = {
     "upper": bytes(range(65, 91)), "digit": bytes(range(48, 58)), "symbol": b"#*$%&<>@^~={}[]\\/_+", "bar": b"|", "mark": b".,;:!?'\"()-", "wide": bytes(range(128, 256)), "end": b".!?", "bang": b"!",
 }
-#: Labelled rows the classifier is fitted on at most (those of the smallest
-#: hash); trees, their depth, candidate cuts a statistic, lasso strength.
+#: Labelled ids that the classifier is fitted on, about, if there are more
+#: (chosen by hash); trees, their depth, cuts a statistic, lasso strength.
 SAMPLE_ROWS, TREES, DEPTH, CUTS, RATE, LASSO, STEPS = 20_000, 40, 3, 24, 0.3, 0.002, 400
 
 
@@ -182,24 +182,31 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 0) -> RuleModel:
     return RuleModel(bias, [(r, float(w)) for r, w in zip(rules, weight) if abs(w) > 1e-9])
 
 
-def training_rows(stats: DataFrame, labels: DataFrame, fold: int = 1, folds: int = 3, limit: int = SAMPLE_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Statistics and labels of labelled rows outside the held-out fold: the
-    ``limit`` rows of the smallest id hash, so the driver's share is bounded."""
+def sampled_labels(ids: DataFrame, labels: DataFrame, fold: int = 1, folds: int = 3, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(doc_id, label) of about ``rows`` labelled ids outside the held-out
+    fold that occur in ``ids``: those whose hash is below the share wanted."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).where("label in (0, 1)")
     known = known.where(id_text_crc("doc_id") % folds != fold).groupBy("doc_id").agg(F.max("label").alias("label"))
-    rows = stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *STATISTICS).limit(limit).collect()
-    x = np.array([[r[s] for s in STATISTICS] for r in rows], dtype=np.float64).reshape(len(rows), len(STATISTICS))
+    here = staged(known.join(ids.select("doc_id").distinct(), "doc_id"), "labels")
+    share = min(1.0, rows / max(1, here.count()))
+    return here.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
+def training_rows(stats: DataFrame, sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Statistics and labels of the sample, by id; of an id with several rows
+    the smallest statistics. The driver gets one row for each sampled id."""
+    each = stats.join(sample, "doc_id").groupBy("doc_id").agg(F.min(F.struct(*STATISTICS)).alias("s"), F.max("label").alias("label"))
+    rows = sorted(each.collect(), key=lambda r: r["doc_id"])
+    x = np.array([list(r["s"]) for r in rows], dtype=np.float64).reshape(len(rows), len(STATISTICS))
     return x, np.array([r["label"] for r in rows], dtype=np.float64)
 
 
 def sampled_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> RuleModel:
     """The model of ``quality_scores``, from statistics of the sample only."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
-    known = known.where("label in (0, 1)").where(id_text_crc("doc_id") % 3 != 1).select("doc_id").distinct()
     here = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ids = here.select("doc_id").join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
-    rows = here.join(F.broadcast(ids.distinct()), "doc_id")  # at most SAMPLE_ROWS ids
-    return fit(*training_rows(staged(with_statistics(rows), "statistics"), labels))
+    sample = staged(sampled_labels(here, labels), "label-sample")
+    rows = here.join(F.broadcast(sample.select("doc_id")), "doc_id")  # about SAMPLE_ROWS ids
+    return fit(*training_rows(staged(with_statistics(rows), "statistics"), sample))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
@@ -221,12 +228,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """One row per row: doc_id, held_out, score (0 to 1) and predicted.
 
     Labels are learned only from rows whose crc32(doc_id as text) mod 3 is not
-    1, at most SAMPLE_ROWS of them; labels other than 0 and 1 and null ids
+    1, about SAMPLE_ROWS of them where there are more; labels other than 0 and 1 and null ids
     teach nothing, an id labelled twice has its greatest label. Null and empty
     texts have statistics of zero and are scored like any other; without
     labels every score is 0.5. Repeated rows stay; an empty table gives no
     rows; other columns are ignored."""
     stats = staged(with_statistics(docs, id_col, text_col), "statistics")
-    model = fit(*training_rows(stats, labels))
+    model = fit(*training_rows(stats, sampled_labels(stats, labels)))
     out = stats.select("doc_id", (id_text_crc("doc_id") % 3 == 1).alias("held_out"), model.column().alias("score"))
     return out.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))

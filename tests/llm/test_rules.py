@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 
-from tessera.llm.rules import STATISTICS, fit, holds, quality_scores, statistics, training_rows, with_statistics
+from tessera.llm.rules import STATISTICS, fit, holds, quality_scores, sampled_labels, statistics, training_rows, with_statistics
 
 DOCS = "doc_id long, text string, lang string, source string, score string"
 
@@ -50,7 +50,7 @@ def test_compiled_column_equals_the_model(spark):
     df = spark.createDataFrame(rows, DOCS)
     labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(240)], "doc_id long, quality int")
     stats = with_statistics(df)
-    x, y = training_rows(stats, labels)
+    x, y = training_rows(stats, sampled_labels(stats, labels))
     assert len(y) == sum(fold(i) != 1 for i in range(240))
     model = fit(x, y)
     got = {r.doc_id: r.s for r in stats.select("doc_id", model.column().alias("s")).collect()}
@@ -77,3 +77,12 @@ def test_odd_rows(spark):
     none = quality_scores(spark.createDataFrame(rows, DOCS), labels.limit(0)).collect()
     assert {r.score for r in none} == {0.5}
     assert quality_scores(spark.createDataFrame([], DOCS), labels).collect() == []
+
+
+def test_samples_are_bounded_and_whole_when_small(spark):
+    ids = spark.range(20000).withColumnRenamed("id", "doc_id")
+    labels = ids.selectExpr("doc_id", "cast(doc_id % 2 as int) quality")
+    every = sum(fold(i) != 1 for i in range(20000))
+    assert sampled_labels(ids, labels, rows=10**6).count() == every
+    assert abs(sampled_labels(ids, labels, rows=2000).count() - 2000) < 250
+    assert sampled_labels(ids.limit(0), labels).count() == 0
