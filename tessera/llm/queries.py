@@ -6,18 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.common import table
 from tessera.llm.divergence import CLASSES, COMMON_WORDS, MAX_CLASS_DISTANCE, MIN_CHARS, MIN_WORDS, WORD_BASE, WORD_NOISE, WORDS
+from tessera.operators.parallel import spread
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents; a scan of fewer tasks than cores is dealt over them."""
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.simhash import simhash_components
 
-    return simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=2)
+    return simhash_components(documents(spark, sf_dir), shingle=3, distance=2)
 
 
 def op2_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.hpylm import scores
 
-    return scores(table(spark, sf_dir, "documents"))
+    return scores(documents(spark, sf_dir))
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,13 +35,13 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.divergence import quality_rules
 
-    return quality_rules(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+    return quality_rules(documents(spark, sf_dir)).drop("class_distance", "word_distance")
 
 
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.pii import personal_data
 
-    return personal_data(table(spark, sf_dir, "documents"))
+    return personal_data(documents(spark, sf_dir))
 
 
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +55,7 @@ def op7_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from tessera.llm.bpe import encode_digests
 
-    return encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return encode_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,13 +63,13 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from tessera.llm.token_count import token_counts
 
-    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+    return token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
 def op9_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.rules import quality_scores
 
-    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +77,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from tessera.llm.packing import pack
 
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+    return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
 QUERIES = {
