@@ -1,19 +1,19 @@
 """Language-model scores from a hierarchical Pitman-Yor model.
 
 Words are dishes. Each context has a restaurant whose new tables order their
-dish from one shared parent restaurant, which orders from the uniform
-distribution. A context is the previous token: the start of the text, a short
-word (by hash bucket) or the ending of a longer one (by hash bucket), so the
-number of restaurants is fixed and everything that concerns a word - its
-customers in all restaurants and its tables in the parent - lies in one
-partition of the words. Seating is sampled there: a block draw of each dish's
-tables, then Gibbs moves that take a random customer out and seat it anew by
-the Chinese-restaurant rule. Between sweeps only the table totals of the
-restaurants are exchanged. Scores average the predictive probabilities of the
-sweeps after the first.
-
-Sweeps are seeded by partition and number, so a partition recomputes them from
-its counts and the totals instead of storing them. Words are told apart by
+dish from one shared parent restaurant (the unigrams), which orders from the
+uniform distribution. A context is the whole previous token, told apart by a
+63-bit hash, or the start of the text, so restaurants grow with the corpus.
+Everything that concerns a word - its customers in all restaurants and its
+tables in the parent - lies in one partition of the words, and seating is
+sampled there. What a restaurant's customers and tables come to over all words
+lies in one partition of the contexts: each partition of the words adds up its
+own first and sends one number for each of its contexts, so that a frequent
+context is as many numbers as there are partitions; it gets the totals back.
+Scores average the predictive probabilities of the sweeps after the first.
+
+Sweeps are seeded by partition and number; the tables of dishes with several
+customers are carried from sweep to sweep. Words are told apart by
 64-bit hashes. Texts travel once: a chunk of documents keeps, for each token,
 the number of its (word, context) pair, sends its pairs to the partitions of
 the words and gets a probability back for each.
@@ -21,7 +21,7 @@ the words and gets a probability back for each.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,20 +34,21 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import column_of, id_text_crc, staged, words_of
 
-#: Context restaurants: the start, short words, endings of longer words.
-SHORT_BYTES, SHORT_BUCKETS, ENDING_BYTES, ENDING_BUCKETS = 4, 959, 2, 64
-CONTEXTS = 1 + SHORT_BUCKETS + ENDING_BUCKETS
+#: Contexts are numbers below this one; 0 is the start of a text.
+CONTEXTS = 1 << 63
 #: Strengths of the context restaurants and of the parent; sweeps, of which
-#: the first is not averaged; Gibbs moves for each dish in a sweep.
-CONTEXT_STRENGTH, PARENT_STRENGTH, SWEEPS, MOVES = 1.0, 1.0, 3, 6
+#: so many settle and are not averaged; Gibbs moves for each dish in a sweep.
+CONTEXT_STRENGTH, PARENT_STRENGTH, SWEEPS, SETTLING, MOVES = 1.0, 1.0, 3, 1, 6
 #: Text bytes in a chunk of documents.
 CHUNK_BYTES = 16 << 20
 #: Stands for the end of a text; no word holds a space.
 END = b" "
 
-_NAMES = ["chunk", "part", "kind", *"abcdef"]
-_BLOBS = "chunk long, part long, kind int, " + ", ".join(f"{c} binary" for c in "abcdef")
-_DOCS, _PAIRS, _COUNTS, _ANSWER = range(4)
+_NAMES = ["chunk", "part", "kind", *"abcdefg"]
+_BLOBS = "chunk long, part long, kind int, " + ", ".join(f"{c} binary" for c in "abcdefg")
+_DOCS, _PAIRS, _COUNTS, _ANSWER, _SENT, _BACK, _MEMBERS, _CORE, _STATE = range(9)
+#: A row of sweep k has a chunk number of k times this and more.
+_SWEEP = 1 << 32
 
 
 def pack(a: np.ndarray) -> bytes:
@@ -62,19 +63,22 @@ def unpack(cell: bytes, kind: type) -> np.ndarray:
 
 
 def _row(chunk: int, part: int, kind: int, *data: np.ndarray) -> pa.RecordBatch:
-    cells = [pack(d) for d in data] + [None] * (6 - len(data))
+    cells = [pack(d) for d in data] + [None] * (7 - len(data))
     return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part], pa.int64()), pa.array([kind], pa.int32()), *(pa.array([c], pa.binary()) for c in cells)], _NAMES)
 
 
 def _arrays(row: tuple, *kinds: type) -> list[np.ndarray]:
-    return [unpack(c, k) for c, k in zip(row[3:], kinds)]
+    return [unpack(c, k) for c, k in zip(row[3:], kinds) if c is not None]
+
+
+def contexts_of(hashes: np.ndarray) -> np.ndarray:
+    """The restaurants of the tokens that follow words, from the words' hashes."""
+    return (hashes % np.uint64(CONTEXTS - 1)).astype(np.int64) + 1
 
 
 def context_of(word: bytes) -> int:
     """The restaurant of the token that follows ``word``."""
-    if len(word) <= SHORT_BYTES:
-        return 1 + xxhash.xxh64_intdigest(word) % SHORT_BUCKETS
-    return 1 + SHORT_BUCKETS + xxhash.xxh64_intdigest(word[-ENDING_BYTES:]) % ENDING_BUCKETS
+    return int(contexts_of(np.array([xxhash.xxh64_intdigest(word)], np.uint64))[0])
 
 
 def part_of(words: np.ndarray, parts: int) -> np.ndarray:
@@ -89,13 +93,14 @@ def _chunk(ids: pa.Array, held: np.ndarray, texts: pa.Array, chunk: int, parts:
     del flat
     spelled = [w.encode() for w in coded.dictionary.to_pylist()] + [END]
     hashes = np.array([xxhash.xxh64_intdigest(w) for w in spelled], dtype=np.uint64)
-    follow = np.array([context_of(w) for w in spelled], dtype=np.uint16)
     end = len(spelled) - 1
     del spelled
     order = np.argsort(hashes)
     words = hashes[order]
     rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order), dtype=np.int32)
+    contexts, follow = np.unique(np.r_[0, contexts_of(hashes)], return_inverse=True)
+    follow = follow[1:]
     sizes = n + 1  # with the end
     ends = np.cumsum(sizes) - 1
     token = np.full(int(sizes.sum()), end, np.int32)
@@ -103,10 +108,10 @@ def _chunk(ids: pa.Array, held: np.ndarray, texts: pa.Array, chunk: int, parts:
     inner[ends] = False
     token[inner] = coded.indices.to_numpy()
     del coded, inner
-    key = rank[token].astype(np.int64) * CONTEXTS
+    key = rank[token].astype(np.int64) * len(contexts)
     key[1:] += follow[token[:-1]]
     starts = ends + 1 - sizes
-    key[starts] = rank[token[starts]].astype(np.int64) * CONTEXTS
+    key[starts] = rank[token[starts]].astype(np.int64) * len(contexts)
     del token
     pair, index = np.unique(key, return_inverse=True)
     del key
@@ -120,14 +125,15 @@ def _chunk(ids: pa.Array, held: np.ndarray, texts: pa.Array, chunk: int, parts:
     values = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype(np.int64)
     yield _row(chunk, -1, _DOCS, values, null, held, sizes.astype(np.uint32), number[index], often)
     del index, number, often
-    word_of, its_context = pair // CONTEXTS, (pair % CONTEXTS).astype(np.uint16)
+    word_of, its_context = pair // len(contexts), pair % len(contexts)
     many = np.bincount(word_of, minlength=len(words)).astype(np.uint32)
     where = part_of(words, parts)
     begin = np.r_[0, np.cumsum(many)]
     cuts = np.r_[np.flatnonzero(np.r_[True, where[1:] != where[:-1]]), len(words)]
     for lo, hi in zip(cuts, cuts[1:]):
         a, b = begin[lo], begin[hi]
-        yield _row(chunk, int(where[lo]), _PAIRS, words[lo:hi], many[lo:hi], its_context[a:b], learned[a:b])
+        here, at = np.unique(its_context[a:b], return_inverse=True)
+        yield _row(chunk, int(where[lo]), _PAIRS, words[lo:hi], many[lo:hi], np.diff(contexts[here], prepend=0), at.astype(np.uint32), learned[a:b])
 
 
 def chunks(docs: DataFrame, parts: int) -> DataFrame:
@@ -158,33 +164,46 @@ def _steps(at: np.ndarray) -> np.ndarray:
 
 
 def _add_up(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for a partition of the words: all words, their pairs and
+    """One row for a partition of the words: all words, their contexts and
     training customers, and at which of them each chunk has its own."""
-    read = [(r[0], *_arrays(r, np.uint64, np.uint32, np.uint16, np.uint32)) for r in _cells(batches)]
+    read = [(r[0], *_arrays(r, np.uint64, np.uint32, np.int64, np.uint32, np.uint32)) for r in _cells(batches)]
     words, at = np.unique(np.concatenate([r[1] for r in read]), return_inverse=True)
     at, word_cuts = at.astype(np.int64), np.cumsum([len(r[1]) for r in read])
-    pair_keys = np.repeat(at, np.concatenate([r[2] for r in read])) * CONTEXTS + np.concatenate([r[3] for r in read])
+    contexts, place = np.unique(np.concatenate([np.cumsum(r[3]) for r in read]), return_inverse=True)
+    first = np.cumsum([0, *(len(r[3]) for r in read)])
+    its_context = np.concatenate([place[f + r[4].astype(np.int64)] for f, r in zip(first, read)])
+    pair_keys = np.repeat(at, np.concatenate([r[2] for r in read])) * len(contexts) + its_context
     pair, index = np.unique(pair_keys, return_inverse=True)
-    total = np.bincount(index, np.concatenate([r[4] for r in read]), len(pair)).astype(np.int64)
-    many = np.bincount(pair // CONTEXTS, minlength=len(words)).astype(np.uint32)
-    sizes = np.array([[r[0], len(r[1]), len(r[3])] for r in read], dtype=np.int64).ravel()
-    pair_cuts = np.cumsum([len(r[3]) for r in read])
+    total = np.bincount(index, np.concatenate([r[5] for r in read]), len(pair)).astype(np.int64)
+    many = np.bincount(pair // len(contexts), minlength=len(words)).astype(np.uint32)
+    sizes = np.array([[r[0], len(r[1]), len(r[4])] for r in read], dtype=np.int64).ravel()
+    pair_cuts = np.cumsum([len(r[4]) for r in read])
     steps = [_steps(x) for x in [*np.split(at, word_cuts[:-1]), *np.split(index, pair_cuts[:-1])]]
-    yield _row(-1, key[0].as_py(), _COUNTS, words, many, (pair % CONTEXTS).astype(np.uint16), total, sizes, np.concatenate(steps))
+    yield _row(-1, key[0].as_py(), _COUNTS, words, many, np.diff(contexts, prepend=0), (pair % len(contexts)).astype(np.uint32), total, sizes, np.concatenate(steps))
 
 
 class Counts:
     """A partition's row: all pairs, and those with training customers."""
 
     def __init__(self, row: tuple):
-        self.words, self.many, self.context, self.n, self.sizes, self.steps = _arrays(row, np.uint64, np.uint32, np.uint16, np.int64, np.int64, np.uint32)
-        self.many, self.context = self.many.astype(np.int64), self.context.astype(np.int64)
+        self.words, self.many, steps, self.at, self.n, self.sizes, self.steps = _arrays(row, np.uint64, np.uint32, np.int64, np.uint32, np.int64, np.int64, np.uint32)
+        self.contexts = np.cumsum(steps)
+        self.many, self.at = self.many.astype(np.int64), self.at.astype(np.int64)
         self.word_of = np.repeat(np.arange(len(self.words)), self.many)
 
     def learned(self) -> tuple[np.ndarray, ...]:
+        """Words, their pairs, contexts (as positions) and customers."""
         has = self.n > 0
         known, at = np.unique(self.word_of[has], return_inverse=True)
-        return self.words[known], np.bincount(at, minlength=len(known)), self.context[has], self.n[has]
+        return self.words[known], np.bincount(at, minlength=len(known)), self.at[has], self.n[has]
+
+    def core(self) -> tuple[np.ndarray, ...]:
+        """What sweeps need: by word its dishes of several customers and of one, the contexts
+        and customers of the former, and by context the dishes of one customer."""
+        words, many, at, n = self.learned()
+        word_of, one = np.repeat(np.arange(len(words)), many), n == 1
+        count = lambda x, size: np.bincount(x, minlength=size)
+        return count(word_of[~one], len(words)), count(word_of[one], len(words)), at[~one], n[~one], count(at[one], len(self.contexts))
 
     def members(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(chunk, its words, its pairs) as positions here."""
@@ -250,53 +269,72 @@ def sampled_tables(customers: np.ndarray, strength: np.ndarray, discount: float,
 
 
 class Totals:
-    """What the partitions need to know of each other after a sweep."""
+    """What the partitions need to know of each other after a sweep: numbers
+    of the whole model, and customers and tables of context restaurants."""
 
-    def __init__(self, values: dict[int, float]):
-        get = lambda k: float(values.get(k, 0.0))
-        self.customers = np.array([get(k) for k in range(CONTEXTS)])  # of the context restaurants
-        self.tables = np.array([get(CONTEXTS + k) for k in range(CONTEXTS)])
-        self.words, self.tokens, self.parent_tables, once, twice, parent_once, parent_twice = (get(2 * CONTEXTS + k) for k in range(7))
+    def __init__(self, values: dict):
+        self.words, self.tokens, self.parent_tables, self.served, once, twice, parent_once, parent_twice = (float(x) for x in values.get(0, np.zeros(8)))
+        self.contexts, self.customers, self.tables = (values.get(k, np.zeros(0, np.int64)) for k in (1, 2, 3))
         share = lambda a, b: min(0.95, max(0.05, a / (a + 2 * b))) if a + b else 0.5
         self.discount, self.parent_discount = share(once, twice), share(parent_once, parent_twice)
 
-
-def _totals(words: int, context: np.ndarray, n: np.ndarray, tables: np.ndarray, parent: np.ndarray, served: np.ndarray) -> np.ndarray:
-    more = [words, n.sum(), parent.sum(), (n == 1).sum(), (n == 2).sum(), (served == 1).sum(), (served == 2).sum()]
-    return np.concatenate([np.bincount(context, n, CONTEXTS), np.bincount(context, tables, CONTEXTS), more])
+    def of(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(customers, tables) of each context."""
+        if contexts is self.contexts:
+            return self.customers, self.tables
+        if not len(self.contexts):
+            return np.zeros(len(contexts), np.int64), np.zeros(len(contexts), np.int64)
+        at = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
+        has = self.contexts[at] == contexts
+        return np.where(has, self.customers[at], 0), np.where(has, self.tables[at], 0)
 
 
 class Sampler:
-    """The seating of one partition's words, sweep by sweep."""
+    """The seating of one partition's words, sweep by sweep.
 
-    def __init__(self, part: int, counts: tuple[np.ndarray, ...], seed: int = 0):
+    ``counts`` has words, pairs by word, contexts and customers; contexts are
+    positions in ``contexts`` if that is given. ``ones`` has dishes of one
+    customer beside them, by word and by context: they have one table."""
+
+    def __init__(self, part: int, counts: tuple[np.ndarray, ...], seed: int = 0, contexts: np.ndarray | None = None, ones: tuple[np.ndarray, np.ndarray] | None = None):
         self.part, self.seed = part, seed
-        self.words, many, self.context, self.n = counts
-        self.word_of = np.repeat(np.arange(len(self.words)), many)
+        self.words, many, context, self.n = counts
+        self.contexts, self.at = np.unique(context, return_inverse=True) if contexts is None else (contexts, context)
+        self.size = len(many)
+        self.word_of = np.repeat(np.arange(self.size), many)
+        self.ones = ones or (np.zeros(self.size, np.int64), np.zeros(len(self.contexts), np.int64))
         self.tables = np.ones(len(self.n), np.int64)
-        self.parent = np.ones(len(self.words), np.int64)
+        self.parent = np.ones(self.size, np.int64)
 
     def served(self) -> np.ndarray:
         """Customers of each word in the parent: its tables in the contexts."""
-        return np.bincount(self.word_of, self.tables, len(self.words)).astype(np.int64)
+        return np.bincount(self.word_of, self.tables, self.size).astype(np.int64) + self.ones[0]
 
-    def totals(self) -> np.ndarray:
-        return _totals(len(self.words), self.context, self.n, self.tables, self.parent, self.served())
+    def totals(self) -> list[np.ndarray]:
+        """Numbers of the whole model, contexts, their customers and tables: this partition's share."""
+        served, ones = self.served(), self.ones[0].sum()
+        model = [self.size, self.n.sum() + ones, self.parent.sum(), served.sum(), (self.n == 1).sum() + ones, (self.n == 2).sum(), (served == 1).sum(), (served == 2).sum()]
+        by_context = lambda x: np.bincount(self.at, x, len(self.contexts)).astype(np.int64) + self.ones[1]
+        return [np.array(model, float), self.contexts, by_context(self.n), by_context(self.tables)]
 
     def parent_probability(self, t: Totals) -> tuple[np.ndarray, float]:
         """P(word) in the parent, and that of a word never seen."""
         new = (PARENT_STRENGTH + t.parent_discount * t.parent_tables) / (t.words + 1)
-        every = PARENT_STRENGTH + t.tables.sum()
+        every = PARENT_STRENGTH + t.served
         return (self.served() - t.parent_discount * self.parent + new) / every, new / every
 
     def sweep(self, number: int, t: Totals) -> None:
         """Seat all customers anew, given the totals of the sweep before."""
         rng = np.random.default_rng([self.seed, self.part, number])
         known, _ = self.parent_probability(t)
-        strength = (CONTEXT_STRENGTH + t.discount * t.tables[self.context]) * known[self.word_of]
+        strength = (CONTEXT_STRENGTH + t.discount * t.of(self.contexts)[1])[self.at] * known[self.word_of]
         self.tables = sampled_tables(self.n, strength, t.discount, MOVES, rng)
         new = (PARENT_STRENGTH + t.parent_discount * t.parent_tables) / (t.words + 1)
-        self.parent = sampled_tables(self.served(), np.full(len(self.words), new), t.parent_discount, MOVES, rng)
+        self.parent = sampled_tables(self.served(), np.full(self.size, new), t.parent_discount, MOVES, rng)
+
+    def sample(self, t: Totals) -> tuple:
+        """What the seating and the totals after it say of probabilities."""
+        return t, self.tables, *self.parent_probability(t)
 
     def averaged(self, history: list[Totals], words: np.ndarray, many: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(log10 predictive probability of each pair, training count of each
@@ -305,46 +343,146 @@ class Sampler:
         for k, t in enumerate(history):
             if k:
                 self.sweep(k, history[k - 1])
-            if k or len(history) == 1:
-                samples.append((t, self.tables, *self.parent_probability(t)))
-        samples = samples[1:] or samples  # the first sweep only settles
-        keys = self.word_of * CONTEXTS + self.context
+            samples.append(self.sample(t))
+        return self.predicted(samples[1 + SETTLING :] or samples[-1:], words, many, *np.unique(context, return_inverse=True))
+
+    def predicted(self, samples: list[tuple], words: np.ndarray, many: np.ndarray, contexts: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same from samples; the pairs' contexts are ``contexts[asked]``."""
+        place = np.searchsorted(contexts, self.contexts)  # own contexts that nobody asks for match no pair
+        own_asked = place < len(contexts)
+        own_asked[own_asked] = contexts[place[own_asked]] == self.contexts[own_asked]
+        mine = np.flatnonzero(own_asked[self.at])
+        keys = self.word_of[mine] * len(contexts) + place[self.at[mine]]
         at = np.searchsorted(self.words, words)
-        known = at < len(self.words)
+        known = at < self.size
         known[known] = self.words[at[known]] == words[known]
         count = np.zeros(len(words), np.int64)
-        count[known] = np.bincount(self.word_of, self.n, len(self.words)).astype(np.int64)[at[known]]
+        count[known] = np.bincount(self.word_of, self.n, self.size).astype(np.int64)[at[known]]
         word_at, word_known = np.repeat(at, many), np.repeat(known, many)
-        dish = np.searchsorted(keys, word_at * CONTEXTS + context)
+        pair = word_at * len(contexts) + asked
+        dish = np.searchsorted(keys, pair)
         has = word_known & (dish < len(keys))
-        has[has] = keys[dish[has]] == (word_at * CONTEXTS + context)[has]
-        p = np.zeros(len(context))
+        has[has] = keys[dish[has]] == pair[has]
+        dish = mine[dish[has]]
+        p = np.zeros(len(asked))
         for t, tables, parent, unseen in samples:
-            from_parent = np.full(len(context), unseen)
+            from_parent = np.full(len(asked), unseen)
             from_parent[word_known] = parent[word_at[word_known]]
-            own = np.zeros(len(context))
-            own[has] = self.n[dish[has]] - t.discount * tables[dish[has]]
-            customers = t.customers[context]
-            here = (own + (CONTEXT_STRENGTH + t.discount * t.tables[context]) * from_parent) / (CONTEXT_STRENGTH + customers)
+            own = np.zeros(len(asked))
+            own[has] = self.n[dish] - t.discount * tables[dish]
+            customers, all_tables = (x[asked] for x in t.of(contexts))
+            here = (own + (CONTEXT_STRENGTH + t.discount * all_tables) * from_parent) / (CONTEXT_STRENGTH + customers)
             p += np.where(customers > 0, here, from_parent)
         return np.log10(p / len(samples)), count
 
 
-def _summed(counts: DataFrame, history: list[Totals], seed: int) -> Totals:
-    """Totals after as many sweeps as ``history`` has totals before them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * CONTEXTS + 7)
-        for r in _cells(batches):
-            s = Sampler(r[1], Counts(r).learned(), seed)
-            for k, t in enumerate(history):
-                s.sweep(k + 1, t)
-            total += s.totals()
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.float64())], ["at", "value"])
-
-    rows = counts.mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()
-    return Totals({r["at"]: r["value"] for r in rows})
+def _cuts(contexts: np.ndarray, parts: int) -> np.ndarray:
+    """Where the partitions of the contexts begin and end in sorted contexts."""
+    return np.searchsorted(part_of(contexts.astype(np.uint64) << np.uint64(1), parts), np.arange(parts + 1))
+
+
+def _first(batches: Iterator[pa.RecordBatch], seed: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """From the partitions of the words to those of the contexts: contexts,
+    customers and tables, one table a dish; and on their way back, the rows of the sweeps."""
+    for r in _cells(batches):
+        counts = Counts(r)
+        s = Sampler(r[1], counts.learned(), seed, counts.contexts)
+        model, _, customers, tables = s.totals()
+        cuts = _cuts(counts.contexts, parts)
+        for c, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            yield _row(r[1], c, _SENT, model, tables[a:b], customers[a:b], np.diff(counts.contexts[a:b], prepend=0))
+        yield _row(r[1], r[1] % parts, _CORE, *(x.astype(np.int64) for x in counts.core()), cuts)
+
+
+def _merge(key: tuple, batches: Iterator[pa.RecordBatch], number: int) -> Iterator[pa.RecordBatch]:
+    """Totals of a partition of the contexts, sent back to those of the words."""
+    sent, members = {}, None
+    for r in _cells(batches):
+        if r[2] == _SENT:
+            sent[r[0]] = r
+        elif r[2] == _MEMBERS:
+            members = r
+        else:  # passes by
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((number * _SWEEP, r[0], *r[2:]), (pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 7))], _NAMES)
+    if not sent:
+        return
+    c = key[0].as_py()
+    order = sorted(sent)
+    model = sum(_arrays(sent[w], float)[0] for w in order)
+    own = [_arrays(sent[w], float, np.int64, np.int64) for w in order]
+    cuts = np.cumsum([len(x[1]) for x in own])[:-1]
+    if members is None:
+        _, at = np.unique(np.concatenate([np.cumsum(_arrays(sent[w], float, np.int64, np.int64, np.int64)[3]) for w in order]), return_inverse=True)
+        yield _row(c, c, _MEMBERS, np.concatenate([_steps(x) for x in np.split(at, cuts)]))
+    else:
+        at = np.concatenate([np.cumsum(x) for x in np.split(_arrays(members, np.uint32)[0].astype(np.int64), cuts)])
+    summed = [np.split(np.bincount(at, np.concatenate([x[k] for x in own])).astype(np.int64)[at], cuts) for k in range(1, len(own[0]))]
+    for w, *mine in zip(order, *summed):
+        yield _row(number * _SWEEP + c, w, _BACK, model, *mine)
+
+
+def _sweep(key: tuple, batches: Iterator[pa.RecordBatch], number: int, seed: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """The next sweep of a partition of the words, and what it sends."""
+    core, state, back = None, None, {}
+    for r in _cells(batches):
+        if r[2] == _BACK:
+            back[r[0]] = r
+        elif r[2] == _STATE:
+            state = r
+        else:
+            core = r
+    part = key[0].as_py()
+    many, ones, at, n, context_ones, cuts = _arrays(core, *[np.int64] * 6)
+    contexts = np.arange(len(context_ones))  # stand for the contexts
+    s = Sampler(part, (None, many, at, n), seed, contexts, (ones, context_ones))
+    if state:
+        s.tables, s.parent = _arrays(state, np.int64, np.int64)
+    s.sweep(number, _returned(back, contexts))
+    model, _, _, tables = s.totals()
+    for c, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        yield _row(part, c, _SENT, model, tables[a:b])
+    yield _row(part, part % parts, _STATE, s.tables, s.parent)
+
+
+def _returned(back: dict[int, tuple], contexts: np.ndarray, customers: np.ndarray | None = None) -> Totals:
+    """Totals of a sweep from the rows of the partitions of the contexts."""
+    rows = [_arrays(back[k], float, np.int64, np.int64) for k in sorted(back)]
+    column = lambda k: np.concatenate([r[k] for r in rows])
+    return Totals({0: rows[0][0], 1: contexts, 2: column(2) if len(rows[0]) > 2 else customers, 3: column(1)})
+
+
+def _answer(key: tuple, batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBatch]:
+    """What each chunk asked of a partition of the words."""
+    counts, states, back = None, {}, {}
+    for r in _cells(batches):
+        if r[2] == _COUNTS:
+            counts = r
+        elif r[2] == _STATE:
+            states[r[0] // _SWEEP] = r
+        else:
+            back.setdefault(r[0] // _SWEEP, {})[r[0]] = r
+    part, every = key[0].as_py(), Counts(counts)
+    s = Sampler(part, every.learned(), seed, every.contexts)
+    start = _returned(back[0], every.contexts)
+    samples = []
+    for k in sorted(states):
+        tables, s.parent = _arrays(states[k], np.int64, np.int64)
+        s.tables = np.ones(len(s.n), np.int64)
+        s.tables[s.n > 1] = tables
+        samples.append(s.sample(_returned(back[k], every.contexts, start.customers)))
+    logs, count = s.predicted(samples, every.words, every.many, every.contexts, every.at)
+    logs = logs.astype(np.float32)
+    size = np.array([start.tokens, start.words])
+    for chunk, its_words, its_pairs in every.members():
+        many = np.bincount(np.searchsorted(its_words, every.word_of[its_pairs]), minlength=len(its_words))
+        yield _row(chunk, part, _ANSWER, logs[its_pairs], count[its_words], many.astype(np.uint32), size)
+
+
+def _by_part(rows: DataFrame, run: Callable, *more: int) -> DataFrame:
+    def each(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(key, batches, *more)
+
+    return rows.groupBy("part").applyInArrow(each, _BLOBS)
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = 1, folds: int = 5, seed: int = 0) -> DataFrame:
@@ -355,28 +493,26 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
     not ``fold``. Null and empty texts are an end alone; repeated rows are
     learned as often as they come; null ids are kept (the text of their id is
     empty); an empty table gives no rows; other columns are ignored. The
-    driver gets a fixed number of totals after each sweep."""
+    driver gets nothing."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.pmod(id_text_crc(id_col), F.lit(folds)) == fold).alias("held"), F.col(text_col).cast("string").alias("text"))
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = staged(chunks(src, parts), "lm-chunks")
+    context_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = staged(chunks(src, 4 * context_parts), "lm-chunks")
     pairs = rows.where(F.col("kind") == _PAIRS)
-    counts = staged(pairs.groupBy("part").applyInArrow(_add_up, _BLOBS), "lm-counts")
-    history: list[Totals] = []
-    for _ in range(SWEEPS + 1):
-        history.append(_summed(counts, list(history), seed))
-    sent = docs.sparkSession.sparkContext.broadcast(history)  # a fixed number of totals
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in _cells(batches):
-            every = Counts(r)
-            logs, count = Sampler(r[1], every.learned(), seed).averaged(sent.value, every.words, every.many, every.context)
-            logs = logs.astype(np.float32)
-            for chunk, its_words, its_pairs in every.members():
-                many = np.bincount(np.searchsorted(its_words, every.word_of[its_pairs]), minlength=len(its_words))
-                yield _row(chunk, r[1], _ANSWER, logs[its_pairs], count[its_words], many.astype(np.uint32))
-
-    answers = counts.mapInArrow(answer, _BLOBS)
-    tokens, words = history[0].tokens, history[0].words
+    counts = staged(_by_part(pairs, _add_up), "lm-counts")
+    kinds = lambda df, *k: df.where(F.col("kind").isin(*k))
+
+    def merged(sent: DataFrame, number: int) -> DataFrame:
+        return staged(_by_part(sent, _merge, number), f"lm-totals-{number}")
+
+    history = [merged(counts.mapInArrow(lambda b: _first(b, seed, context_parts), _BLOBS), 0)]
+    for k in range(1, SWEEPS + 1):
+        before = kinds(history[0], _CORE).unionByName(kinds(history[-1], _BACK, _STATE))
+        sent = _by_part(before, _sweep, k, seed, context_parts)
+        history.append(merged(sent.unionByName(kinds(history[0], _MEMBERS)), k))
+    asked = counts.unionByName(kinds(history[0], _BACK))
+    for h in history[1 + SETTLING :]:
+        asked = asked.unionByName(kinds(h, _BACK, _STATE))
+    answers = _by_part(asked, _answer, seed)
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, own = {}, None
@@ -385,7 +521,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
                 own = r
             else:
                 found[r[1]] = r  # by partition: the order of the words
-        answers = [_arrays(found[k], np.float32, np.int64, np.uint32) for k in sorted(found)]
+        answers = [_arrays(found[k], np.float32, np.int64, np.uint32, float) for k in sorted(found)]
+        tokens, words = answers[0][3]
         logs = np.concatenate([a[0] for a in answers]).astype(np.float64)
         count = np.concatenate([np.repeat(a[1], a[2]) for a in answers])
         ids, null, held, sizes, number, often = _arrays(own, np.int64, bool, bool, np.uint32, np.uint32, np.uint32)

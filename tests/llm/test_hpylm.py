@@ -129,3 +129,19 @@ def test_words_of_slices():
         flat, n = words_of(pa.array(texts)[lo:hi])
         want = [[w.decode() for w in (t or "").encode().lower().split()] for t in texts[lo:hi]]
         assert n.tolist() == [len(w) for w in want] and flat.to_pylist() == [w for ws in want for w in ws]
+
+
+def test_every_previous_word_is_a_context_of_its_own():
+    """Words of one ending, and more words than there once were restaurants."""
+    words = [b"nation", b"lemon", b"prison", b"the", *(f"word{k}".encode() for k in range(20000))]
+    assert len({context_of(w) for w in words}) == len(words)
+
+
+def test_words_of_one_ending_predict_their_own_successors(spark):
+    """After 60 words of one ending the next word is certain, each its own."""
+    rows = [(k, " ".join(f"x{i}nation y{i}" for i in range(k % 7, 60, 7)) + f" x{k % 60}nation") for k in range(700)]
+    out = scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert len(out) == 700
+    held = [r for r in out if r.held_out]
+    per_token = -sum(r.score for r in held) / sum(r.n_tokens for r in held)
+    assert per_token < 0.55 < -sum(r.base_score for r in held) / sum(r.n_tokens for r in held)
