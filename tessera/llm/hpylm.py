@@ -12,8 +12,10 @@ own first and sends one number for each of its contexts, so that a frequent
 context is as many numbers as there are partitions; it gets the totals back.
 Scores average the predictive probabilities of the sweeps after the first.
 
-Sweeps are seeded by partition and number; the tables of dishes with several
-customers are carried from sweep to sweep. Words are told apart by
+A sweep draws the tables of every dish from their exact distribution, given
+the totals of the sweep before (generalised Stirling numbers with the
+discount). Sweeps are seeded by partition and number; the tables of dishes
+with several customers are carried from sweep to sweep. Words are told apart by
 64-bit hashes. Texts travel once: a chunk of documents keeps, for each token,
 the number of its (word, context) pair, sends its pairs to the partitions of
 the words and gets a probability back for each.
@@ -21,6 +23,7 @@ the words and gets a probability back for each.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,8 +40,10 @@ from tessera.llm.common import column_of, id_text_crc, staged, words_of
 #: Contexts are numbers below this one; 0 is the start of a text.
 CONTEXTS = 1 << 63
 #: Strengths of the context restaurants and of the parent; sweeps, of which
-#: so many settle and are not averaged; Gibbs moves for each dish in a sweep.
-CONTEXT_STRENGTH, PARENT_STRENGTH, SWEEPS, SETTLING, MOVES = 1.0, 1.0, 3, 1, 6
+#: so many settle and are not averaged.
+CONTEXT_STRENGTH, PARENT_STRENGTH, SWEEPS, SETTLING = 1.0, 1.0, 7, 2
+#: Up to so many customers, a dish's tables are drawn from tabled Stirling numbers.
+TABLED = 512
 #: Text bytes in a chunk of documents.
 CHUNK_BYTES = 16 << 20
 #: Stands for the end of a text; no word holds a space.
@@ -214,7 +219,8 @@ class Counts:
 
 
 def block_draw(customers: np.ndarray, strength: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """(dish, size) of tables: each dish's customers by breaking sticks."""
+    """(dish, size) of tables: each dish's customers by breaking sticks, without
+    a discount. Sweeps do not use it."""
     dish, left = np.arange(len(customers)), customers.copy()
     dishes, sizes = [], []
     while len(dish):
@@ -229,7 +235,8 @@ def block_draw(customers: np.ndarray, strength: np.ndarray, rng: np.random.Gener
 def reseat(tables: np.ndarray, strength: np.ndarray, discount: float, moves: int, rng: np.random.Generator) -> None:
     """Gibbs moves on rows of table sizes (zeros are free): a random customer
     leaves and joins a table in proportion to size - discount, or a new one in
-    proportion to ``strength``. Each row needs ``moves`` free places."""
+    proportion to ``strength``. Each row needs ``moves`` free places. Sweeps do not
+    use them; tests do, as a second way to the distribution of tables."""
     rows, customers = np.arange(len(tables)), tables.sum(axis=1)
     for _ in range(moves):
         out = (tables.cumsum(axis=1) <= (rng.random(len(rows)) * customers)[:, None]).sum(axis=1)
@@ -241,30 +248,85 @@ def reseat(tables: np.ndarray, strength: np.ndarray, discount: float, moves: int
         tables[rows, np.minimum(seat, tables.shape[1] - 1)] += 1
 
 
+def _log_stirling(most: int, discount: float) -> np.ndarray:
+    """log S(n, t) for n, t up to ``most``: the summed weights of the seatings
+    of n customers at t tables, a table of m weighing (1 - discount) ... (m - 1 - discount)."""
+    out = np.full((most + 1, most + 1), -np.inf)
+    out[0, 0] = 0.0
+    for n in range(most):
+        t = np.arange(1, n + 2)
+        with np.errstate(divide="ignore"):
+            stay = np.log(np.maximum(n - discount * t, 0.0)) + out[n, 1 : n + 2]
+        out[n + 1, 1 : n + 2] = np.logaddexp(stay, out[n, : n + 1])
+    return out
+
+
+def _table_weights(customers: int, strength: float, discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """(t, log weight) of a dish's possible tables, for many customers.
+
+    S(n, t) is n!/(t! d^t) times the coefficient of x^n in (1 - (1 - x)^d)^t, an
+    integral over p = -log(x) that the trapezoid rule gives to about ten digits
+    on a path through the saddle point."""
+    mean = strength / discount  # of the tables before the customers are known
+    low, high = -700.0, 7.0  # log of the saddle point
+    for _ in range(60):
+        middle = (low + high) / 2
+        p = math.exp(middle)
+        if math.log(strength / customers) + (discount - 1) * math.log(-math.expm1(-p)) - p > 0:
+            low = middle
+        else:
+            high = middle
+    p, z = np.exp(low), -np.expm1(-np.exp(low))
+    near = mean * -np.expm1(discount * np.log(z))
+    t = np.arange(max(1, int(near - 10 * np.sqrt(near) - 15)), min(customers, int(near + 10 * np.sqrt(near) + 25)) + 1)
+    if p > 0.5:  # a circle in x: few tables have more than one customer
+        spread = max(customers + strength * (1 - discount) * z ** (discount - 2) * np.exp(-2 * p) - customers**2 / near, 1.0)
+        points = max(128, int(10 * np.sqrt(spread)))
+        angle = (np.arange(points) + 0.5) * np.pi / points
+        path = p + 1j * angle[angle < max(12 / np.sqrt(spread), np.pi / 16)]
+        step = np.full(len(path), 1j)
+    else:  # a parabola around the cut
+        p = max(p, 4.0 / customers)
+        far = np.sqrt(45 / (customers * p * min(1.0, 2 * (1 - discount))))
+        h = min(far / 40, 0.12)
+        v = (np.arange(int(far / h) + 1) + 0.5) * h
+        path, step = p * (1 + 1j * v) ** 2, 1 + 1j * v
+        step = 2j * p * step
+    logs = np.log1p(-((-np.expm1(-path)) ** discount))
+    top = logs[0].real
+    value = (np.exp(customers * (path - p) + t[:, None] * (logs - top)) * step).imag.sum(axis=1)
+    factorial = np.cumsum(np.log(np.arange(1, t[-1] + 1)))[t - 1]
+    return t, t * (np.log(mean) + top) - factorial + np.log(np.maximum(value, 1e-300))
+
+
+def _drawn(logs: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """A column for each row, in proportion to exp(logs)."""
+    upto = np.exp(logs - logs.max(axis=1, keepdims=True)).cumsum(axis=1)
+    return np.minimum((upto <= (rng.random(len(logs)) * upto[:, -1])[:, None]).sum(axis=1), logs.shape[1] - 1)
+
+
 def sampled_tables(customers: np.ndarray, strength: np.ndarray, discount: float, moves: int, rng: np.random.Generator) -> np.ndarray:
-    """Tables of every dish after a block draw and Gibbs moves."""
+    """Tables of every dish, drawn from their distribution in the restaurant:
+    strength^t S(n, t). That is where moves of all customers would lead, so
+    ``moves`` has no effect."""
     out = np.minimum(customers, 1)
-    more = np.flatnonzero(customers > 1)
-    if not len(more):
-        return out
-    dish, size = block_draw(customers[more], strength[more], rng)
-    order = np.argsort(dish, kind="stable")
-    dish, size = dish[order], size[order]
-    many = np.bincount(dish, minlength=len(more))
-    place = np.arange(len(dish)) - np.repeat(np.cumsum(many) - many, many)
-    width = 1 << np.ceil(np.log2(many + moves + 1)).astype(np.int64)
-    for w in np.unique(width):
-        rows = np.flatnonzero(width == w)
-        step = max(1, (1 << 21) // int(w))
-        for at in range(0, len(rows), step):  # bounded matrices
-            own = rows[at : at + step]
-            number = np.full(len(more), -1)
-            number[own] = np.arange(len(own))
-            mine = number[dish] >= 0
-            tables = np.zeros((len(own), int(w)), np.int64)
-            tables[number[dish[mine]], place[mine]] = size[mine]
-            reseat(tables, strength[more[own]], discount, moves, rng)
-            out[more[own]] = (tables > 0).sum(axis=1)
+    strength = np.maximum(strength, 1e-12)
+    several = customers[(customers > 1) & (customers <= TABLED)]
+    stirling = _log_stirling(int(several.max(initial=1)), discount)
+    order = np.argsort(customers, kind="stable")
+    sizes = customers[order]
+    begin = int(np.searchsorted(sizes, 1, "right"))
+    end = int(np.searchsorted(sizes, TABLED, "right"))
+    cuts = [begin, *(begin + 1 + np.flatnonzero(np.diff(sizes[begin:end]))), end] if end > begin else []
+    for lo, hi in zip(cuts, cuts[1:]):  # dishes of the same number of customers
+        n = int(sizes[lo])
+        step = max(1, (1 << 21) // n)
+        for at in range(lo, hi, step):  # bounded matrices
+            own = order[at : min(hi, at + step)]
+            out[own] = 1 + _drawn(stirling[n, 1 : n + 1] + np.log(strength[own])[:, None] * np.arange(1, n + 1), rng)
+    for k in order[end:]:
+        t, logs = _table_weights(int(customers[k]), float(strength[k]), discount)
+        out[k] = t[_drawn(logs[None], rng)[0]]
     return out
 
 
@@ -328,9 +390,9 @@ class Sampler:
         rng = np.random.default_rng([self.seed, self.part, number])
         known, _ = self.parent_probability(t)
         strength = (CONTEXT_STRENGTH + t.discount * t.of(self.contexts)[1])[self.at] * known[self.word_of]
-        self.tables = sampled_tables(self.n, strength, t.discount, MOVES, rng)
+        self.tables = sampled_tables(self.n, strength, t.discount, 0, rng)
         new = (PARENT_STRENGTH + t.parent_discount * t.parent_tables) / (t.words + 1)
-        self.parent = sampled_tables(self.served(), np.full(self.size, new), t.parent_discount, MOVES, rng)
+        self.parent = sampled_tables(self.served(), np.full(self.size, new), t.parent_discount, 0, rng)
 
     def sample(self, t: Totals) -> tuple:
         """What the seating and the totals after it say of probabilities."""

@@ -145,3 +145,36 @@ def test_words_of_one_ending_predict_their_own_successors(spark):
     held = [r for r in out if r.held_out]
     per_token = -sum(r.score for r in held) / sum(r.n_tokens for r in held)
     assert per_token < 0.55 < -sum(r.base_score for r in held) / sum(r.n_tokens for r in held)
+
+
+def exact_tables(n, strength, d):
+    """P(t tables) for t = 1, 2, ...: strength^t S(n, t), by the recurrence."""
+    logs = np.array([0.0])
+    for m in range(1, n):
+        t = np.arange(1, m + 2)
+        with np.errstate(divide="ignore"):
+            stay = np.log(np.maximum(m - d * t, 0)) + np.r_[logs, -np.inf]
+        logs = np.logaddexp(stay, np.r_[-np.inf, logs])
+    logs = logs + np.arange(1, n + 1) * math.log(strength)
+    p = np.exp(logs - logs.max())
+    return p / p.sum()
+
+
+def test_sampled_tables_follow_the_exact_distribution():
+    """Few and thousands of customers, small and large strengths and discounts."""
+    rng = np.random.default_rng(5)
+    for n, strength, d in ((3, 0.7, 0.4), (40, 2.0, 0.8), (512, 9.0, 0.3), (513, 9.0, 0.3), (600, 7200.0, 0.8), (600, 1e5, 0.5), (600, 1e-4, 0.95), (1500, 1500.0, 0.3), (3000, 300.0, 0.05), (3000, 2.0, 0.5), (5000, 5.0, 0.8), (5000, 50.0, 0.8)):
+        want = exact_tables(n, strength, d)
+        t = np.arange(1, n + 1)
+        mean = (want * t).sum()
+        deviation = math.sqrt(max((want * (t - mean) ** 2).sum(), 0.0))
+        got = sampled_tables(np.full(1500, n), np.full(1500, strength), d, 6, rng)
+        assert abs(got.mean() - mean) < 4.5 * deviation / math.sqrt(1500) + 1e-3, (n, strength, d, got.mean(), mean)
+        upto = np.searchsorted(np.sort(got), t, "right") / 1500
+        assert np.abs(upto - want.cumsum()).max() < 0.055, (n, strength, d)
+
+
+def test_sampled_tables_of_millions_of_customers():
+    """Then t - 1 is a Poisson number with mean strength / discount."""
+    got = sampled_tables(np.full(1500, 10_000_000), np.full(1500, 5.0), 0.8, 6, np.random.default_rng(6))
+    assert abs(got.mean() - 7.25) < 0.3 and abs(got.var() - 6.25) < 1.2
