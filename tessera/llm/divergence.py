@@ -6,6 +6,11 @@ compared with the references of the languages by the Jensen-Shannon distance
 the nearest language is too far away. References are the pooled histograms of
 all documents of a language that pass the base rules, so they follow the
 corpus; histograms of few characters or words are noisy and are not judged.
+
+Languages with a list of common words are held against all of these. Another
+language has a reference of its own if the corpus has enough of it, and is
+held against that or the listed ones, by character classes only; without one
+only the base rules decide.
 """
 
 from __future__ import annotations
@@ -31,6 +36,8 @@ CLASSES = (("lower", "[a-z]+"), ("space", r"[\x20\x09-\x0D]+"), ("upper", "[A-Z]
 #: noise falls with n): WORD_BASE + WORD_NOISE / n; least characters and words
 #: that are judged.
 MAX_CLASS_DISTANCE, WORD_BASE, WORD_NOISE, MIN_CHARS, MIN_WORDS = 0.3, 0.22, 8.0, 200, 80
+#: Least characters of a reference of a language without common words.
+REFERENCE_CHARS = 20_000
 
 _SPACE = " \t\n\x0b\x0c\r"
 
@@ -96,17 +103,24 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def references(feats: DataFrame) -> dict[str, dict[str, list[int]]]:
     """By language the pooled counts of its documents that pass the base rules.
 
-    The driver gets one row for each language of COMMON_WORDS at most."""
+    The driver gets one row for each language of COMMON_WORDS and for each
+    other that has REFERENCE_CHARS characters in them."""
     names = {"classes": len(CLASSES) + 1, "common": len(WORDS) + 1}
     sums = [F.sum(F.col(c)[k]).alias(f"{c}{k}") for c, n in names.items() for k in range(n)]
-    rows = feats.where(~F.col("base_failed") & F.col("lang").isin(sorted(COMMON_WORDS))).groupBy("lang").agg(*sums).collect()
+    enough = F.col("lang").isin(sorted(COMMON_WORDS)) | (sum((F.col(f"classes{k}") for k in range(1, len(CLASSES) + 1)), F.col("classes0")) >= REFERENCE_CHARS)
+    rows = feats.where(~F.col("base_failed") & F.col("lang").isNotNull()).groupBy("lang").agg(*sums).where(enough).collect()
     return {r["lang"]: {c: [r[f"{c}{k}"] for k in range(n)] for c, n in names.items()} for r in sorted(rows, key=lambda r: r["lang"])}
 
 
-def distance(counts: Column, reference: list[int]) -> Column:
-    """Jensen-Shannon distance of a histogram column from a reference."""
+def _shares(reference: list[int]) -> Column:
     total = sum(reference)
-    q = F.array(*[F.lit(x / total) for x in reference])
+    return F.array(*[F.lit(x / total) for x in reference])
+
+
+def distance(counts: Column, reference: list[int] | Column) -> Column:
+    """Jensen-Shannon distance of a histogram column from a reference (counts,
+    or a column of shares)."""
+    q = reference if isinstance(reference, Column) else _shares(reference)
     log2 = lambda x: F.log(x) / F.lit(0.6931471805599453)
 
     def term(p: Column, q: Column) -> Column:
@@ -120,9 +134,22 @@ def distance(counts: Column, reference: list[int]) -> Column:
 
 def verdicts(feats: DataFrame, refs: dict[str, dict[str, list[int]]]) -> DataFrame:
     """Adds class_distance, word_distance (null where not judged) and kept."""
-    nearest = lambda c: F.array_min(F.array(*[distance(F.col(c), r[c]) for r in refs.values()])) if refs else F.lit(None).cast("double")
+    listed, others = ({k: r for k, r in refs.items() if (k in COMMON_WORDS) == own} for own in (True, False))
+    none = F.lit(None).cast("double")
+    nearest = lambda c: F.array_min(F.array(*[distance(F.col(c), r[c]) for r in listed.values()])) if listed else none
     chars = F.aggregate("classes", F.lit(0).cast("long"), lambda a, x: a + x)
-    out = feats.withColumns({"class_distance": F.when(chars >= MIN_CHARS, nearest("classes")), "word_distance": F.when(F.col("n_words") >= MIN_WORDS, nearest("common"))})
+    other = F.coalesce(~F.col("lang").isin(sorted(COMMON_WORDS)), F.lit(False))  # a language without common words
+    own = none  # distance from the own reference of such a language; without a language, from the nearest of them
+    if others:
+        names, shares = F.array(*map(F.lit, others)), F.array(*[_shares(r["classes"]) for r in others.values()])
+        mine = F.get(shares, F.array_position(names, F.col("lang")).cast("int") - 1)
+        own = F.when(other & F.array_contains(names, F.col("lang")), distance(F.col("classes"), mine))
+        own = own.when(F.col("lang").isNull(), F.array_min(F.transform(shares, lambda q: distance(F.col("classes"), q))))
+    out = feats.withColumns({"own": F.when(chars > 0, own), "near": F.when(chars >= MIN_CHARS, nearest("classes"))})
+    out = out.withColumns({
+        "class_distance": F.when((chars >= MIN_CHARS) & (~other | F.col("own").isNotNull()), F.least("near", "own") if others else F.col("near")),
+        "word_distance": F.when((F.col("n_words") >= MIN_WORDS) & ~other & ~F.coalesce(F.col("own") < F.col("near"), F.lit(False)), nearest("common")),
+    }).drop("own", "near")
     far = (F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE) | (F.coalesce("word_distance", F.lit(0.0)) > F.lit(WORD_BASE) + F.lit(WORD_NOISE) / F.col("n_words"))
     return out.withColumn("kept", ~F.col("base_failed") & ~far)
 
@@ -132,8 +159,10 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n_repeat_words, base_failed, kept, class_distance, word_distance.
 
     Null and empty texts have no words and fail the base rules. Documents of
-    an unknown or null language count in no reference but are held against
-    all; without any reference only the base rules decide. Repeated rows and
+    a null language count in no reference but are held against all (against
+    common words unless a language without them is nearest); documents of a
+    language without common words are held against its own reference and the
+    listed ones; without a reference only the base rules decide. Repeated rows and
     null ids are kept as rows; an empty table gives no rows; other columns
     are ignored."""
     feats = staged(features(docs, id_col, text_col, lang_col), "quality-features")

@@ -74,3 +74,20 @@ def test_empty_table_and_no_language(spark):
     assert quality_rules(spark.createDataFrame([], LONG)).collect() == []
     out = quality_rules(spark.createDataFrame([(1, "word " * 10 + " ".join(map(str, range(90))), None, "x")], LONG)).collect()
     assert [r.kept for r in out] == [True]
+
+
+def test_other_languages_have_references_of_their_own(spark):
+    """Clean text of other scripts stays, its junk goes; a language of which
+    there is little is left to the base rules, one of the lists is not."""
+    rng = random.Random(8)
+    prose = lambda letters, n=150: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(n))
+    cyrillic, greek = "абвгдежзиклмнопрстуя", "αβγδεζηθικλμνοπρστ"
+    junk = " ".join(f"{rng.randint(0, 5000)}#|%" for _ in range(150))
+    rows = [r for r in corpus() if r[2] == "en"]
+    clean = [(5000 + k, prose(cyrillic), "ru", "x") for k in range(40)] + [(5100, prose(greek), "el", "x"), (5101, prose(cyrillic), None, "x")]
+    bad = [(6000, junk, "ru", "x"), (6001, prose(cyrillic), "en", "x"), (6002, junk, None, "x")]
+    out = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows + clean + bad, LONG)).collect()}
+    assert all(out[r[0]].kept for r in clean)
+    assert not any(out[r[0]].kept for r in bad)
+    assert out[5000].class_distance < 0.2 and out[5000].word_distance is None
+    assert out[5100].class_distance is None and out[5101].word_distance is None
