@@ -43,8 +43,8 @@ _CANDIDATES = (
     ("phone_local", re.compile(r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9])00[1-9][0-9]{0,2}[ -][0-9]{2,4}[ -][0-9]{3,4}[ -]?[0-9]{2,4}(?![0-9])")),
     ("email_spelled", re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{1,64} ?[\[({] ?at ?[\])}] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[\[({] ?dot ?[\])}]) ?[A-Za-z0-9-]{1,63}){1,4}")),
     ("id_number", re.compile(r"(?<![0-9A-Za-z])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30})(?![0-9A-Za-z])")),
-    ("secret", re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,255}|sk_(?:live|test)_[A-Za-z0-9]{10,255}|[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9])"
-                          r"|(?<=[=:\"'])[^\s\"']{6,200}(?=[\"'\s]|$)|(?<=[=:] )[^\s\"']{6,200}(?=[\"'\s]|$)")),
+    ("secret", re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}+|sk_(?:live|test)_[A-Za-z0-9]{10,}+|[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![A-Za-z0-9])"
+                          r"|(?<=[=:\"'])[^\s\"']{6,}+(?=[\"'\s]|$)|(?<=[=:] )[^\s\"']{6,}+(?=[\"'\s]|$)")),
 )
 _CONTEXT = {
     "card_part": "card visa credit debit karte tarjeta carte pay".split(),
@@ -147,11 +147,11 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
             if at and ends[at - 1] > s:
                 continue
             span = m[0]
-            if kind == "card_part" and not luhn("".join(_DIGIT.findall(span))):
-                continue
             votes = "".join("-0+"[v + 1] for v in _votes(kind, text, s, e))
             shape = f"{min(4, len(span) // 8)}{int(4 * sum(c.isdigit() for c in span) / len(span))}{int(span.isalnum())}"
             out.append((KINDS.index(kind), s, e, votes, shape))
+            if kind == "card_part" and not luhn("".join(_DIGIT.findall(span))):
+                continue  # other kinds may still be proposed here
             starts.insert(at, s)
             ends.insert(at, e)
     return out

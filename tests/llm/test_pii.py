@@ -98,3 +98,20 @@ def test_masking(spark):
     assert masked("abcdef", [(0, 1, 4), (1, 3, 5)]) == "a[EMAIL]f"
     df = spark.createDataFrame([(1, "x a@b.co y 1.2.3.4"), (2, None), (3, "plain")], "doc_id long, text string")
     assert {r.doc_id: r.t for r in df.select("doc_id", redacted(df).alias("t")).collect()} == {1: "x [EMAIL] y [IP]", 2: None, 3: "plain"}
+
+
+def test_long_secrets_are_candidates():
+    from tessera.llm.pii import KINDS, candidates
+
+    for span in ("eyJ" + "aB3x" * 75, "Zk9_" * 50000):
+        got = candidates(f"token={span} end", [])
+        assert [(KINDS[k], s, e) for k, s, e, _, _ in got] == [("secret", 6, 6 + len(span))]
+    for span in ("0123456789abcdef" * 20, "ghp_" + "a1B2" * 100, "sk_live_" + "a1B2" * 100):
+        assert [(KINDS[k], s, e) for k, s, e, _, _ in candidates(f"see {span} end", [])] == [("secret", 4, 4 + len(span))]
+
+
+def test_the_checksum_labeler_votes_on_every_card_candidate():
+    from tessera.llm.pii import KINDS, LABELERS, candidates
+
+    votes = {t: [v[LABELERS.index("checksum")] for k, _, _, v, _ in candidates(f"card {t} end", []) if KINDS[k] == "card_part"] for t in ("4111 1111 1111 1111", "4111 1111 1111 1112")}
+    assert votes == {"4111 1111 1111 1111": ["+"], "4111 1111 1111 1112": ["-"]}
