@@ -80,6 +80,29 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tessera.llm.alignment import align
+
+    a, b = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align(documents(spark, sf_dir), a, b, digest=True)
+
+
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.source_audit import source_divergence
+
+    return source_divergence(documents(spark, sf_dir), least_docs=30, top=50)
+
+
+def op13_merge_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tessera.llm.merge_automaton import encode_digests
+
+    return encode_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_hpylm": op2_hpylm,
@@ -91,6 +114,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_rule_ensemble": op9_rule_ensemble,
     "op10_packing": op10_packing,
+    "op11_alignment": op11_alignment,
+    "op12_divergence_audit": op12_divergence_audit,
+    "op13_merge_automaton": op13_merge_automaton,
 }
 
 _BASE32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"  # fixed value: the base-32 alphabet
@@ -131,7 +157,27 @@ SELECT doc_id, n_words, CAST(chars - classes[2] AS BIGINT) AS word_chars, classe
   NOT base_failed AND NOT (coalesce(cd, 0) > {MAX_CLASS_DISTANCE} OR coalesce(wd, 0) > {WORD_BASE} + {WORD_NOISE} / n_words) AS kept
 FROM g LEFT JOIN m USING (r)"""
 
+_AUDIT_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS c FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+lt AS (SELECT lang, count(*)::HUGEINT AS v, sum(c)::HUGEINT AS total FROM kept GROUP BY lang),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+gt AS (SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (SELECT gt.lang, gt.source, kept.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 5) // (gt.total + 5 * lt.v) AS p,
+  1 + 1000000000::HUGEINT * (kept.c + 5) // (lt.total + 5 * lt.v) AS q
+  FROM gt JOIN lt USING (lang) JOIN kept USING (lang) LEFT JOIN c ON c.lang = gt.lang AND c.source = gt.source AND c.term = kept.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
 ORACLE: dict[str, str] = {
+    "op12_divergence_audit": _AUDIT_SQL,
     "op4_divergence": _DIVERGENCE_SQL,
     "op3_warc": f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
