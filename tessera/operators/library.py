@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import is_letters_and_spaces, py_is_blank
+from tessera.operators.ledger import CHUNK_ROWS, ledger_outcomes
 from tessera.operators.ordering import (DEFAULT_CHUNK, earliest_per_key, flag_first,
                                         join_keys_null_safe, position_in_key)
 
@@ -334,64 +335,24 @@ def borrow_outcomes(requests: DataFrame, books: DataFrame, loans: DataFrame,
         .withColumn("due_offset_days", F.when(F.col("outcome") == "borrowed", F.lit(LOAN_DAYS)))
 
 
-def _ledger_sequential(batches):
-    """Mixed borrow / return log per title, rows sorted by (title, seq).
-    State per title: active count and loans of the borrowers who hold some or
-    held some at the start (the others' zeros are dropped)."""
-    title, active, by_borrower = None, 0, {}
-    for pdf in batches:
-        out = []
-        for t, kind, who, copies, a0, held in zip(pdf["book_title"], pdf["kind"], pdf["borrower_name"],
-                                                  pdf["copies"], pdf["a0"], pdf["held"]):
-            if t != title:
-                title, active, by_borrower = t, int(a0), {}
-            if who not in by_borrower:
-                by_borrower[who] = int(held)
-            if kind == "borrow":
-                if active < copies:
-                    active += 1
-                    by_borrower[who] += 1
-                    out.append("borrowed")
-                else:
-                    out.append("no_copies")
-            else:
-                if by_borrower[who] > 0:
-                    by_borrower[who] -= 1
-                    active -= 1
-                    out.append("returned")
-                else:
-                    out.append("no_active_loan")
-            if not by_borrower[who] and not int(held):
-                del by_borrower[who]
-        yield pd.DataFrame({"seq": pdf["seq"], "outcome": out})
-
-
-def loan_ledger(events: DataFrame, books: DataFrame, loans: DataFrame) -> DataFrame:
+def loan_ledger(events: DataFrame, books: DataFrame, loans: DataFrame, chunk_rows: int = CHUNK_ROWS,
+                chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
     """W5 general case: an ordered log of borrows and returns
     (seq, kind in borrow/return, borrower_name, isbn). Returns need an active
-    loan of the same borrower and title; borrows need a free copy. Inherently
-    sequential per title, so it runs as a per-title streaming scan whose state
-    holds the title's active loans (bounded by its copies) and the borrowers
-    who had loans at the start. Open: the events of one title are read by one
-    task, which more machines do not shorten."""
+    loan of the same borrower and title; borrows need a free copy. A title's
+    log is solved in chunks (see ``ledger``), so a hot title is spread over
+    as many tasks as it has chunks."""
     fb = _first_book_by_isbn(books).select(F.col("isbn").alias("__isbn"), F.col("title").alias("book_title"),
                                            "copies")
     r = events.join(fb, events["isbn"] == F.col("__isbn"), "left").drop("__isbn")
     missing = r.filter(F.col("book_title").isNull()).withColumn("outcome", F.lit("book_not_found"))
     found = r.filter(F.col("book_title").isNotNull())
     act = loans.filter(F.col("return_date").isNull())
-    a0 = act.groupBy("book_title").agg(F.count(F.lit(1)).alias("a0")).withColumnRenamed("book_title", "__t")
-    held = act.groupBy("book_title", "borrower_name").agg(F.count(F.lit(1)).alias("held")) \
-        .withColumnRenamed("book_title", "__t2").withColumnRenamed("borrower_name", "__b2")
-    found = found.join(a0, F.col("book_title") == F.col("__t"), "left").drop("__t") \
-        .join(held, (F.col("book_title") == F.col("__t2")) & (F.col("borrower_name") == F.col("__b2")), "left") \
-        .drop("__t2", "__b2") \
-        .withColumn("a0", F.coalesce(F.col("a0"), F.lit(0)).cast("bigint")) \
-        .withColumn("held", F.coalesce(F.col("held"), F.lit(0)).cast("bigint"))
-    scanned = found.select("seq", "kind", "borrower_name", "book_title", "copies", "a0", "held") \
-        .repartition("book_title").sortWithinPartitions("book_title", "seq") \
-        .mapInPandas(_ledger_sequential, "seq long, outcome string")
-    found = found.join(scanned.withColumnRenamed("seq", "__seq"), F.col("seq") == F.col("__seq"), "left") \
-        .drop("__seq", "a0", "held")
+    active = act.groupBy("book_title").agg(F.count(F.lit(1)).alias("n"))
+    held = act.groupBy("book_title", "borrower_name").agg(F.count(F.lit(1)).alias("n"))
+    outcomes = ledger_outcomes(found.select("seq", "book_title", "kind", "borrower_name", "copies"), active, held,
+                               chunk_rows, chunk_width)
+    found = found.join(outcomes.withColumnRenamed("seq", "__seq"), F.col("seq") == F.col("__seq"), "left") \
+        .drop("__seq")
     cols = events.columns + ["book_title", "outcome"]
     return found.select(*cols).unionByName(missing.select(*cols))
