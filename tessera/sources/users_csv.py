@@ -4,6 +4,7 @@ Strict rules: every file's header must be exactly ``user_id,name,email``
 (checked per file, in parallel, before the scan); a 0-byte file is empty;
 a row with fewer than three columns or an id that Python's ``int()``
 rejects is malformed; longer rows are accepted (first three columns used).
+A file is read by as many tasks as it has splits, quoted line ends or not.
 """
 
 from __future__ import annotations
@@ -12,32 +13,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import py_int
-from tessera.sources.files import csv_headers, list_files, order_columns, with_file_order
+from tessera.sources.files import csv_headers, list_files
+from tessera.sources.ranges import CSV, records
+from tessera.sources.ranges import pieces as csv_pieces
 
 HEADER = ["user_id", "name", "email"]
-# Never equal to real data: empty fields then read as '' (as Python's csv
-# does) while missing trailing columns read as NULL (a short row).
-_NO_NULL = "\u0000\u0001"
 
 
 class FileFormatError(ValueError):
     """A file does not have the expected header."""
 
 
+def user_rows(pieces: DataFrame) -> DataFrame:
+    """(seq, c0, c1, c2) of CSV pieces (see ``ranges``) without header records
+    and blank lines. Fields are as Python's csv module gives them; missing
+    trailing ones are NULL."""
+    rows = records(pieces, CSV).filter(~F.col("first") & (F.size("fields") > 0))
+    return rows.select("seq", *[F.get("fields", F.lit(k)).alias(f"c{k}") for k in range(3)])
+
+
 def _scan(spark: SparkSession, path) -> DataFrame:
-    schema = "c0 string, c1 string, c2 string, _corrupt string"
-    df = (spark.read.schema(schema)
-          .option("header", True).option("multiLine", True).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt").option("nullValue", _NO_NULL)
-          .option("encoding", "UTF-8")
-          .csv(path if isinstance(path, str) else list(path)))
-    # Spark reads a trailing empty field as NULL too; a row is short only when
-    # the parser also flagged it (fewer tokens than columns).
-    short = F.col("_corrupt").isNotNull() & F.col("c2").isNull()
-    df = df.select(*[F.when(short & F.col(c).isNull(), F.lit(None)).otherwise(F.coalesce(F.col(c), F.lit("")))
-                     .alias(c) for c in ("c0", "c1", "c2")],
-                   *order_columns())
-    return with_file_order(df)
+    return user_rows(csv_pieces(spark, path, CSV))
 
 
 def check_headers(spark: SparkSession, files: list[str], expected: list[str] = HEADER) -> None:
@@ -76,7 +72,8 @@ def read_users_csv_lenient(spark: SparkSession, path) -> DataFrame:
 
 
 def write_users_csv(users: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """S3: header plus the three columns; one file per partition."""
+    """S3: header plus the three columns; one file per partition. Quotes
+    inside fields are doubled."""
     users.select(F.col("user_id").cast("string"), "name", "email") \
-        .write.mode(mode).option("header", True) \
+        .write.mode(mode).option("header", True).option("escape", '"') \
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
