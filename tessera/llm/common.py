@@ -26,6 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spare_prefix(docs: DataFrame, *names: str) -> str:
+    """A prefix under which none of ``names`` is a column of ``docs``."""
+    taken, prefix = {c.lower() for c in docs.columns}, "__"
+    while any((prefix + n).lower() in taken for n in names):
+        prefix += "_"
+    return prefix
+
+
 def id_text_crc(col: str) -> Column:
     """crc32 of an integer id written as decimal text (null id: of '')."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))

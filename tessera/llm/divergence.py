@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import staged
+from tessera.llm.common import spare_prefix, staged
 
 #: Frequent function words by language.
 COMMON_WORDS = {
@@ -170,10 +170,17 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
-    """The rows of ``docs``, unchanged, that the rules keep. A verdict follows
-    from the text, so rejects are told by id and text hash."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(-1)), "__hash": F.xxhash64(text)})
-    feats = staged(features(keyed, id_col, text_col, lang_col, ("__id", "__hash")), "quality-features")
-    rejects = verdicts(feats, references(feats)).where(~F.col("kept")).select("__id", "__hash").distinct()
-    return keyed.join(rejects, ["__id", "__hash"], "left_anti").select(*[F.col(c) for c in docs.columns])
+    """The rows of ``docs``, unchanged, that the rules keep.
+
+    A verdict follows from text and language, so rejects are told by id and a
+    hash of both: rows of one id and text in two languages are judged apart.
+    Null and empty texts are rejects, very long ones are judged whole;
+    repeated rows stay or go together; null ids are ids like others; an empty
+    table gives no rows; columns of any name are kept as they are."""
+    p = spare_prefix(docs, "id", "hash")
+    lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
+    told = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")), lang.isNull(), F.coalesce(lang, F.lit("")))
+    keyed = docs.withColumns({p + "id": F.coalesce(F.col(id_col).cast("long"), F.lit(-1)), p + "hash": told})
+    feats = staged(features(keyed, id_col, text_col, lang_col, (p + "id", p + "hash")), "quality-features")
+    rejects = verdicts(feats, references(feats)).where(~F.col("kept")).select(p + "id", p + "hash").distinct()
+    return keyed.join(rejects, [p + "id", p + "hash"], "left_anti").select(*[F.col(c) for c in docs.columns])

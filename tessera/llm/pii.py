@@ -294,8 +294,12 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def redacted(docs: DataFrame, text_col: str = "text") -> Column:
-    """A column for ``docs``: its text with personal data masked (null stays
-    null). The classifier is trained on all rows of ``docs`` first."""
+    """A column for ``docs``: its text with personal data masked. The
+    classifier is trained on all rows of ``docs`` first.
+
+    Null and empty texts stay as they are, very long ones are searched whole;
+    repeated rows are masked alike; an empty table trains nothing; other
+    columns and ids play no part, whatever their names."""
     found = staged(find(docs.withColumn("__id", F.lit(0)), "__id", text_col), "personal-data")
     model = found.sparkSession.sparkContext.broadcast(train(found))
 

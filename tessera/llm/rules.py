@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tessera.llm.common import column_of, id_text_crc, staged, text_list
+from tessera.llm.common import column_of, id_text_crc, spare_prefix, staged, text_list
 
 #: Statistics of a text, in this order; only the text is looked at.
 STATISTICS = (
@@ -170,11 +170,13 @@ def lasso(a: np.ndarray, y: np.ndarray, strength: float = LASSO) -> tuple[float,
 
 
 def fit(x: np.ndarray, y: np.ndarray, seed: int = 0) -> RuleModel:
-    """A rule ensemble from statistics and 0/1 labels; of one class or no rows
-    a constant score."""
+    """A rule ensemble from statistics and 0/1 labels; of one class, no rows or
+    statistics that tell nothing apart a constant score."""
     if not len(y) or y.min() == y.max():
         return RuleModel(bias=0.0 if not len(y) else (4.0 if y[0] else -4.0))
     rules = tree_rules(x, y, seed)
+    if not rules:
+        return RuleModel(bias=float(np.log(y.mean() / (1 - y.mean()))))
     a = np.stack([holds(r, x) for r in rules], axis=1).astype(float)
     distinct = np.unique(a, axis=1, return_index=True)[1]  # rules that hold for the same rows: the first
     rules, a = [rules[k] for k in sorted(distinct)], a[:, np.sort(distinct)]
@@ -210,10 +212,16 @@ def sampled_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, unchanged, whose score is at least ``least``."""
+    """The rows of ``docs``, unchanged, whose score is at least ``least``.
+
+    Null and empty texts have statistics of zero and are scored like any
+    other, very long ones whole; repeated rows and null ids stay or go by
+    their text; an empty table gives no rows; columns of any name are kept as
+    they are."""
     model = sampled_model(docs, labels, id_col, text_col)
     text = docs.columns.index(text_col)
-    extra = [f"__{s}" for s in STATISTICS]
+    prefix = spare_prefix(docs, *STATISTICS)
+    extra = [prefix + s for s in STATISTICS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -221,7 +229,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(x[:, k]) for k in range(x.shape[1]))], [*b.schema.names, *extra])
 
     schema = StructType([*docs.schema.fields, *(StructField(s, DoubleType()) for s in extra)])
-    return docs.mapInArrow(run, schema).where(model.column("__") >= least).drop(*extra)
+    return docs.mapInArrow(run, schema).where(model.column(prefix) >= least).drop(*extra)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import column_of, local_components, staged, text_list
+from tessera.llm.common import column_of, local_components, spare_prefix, staged, text_list
 from tessera.llm.components import components
 
 BITS = 64
@@ -201,9 +201,15 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
     """The rows of ``docs``, unchanged, one of each component: that of the
-    smallest id (null ids last; of repeated rows any one)."""
-    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    parts = simhash_components(rows, "__row", text_col, shingle, distance).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__part"))
-    ids = rows.select("__row", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__row").alias("row")).alias("__id"))
-    first = parts.join(ids, "__row").groupBy("__part").agg(F.min("__id").alias("__id")).select(F.col("__id.row").alias("__row"))
-    return rows.join(first, "__row", "left_semi").select(*[F.col(c) for c in docs.columns])
+    smallest id (null ids last; of repeated rows any one).
+
+    Null and empty texts are one component, with all whose fingerprint is
+    near zero; very long texts are hashed whole; an empty table gives no
+    rows; columns of any name are kept as they are."""
+    p = spare_prefix(docs, "row")
+    row = p + "row"
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    parts = simhash_components(rows, row, text_col, shingle, distance).select(F.col("doc_id").alias(row), F.col("component_id").alias("part"))
+    ids = rows.select(row, F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row")).alias("own"))
+    first = parts.join(ids, row).groupBy("part").agg(F.min("own").alias("own")).select(F.col("own.row").alias(row))
+    return rows.join(first, row, "left_semi").select(*[F.col(c) for c in docs.columns])

@@ -77,3 +77,32 @@ def test_stages_take_odd_rows(spark):
 
 def test_statistics_of_masked_text_are_finite():
     assert all(x == x for x in statistics("[EMAIL] x"))
+
+
+def clean_text(seed):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abcdeinorst") for _ in range(5)) + (" the of" if k % 4 == 0 else "") for k in range(90))
+
+
+def test_one_text_in_two_languages_is_judged_twice(spark):
+    """A document is rejected in a language it is far from and kept in one
+    without a reference; rows of one id and text do not share the verdict."""
+    far = " ".join("1234 5678 9012" for _ in range(3)) + " " + " ".join(str(k * 7919) for k in range(300))
+    rows = [(k, clean_text(k), "en", "s", 1) for k in range(60)] + [(100, far, "en", "s", 1), (100, far, "ru", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.lang) for r in dict(corpus_pipeline.STAGES)["quality_rules"](spark, docs, D).collect() if r.doc_id == 100]
+    assert kept == [(100, "ru")]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, __id string, __hash long, __row string, __n_words double, _kept int, part string, own string, w string"
+    rows = [(k, clean_text(k), "en", "s", 1, f"i{k}", k, f"r{k}", k / 2, k, "p", "o", "w") for k in range(40)]
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, D)
+        assert got.columns == docs.columns
+        left = [tuple(r) for r in got.collect()]
+        if name != "personal_data":
+            assert left and set(left) <= set(rows), name
+        else:
+            assert sorted(x[5:] for x in left) == sorted(x[5:] for x in rows)

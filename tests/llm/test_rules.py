@@ -86,3 +86,8 @@ def test_samples_are_bounded_and_whole_when_small(spark):
     assert sampled_labels(ids, labels, rows=10**6).count() == every
     assert abs(sampled_labels(ids, labels, rows=2000).count() - 2000) < 250
     assert sampled_labels(ids.limit(0), labels).count() == 0
+
+
+def test_equal_statistics_give_the_share_of_good_labels():
+    x, y = np.ones((8, 3)), np.array([1.0, 1, 1, 0, 1, 1, 0, 1])
+    assert abs(1 / (1 + np.exp(-fit(x, y).bias)) - 0.75) < 1e-9
