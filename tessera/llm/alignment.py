@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,14 @@ from tessera.llm.token_count import byte_alphabet
 
 #: Segments aligned in one text; segments, and bytes of their
 #: groups, kept in each worker.
-GROUP, KEEP_SEGMENTS, KEEP_BYTES = 256, 300_000, 64_000_000
+GROUP, KEEP_SEGMENTS, KEEP_BYTES = 256, 200_000, 32_000_000
+#: Characters of new segments aligned at once.
+ADD_CHARS = 200_000
 #: Rows of the pair counts that workers get as a table (16 bytes and a flag
 #: each); pairs below its least count come to the documents by a join.
 TABLE_PAIRS = 1 << 20
 #: Pairs that a task adds up before it passes them on.
-TASK_PAIRS = 1 << 21
+TASK_PAIRS = 1 << 19
 _A_BITS = 20  # a pair is B's id << 20 | A's id
 
 
@@ -49,6 +52,11 @@ def cut_ends(is_cut: np.ndarray, span_end: np.ndarray, size: np.ndarray) -> np.n
     return ends.astype(np.int64)
 
 
+def _starts(sizes) -> np.ndarray:
+    """0 and the running totals."""
+    return np.concatenate([[0], np.cumsum(np.fromiter(sizes, np.int64))]).astype(np.int64)
+
+
 def ragged(offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the items of the given rows, and each row's item count."""
     n = offsets[rows + 1] - offsets[rows]
@@ -85,6 +93,9 @@ class Aligner:
         if max(self.a_bytes) >= 1 << _A_BITS:
             raise ValueError("too many ids")
         n = max(max(self.a_bytes) + 1, len(self.b_bytes))
+        self.a_table = pa.array([self.a_bytes.get(k, b"") for k in range(n)], pa.binary())
+        self.b_table = pa.array(self.b_bytes, pa.binary())
+        self.a_size, self.b_size = (pc.binary_length(t).to_numpy().astype(np.int64) for t in (self.a_table, self.b_table))
         self.marks = pa.array([f"{k}{s}" for k in range(n) for s in (",", "|", ";", "")])
         self.forget()
 
@@ -107,57 +118,75 @@ class Aligner:
         if new:
             plain = [s for s in new if " " not in s]
             texts = [plain[k : k + GROUP] for k in range(0, len(plain), GROUP)] + [[s] for s in new if " " in s]
-            self._add(texts)
+            for part in self._shares(texts):
+                self._add(part)
         return np.fromiter(map(self.known.__getitem__, segments), np.int64, len(segments))
 
+    def _shares(self, texts: list[list[str]]) -> Iterator[list[list[str]]]:
+        """The texts, about ADD_CHARS characters of them at a time: what the
+        tokenizers say about a text takes far more memory than the text."""
+        part, chars = [], 0
+        for group in texts:
+            part.append(group)
+            chars += sum(map(len, group))
+            if chars > ADD_CHARS:
+                yield part
+                part, chars = [], 0
+        if part:
+            yield part
+
     def _add(self, texts: list[list[str]]) -> None:
         """Align texts of segments; a text whose tokens do not spell it is
         taken apart, a single such segment is bad."""
         joined = [" ".join(group) for group in texts]
         coded = self.a.encode_batch([" " + t for t in joined], add_special_tokens=False)
-        good, alone, parts, bad = [], [], [], []
-        for group, text, a in zip(texts, joined, coded):
-            # the result's spans; this sentencepiece calls its span proto "proto"
-            b = [(p.id, p.begin, p.end) for p in self.b.encode(text, return_type="proto").pieces]
-            data = b" " + text.encode()
-            spelt = data == b"".join(map(self.a_bytes.__getitem__, a.ids)) and data == b"".join([self.b_bytes[p[0]] for p in b])
-            if spelt:
-                good.append(group)
-                parts.append((text, data, a, b))
-            elif len(group) > 1:
-                alone += [[s] for s in group]
-            else:
-                bad += group
-        if parts:
-            self._align(good, parts)
-        if bad:
-            self._keep(bad, np.zeros((4, len(bad)), np.int64), True, pa.array([""] * len(bad)), np.zeros(0, np.int64))
-        if alone:
-            self._add(alone)
-
-    def _align(self, texts: list[list[str]], parts: list) -> None:
-        flat = " " + " ".join(p[0] for p in parts)  # the texts one after the other, each with its space
-        chars = np.cumsum([0] + [len(p[0]) + 1 for p in parts])
-        bytes_ = np.cumsum([0] + [len(p[1]) for p in parts])
+        # the result's spans; this sentencepiece calls its span proto "proto"
+        pieces = [self.b.encode(t, return_type="proto").pieces for t in joined]
+        data = [b" " + t.encode() for t in joined]
+        chars, size = _starts([len(t) + 1 for t in joined]), _starts(map(len, data))
+        a_n, b_n = _starts(map(len, coded)), _starts(map(len, pieces))
+        a_id = np.fromiter(chain.from_iterable(c.ids for c in coded), np.int64, a_n[-1])
+        a_span = np.fromiter(chain.from_iterable(chain.from_iterable(c.offsets for c in coded)), np.int64, 2 * a_n[-1]).reshape(-1, 2)
+        b_row = np.fromiter((v for own in pieces for p in own for v in (p.id, p.begin, p.end)), np.int64, 3 * b_n[-1]).reshape(-1, 3)
+        spelt = self._spelt(self.a_table, a_id, a_n, data, size) & self._spelt(self.b_table, b_row[:, 0], b_n, data, size)
+        if not spelt.all():
+            wrong = [group for group, good in zip(texts, spelt.tolist()) if not good]
+            bad = [group[0] for group in wrong if len(group) == 1]
+            self._keep(bad, np.zeros((4, len(bad)), np.int64), True, pa.array([""] * len(bad), pa.string()), np.zeros(0, np.int64))
+            again = [[s] for group in wrong if len(group) > 1 for s in group]
+            again += [group for group, good in zip(texts, spelt.tolist()) if good]
+            for part in self._shares(again) if bad or len(again) > len(texts) else ():
+                self._add(part)
+            return
+        a_span += np.repeat(chars[:-1], np.diff(a_n))[:, None]
+        b_span = b_row[:, 1:] + 1 + np.repeat(size[:-1], np.diff(b_n))[:, None]
+        self._align([s for group in texts for s in group], " " + " ".join(joined), a_id, a_span, b_row[:, 0], b_span)
+
+    @staticmethod
+    def _spelt(table: pa.Array, ids: np.ndarray, at: np.ndarray, data: list[bytes], size: np.ndarray) -> np.ndarray:
+        """Which texts the bytes of their tokens are."""
+        taken = table.take(pa.array(ids))
+        ends = np.frombuffer(taken.buffers()[1], np.int32, len(ids) + 1)[at]
+        spelt = memoryview(taken.buffers()[2] or b"").cast("B")[: ends[-1]]
+        if np.array_equal(ends, size) and spelt == b"".join(data):
+            return np.ones(len(data), bool)
+        return np.fromiter((spelt[i:j] == d for i, j, d in zip(ends[:-1].tolist(), ends[1:].tolist(), data)), bool, len(data))
+
+    def _align(self, segments: list[str], flat: str, a_id: np.ndarray, a_span: np.ndarray, b_id: np.ndarray, b_span: np.ndarray) -> None:
+        """Align segments that stand one after the other in ``flat``, each with
+        a space before it; spans of A in its characters, of B in its bytes."""
         to_byte = np.arange(len(flat) + 1)
         if not flat.isascii():
-            code = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), "<u4")
+            code = np.frombuffer(flat.encode("utf-32-le"), "<u4")
             to_byte = np.concatenate([[0], np.cumsum(1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))])
-        a_id = np.concatenate([np.array(p[2].ids, np.int64) for p in parts])
-        a_span = np.concatenate([np.array(p[2].offsets, np.int64).reshape(-1, 2) + c for p, c in zip(parts, chars)])
-        a_size = np.fromiter((len(self.a_bytes[k]) for k in a_id.tolist()), np.int64, len(a_id))
         a_cut = np.append(a_span[1:, 0] >= a_span[:-1, 1], True)
-        a_end = cut_ends(a_cut, to_byte[a_span[:, 1]], a_size)
-        b_rows = np.concatenate([np.array(p[3], np.int64).reshape(-1, 3) + [0, c + 1, c + 1] for p, c in zip(parts, bytes_)])
-        b_id, b_span = b_rows[:, 0], b_rows[:, 1:]
-        b_size = np.fromiter((len(self.b_bytes[k]) for k in b_id.tolist()), np.int64, len(b_id))
+        a_end = cut_ends(a_cut, to_byte[a_span[:, 1]], self.a_size[a_id])
         b_cut = np.append(b_span[1:, 0] >= b_span[:-1, 1], True) & (b_span[:, 1] > b_span[:, 0])
-        b_end = cut_ends(b_cut, b_span[:, 1], b_size)
+        b_end = cut_ends(b_cut, b_span[:, 1], self.b_size[b_id])
         ends = np.union1d(a_end, b_end)
-        pairs = b_id[np.searchsorted(b_end, ends)] << _A_BITS | a_id[np.searchsorted(a_end, ends)]
-        both = np.intersect1d(a_end, b_end, assume_unique=True)
-        segments = [s for group in texts for s in group]
-        stop = np.cumsum([len(s.encode()) + 1 for s in segments])
+        at_a, at_b = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
+        both = ends[(a_end[at_a] == ends) & (b_end[at_b] == ends)]
+        stop = np.cumsum([len(s.encode()) + 1 for s in segments]) if not flat.isascii() else np.cumsum(np.fromiter(map(len, segments), np.int64, len(segments)) + 1)
         if not np.isin(stop, both).all():
             raise ValueError("a token crosses a single space")
         size = np.stack([np.diff(np.searchsorted(x, stop, "right"), prepend=0) for x in (a_end, b_end, both, ends)])
@@ -169,8 +198,8 @@ class Aligner:
         segment = np.searchsorted(stop, both)[group]
         after = np.where(np.diff(segment) > 0, 3, np.where(np.diff(group) > 0, 2, np.diff(side)))
         marks = self.marks.take(pa.array(ids * 4 + np.append(after, 3)))
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size[0] + size[1])]), pa.int32()), marks)
-        self._keep(segments, size, False, pc.binary_join(lists, ""), pairs)
+        lists = pa.ListArray.from_arrays(pa.array(_starts(size[0] + size[1]), pa.int32()), marks)
+        self._keep(segments, size, False, pc.binary_join(lists, ""), b_id[at_b] << _A_BITS | a_id[at_a])
 
     def _keep(self, segments: list[str], size: np.ndarray, bad: bool, groups: pa.Array, pairs: np.ndarray) -> None:
         self.known.update(zip(segments, range(len(self.bad), len(self.bad) + len(segments))))

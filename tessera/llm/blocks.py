@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from tessera.llm.pieces import _CUT, loose
 
 #: Bytes of text handled at once (one longer text is a block of its own).
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
 
 
 def plain_texts(column: pa.Array) -> pa.Array:
