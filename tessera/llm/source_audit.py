@@ -30,8 +30,9 @@ from tessera.llm.common import column_of, staged
 SCALE, SMOOTH = 1_000_000_000, 5
 #: (group, term) counts that a task adds up before it passes them on.
 TASK_ROWS = 1 << 20
-#: Sources of a tile; rows of a language that a task compares, at most about.
-TILE, SHARE_ROWS = 256, 1 << 19
+#: Sources of a tile; rows of a language that a task compares, about (more
+#: where there are many sources, as every task gives a row for each pair).
+TILE, SHARE_ROWS = 256, 1 << 14
 #: Shares of a group whose skybands are merged apart from each other.
 MERGES = 8
 #: Rows compared with the kept ones at once.
@@ -193,7 +194,8 @@ def _tile_sums(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
     tile = F.floor(F.col("number") / TILE).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.floor((F.col("sources") - 1) / TILE).cast("int")))
-    shares = (F.floor(F.col("terms") * F.least("sources", F.lit(2 * TILE)) / SHARE_ROWS) + 1).cast("long")
+    held = F.least("sources", F.lit(2 * TILE))
+    shares = (F.floor(F.col("terms") * held / F.greatest(F.lit(SHARE_ROWS), 4 * held * held)) + 1).cast("long")
     rows = rows.withColumn("share", F.pmod(F.xxhash64("term"), shares))
     every = groups.filter("terms > 0").withColumns({"term": F.lit(None).cast("string"), "p": F.col("none"), "share": F.explode(F.sequence(F.lit(0).cast("long"), shares - 1))})
     spread = rows.unionByName(every.select(rows.columns)).withColumn("tile", tile).withColumn("other", other)
