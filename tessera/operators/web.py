@@ -7,16 +7,14 @@ fetched pages / fetch results, batch or stream.
 
 from __future__ import annotations
 
-import html as _html
-import re
-
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tessera.functions.text import PY_WS, py_strip
+from tessera.functions.markup import PageHead
+from tessera.functions.text import PY_WS
 from tessera.operators.ordering import DEFAULT_CHUNK, position_in_key
 
 # Method preference on equal elapsed time (first wins) and the
@@ -26,32 +24,15 @@ BASELINE_METHOD = "sequential"
 DEFAULT_BATCH = 5
 DEFAULT_FIRST_N = 20
 
-_COMMENT = r"(?s)<!--.*?-->"
-_RAW_TEXT = r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>"
-_TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-# An attribute name follows whitespace, a quote or '/' (so ``data-name`` is not ``name``).
-_DESC_TAG = (r"<(?i:meta)\b[^>]*[\s\"'/](?i:name)\s*=\s*(?:\"description\"|'description'|description)"
-             r"(?:[\s/][^>]*)?>")
-_CONTENT = r"[\s\"'/](?i:content)\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
 # Fixed value: the fallback description is matched exactly like this.
 _OG = (rf"(?i)<meta{PY_WS}+property=[\"']og:description[\"']{PY_WS}+content=[\"']([^\"']+)[\"']")
 
 
-@pandas_udf(StringType())
-def _unescape(s: pd.Series) -> pd.Series:
-    """HTML character references (named and numeric), Arrow-batched."""
-    return s.map(lambda v: None if v is None else _html.unescape(v))
-
-
-_TAG = re.compile(r"<[^>]*>")
-
-
-@pandas_udf(StringType())
-def _title_pieces(s: pd.Series) -> pd.Series:
-    """Title text as a parser gives it: the text between tags is decoded and
-    stripped piece by piece, then joined (entity-encoded spaces at a piece's
-    edge go too). Arrow-batched; called only for titles that contain '&'."""
-    return s.map(lambda v: None if v is None else "".join(_html.unescape(p).strip() for p in _TAG.split(v)))
+@pandas_udf(StructType([StructField(n, StringType()) for n in ("title", "description")]))
+def _head(pages: pd.Series) -> pd.DataFrame:
+    """Title and description element of each page, Arrow-batched."""
+    head = PageHead()
+    return pd.DataFrame([(None, None) if p is None else head.read(p) for p in pages], columns=["title", "description"])
 
 
 def page_metadata(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -59,32 +40,12 @@ def page_metadata(pages: DataFrame, html: str = "html") -> DataFrame:
     text piece decoded and stripped), null without a tag; description =
     non-empty content of the first ``<meta name="description">``, else the
     raw ``og:description`` content (attribute order property, content;
-    case-insensitive; not decoded). Comments and script/style bodies are not
-    markup, so they are removed before looking for tags."""
-    # each step is a projection of its own, so that the clean-up of a page and
-    # each search run once and not once for every place that uses the result
-    once = pages.withColumn("__markup", F.regexp_replace(F.regexp_replace(F.col(html), _COMMENT, ""), _RAW_TEXT, ""))
-    # null without a match: the match is wrapped in a one-element array
-    once = once.withColumns({
-        "__inner": F.get(F.regexp_extract_all(F.col("__markup"), F.lit(_TITLE), F.lit(1)), F.lit(0)),
-        "__tag": F.get(F.regexp_extract_all(F.col("__markup"), F.lit(f"({_DESC_TAG})"), F.lit(1)), F.lit(0)),
-        "__og": F.nullif(F.regexp_extract(F.col(html), _OG, 1), F.lit("")),
-    })
-    tag = F.col("__tag")
-    once = once.withColumn("__content", F.when(tag.rlike(_CONTENT), F.coalesce(
-        F.nullif(F.regexp_extract(tag, _CONTENT, 1), F.lit("")),
-        F.nullif(F.regexp_extract(tag, _CONTENT, 2), F.lit("")))))
-    inner, content = F.col("__inner"), F.col("__content")
-    # without references, dropping tags with the spaces around them and one
-    # strip gives the same text as stripping each piece
-    plain = py_strip(F.regexp_replace(inner, rf"{PY_WS}*<[^>]*>{PY_WS}*", ""))
-    # the helpers run on every row; only values with a reference are sent, the others as null
-    decoded = once.withColumns({"__title": _title_pieces(F.when(inner.contains("&"), inner)),
-                                "__meta": _unescape(F.when(content.contains("&"), content))})
-    out = decoded.withColumns({
-        "title": F.coalesce("__title", F.when(~inner.contains("&"), plain)),
-        "description": F.coalesce(F.nullif(F.coalesce(F.col("__meta"), content), F.lit("")), F.col("__og"))})
-    return out.drop("__markup", "__inner", "__tag", "__og", "__content", "__title", "__meta")
+    case-insensitive; not decoded). Tags, comments and script bodies are what
+    Python's HTML parser takes for them (see ``functions.markup``)."""
+    out = pages.withColumn("__head", _head(F.col(html)))
+    og = F.nullif(F.regexp_extract(F.col(html), _OG, 1), F.lit(""))
+    description = F.coalesce(F.nullif(F.col("__head.description"), F.lit("")), og)
+    return out.withColumns({"title": F.col("__head.title"), "description": description}).drop("__head")
 
 
 def fetch_outcomes(fetches: DataFrame, metadata: DataFrame | None = None) -> DataFrame:

@@ -54,12 +54,20 @@ FROM documents""",
     # Pages with description / og:description tags injected.
     "pages_v": """
 SELECT page_id, url,
+       concat(CASE WHEN page_id % 11 = 10 THEN replace(html, '</title>', '') ELSE
        replace(html, '<meta charset="utf-8">', concat('<meta charset="utf-8">',
-         CASE page_id % 4
+         CASE page_id % 11
            WHEN 0 THEN concat('<meta name="description" content="d', CAST(page_id AS STRING), '">')
            WHEN 1 THEN concat('<META property="og:description" content="og', CAST(page_id AS STRING), '">')
            WHEN 2 THEN '<meta name="description" content=""><meta property="og:description" content="fb">'
-           ELSE '' END)) AS html
+           WHEN 3 THEN '<meta name="description" content="a > b">'
+           WHEN 4 THEN concat('<meta data-x="p>q" name="description" content="x', CAST(page_id AS STRING), '">')
+           WHEN 5 THEN '<meta name=description content=bare>'
+           WHEN 6 THEN '<meta name="x" content="<title>not this</title>">'
+           WHEN 7 THEN '<!-- <title>nor this</title><meta name="description" content="no"> -->'
+           WHEN 8 THEN '<script>var s = "<title>never</title>";</script><meta content=''&lt;one&gt; &amp; two'' name=''description''/>'
+           ELSE '' END)) END,
+       CASE WHEN page_id % 5 = 0 THEN '<p>end <!-- <title>unclosed' ELSE '' END) AS html
 FROM pages""",
     # Fetch outcomes per page and scrape method.
     # A url is fetched several times.

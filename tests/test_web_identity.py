@@ -1,3 +1,9 @@
+import random
+from html.parser import HTMLParser
+
+import pytest
+
+from tessera.functions.markup import APART, VOID, PageHead
 from tessera.operators import identity as A
 from tessera.operators import lookup as L
 from tessera.operators import web as W
@@ -48,6 +54,98 @@ def test_title_pieces_decoded_then_stripped(spark):
     assert r["title"] == "AB& C"
 
 
+@pytest.mark.parametrize("html,title,description", [
+    ('<meta name="description" content="a > b">', None, "a > b"),
+    ('<meta data-x="a>b" name="description" content="q">', None, "q"),
+    ("<meta name=description content=bare>", None, "bare"),
+    ('<meta content="<title>no</title>"><title>yes</title>', "yes", None),
+    ("<!-- <title>no</title>", None, None),
+    ("<p>x<!-- <title>no", None, None),
+    ("<title>open <b>x</b> end", "openxend", None),
+    ("<head><title>in head</head><body>text", "in head", None),
+    ("<title>a<script>b</script>c<!-- d -->e</title>f", "ace", None),
+    ("<title/>x<title>second</title>", "", None),
+    ('<meta name="description" content="one" content="two">', None, "two"),
+    ("<title>1 < 2 &amp;lt; 3</title>", "1 < 2 &lt; 3", None),
+    ("<meta name='descri&#112;tion' content='&quot;q&quot;'>", None, '"q"'),
+    ("<meta name=Description content=no><title a='>'>t</title >", "t", None),
+    (None, None, None), ("", None, None),
+])
+def test_hard_markup(spark, html, title, description):
+    assert PageHead().read(html or "") == (title, description)
+
+
+class Every(HTMLParser):
+    """All tags and texts of a page, from the same parser, read to its end."""
+
+    def __init__(self):
+        super().__init__()
+        self.events = []
+
+    def handle_starttag(self, tag, attrs):
+        self.events.append(("start", tag, dict(attrs)))
+
+    def handle_startendtag(self, tag, attrs):
+        self.events += [("start", tag, dict(attrs)), ("end", tag, None)]
+
+    def handle_endtag(self, tag):
+        self.events.append(("end", tag, None))
+
+    def handle_data(self, data):
+        self.events.append(("text", data, None))
+
+    def handle_comment(self, data):
+        self.events.append(("other", data, None))
+
+    handle_decl = handle_pi = unknown_decl = handle_comment
+
+
+def tree_answer(page):
+    """Title and description from the whole tree of the page."""
+    parser = Every()
+    try:
+        parser.feed(page)
+        parser.close()
+    except AssertionError:
+        return None, None
+    root = ["", {}, []]
+    path, titles, metas = [root], [], []
+    for kind, what, attrs in parser.events:
+        if kind == "start":
+            node = [what, attrs, []]
+            path[-1][2].append(node)
+            titles += [node] if what == "title" else []
+            metas += [node] if what == "meta" and attrs.get("name") == "description" else []
+            if what not in VOID:
+                path.append(node)
+        elif kind == "end":
+            if what in [n[0] for n in path[1:]]:
+                while path.pop()[0] != what:
+                    pass
+            path[-1][2].append(["", None, []])  # ends a piece of text, matched or not
+        elif kind == "text" and path[-1][2] and isinstance(path[-1][2][-1], str):
+            path[-1][2][-1] += what
+        else:
+            shown = kind == "text" and not any(n[0] in APART for n in path)
+            path[-1][2].append(what if shown else ["", None, []])
+
+    def text(node):
+        return "".join(c.strip() if isinstance(c, str) else text(c) for c in node[2])
+
+    return text(titles[0]) if titles else None, (metas[0][1].get("content") or "") if metas else None
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_tag_soup_equals_the_parsers_tree(seed):
+    rng = random.Random(seed)
+    parts = ["<title>", "</title>", "<title ", "<b>", "</b>", "<head>", "</head>", "<meta ", "name=", "content=", '"', "'", ">", "/>", "<", "description", "<!--", "-->", "<script>", "</script>",
+             " ", "text", "&amp;", "&#65;", "=", "/", "<meta name=description content=x>", '<meta name="description" content="y > z">', "<br>", "<!x>", "<?p>", "</", "<style>", "</style>", "<rt>", "</rt>"]
+    head = PageHead()
+    for _ in range(4000):
+        page = "".join(rng.choices(parts, k=rng.randint(1, 25)))
+        assert head.read(page) == tree_answer(page), page
+
+
 def test_fetch_outcomes_and_summary(spark):
     f = spark.createDataFrame([(1, "u1", "async", 200, None, 100), (2, "u2", "async", 404, None, 300),
                                (3, "u3", "sequential", None, "Timeout", 1000), (4, "u4", "threaded", 200, None, 400)],
