@@ -9,7 +9,7 @@ with fewer than three columns). Outcomes partition the input:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.functions.text import email_ok, py_int, py_strip
@@ -80,6 +80,17 @@ def import_audit(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+OUTCOMES = ("added", "duplicate", "invalid", "malformed")
+
+
+def observed_audit(outcomes: DataFrame, metrics: Observation) -> DataFrame:
+    """``outcomes``, counted while they are written: after the action that runs
+    them ``metrics.get`` has their number in all (``n_rows``) and of each
+    outcome, without a second pass."""
+    of = [F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES]
+    return outcomes.observe(metrics, F.count(F.lit(1)).alias("n_rows"), *of)
+
+
 def unique_insert(requests: DataFrame, key: str, seq: str, existing_keys: DataFrame | None = None,
                   existing_key: str | None = None) -> DataFrame:
     """Exact-key insert guard — the first request per key is inserted unless

@@ -28,6 +28,7 @@ CHUNK_ROWS = 1 << 17
 
 _TOTAL = "t"  # key of a title's own counter; borrowers have "b" + name, a null one "n"
 _CHUNK = ["book_title", "chunk"]
+COUNTERS = "book_title string, who string, n long"
 
 
 def _who(borrower: Column) -> Column:
@@ -84,14 +85,13 @@ def _staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _chunk_starts(events: DataFrame, active: DataFrame, held: DataFrame, chunk_width: int) -> DataFrame:
+def _chunk_starts(events: DataFrame, known: DataFrame, chunk_width: int) -> DataFrame:
     """(title, chunk, who, n): every counter at every chunk's start, for titles
     of more than one chunk, by repeated replays."""
     pairs = events.select(*_CHUNK, "who").distinct()
     earlier = previous_in_key(pairs, ["book_title", "who"], "chunk", "chunk", "before", chunk_width)
-    links = earlier.join(held, ["book_title", "who"], "left")
     own = events.select(*_CHUNK).distinct().withColumns({"who": F.lit(_TOTAL), "before": F.expr("if(chunk > 0, chunk - 1, null)")})
-    links = links.unionByName(own.join(active, "book_title", "left"))
+    links = earlier.unionByName(own).join(known, ["book_title", "who"], "left")
     # ``before``: the chunk whose end is this chunk's start; none: the known count
     links = _staged(links.select(*_CHUNK, "who", "before", F.coalesce("n", F.lit(0)).cast("long").alias("known")), "links")
     starts, changed, ends = links.select(*_CHUNK, "who", F.col("known").alias("n")), None, None
@@ -110,24 +110,39 @@ def _chunk_starts(events: DataFrame, active: DataFrame, held: DataFrame, chunk_w
             return starts
 
 
-def ledger_outcomes(events: DataFrame, active: DataFrame, held: DataFrame, chunk_rows: int = CHUNK_ROWS, chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
+def counters(loans: DataFrame) -> DataFrame:
+    """(book_title, who, n): the active loans of every title and borrower; a
+    null borrower's count for the title only."""
+    act = loans.filter(F.col("return_date").isNull() & F.col("book_title").isNotNull())
+    total = act.select("book_title", F.lit(_TOTAL).alias("who"))
+    own = act.filter(F.col("borrower_name").isNotNull()).select("book_title", _who(F.col("borrower_name")).alias("who"))
+    return total.unionByName(own).groupBy("book_title", "who").agg(F.count(F.lit(1)).alias("n"))
+
+
+def after_events(before: DataFrame, done: DataFrame) -> DataFrame:
+    """The counters after events with their outcomes (book_title,
+    borrower_name, outcome)."""
+    step = F.when(F.col("outcome") == "borrowed", 1).when(F.col("outcome") == "returned", -1).cast("long")
+    moved = done.filter(F.col("outcome").isin("borrowed", "returned")) \
+        .select("book_title", F.explode(F.array(F.lit(_TOTAL), _who(F.col("borrower_name")))).alias("who"), step.alias("n"))
+    return before.unionByName(moved).groupBy("book_title", "who").agg(F.sum("n").alias("n")).filter("n <> 0")
+
+
+def ledger_outcomes(events: DataFrame, known: DataFrame, chunk_rows: int = CHUNK_ROWS, chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
     """(seq, outcome) of each event (seq, book_title, kind, borrower_name, copies).
 
-    ``active`` (book_title, n) and ``held`` (book_title, borrower_name, n) are
-    the loans before the first event; a null borrower holds none. Titles are
-    not null. A borrow needs fewer active loans than the event's copies, a
-    return an active loan of its borrower."""
+    ``known`` are the ``counters`` before the first event. Titles are not
+    null. A borrow needs fewer active loans than the event's copies, a return
+    an active loan of its borrower."""
     numbered = position_in_key(events, "book_title", "seq", "__pos", chunk_width)
     chunk = F.floor((F.col("__pos") - 1) / F.lit(chunk_rows)).cast("long")
     rows = numbered.select("book_title", chunk.alias("chunk"), "seq", "kind", _who(F.col("borrower_name")).alias("who"), "copies")
     rows = _staged(rows, "events")
-    held = held.filter("borrower_name IS NOT NULL").select("book_title", _who(F.col("borrower_name")).alias("who"), "n")
     long_titles = rows.filter("chunk = 1").select("book_title").distinct()
-    first = active.withColumn("who", F.lit(_TOTAL)).unionByName(held).withColumn("chunk", F.lit(0).cast("long"))
+    first = known.withColumn("chunk", F.lit(0).cast("long"))
     if long_titles.isEmpty():
         starts = first
     else:
-        chunked = rows.join(long_titles, "book_title", "left_semi")
-        later = _chunk_starts(chunked, active, held, chunk_width).filter("n <> 0")
+        later = _chunk_starts(rows.join(long_titles, "book_title", "left_semi"), known, chunk_width).filter("n <> 0")
         starts = first.join(long_titles, "book_title", "left_anti").unionByName(later)
     return _in_order(rows, starts).mapInPandas(_replay(True), "seq long, outcome string")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import is_letters_and_spaces, py_is_blank
-from tessera.operators.ledger import CHUNK_ROWS, ledger_outcomes
+from tessera.operators.ledger import CHUNK_ROWS, counters, ledger_outcomes
 from tessera.operators.ordering import (DEFAULT_CHUNK, earliest_per_key, flag_first,
                                         join_keys_null_safe, position_in_key)
 
@@ -335,6 +335,11 @@ def borrow_outcomes(requests: DataFrame, books: DataFrame, loans: DataFrame,
         .withColumn("due_offset_days", F.when(F.col("outcome") == "borrowed", F.lit(LOAN_DAYS)))
 
 
+def first_titles(books: DataFrame) -> DataFrame:
+    """(__isbn, book_title, copies) of the first book with each ISBN."""
+    return _first_book_by_isbn(books).select(F.col("isbn").alias("__isbn"), F.col("title").alias("book_title"), "copies")
+
+
 def loan_ledger(events: DataFrame, books: DataFrame, loans: DataFrame, chunk_rows: int = CHUNK_ROWS,
                 chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
     """W5 general case: an ordered log of borrows and returns
@@ -342,15 +347,10 @@ def loan_ledger(events: DataFrame, books: DataFrame, loans: DataFrame, chunk_row
     loan of the same borrower and title; borrows need a free copy. A title's
     log is solved in chunks (see ``ledger``), so a hot title is spread over
     as many tasks as it has chunks."""
-    fb = _first_book_by_isbn(books).select(F.col("isbn").alias("__isbn"), F.col("title").alias("book_title"),
-                                           "copies")
-    r = events.join(fb, events["isbn"] == F.col("__isbn"), "left").drop("__isbn")
+    r = events.join(first_titles(books), events["isbn"] == F.col("__isbn"), "left").drop("__isbn")
     missing = r.filter(F.col("book_title").isNull()).withColumn("outcome", F.lit("book_not_found"))
     found = r.filter(F.col("book_title").isNotNull())
-    act = loans.filter(F.col("return_date").isNull())
-    active = act.groupBy("book_title").agg(F.count(F.lit(1)).alias("n"))
-    held = act.groupBy("book_title", "borrower_name").agg(F.count(F.lit(1)).alias("n"))
-    outcomes = ledger_outcomes(found.select("seq", "book_title", "kind", "borrower_name", "copies"), active, held,
+    outcomes = ledger_outcomes(found.select("seq", "book_title", "kind", "borrower_name", "copies"), counters(loans),
                                chunk_rows, chunk_width)
     found = found.join(outcomes.withColumnRenamed("seq", "__seq"), F.col("seq") == F.col("__seq"), "left") \
         .drop("__seq")

@@ -19,14 +19,20 @@ def fleet(vehicles: DataFrame) -> DataFrame:
     return earliest_per_key(vehicles, "vehicle_id", "seq", ["base_price", "vehicle_type"]).drop("seq")
 
 
-def rental_outcomes(events: DataFrame, vehicles: DataFrame, chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
+def rental_outcomes(events: DataFrame, vehicles: DataFrame, chunk_width: int = DEFAULT_CHUNK,
+                    before: DataFrame | None = None) -> DataFrame:
     """Per event (seq, vehicle_id, kind in rent/return):
-    rented / already_rented / returned / not_rented / not_found."""
+    rented / already_rented / returned / not_rented / not_found. ``before``
+    (vehicle_id, kind) are the last events ahead of these."""
     ids = fleet(vehicles).select(F.col("vehicle_id").alias("__vid")).withColumn("__known", F.lit(True))
     e = events.join(ids, events["vehicle_id"] == F.col("__vid"), "left").drop("__vid")
     known = e.filter(F.col("__known").isNotNull())
     unknown = e.filter(F.col("__known").isNull())
     known = previous_in_key(known, "vehicle_id", "seq", "kind", "__prev", chunk_width)
+    if before is not None:
+        last = before.select(F.col("vehicle_id").alias("__vid"), F.col("kind").alias("__last"))
+        known = known.join(last, known["vehicle_id"] == F.col("__vid"), "left") \
+            .withColumn("__prev", F.coalesce("__prev", "__last")).drop("__vid", "__last")
     was_rented = F.coalesce(F.col("__prev") == "rent", F.lit(False))
     outcome = (F.when(F.col("kind") == "rent", F.when(was_rented, "already_rented").otherwise("rented"))
                .otherwise(F.when(was_rented, "returned").otherwise("not_rented")))

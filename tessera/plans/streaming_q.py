@@ -12,10 +12,12 @@ from tessera.plans.tables import view, with_views
 from tessera.session import staging_path
 from tessera.plans.replay import write_stream_chunks
 from tessera.streaming.importer import start_import_stream
-from tessera.streaming.stateful import ledger_stream, rental_stream, start_to_parquet, use_rocksdb
+from tessera.streaming.stateful import start_ledger_stream, start_rental_stream
 from tessera.streaming.text import start_text_stream
 
 FILES_PER_CHUNK = 2
+#: Buckets of the streams' states.
+BUCKETS = 16
 
 
 def _stream_import(spark, sf):
@@ -23,13 +25,13 @@ def _stream_import(spark, sf):
     # spellings of one id (' +7 ', '7') must stay in one file, in order
     raw = view(spark, sf, "users_raw_v").withColumn("__id", py_int(F.col("user_id")))
     write_stream_chunks(raw, src, "__id", files_per_chunk=FILES_PER_CHUNK, fmt="csv",
-                        options={"header": True, "ignoreLeadingWhiteSpace": False,
+                        options={"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False,
                                  "ignoreTrailingWhiteSpace": False},
                         columns=["user_id", "name", "email"])
     src_csv = src
     store, outcomes, ckpt = (staging_path(spark, n) for n in ("stream-store", "stream-outcomes", "stream-ckpt"))
     q = start_import_stream(spark, src_csv, store, outcomes, ckpt, view(spark, sf, "users_existing_v"),
-                            files_per_batch=FILES_PER_CHUNK)
+                            files_per_batch=FILES_PER_CHUNK, buckets=BUCKETS)
     q.awaitTermination()
     # error_code tells an in-batch repeat from an id stored by an earlier
     # micro-batch, which depends on batch boundaries; the outcome does not
@@ -48,18 +50,16 @@ def _stream_text(spark, sf):
 
 
 def _stream_rental(spark, sf):
-    use_rocksdb(spark)
     src = staging_path(spark, "stream-rental-src")
     ev = view(spark, sf, "vehicle_events_v").select("seq", "vehicle_id", "days", "kind")
     write_stream_chunks(ev, src, "vehicle_id", files_per_chunk=FILES_PER_CHUNK)
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", FILES_PER_CHUNK).parquet(src)
-    sink, ckpt = staging_path(spark, "stream-rental"), staging_path(spark, "stream-ckpt")
-    start_to_parquet(rental_stream(stream, view(spark, sf, "vehicles_v")), sink, ckpt).awaitTermination()
-    return spark.read.parquet(sink)
+    sink, state, ckpt = (staging_path(spark, n) for n in ("stream-rental", "stream-state", "stream-ckpt"))
+    start_rental_stream(stream, view(spark, sf, "vehicles_v"), sink, state, ckpt, BUCKETS).awaitTermination()
+    return spark.read.parquet(sink).drop("batch_id")
 
 
 def _stream_ledger(spark, sf):
-    use_rocksdb(spark)
     src = staging_path(spark, "stream-ledger-src")
     books = view(spark, sf, "books_v").join(
         view(spark, sf, "books_v").groupBy("isbn").agg(F.min("seq").alias("__s")), "isbn")
@@ -76,9 +76,9 @@ def _stream_ledger(spark, sf):
         .parquet(src).drop("__title")
     norm_books = B.normalise_books(view(spark, sf, "books_v"))
     loans = B.normalise_loans(view(spark, sf, "loans_v"), AS_OF)
-    sink, ckpt = staging_path(spark, "stream-ledger"), staging_path(spark, "stream-ckpt")
-    start_to_parquet(ledger_stream(stream, norm_books, loans), sink, ckpt).awaitTermination()
-    return spark.read.parquet(sink)
+    sink, state, ckpt = (staging_path(spark, n) for n in ("stream-ledger", "stream-state", "stream-ckpt"))
+    start_ledger_stream(stream, norm_books, loans, sink, state, ckpt, BUCKETS).awaitTermination()
+    return spark.read.parquet(sink).drop("batch_id")
 
 
 QUERIES = {

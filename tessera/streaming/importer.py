@@ -1,73 +1,61 @@
 """Continuous user-CSV import with de-duplication across micro-batches.
 
-Each micro-batch is imported with the batch operator against the store as it
-stood before that batch. Outcomes and newly added users are written into a
-``batch_id`` partition with dynamic overwrite, and the store view of batch N
-excludes partitions >= N — so a retried batch reproduces exactly the same
-result (idempotent sink) and cross-batch duplicates are found. ``seq`` orders
-the rows of one batch; the order of the whole stream is (``batch_id``, ``seq``).
+Each micro-batch is imported with the batch operator against the ids stored
+before that batch. Outcomes and newly added users are written into a
+``batch_id`` partition with dynamic overwrite, ids into the buckets the batch
+touches (``bucket_state``) — so a retried batch reproduces exactly the same
+result, cross-batch duplicates are found, and a batch reads the stored ids of
+its own buckets only. Files are read by as many tasks as they have splits
+(``sources.ranges``). ``seq`` orders the rows of one batch; the order of the
+whole stream is (``batch_id``, ``seq``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
-from tessera.operators.importer import import_users
-from tessera.sources.files import ROW_BITS
-
-RAW_SCHEMA = "c0 string, c1 string, c2 string, _corrupt string"
-_NO_NULL = "\u0000\u0001"
-
-
-def _read_partitioned(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], schema)  # nothing has been written yet
-        raise
+from tessera.functions.text import py_int
+from tessera.operators.importer import import_users, observed_audit
+from tessera.sources.ranges import CSV
+from tessera.sources.users_csv import user_rows
+from tessera.streaming.bucket_state import BucketState, write_batch
 
 
 def start_import_stream(spark: SparkSession, source_dir: str, store_path: str, outcomes_path: str,
-                        checkpoint: str, existing_ids: DataFrame | None = None,
-                        files_per_batch: int = 1, available_now: bool = True) -> StreamingQuery:
-    """Start the stream over CSV files (header ``user_id,name,email``)."""
-    stream = (spark.readStream.schema(RAW_SCHEMA).option("header", True)
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
-              .option("nullValue", _NO_NULL).option("multiLine", True)
-              .option("maxFilesPerTrigger", files_per_batch)
-              .csv(source_dir)
-              .select("*", F.col("_metadata.file_path").alias("__file"),
-                      F.col("_metadata.file_modification_time").alias("__time")))
+                        checkpoint: str, existing_ids: DataFrame | None = None, files_per_batch: int = 1,
+                        available_now: bool = True, ids_path: str | None = None, buckets: int = 256,
+                        on_metrics=None) -> StreamingQuery:
+    """Start the stream over CSV files (header ``user_id,name,email``).
+
+    ``ids_path`` (default beside the store) keeps the known ids by bucket; it
+    begins as ``existing_ids``. ``on_metrics(batch_id, counts)`` gets the rows
+    of each outcome, counted while the outcomes are written."""
+    ids_path = ids_path or store_path.rstrip("/") + "-ids"
+    if existing_ids is not None:
+        first = existing_ids.select(F.col("user_id").cast("long")).distinct()
+        BucketState(spark, ids_path, "user_id long", ["user_id"], buckets).seed(first)
+    stream = spark.readStream.option("lineSep", CSV.separator).option("maxFilesPerTrigger", files_per_batch) \
+        .text(source_dir).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                 F.col("_metadata.file_modification_time").alias("time"))
 
     def import_batch(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        short = F.col("_corrupt").isNotNull() & F.col("c2").isNull()
-        files = batch.select("__file", "__time").distinct()  # bounded by maxFilesPerTrigger
-        # as the file source hands them out: oldest first, then by path
-        ranks = files.select("__file", F.row_number().over(Window.orderBy("__time", "__file")).alias("__rank"))
-        raw = batch.withColumn("__mono", F.monotonically_increasing_id()) \
-            .join(F.broadcast(ranks), "__file") \
-            .select((F.shiftleft(F.col("__rank").cast("long"), ROW_BITS)  # order inside the batch; batches are compared by id
-                     + F.col("__mono").bitwiseAND(F.lit((1 << ROW_BITS) - 1))).alias("seq"),
-                    *[F.when(short & F.col(c).isNull(), F.lit(None)).otherwise(F.coalesce(F.col(c), F.lit("")))
-                      .alias(n) for c, n in (("c0", "user_id"), ("c1", "name"), ("c2", "email"))])
-        stored = _read_partitioned(s, store_path, "user_id long, name string, email string, batch_id long") \
-            .filter(F.col("batch_id") < batch_id).select("user_id")
-        if existing_ids is not None:
-            stored = stored.unionByName(existing_ids.select(F.col("user_id").cast("long")))
-        out = import_users(raw, stored).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        # outcomes are written once, then the added rows are read back from the
-        # written partition (a cut in lineage; no recomputation of the import)
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id") \
-            .parquet(outcomes_path)
-        added = s.read.parquet(outcomes_path).filter((F.col("batch_id") == batch_id) & (F.col("outcome") == "added")) \
-            .select("user_id", "name", "email", "batch_id")
-        added.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id") \
-            .parquet(store_path)
+        ids = BucketState(batch.sparkSession, ids_path, "user_id long", ["user_id"], buckets)
+        # file names in the order the source hands them out: oldest first, then by path
+        named = F.concat(F.lpad(F.unix_micros("time").cast("string"), 20, "0"), F.lit(" "), "file")
+        pieces = batch.select(F.col("value").cast("binary").alias("piece"), named.alias("file"), "block", F.monotonically_increasing_id().alias("mono"))
+        raw = user_rows(pieces).select("seq", F.col("c0").alias("user_id"), F.col("c1").alias("name"), F.col("c2").alias("email"))
+        touched = ids.touched(raw.select(py_int(F.col("user_id")).alias("user_id")))
+        known = ids.read(touched, batch_id)
+        counts = Observation(f"import-{batch_id}")
+        out = write_batch(observed_audit(import_users(raw, known), counts), outcomes_path, batch_id)
+        # the added rows are read from what was written: the import is not computed again
+        added = out.filter(F.col("outcome") == "added").select("user_id", "name", "email")
+        write_batch(added, store_path, batch_id)
+        ids.write(known.unionByName(added.select("user_id")), batch_id)
+        if on_metrics is not None:
+            on_metrics(batch_id, counts.get)
 
     writer = stream.writeStream.foreachBatch(import_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

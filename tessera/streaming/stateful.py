@@ -1,144 +1,80 @@
-"""Keyed state machines over event streams.
-
-R3 keeps one value per vehicle (the kind of its last event); R4 keeps, per
-title, the number of active loans and the active loans per borrower. Both use
-``transformWithStateInPandas``: state lives in the (RocksDB) state store, is
-checkpointed with the stream and is bounded by the key's own state size,
-never by its event count. A key's events of one micro-batch are sorted by seq
-in the task, so they are bounded by the batch size: sources read with a rate
-limit (``maxFilesPerTrigger``, honoured by ``availableNow`` too).
+"""State machines over event streams.
+
+Every micro-batch is solved by the batch operator, started from the state that
+earlier batches left: the last event of each vehicle, the active loans of each
+title and borrower. A key that fills half of a batch is therefore cut into
+chunks like any hot key (see ``operators.ordering`` and ``operators.ledger``):
+no handler holds a key's events. State is kept by key bucket (``bucket_state``)
+and only the buckets of a batch's keys are read and written.
+
+Events of a key must come in ``seq`` order over the batches; inside a batch
+they may lie in any order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-RENTAL_OUT = "seq long, vehicle_id long, kind string, outcome string"
-LEDGER_OUT = "seq long, book_title string, kind string, borrower_name string, outcome string"
-
-
-def use_rocksdb(spark: SparkSession) -> None:
-    """transformWithState needs the RocksDB state store provider."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-
-
-class RentalState(StatefulProcessor):
-    """Per vehicle: rented iff the last event was a rent (whatever its outcome)."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_kind", "kind string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows)).sort_values("seq")
-        prev = self.last.get()[0] if self.last.exists() else None
-        outcomes = []
-        for kind in events["kind"]:
-            rented = prev == "rent"
-            if kind == "rent":
-                outcomes.append("already_rented" if rented else "rented")
-            else:
-                outcomes.append("returned" if rented else "not_rented")
-            prev = kind
-        self.last.update((prev,))
-        yield pd.DataFrame({"seq": events["seq"].astype("int64"), "vehicle_id": events["vehicle_id"].astype("int64"),
-                            "kind": events["kind"], "outcome": outcomes})
-
-    def close(self) -> None:
-        pass
-
-
-def rental_stream(events: DataFrame, vehicles: DataFrame) -> DataFrame:
-    """Streaming twin of ``operators.rental.rental_outcomes``: unknown vehicles
-    are resolved by a stream-static join, known ones by keyed state."""
-    fleet = vehicles.select(F.col("vehicle_id").alias("__vid")).distinct().withColumn("__known", F.lit(True))
-    e = events.select("seq", "vehicle_id", "kind").join(fleet, F.col("vehicle_id") == F.col("__vid"), "left")
-    known = e.filter(F.col("__known").isNotNull()).select("seq", "vehicle_id", "kind") \
-        .groupBy("vehicle_id").transformWithStateInPandas(
-            statefulProcessor=RentalState(), outputStructType=RENTAL_OUT, outputMode="Append", timeMode="None")
-    unknown = e.filter(F.col("__known").isNull()).select("seq", "vehicle_id", "kind",
-                                                         F.lit("not_found").alias("outcome"))
-    return known.unionByName(unknown)
-
-
-class LedgerState(StatefulProcessor):
-    """Per title: active loans and active loans per borrower (borrow needs a
-    free copy, return needs an active loan of that borrower)."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.active = handle.getValueState("active", "n long")
-        self.held = handle.getMapState("held", "borrower string", "n long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        ev = pd.concat(list(rows)).sort_values("seq")
-        active = self.active.get()[0] if self.active.exists() else int(ev["a0"].iloc[0])
-        cache: dict[str, int] = {}
-        started: dict[str, int] = {}
-        out = []
-        for kind, who, copies, held0 in zip(ev["kind"], ev["borrower_name"], ev["copies"], ev["held"]):
-            if who not in cache:
-                started[who] = int(held0)
-                cache[who] = self.held.getValue((who,))[0] if self.held.containsKey((who,)) else int(held0)
-            if kind == "borrow":
-                if active < copies:
-                    active += 1
-                    cache[who] += 1
-                    out.append("borrowed")
-                else:
-                    out.append("no_copies")
-            elif cache[who] > 0:
-                cache[who] -= 1
-                active -= 1
-                out.append("returned")
-            else:
-                out.append("no_active_loan")
-        self.active.update((active,))
-        for who, n in cache.items():
-            if n or started[who]:
-                self.held.updateValue((who,), (n,))
-            elif self.held.containsKey((who,)):
-                self.held.removeKey((who,))  # an unknown borrower holds none anyway
-        yield pd.DataFrame({"seq": ev["seq"].astype("int64"), "book_title": ev["book_title"], "kind": ev["kind"],
-                            "borrower_name": ev["borrower_name"], "outcome": out})
-
-    def close(self) -> None:
-        pass
-
-
-def ledger_stream(events: DataFrame, books: DataFrame, loans: DataFrame) -> DataFrame:
-    """Streaming twin of ``operators.library.loan_ledger``. Book lookup and
-    initial loan counts are stream-static joins; the rest is keyed state."""
-    from tessera.operators.library import _first_book_by_isbn
-
-    fb = _first_book_by_isbn(books).select(F.col("isbn").alias("__isbn"), F.col("title").alias("book_title"),
-                                           "copies")
-    act = loans.filter(F.col("return_date").isNull())
-    a0 = act.groupBy("book_title").agg(F.count(F.lit(1)).alias("a0")).withColumnRenamed("book_title", "__t")
-    held = act.groupBy("book_title", "borrower_name").agg(F.count(F.lit(1)).alias("held")) \
-        .withColumnRenamed("book_title", "__t2").withColumnRenamed("borrower_name", "__b2")
-    e = events.join(fb, F.col("isbn") == F.col("__isbn"), "left").drop("__isbn")
-    missing = e.filter(F.col("book_title").isNull()).select(
-        "seq", "book_title", "kind", "borrower_name", F.lit("book_not_found").alias("outcome"))
-    found = e.filter(F.col("book_title").isNotNull()) \
-        .join(a0, F.col("book_title") == F.col("__t"), "left").drop("__t") \
-        .join(held, (F.col("book_title") == F.col("__t2")) & (F.col("borrower_name") == F.col("__b2")), "left") \
-        .drop("__t2", "__b2") \
-        .select("seq", "book_title", "kind", "borrower_name", "copies",
-                F.coalesce(F.col("a0"), F.lit(0)).cast("long").alias("a0"),
-                F.coalesce(F.col("held"), F.lit(0)).cast("long").alias("held"))
-    stateful = found.groupBy("book_title").transformWithStateInPandas(
-        statefulProcessor=LedgerState(), outputStructType=LEDGER_OUT, outputMode="Append", timeMode="None")
-    return stateful.unionByName(missing)
-
-
-def start_to_parquet(df: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    w = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint) \
-        .outputMode("append")
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+from pyspark.sql.streaming import StreamingQuery
+
+from tessera.operators.ledger import COUNTERS, after_events, counters, ledger_outcomes
+from tessera.operators.library import first_titles
+from tessera.operators.ordering import latest_per_key
+from tessera.operators.rental import rental_outcomes
+from tessera.session import staging_path
+from tessera.streaming.bucket_state import BucketState, write_batch
+
+
+def _started(stream: DataFrame, handle, checkpoint: str, available_now: bool) -> StreamingQuery:
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    return writer.start()
+
+
+def _staged(batch: DataFrame, label: str) -> DataFrame:
+    """A batch's events, read from their source once."""
+    path = staging_path(batch.sparkSession, label)
+    batch.write.parquet(path)
+    return batch.sparkSession.read.schema(batch.schema).parquet(path)
+
+
+def start_rental_stream(events: DataFrame, vehicles: DataFrame, sink: str, state: str, checkpoint: str,
+                        buckets: int = 256, available_now: bool = True) -> StreamingQuery:
+    """Streaming twin of ``operators.rental.rental_outcomes``: (seq,
+    vehicle_id, kind, outcome) by ``batch_id`` under ``sink``."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        last = BucketState(batch.sparkSession, state, "vehicle_id long, kind string", ["vehicle_id"], buckets)
+        ev = _staged(batch.select("seq", "vehicle_id", "kind"), "rental-batch")
+        touched = last.touched(ev)
+        before = last.read(touched, batch_id)
+        done = write_batch(rental_outcomes(ev, vehicles, before=before).select("seq", "vehicle_id", "kind", "outcome"), sink, batch_id)
+        now = latest_per_key(done.filter("outcome <> 'not_found'"), "vehicle_id", "seq", ["kind"]).select("vehicle_id", "kind")
+        last.write(now.unionByName(before.join(now, "vehicle_id", "left_anti")), batch_id)
+
+    return _started(events, handle, checkpoint, available_now)
+
+
+def start_ledger_stream(events: DataFrame, books: DataFrame, loans: DataFrame, sink: str, state: str, checkpoint: str,
+                        buckets: int = 256, available_now: bool = True, **chunks: int) -> StreamingQuery:
+    """Streaming twin of ``operators.library.loan_ledger``: (seq, book_title,
+    kind, borrower_name, outcome) by ``batch_id`` under ``sink``. ``loans``
+    are those before the first batch."""
+    def held(spark) -> BucketState:
+        return BucketState(spark, state, COUNTERS, ["book_title"], buckets)
+
+    held(events.sparkSession).seed(counters(loans))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        titles = first_titles(books)
+        ev = batch.join(titles, batch["isbn"] == F.col("__isbn"), "left").drop("__isbn")
+        ev = _staged(ev.select("seq", "book_title", "kind", "borrower_name", "copies"), "ledger-batch")
+        found = ev.filter("book_title IS NOT NULL")
+        counts = held(batch.sparkSession)
+        touched = counts.touched(found)
+        before = counts.read(touched, batch_id)
+        out = found.join(ledger_outcomes(found, before, **chunks), "seq") \
+            .unionByName(ev.filter("book_title IS NULL").withColumn("outcome", F.lit("book_not_found")))
+        done = write_batch(out.select("seq", "book_title", "kind", "borrower_name", "outcome"), sink, batch_id)
+        counts.write(after_events(before, done.filter("book_title IS NOT NULL")), batch_id)
+
+    return _started(events, handle, checkpoint, available_now)

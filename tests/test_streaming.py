@@ -6,16 +6,16 @@ from tessera.operators import library as B
 from tessera.operators import rental as R
 from tessera.plans.replay import write_stream_chunks
 from tessera.streaming.importer import start_import_stream
-from tessera.streaming.stateful import ledger_stream, rental_stream, start_to_parquet, use_rocksdb
+from tessera.streaming.bucket_state import BucketState
+from tessera.streaming.stateful import start_ledger_stream, start_rental_stream
 
 EV = "seq long, vehicle_id long, days long, kind string"
 
 
 def test_rental_stream_matches_batch(spark, tmp):
-    use_rocksdb(spark)
     import random
     rnd = random.Random(3)
-    ev = spark.createDataFrame([(s, rnd.randint(0, 5), 1, rnd.choice(["rent", "return"]))
+    ev = spark.createDataFrame([(s, rnd.choice([0, 0, 0, 0, 1, 2, 3, 5]), 1, rnd.choice(["rent", "return"]))
                                 for s in rnd.sample(range(10_000), 300)], EV)
     veh = spark.createDataFrame([(i, i, 10.0, "car") for i in range(5)],
                                 "seq long, vehicle_id long, base_price double, vehicle_type string")
@@ -23,14 +23,13 @@ def test_rental_stream_matches_batch(spark, tmp):
     write_stream_chunks(ev, src, "vehicle_id", n_chunks=3, files_per_chunk=2)
     stream = spark.readStream.schema(EV).option("maxFilesPerTrigger", 2).parquet(src)
     sink = os.path.join(tmp, "sink")
-    start_to_parquet(rental_stream(stream, veh), sink, os.path.join(tmp, "ck")).awaitTermination()
+    start_rental_stream(stream, veh, sink, os.path.join(tmp, "state"), os.path.join(tmp, "ck"), 4).awaitTermination()
     got = sorted(map(tuple, spark.read.parquet(sink).select("seq", "outcome").collect()))
     exp = sorted(map(tuple, R.rental_outcomes(ev, veh).select("seq", "outcome").collect()))
     assert got == exp
 
 
 def test_ledger_stream_matches_batch(spark, tmp):
-    use_rocksdb(spark)
     import random
     rnd = random.Random(5)
     books = B.normalise_books(spark.createDataFrame(
@@ -51,7 +50,8 @@ def test_ledger_stream_matches_batch(spark, tmp):
     write_stream_chunks(keyed, src, "__t", n_chunks=3, files_per_chunk=2)
     stream = spark.readStream.schema(keyed.schema).option("maxFilesPerTrigger", 2).parquet(src).drop("__t")
     sink = os.path.join(tmp, "sink")
-    start_to_parquet(ledger_stream(stream, books, loans), sink, os.path.join(tmp, "ck")).awaitTermination()
+    # half of every batch names one title and is cut into chunks of 16 events
+    start_ledger_stream(stream, books, loans, sink, os.path.join(tmp, "state"), os.path.join(tmp, "ck"), 4, chunk_rows=16).awaitTermination()
     got = sorted(map(tuple, spark.read.parquet(sink).select("seq", "outcome").collect()))
     exp = sorted(map(tuple, B.loan_ledger(ev, books, loans).select("seq", "outcome").collect()))
     assert got == exp
@@ -67,9 +67,46 @@ def test_import_stream_dedups_across_batches(spark, tmp):
         os.utime(p, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
     store, out = os.path.join(tmp, "store"), os.path.join(tmp, "out")
     existing = spark.createDataFrame([(4,)], "user_id long")
-    q = start_import_stream(spark, src, store, out, os.path.join(tmp, "ck"), existing)
+    counts = {}
+    q = start_import_stream(spark, src, store, out, os.path.join(tmp, "ck"), existing, on_metrics=counts.__setitem__)
     q.awaitTermination()
+    assert counts == {0: {"n_rows": 2, "added": 2, "duplicate": 0, "invalid": 0, "malformed": 0},
+                      1: {"n_rows": 2, "added": 0, "duplicate": 1, "invalid": 1, "malformed": 0},
+                      2: {"n_rows": 2, "added": 0, "duplicate": 2, "invalid": 0, "malformed": 0}}
     rows = spark.read.parquet(out).orderBy("batch_id", "seq").select("user_id", "outcome", "error_code").collect()
     assert [(r[0], r[1]) for r in rows] == [(1, "added"), (2, "added"), (1, "duplicate"), (3, "invalid"),
                                             (4, "duplicate"), (2, "duplicate")]
     assert sorted(r["user_id"] for r in spark.read.parquet(store).collect()) == [1, 2]
+
+
+def test_bucket_state_reads_only_touched_buckets(spark, tmp):
+    state = BucketState(spark, os.path.join(tmp, "s"), "id long, v string", ["id"], 8)
+    frame = lambda rows: spark.createDataFrame(rows, "id long, v string")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    every = list(range(8))
+    assert state.read(every, 0).collect() == []
+    state.seed(frame([(k, "seed") for k in range(20)]))
+    state.seed(frame([(99, "not again")]))
+    one = state.touched(frame([(3, "")]))
+    assert len(one) == 1
+    before = state.read(one, 5)
+    kept = rows(before)
+    assert (3, "seed") in kept and len(kept) < 20 and {f.split("bucket=")[1].split("/")[0] for f in before.inputFiles()} == {str(one[0])}
+    state.write(before.filter("id <> 3").unionByName(frame([(3, "new")])), 5)
+    assert rows(state.read(one, 5)) == kept  # run again, batch 5 finds what it found
+    assert (3, "new") in rows(state.read(one, 6)) and len(rows(state.read(every, 6))) == 20
+    state.write(state.read(one, 6), 6)
+    state.write(state.read(one, 7), 7)
+    assert state.versions()[one[0]] == [6, 7]  # what batch 7 replaced, and 7
+
+
+def test_import_batch_leaves_other_buckets_alone(spark, tmp):
+    src, store, out, ids = (os.path.join(tmp, n) for n in ("in", "store", "out", "ids"))
+    os.makedirs(src)
+    with open(os.path.join(src, "a.csv"), "w") as f:
+        f.write('user_id,name,email\n7,"Ann\nB",a@x.io\n7,C,c@x.io\n')
+    existing = spark.range(200).select(F.col("id").alias("user_id")).filter("user_id <> 7")
+    start_import_stream(spark, src, store, out, os.path.join(tmp, "ck"), existing, ids_path=ids, buckets=32).awaitTermination()
+    state = BucketState(spark, ids, "user_id long", ["user_id"], 32)
+    assert [b for b, n in state.versions().items() if 0 in n] == state.touched(spark.createDataFrame([(7,)], "user_id long"))
+    assert spark.read.parquet(out).count() == 2
