@@ -9,8 +9,9 @@ cuts are told apart by the bytes they decode to.
 Byte positions where both sides end a token cut a text into groups; every
 stretch between two neighbouring ends of either side is one link, as exactly
 one token of each side covers it. How often a pair of ids is linked in the
-whole corpus is counted by Spark. Texts are read twice: for the counts, and
-for each document's sums over them. Segments (see ``pieces``) are aligned
+whole corpus is counted by Spark. What tasks know of their documents is
+staged in blocks meanwhile (the documents' segments and the links of each
+distinct one), so that the sums over the counts need no second alignment. Segments (see ``pieces``) are aligned
 once for each worker's bounded store, many in one call of the tokenizers.
 """
 
@@ -228,30 +229,65 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def pair_counts(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text") -> DataFrame:
-    """(pair, n): how many links of all texts hold the ids ``pair & 0xFFFFF``
-    of A and ``pair >> 20`` of B. Each task adds up its links first."""
+def _packed(**columns: pa.Array) -> bytes:
+    """Arrays of any lengths as one compressed Arrow row."""
+    row = pa.RecordBatch.from_arrays([pa.LargeListArray.from_arrays(pa.array([0, len(c)], pa.int64()), c) for c in columns.values()], list(columns))
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(row)
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> dict[str, pa.Array]:
+    row = pa.ipc.open_stream(data).read_next_batch()
+    return {n: c.values for n, c in zip(row.schema.names, row.columns)}
+
+
+def aligned_blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
+    """Rows (pair, n): links of a pair that a task has counted; and rows
+    (block): documents of a block with what does not depend on the counts,
+    their segments, and the links of these, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         al = aligner(a_path, b_path)
         pairs, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+        def rows_of(pairs: np.ndarray, n: np.ndarray, blocks: list[bytes]) -> pa.RecordBatch:
+            none, few = pa.nulls(len(blocks), pa.int64()), pa.nulls(len(pairs), pa.binary())
+            columns = [pa.concat_arrays([none, pa.array(x, pa.int64())]) for x in (pairs, n)]
+            return pa.RecordBatch.from_arrays([*columns, pa.concat_arrays([pa.array(blocks, pa.binary()), few])], ["pair", "n", "block"])
+
         for b in batches:
             texts = plain_texts(column_of(b, "text"))
             for i, j in row_blocks(texts):
                 block = cut(texts[i:j])
                 rows = al.rows(block.segments)
-                counted = np.repeat(_spelt(block, al.bad[rows]), np.diff(block.offsets))
-                times = np.bincount(block.index[counted], minlength=len(rows))
+                spelt = _spelt(block, al.bad[rows])
+                counted = np.repeat(spelt, np.diff(block.offsets))
                 at, links = ragged(al.at, rows)
-                new = added_up(al.pairs[at], np.repeat(times, links))
-                pairs, n = added_up(np.concatenate([pairs, new[0]]), np.concatenate([n, new[1]]))
-                if len(pairs) > TASK_PAIRS:
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], ["pair", "n"])
+                own, link = np.unique(al.pairs[at], return_inverse=True)
+                times = np.repeat(np.bincount(block.index[counted], minlength=len(rows)), links)
+                of_own = np.bincount(link, times, len(own)).astype(np.int64)  # sums of one block are exact in doubles
+                pairs, n = added_up(np.concatenate([pairs, own[of_own > 0]]), np.concatenate([n, of_own[of_own > 0]]))
+                text = pc.if_else(pa.array(spelt), block.joined(al.groups.take(pa.array(rows)), ";"), pa.scalar("", pa.large_string()))
+                if digest:
+                    text = pa.array([h if s else "" for h, s in zip(sha256_rows(text), spelt.tolist())], pa.large_string())
+                sums = {c: pa.array(block.sums(x) * spelt, pa.int64()) for c, x in zip(("n_a", "n_b", "n_groups", "n_links"), al.size[:, rows])}
+                packed = _packed(doc_id=column_of(b, "doc_id")[i:j], **sums, text=text, spelt=pa.array(spelt), offsets=pa.array(block.offsets, pa.int32()),
+                                 index=pa.array(block.index, pa.int32()), links=pa.array(links, pa.int32()), link=pa.array(link, pa.int32()), pairs=pa.array(own))
+                full = len(pairs) > TASK_PAIRS
+                yield rows_of(pairs if full else pairs[:0], n if full else n[:0], [packed])
+                if full:
                     pairs, n = pairs[:0], n[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], ["pair", "n"])
+        yield rows_of(pairs, n, [])
 
-    src = docs.select(F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "pair long, n long").filter("n > 0").groupBy("pair").agg(F.sum("n").alias("n"))
+    return _source(docs, id_col, text_col).mapInArrow(run, "pair long, n long, block binary")
+
+
+def pair_counts(blocks: DataFrame) -> DataFrame:
+    """(pair, n): how many links of all texts hold the ids ``pair & 0xFFFFF``
+    of A and ``pair >> 20`` of B."""
+    return blocks.filter("pair IS NOT NULL").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def with_best(pairs: DataFrame) -> DataFrame:
@@ -285,43 +321,38 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     count as often as they come; an empty table gives no rows; other columns
     are ignored, whatever their names. Very long texts are handled whole."""
     spark = docs.sparkSession
-    src = _source(docs, id_col, text_col)
-    pairs = with_best(staged(pair_counts(src, a_path, b_path), "alignment-pairs"))
+    blocks = staged(aligned_blocks(docs, a_path, b_path, id_col, text_col, digest), "alignment-blocks")
+    pairs = with_best(staged(pair_counts(blocks), "alignment-pairs"))
     least = least_count(pairs, table_pairs)
     known = pairs.filter(F.col("n") >= least).sort("pair").toArrow()
     table = spark.sparkContext.broadcast(tuple(known[c].to_numpy() for c in ("pair", "n", "best")))
     last = "groups_sha256" if digest else "groups"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        al, (codes, counts, best) = aligner(a_path, b_path), table.value
+        codes, counts, best = table.value
         names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", last, "rest"]
         for b in batches:
-            texts = plain_texts(column_of(b, "text"))
-            for i, j in row_blocks(texts):
-                block = cut(texts[i:j])
-                rows = al.rows(block.segments)
-                spelt = _spelt(block, al.bad[rows])
-                at, links = ragged(al.at, rows)
-                pair = al.pairs[at]
-                k = np.minimum(np.searchsorted(codes, pair), max(len(codes) - 1, 0))
-                found = codes[k] == pair if len(codes) else np.zeros(len(pair), bool)
-                n, top = (np.where(found, x[k], 0) if len(codes) else np.zeros(len(pair), np.int64) for x in (counts, best))
-                ends = np.concatenate([[0], np.cumsum(links)])
-                by_segment = lambda x: np.diff(np.concatenate([[0], np.cumsum(x.astype(np.int64))])[ends])
-                columns = [pa.array(block.sums(x) * spelt, pa.int64()) for x in (*al.size[:, rows], by_segment(top), by_segment(n))]
-                text = pc.if_else(pa.array(spelt), block.joined(al.groups.take(pa.array(rows)), ";"), pa.scalar("", pa.large_string()))
-                if digest:
-                    text = pa.array([h if s else "" for h, s in zip(sha256_rows(text), spelt.tolist())], pa.string())
+            for packed in column_of(b, "block"):
+                c = _unpacked(packed.as_py())
+                own, links, link, spelt = (c[k].to_numpy(zero_copy_only=False) for k in ("pairs", "links", "link", "spelt"))
+                block = Block([], c["index"].to_numpy().astype(np.int64), c["offsets"].to_numpy().astype(np.int64))
+                k = np.minimum(np.searchsorted(codes, own), max(len(codes) - 1, 0))
+                found = codes[k] == own if len(codes) else np.zeros(len(own), bool)
+                n, top = (np.where(found, x[k], 0).astype(np.int64) if len(codes) else np.zeros(len(own), np.int64) for x in (counts, best))
+                ends = _starts(links)
+                by_segment = lambda x: np.diff(_starts(x[link])[ends])
+                sums = [pa.array(block.sums(by_segment(x)) * spelt, pa.int64()) for x in (top, n)]
                 # pairs that are not in the table, once for each link; the last row of the offsets has none
-                rest = np.flatnonzero(~found)
+                rest = np.flatnonzero(~found[link])
                 held = np.concatenate([[0], np.searchsorted(rest, ends[1:]), [len(rest)]])
-                items, n_items = ragged(held, np.where(np.repeat(spelt, np.diff(block.offsets)), block.index, len(rows)))
+                items, n_items = ragged(held, np.where(np.repeat(spelt, np.diff(block.offsets)), block.index, len(links)))
                 at_row = np.concatenate([[0], np.cumsum(n_items)])[block.offsets]
-                lists = pa.ListArray.from_arrays(pa.array(at_row, pa.int32()), pa.array(pair[rest][items]))
-                yield pa.RecordBatch.from_arrays([column_of(b, "doc_id")[i:j], *columns, text.cast(pa.string()), lists], names)
+                lists = pa.ListArray.from_arrays(pa.array(at_row, pa.int32()), pa.array(own[link[rest][items]]))
+                columns = [c[x] for x in ("doc_id", "n_a", "n_b", "n_groups", "n_links")]
+                yield pa.RecordBatch.from_arrays([*columns, *sums, c["text"].cast(pa.string()), lists], names)
 
     kinds = ["doc_id long", "n_a long", "n_b long", "n_groups long", "n_links long", "n_best long", "count_sum long", f"{last} string"]
-    out = src.mapInArrow(run, ", ".join([*kinds, "rest array<long>"]))
+    out = blocks.filter("block IS NOT NULL").select("block").mapInArrow(run, ", ".join([*kinds, "rest array<long>"]))
     names = [k.split()[0] for k in kinds]
     if not least:  # the table has all pairs
         return out.select(*names)

@@ -11,7 +11,7 @@ import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from tessera.llm.alignment import align, cut_ends, least_count, pair_counts
+from tessera.llm.alignment import align, aligned_blocks, cut_ends, least_count, pair_counts
 from tessera.llm.token_count import byte_alphabet
 
 A, B = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
@@ -77,7 +77,7 @@ def test_digest_and_pair_counts(case):
     df, want, count = case
     got = {r.doc_id: r.groups_sha256 for r in align(df, A, B, digest=True).collect()}
     assert got == {k: hashlib.sha256(w[6].encode()).hexdigest() if w[0] else "" for k, w in enumerate(want)}
-    pairs = pair_counts(df, A, B)
+    pairs = pair_counts(aligned_blocks(df, A, B))
     assert {(r.pair & 0xFFFFF, r.pair >> 20): r.n for r in pairs.collect()} == count
     least = least_count(pairs, 50)
     assert 0 < sum(n >= least for n in count.values()) <= 50 < sum(n >= least // 2 for n in count.values())
