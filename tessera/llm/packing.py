@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import column_of, staged, text_list
-from tessera.llm.pieces import loose, segments
-
-#: Segments whose ids are kept in each worker, characters tokenised at once,
-#: new segments encoded in one text.
-KEEP_ENTRIES, BLOCK_CHARS, GROUP = 800_000, 4_000_000, 64
+from tessera.llm.blocks import cut as cut_texts
+from tessera.llm.blocks import plain_texts, row_blocks
+from tessera.llm.common import column_of, staged
+from tessera.llm.pieces import KEEP_CHARS, PATTERN
+from tessera.llm.token_count import byte_alphabet
+
+#: Segments whose ids are kept in each worker, new segments encoded in one text.
+KEEP_ENTRIES, GROUP = 600_000, 256
 #: Rows per rank bucket, so that no task ranks all pieces of a common length.
 BUCKET_ROWS = 5_000
 #: Rounds of the multiplicative weights, how fast weights fall with cover,
@@ -38,68 +40,69 @@ ROUNDS, RATE, STEP, NEAR, MANY = 250, 10.0, 0.03, 0.99, 32
 
 
 class SegmentIds:
-    """Little-endian 32-bit ids of whole texts from ids of their segments."""
+    """Little-endian 32-bit ids of whole texts from ids of their segments.
+
+    New segments go through tiktoken with the file's tokens as ranks, which
+    gives the ids of tokenizers in less time; those that hold an added token
+    go through tokenizers itself."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         vocab = self.tokenizer.get_vocab()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        of_char = {c: k for k, c in enumerate(byte_alphabet())}
+        ranks = {bytes(map(of_char.__getitem__, t)): k for t, k in vocab.items() if t not in self.added}
+        self.plain = Encoding("file", pat_str=PATTERN.pattern, mergeable_ranks=ranks, special_tokens={})
         self.spaced = np.zeros(max(vocab.values()) + 1, dtype=bool)  # tokens that begin with a space
         self.spaced[[k for t, k in vocab.items() if t.startswith("\u0120")]] = True
         self.kept: dict[str, bytes] = {}
-        self.loose: set[str] = set()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        at = 0
-        while at < len(texts):
-            stop, chars = at, 0
-            while stop < len(texts) and (stop == at or chars + len(texts[stop]) <= BLOCK_CHARS):
-                chars += len(texts[stop])
-                stop += 1
-            yield from self._block(texts[at:stop])
-            at = stop
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _segment_ids(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of " " + segment. Segments without inner spaces are encoded many
-        in one text and told apart by the tokens that begin with a space."""
+        for data in self.rows(pa.array(texts, pa.string())):
+            yield from (x.as_py() for x in data)
+
+    def rows(self, texts: pa.Array) -> Iterator[pa.Array]:
+        """The ids of each text (no nulls) as bytes, block by block."""
+        for i, j in row_blocks(texts):
+            keys, block = cut_texts(texts[i:j]).with_heads()
+            get = self.kept.get
+            values = list(map(get, keys))
+            if None in values:
+                if len(self.kept) > KEEP_ENTRIES:
+                    self.kept.clear()
+                new = dict(zip(fresh := list({k for k, v in zip(keys, values) if v is None}), self._new(fresh)))
+                values = [new[k] if v is None else v for k, v in zip(keys, values)]
+                self.kept.update((k, v) for k, v in new.items() if len(k) <= KEEP_CHARS)
+            yield block.joined(pa.array(values, pa.binary()), "")
+
+    def _ids(self, text: str) -> np.ndarray:
+        for mark in self.added:
+            if mark in text:
+                return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return np.array(self.plain.encode_ordinary(text), dtype="<u4")
+
+    def _new(self, keys: list[str]) -> list[bytes]:
+        """Ids of texts. Those that are one space and a segment without more
+        are encoded many in one text and told apart by the tokens that begin
+        with a space."""
         out: dict[str, bytes] = {}
-        alone = [s for s in new if " " in s]
-        many = [s for s in new if " " not in s]
-        groups = [many[k : k + GROUP] for k in range(0, len(many), GROUP)]
-        for group, data in zip(groups, self._ids([" " + " ".join(g) for g in groups])):
-            cuts = np.flatnonzero(self.spaced[np.frombuffer(data, "<u4")]) * 4
+        alone = [k for k in keys if k.rfind(" ") != 0]
+        many = [k for k in keys if k.rfind(" ") == 0]
+        for at in range(0, len(many), GROUP):
+            group = many[at : at + GROUP]
+            ids = self._ids("".join(group))
+            cuts = (np.flatnonzero(self.spaced[ids]) * 4).tolist()
             if len(cuts) != len(group):
                 alone += group
                 continue
-            cuts = cuts.tolist()
-            out.update((s, data[i:j]) for s, i, j in zip(group, cuts, [*cuts[1:], len(data)]))
-        out.update(zip(alone, self._ids([" " + s for s in alone])))
-        return out
-
-    def _block(self, texts: list[str]) -> list[bytes]:
-        if len(self.kept) > KEEP_ENTRIES:
-            self.kept.clear()
-            self.loose.clear()
-        rows = [t.split(" ") for t in texts]
-        new = set().union(*rows).difference(self.kept)
-        self.loose.update(filter(loose, new))
-        rows = [r if self.loose.isdisjoint(r) else segments(t) for r, t in zip(rows, texts)]
-        new = set().union(*(r[1:] for r in rows)).difference(self.kept)
-        fresh = self._segment_ids(list(new))
-        heads = list({r[0] for r in rows})
-        first = dict(zip(heads, self._ids(heads)))
-        self.kept.update(fresh)
-        get = self.kept.__getitem__
-        out = [first[head] + b"".join(map(get, rest)) for head, *rest in rows]
-        for s in fresh:
-            if len(s) > 64:
-                del self.kept[s]
-        return out
+            data = ids.tobytes()
+            out.update((k, data[i:j]) for k, i, j in zip(group, cuts, [*cuts[1:], len(data)]))
+        out.update((k, self._ids(k).tobytes()) for k in alone)
+        return [out[k] for k in keys]
 
 
 _ENCODERS: dict[str, SegmentIds] = {}
@@ -118,10 +121,15 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int = 0, id_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.setdefault(vocabulary, SegmentIds(vocabulary)) if vocabulary not in _ENCODERS else _ENCODERS[vocabulary]
         for b in batches:
-            ids, out = column_of(b, "doc_id").to_pylist(), []
-            for doc, coded in zip(ids, encoder.encode(text_list(b))):
-                data = memoryview(coded + end)
-                out += [(doc, k, s, n, zlib.crc32(data[4 * s : 4 * (s + n)])) for k, (s, n) in enumerate(cut(len(data) // 4, capacity))]
+            ids, out = iter(column_of(b, "doc_id").to_pylist()), []
+            for coded in encoder.rows(plain_texts(column_of(b, "text"))):
+                at = np.frombuffer(coded.buffers()[1], np.int64, len(coded) + 1).tolist()
+                data = memoryview(coded.buffers()[2] or b"").cast("B")
+                for doc, i, j in zip(ids, at, at[1:]):
+                    parts = cut((j - i) // 4 + 1, capacity)  # the last one ends with the end id
+                    crcs = [zlib.crc32(data[i + 4 * s : min(i + 4 * (s + n), j)]) for s, n in parts]
+                    crcs[-1] = zlib.crc32(end, crcs[-1])
+                    out += [(doc, k, s, n, crc) for k, ((s, n), crc) in enumerate(zip(parts, crcs))]
             columns = list(zip(*out)) or [()] * 5
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
