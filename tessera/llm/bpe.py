@@ -11,15 +11,16 @@ ids are read backwards from the end.
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Iterator
 from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.blocks import cut, plain_texts, row_blocks, sha256_rows
 from tessera.llm.common import column_of, text_list
 from tessera.llm.pieces import PATTERN, Kept, SegmentTable
 
@@ -39,10 +40,12 @@ class Vocabulary:
         self._pairs: dict[int, bool] = {}
         self.ends = ahocorasick.Automaton()
         for t, r in self.rank.items():
-            self.ends.add_word(t.decode("latin-1"), (r, len(t)))
+            if self.whole(r):
+                self.ends.add_word(t.decode("latin-1"), (r, len(t)))
         self.ends.make_automaton()
         self.pieces = Kept(self.encode_piece)
         self.table = SegmentTable(self.encode_segment)
+        self.kept = Kept(self._values)
 
     def parts(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; None if none do."""
@@ -94,11 +97,15 @@ class Vocabulary:
         """Fill last[start:stop], the last tokens of the prefixes of ``data``."""
         del last[start:]
         low = max(0, start - self.longest)
+        known = self._pairs.get
         for end, (token, size) in self.ends.iter(data[low:stop].decode("latin-1")):
             if end + low != len(last):  # before the start, or settled already
                 continue
-            first = len(last) + 1 - size
-            if self.whole(token) and (first == 0 or self.side_by_side(last[first - 1], token)):
+            if size == end + low + 1:
+                fits = True
+            elif (fits := known(last[-size] << _SHIFT | token)) is None:
+                fits = self.side_by_side(last[-size], token)
+            if fits:
                 last.append(token)
         if len(last) != stop:
             raise ValueError("the vocabulary lacks a byte")
@@ -128,6 +135,20 @@ class Vocabulary:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 
+    def _values(self, key: str) -> tuple[int, str, bytes]:
+        ids = self.encode_segment(key)
+        return len(ids), ",".join(map(self.text_of.__getitem__, ids)), self.decode(ids)
+
+    def digests(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, list[str], list[str]]]:
+        """Block by block and by text (no nulls): the number of ids, SHA-256
+        of the ids in decimal and of the bytes decoded from them."""
+        for i, j in row_blocks(texts):
+            keys, block = cut(texts[i:j]).with_heads()
+            values = list(map(self.kept.__getitem__, keys))
+            n = np.fromiter((v[0] for v in values), np.int64, len(values))
+            ids, data = pa.array([v[1] for v in values], pa.string()), pa.array([v[2] for v in values], pa.binary())
+            yield block.sums(n), sha256_rows(block.joined(ids, ",")), sha256_rows(block.joined(data, ""))
+
 
 class PieceEditor:
     """One growing or edited byte string with its table of last tokens."""
@@ -175,13 +196,10 @@ def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            v = vocabulary(path)
             n, of_ids, of_bytes = [], [], []
-            for text in text_list(b):
-                ids = v.encode(text)
-                n.append(len(ids))
-                of_ids.append(hashlib.sha256(",".join(map(v.text_of.__getitem__, ids)).encode()).hexdigest())
-                of_bytes.append(hashlib.sha256(v.decode(ids)).hexdigest())
+            for part in vocabulary(path).digests(plain_texts(column_of(b, "text"))):
+                for column, values in zip((n, of_ids, of_bytes), part):
+                    column.extend(values)
             yield pa.RecordBatch.from_arrays([column_of(b, "doc_id"), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
