@@ -37,6 +37,17 @@ def registration_outcomes(attempts: DataFrame, existing_emails: DataFrame | None
     return df.withColumn("outcome", outcome).drop("__win", "__pre")
 
 
+def registered_users(outcomes: DataFrame, namespace: str = "users") -> DataFrame:
+    """(user_id, email) of the registered attempts. The id is a UUID made from
+    the email (version 8, from the MD5 of namespace and email), so a job that
+    is run again gives everyone the same id."""
+    h = F.md5(F.concat(F.lit(namespace + ":"), F.col("email")).cast("binary"))
+    variant = F.translate(F.substring(h, 17, 1), "01234567cdef", "89ab89ab89ab")
+    parts = [F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("8"), F.substring(h, 14, 3)),
+             F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12)]
+    return outcomes.filter(F.col("outcome") == "registered").select(F.concat_ws("-", *parts).alias("user_id"), "email")
+
+
 def login_outcomes(attempts: DataFrame, users: DataFrame) -> DataFrame:
     """Per login attempt (seq, email, credential) against registered
     ``users(email, password_hash)``: not_found / invalid_password / success."""

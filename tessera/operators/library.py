@@ -127,6 +127,40 @@ def book_search(books: DataFrame, query: str, field: str) -> DataFrame:
     return books.filter(F.coalesce(hit, F.lit(False)))
 
 
+#: Length of the pieces that searches are looked up by.
+GRAM = 3
+
+
+def book_searches(books: DataFrame, requests: DataFrame, book: str = "seq") -> DataFrame:
+    """P12 for a table of requests (request, field, query): (request, book)
+    for every match of ``book_search``, in one scan of the books.
+
+    A request is looked up by the first characters of its query, up to GRAM;
+    every book gives the distinct pieces of its fields of the lengths that
+    occur, and what meets is compared in full. Requests of an unknown field
+    match nothing; the driver gets the lengths, at most GRAM + 1 numbers."""
+    low = F.lower("query")
+    wanted = requests.filter(F.col("field").isin(list(SEARCH_FIELDS)) & F.col("query").isNotNull()) \
+        .select("request", "field", low.alias("__query"), F.substring(low, 1, GRAM).alias("__gram"))
+    sizes = sorted(r[0] for r in wanted.select(F.length("__gram")).distinct().collect())
+    if not sizes:
+        return books.select(F.lit(None).cast(requests.schema["request"].dataType).alias("request"), book).limit(0)
+    fields = []
+    for field, column in SEARCH_FIELDS.items():
+        text = F.col(column).cast("string")
+        text = text if field == "year" else F.lower(text)
+        if field in ("category", "year"):
+            text = F.when(~py_is_blank(text), text)
+        fields.append(F.struct(F.lit(field).alias("field"), text.alias("text")))
+    held = books.select(book, F.explode(F.array(*fields)).alias("f")).select(book, "f.field", "f.text").filter("text IS NOT NULL")
+    held = held.join(F.broadcast(wanted.select("field").distinct()), "field", "left_semi")  # at most one row a field
+    starts = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("text") - n + 1, F.lit(1))), lambda k: F.substring("text", k, n))
+    grams = F.array_distinct(F.concat(*[F.array(F.lit("")) if n == 0 else starts(n) for n in sizes]))
+    pieces = held.select(book, "field", "text", F.explode(grams).alias("__gram"))
+    met = pieces.join(wanted, ["field", "__gram"]).filter(F.col("text").contains(F.col("__query")))
+    return met.select("request", book)
+
+
 def book_filter(books: DataFrame, loans: DataFrame, criteria: list[tuple[str, str | None]]) -> DataFrame:
     """AND of criteria: ``available`` (copies - active > 0), ``borrowed``
     (active > 0), ``category`` = value, ``type`` = value (values matched after

@@ -132,12 +132,27 @@ def position_in_key(df: DataFrame, keys: str | Sequence[str] | None, seq: str,
         .drop("__rn", "__off", _CHUNK)
 
 
+def _earlier_chunk(chunks: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """Adds ``name``: ``value`` of the key's previous chunk (null for its
+    first). Chunks are compared inside groups of ``CHUNKS_TOGETHER``
+    consecutive numbers, then the groups' last values, so that a sparse
+    ``seq`` does not put a row for every event of a key into one window."""
+    keys = list(keys)
+    grouped = chunks.withColumn("__group", F.floor(F.col(_CHUNK) / F.lit(CHUNKS_TOGETHER)).cast("bigint"))
+    inner = grouped.withColumn("__in", F.lag(F.struct(value)).over(Window.partitionBy(*keys, "__group").orderBy(_CHUNK)))
+    lasts = inner.groupBy(*keys, "__group").agg(F.max_by(F.struct(value), F.col(_CHUNK)).alias("__last"))
+    lasts = lasts.select(*keys, "__group", F.lag("__last").over(Window.partitionBy(*keys).orderBy("__group")).alias("__out"))
+    out = join_keys_null_safe(inner, lasts, [*keys, "__group"], "left")
+    return out.withColumn(name, F.coalesce("__in", "__out")[value]).drop("__in", "__out", "__group")
+
+
 def previous_in_key(df: DataFrame, keys: str | Sequence[str], seq: str, value: str,
                     name: str, chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
     """``lag(value)`` over the key in ``seq`` order, computed chunk-wise.
 
     Inside a chunk the plain window lag is used; the first row of a chunk takes
-    the last value of the nearest earlier non-empty chunk of the same key.
+    the last value of the nearest earlier non-empty chunk of the same key,
+    found in two levels (see ``_earlier_chunk``).
     """
     keys = _keys(keys)
     chunked = _with_chunk(df, seq, chunk_width)
@@ -146,8 +161,7 @@ def previous_in_key(df: DataFrame, keys: str | Sequence[str], seq: str, value: s
     chunked = chunked.withColumn("__lag_v", F.lag(value).over(w)) \
         .withColumn("__lag_s", F.lag(seq).over(w))
     tails = chunked.groupBy(*part).agg(F.max_by(F.col(value), F.col(seq)).alias("__tail"))
-    prev_tail = tails.select(
-        *part, F.lag("__tail").over(Window.partitionBy(*keys).orderBy(_CHUNK)).alias("__prev_tail"))
+    prev_tail = _earlier_chunk(tails, keys, "__tail", "__prev_tail").select(*part, "__prev_tail")
     out = join_keys_null_safe(chunked, prev_tail, part, "left")
     return out.withColumn(
         name, F.when(F.col("__lag_s").isNull(), F.col("__prev_tail")).otherwise(F.col("__lag_v"))
@@ -166,9 +180,9 @@ def trailing_mean_in_key(df: DataFrame, keys: str | Sequence[str], seq: str, val
     range), where ``lag`` gives the predecessors inside the chunk. A summary
     per chunk (row count and its last ``width - 1`` values, bounded) is
     aggregated from the windowed rows, which are already partitioned and
-    sorted by chunk. A small window over the summaries gives each chunk its
-    position offset and the values carried over from earlier chunks (the
-    previous ``width - 1`` non-empty chunks hold enough of them); it is
+    sorted by chunk. Windows over the summaries, in two levels, give each chunk
+    its position offset and the values carried over from earlier chunks (the
+    previous ``width - 1`` non-empty chunks hold enough of them); they are
     joined back on (key, chunk). A hot key is spread over its chunks.
     """
     from tessera.functions.numeric import EXACT, half_even_mean
@@ -188,14 +202,22 @@ def trailing_mean_in_key(df: DataFrame, keys: str | Sequence[str], seq: str, val
                                       F.max_by(recent, F.col(seq)).alias("__last"))
     take = F.least(F.col("__n"), F.lit(k))
     summary = summary.select(*part, "__n", F.slice(F.col("__last"), F.lit(k + 2) - take, take).alias("__tail"))
-    by_key = Window.partitionBy(*keys).orderBy(_CHUNK)
-    offset = F.coalesce(F.sum("__n").over(by_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    if k > 0:
-        carried = F.flatten(F.collect_list("__tail").over(by_key.rowsBetween(-k, -1)))
-        carry = F.slice(carried, F.greatest(F.size(carried) - F.lit(k - 1), F.lit(1)), k)
-    else:
-        carry = F.array().cast(f"array<{EXACT}>")
-    summary = summary.select(*part, offset.alias("__off"), carry.alias("__carry"))
+    # offset and carried values in two levels: inside a group of consecutive chunks, then over the groups
+    last = lambda c: F.slice(c, F.greatest(F.size(c) - F.lit(k - 1), F.lit(1)), k) if k else c
+
+    def carried(frame: DataFrame, by: list[str], order: str, off: str, carry: str) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(order)
+        before = F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        values = F.flatten(F.collect_list("__tail").over(w.rowsBetween(-k, -1))) if k else F.col("__tail")
+        return frame.withColumns({off: before, carry: last(values)})
+
+    summary = summary.withColumn("__group", F.floor(F.col(_CHUNK) / F.lit(CHUNKS_TOGETHER)).cast("bigint"))
+    summary = carried(summary, [*keys, "__group"], _CHUNK, "__off_in", "__carry_in")
+    groups = summary.groupBy(*keys, "__group").agg(
+        F.sum("__n").alias("__n"), F.max_by(last(F.concat("__carry_in", "__tail")), F.col(_CHUNK)).alias("__tail"))
+    groups = carried(groups, keys, "__group", "__off_out", "__carry_out").drop("__n", "__tail")
+    summary = join_keys_null_safe(summary, groups, [*keys, "__group"], "left").select(
+        *part, (F.col("__off_in") + F.col("__off_out")).alias("__off"), last(F.concat("__carry_out", "__carry_in")).alias("__carry"))
 
     out = join_keys_null_safe(rows, summary, part, "left")
     # frame slot j (j rows back): inside the chunk while j < rn, else carried over

@@ -32,6 +32,7 @@ def _keyed_lookup(spark, sf):
 
 QUERIES = {
     "registration_outcome": _registrations,
+    "registered_user_ids": lambda spark, sf: A.registered_users(_registrations(spark, sf)),
     "login_outcome": _login,
     "forecast_lookup": _forecast,
     "keyed_lookup": _keyed_lookup,
@@ -46,6 +47,9 @@ o AS (SELECT seq, email, password_length, credential,
 ORACLE = {
     "registration_outcome": with_views(f", {_REG} SELECT seq, email, password_length, outcome FROM o",
                                        "attempts_v"),
+    "registered_user_ids": with_views(f""", {_REG}, h AS (SELECT email, md5(concat('users:', email)) AS x FROM o WHERE outcome = 'registered')
+SELECT concat(substr(x, 1, 8), '-', substr(x, 9, 4), '-8', substr(x, 14, 3), '-', translate(substr(x, 17, 1), '01234567cdef', '89ab89ab89ab'),
+  substr(x, 18, 3), '-', substr(x, 21, 12)) AS user_id, email FROM h""", "attempts_v"),
     "login_outcome": with_views(f""", {_REG},
 u AS (SELECT email AS ue, credential AS h FROM o WHERE outcome = 'registered')
 SELECT a.seq, a.email, a.credential,

@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tessera.functions.text import email_ok as email_ok_col
 from tessera.operators import importer as I
 from tessera.plans.sqlfrag import email_ok, py_int, py_strip
 from tessera.plans.tables import view, with_views
+from tessera.session import staging_path
 
 
 def _outcomes(spark, sf):
     return I.import_users(view(spark, sf, "users_raw_v"), view(spark, sf, "users_existing_v"))
 
 
+def _observed(spark, sf):
+    """The audit's counts from the one run that writes the outcomes."""
+    counts = Observation("import")
+    I.observed_audit(_outcomes(spark, sf), counts).write.parquet(staging_path(spark, "import-outcomes"))
+    found = counts.get
+    return spark.createDataFrame([(o, found[o]) for o in I.OUTCOMES if found[o]], "outcome string, n_rows long")
+
+
 QUERIES = {
     "user_validate": lambda spark, sf: I.validate_users(I.parse_user_rows(view(spark, sf, "users_raw_v")))
     .select("seq", "user_id", "name", "email", "parse_error", "error_code"),
@@ -21,6 +31,7 @@ QUERIES = {
     .select("seq", "email", email_ok_col(F.col("email")).alias("email_valid")),
     "import_outcome": _outcomes,
     "import_audit": lambda spark, sf: I.import_audit(_outcomes(spark, sf)),
+    "import_audit_observed": _observed,
     "append_last_wins": lambda spark, sf: I.append_last_wins(
         view(spark, sf, "attempts_v").filter(F.col("password_length") >= 8),
         view(spark, sf, "attempts_v").filter(F.col("password_length") < 8), "email", "seq", ["credential"]),
@@ -64,6 +75,8 @@ ORACLE = {
     "import_outcome": with_views(f"{_O} SELECT * FROM o", "users_raw_v", "users_existing_v"),
     "import_audit": with_views(f"{_O} SELECT outcome, count(*) AS n_rows FROM o GROUP BY outcome",
                                "users_raw_v", "users_existing_v"),
+    "import_audit_observed": with_views(f"{_O} SELECT outcome, count(*) AS n_rows FROM o GROUP BY outcome",
+                                        "users_raw_v", "users_existing_v"),
     "append_last_wins": with_views("""
 , b AS (SELECT 0 AS src, seq, email, credential FROM attempts_v WHERE password_length >= 8
         UNION ALL SELECT 1, seq, email, credential FROM attempts_v WHERE password_length < 8)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from tessera.operators import library as B
-from tessera.plans.tables import view, with_views
+from tessera.plans.tables import VIEWS, view, with_views
 
 AS_OF = "1998-06-30"
 SEARCHES = (("title", "ring"), ("author", "brand#1"), ("isbn", "12"), ("category", "fic"), ("year", "19"))
@@ -22,6 +22,10 @@ def _loans(spark, sf):
     return B.normalise_loans(view(spark, sf, "loans_v"), AS_OF)
 
 
+#: Events of a chunk in the log with a hot title.
+HOT_CHUNK = 1 << 11
+
+
 def _search(spark, sf):
     books = _books(spark, sf)
     parts = [B.book_search(books, q, f).select("seq", F.lit(f).alias("field")) for f, q in SEARCHES]
@@ -42,7 +46,15 @@ def _ledger(spark, sf):
     return B.loan_ledger(b.unionByName(r), _books(spark, sf), _loans(spark, sf))
 
 
+def _hot_ledger(spark, sf):
+    """The log with half of its events naming one book, in chunks that a title
+    has several of."""
+    return B.loan_ledger(view(spark, sf, "hot_ledger_v"), _books(spark, sf), _loans(spark, sf), chunk_rows=HOT_CHUNK)
+
+
 QUERIES = {
+    "book_searches": lambda spark, sf: B.book_searches(_books(spark, sf), view(spark, sf, "search_requests_v")),
+    "loan_ledger_hot_title": _hot_ledger,
     "books_normalise": lambda spark, sf: _books(spark, sf)
     .select("seq", "isbn", "title", "category", "book_type", "copies"),
     "book_validate": lambda spark, sf: _books(spark, sf).select("seq", "isbn", "error_code"),
@@ -206,3 +218,13 @@ FROM ev e LEFT JOIN fb ON e.isbn = fb.fisbn WHERE fb.fisbn IS NULL""",
                               "books_v", "loans_v", "borrow_requests_v", "return_requests_v")
     .replace("WITH ", "WITH RECURSIVE ", 1),
 }
+
+_RECURSIVE = ORACLE["loan_ledger"]
+_EVENTS = _RECURSIVE[_RECURSIVE.index("ev AS (SELECT"):_RECURSIVE.index("hl AS (SELECT")]
+ORACLE["loan_ledger_hot_title"] = _RECURSIVE.replace(_EVENTS, f"ev AS ({VIEWS['hot_ledger_v']}),\n")
+ORACLE["book_searches"] = with_views(f""", {_NB}
+SELECT q.request, nb.seq FROM nb JOIN search_requests_v q ON
+  CASE q.field WHEN 'title' THEN contains(lower(nb.title), lower(q.query)) WHEN 'isbn' THEN contains(lower(nb.isbn), lower(q.query))
+  WHEN 'author' THEN contains(lower(nb.author_name), lower(q.query))
+  WHEN 'category' THEN NOT {_BLANK('nb.category')} AND contains(lower(nb.category), lower(q.query))
+  WHEN 'year' THEN NOT {_BLANK('nb.year')} AND contains(nb.year, lower(q.query)) END""", "books_v", "loans_v", "search_requests_v")

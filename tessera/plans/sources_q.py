@@ -129,6 +129,15 @@ def _sentiment_store(spark, sf):
     return spark.read.parquet(path)
 
 
+def _sentiment_once(spark, sf):
+    """The table written twice under one id, as a job that is run again does."""
+    path = staging_path(spark, "sentiment-once")
+    rows = K.sentiment_rows(T.clean_and_score(spread(view(spark, sf, "text_v"))))
+    for _ in range(2):
+        K.append_once(rows, path, "night run")
+    return K.read_once(spark, path)
+
+
 def _page_results(spark, sf):
     path = staging_path(spark, "page-results")
     meta = W.page_metadata(spread(view(spark, sf, "pages_v"))).select("page_id", "url", "title", "description")
@@ -151,6 +160,7 @@ QUERIES = {
     "grade_csv_scan": _grade_csv_scan,
     "grade_report_export": _grade_report_export,
     "sentiment_store": _sentiment_store,
+    "sentiment_store_once": _sentiment_once,
     "page_results_export": _page_results,
 }
 
@@ -222,6 +232,8 @@ UNION ALL SELECT 'rolling_averages', concat(CAST(student_id AS VARCHAR), ' ', CA
     **{f"{t}_array_roundtrip": ORACLE[f"{t}_json_roundtrip"] for t in ("books", "loans", "authors")},
     "sentiment_store": with_views(f", {_TEXT_C} SELECT clean_text AS text, sentiment, score FROM r "
                                   "WHERE error_stage IS NULL", "text_v"),
+    "sentiment_store_once": with_views(f", {_TEXT_C} SELECT clean_text AS text, sentiment, score FROM r "
+                                       "WHERE error_stage IS NULL", "text_v"),
     "page_results_export": with_views(f"""{_WEB_O}
 SELECT url, title, description, CAST(status_code AS BIGINT) AS status_code, round(fetch_time, 3) AS fetch_time, error
 FROM o""", "pages_v", "fetch_v"),

@@ -140,7 +140,7 @@ SELECT p_partkey AS seq,
        CASE WHEN p_partkey % 59 = 0 THEN NULL ELSE p_brand END AS author_name
 FROM part""",
     "loans_v": """
-SELECT o.o_orderkey AS seq, concat('b', CAST(o.o_custkey % 50 AS STRING)) AS borrower_name,
+SELECT o.o_orderkey AS seq, concat('b', CAST(o.o_custkey - o.o_custkey % 3 AS STRING)) AS borrower_name,
        concat(p.p_name, ' ', lower(p.p_type)) AS book_title,
        CAST(o.o_orderdate AS DATE) AS borrow_date,
        CASE WHEN o.o_orderkey % 5 <> 0 THEN CAST(o.o_orderdate AS DATE) + 14 END AS due_date,
@@ -148,18 +148,31 @@ SELECT o.o_orderkey AS seq, concat('b', CAST(o.o_custkey % 50 AS STRING)) AS bor
 FROM orders o JOIN part p ON p.p_partkey = o.o_custkey""",
     # Borrow / return / delete requests against the catalogue.
     "borrow_requests_v": """
-SELECT o_orderkey AS seq, concat('r', CAST(o_custkey % 97 AS STRING)) AS borrower_name,
+SELECT o_orderkey AS seq, concat('b', CAST(o_custkey - o_custkey % 2 AS STRING)) AS borrower_name,
        CASE WHEN o_orderkey % 29 = 0 THEN 'unknown' ELSE CAST(o_custkey + o_orderkey % 3 AS STRING) END AS isbn
 FROM orders""",
     "return_requests_v": """
-SELECT o_orderkey AS seq, concat('b', CAST(o_custkey % 50 AS STRING)) AS borrower_name,
+SELECT o_orderkey AS seq, concat('b', CAST(o_custkey - o_custkey % 3 AS STRING)) AS borrower_name,
        CASE WHEN o_orderkey % 31 = 0 THEN 'unknown' ELSE CAST(o_custkey AS STRING) END AS isbn
 FROM orders""",
+    # A borrow / return log whose every second event names one book.
+    "hot_ledger_v": """
+SELECT o_orderkey AS seq, CASE WHEN o_orderkey % 4 < 2 THEN 'borrow' ELSE 'return' END AS kind,
+       concat('b', CAST(o_custkey - o_custkey % 3 AS STRING)) AS borrower_name,
+       CASE WHEN o_orderkey % 3 <> 0 THEN '1' ELSE CAST(o_custkey AS STRING) END AS isbn
+FROM orders""",
+    # Search requests, as many as books.
+    "search_requests_v": """
+SELECT p_partkey AS request,
+       CASE p_partkey % 5 WHEN 1 THEN 'title' WHEN 2 THEN 'category' WHEN 3 THEN 'publisher' ELSE 'isbn' END AS field,
+       CASE p_partkey % 5 WHEN 1 THEN concat('No Such ', CAST(p_partkey AS STRING)) WHEN 2 THEN concat('zz', CAST(p_partkey AS STRING))
+            ELSE CAST(p_partkey AS STRING) END AS query
+FROM part""",
     "delete_requests_v": """
 SELECT event_id AS seq, CASE WHEN event_id % 17 = 0 THEN 'unknown' ELSE CAST(user_id AS STRING) END AS isbn
 FROM events""",
     "authors_v": """
-SELECT s_suppkey AS seq, concat('Brand#', CAST(s_suppkey % 40 AS STRING)) AS name,
+SELECT s_suppkey AS seq, concat('Brand#', CAST(s_suppkey - s_suppkey % 2 AS STRING)) AS name,
        CASE s_nationkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE concat('N', CAST(s_nationkey AS STRING)) END
          AS nationality,
        CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE CAST(1900 + s_suppkey % 90 AS STRING) END AS birth_year

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import grades as G
@@ -30,6 +35,43 @@ def append_table(df: DataFrame, path_or_table: str, fmt: str = "parquet") -> Non
         df.write.mode("append").saveAsTable(path_or_table)
 
 
+_LOG = "write_id string, part string"
+
+
+def append_once(df: DataFrame, path: str, write_id: str) -> bool:
+    """S11, safe to repeat: append the rows as the write ``write_id``, unless
+    that write is in the log already; returns whether it was not.
+
+    Rows go to a folder of their own; the write counts from when its log file,
+    named by the id, is created, which storage does once. A job that fails or
+    is run again in between leaves a folder that no reader looks at."""
+    spark, root = df.sparkSession, path.rstrip("/")
+    name = f"{root}/log/{hashlib.sha256(write_id.encode()).hexdigest()}.json"
+    entry = spark._jvm.org.apache.hadoop.fs.Path(name)
+    fs = entry.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(entry):
+        return False
+    part = uuid.uuid4().hex
+    df.write.parquet(f"{root}/rows/part={part}")
+    try:
+        out = fs.create(entry, False)
+    except Py4JJavaError:
+        if fs.exists(entry):  # the same write, ended elsewhere meanwhile
+            return False
+        raise
+    out.write(bytearray(json.dumps({"write_id": write_id, "part": part}).encode()))
+    out.close()
+    return True
+
+
+def read_once(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all writes in the log of ``append_once``."""
+    root = path.rstrip("/")
+    log = spark.read.schema(_LOG).json(f"{root}/log")
+    rows = spark.read.option("basePath", f"{root}/rows").option("mergeSchema", True).parquet(f"{root}/rows")
+    return rows.join(log.select("part"), "part", "left_semi").drop("part")
+
+
 def sentiment_rows(scored: DataFrame) -> DataFrame:
     """The stored shape of an analysed text: (text, sentiment, score)."""
     return scored.filter(F.col("error_stage").isNull()).select(

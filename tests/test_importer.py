@@ -123,3 +123,26 @@ def test_store_object_missing_blank_or_invalid_is_empty(spark, tmp):
     for p in (write("blank.json", "   \n"), write("bad.json", '{"1": {"name": '),
               os.path.join(tmp, "missing.json")):
         assert read_user_store_object(spark, p).count() == 0
+
+
+def test_counts_are_observed_while_the_outcomes_are_written(spark, tmp):
+    from pyspark.sql import Observation
+
+    raw = spark.createDataFrame([(1, "1", "Ann", "a@x.io"), (2, "1", "Ann", "a@x.io"), (3, "x", "B", "b@x.io"), (4, "4", "", "c@x.io"), (5, "5", "E", None)],
+                                "seq long, user_id string, name string, email string")
+    out = I.import_users(raw, spark.createDataFrame([(9,)], "user_id long"))
+    counts = Observation("test")
+    I.observed_audit(out, counts).write.parquet(tmp + "/out")
+    audit = {r.outcome: r.n_rows for r in I.import_audit(spark.read.parquet(tmp + "/out")).collect()}
+    assert counts.get == {"n_rows": 5, **{o: audit.get(o, 0) for o in I.OUTCOMES}}
+
+
+def test_a_write_repeated_under_its_id_adds_nothing(spark, tmp):
+    from tessera.sources import sinks as K
+
+    rows = lambda *v: spark.createDataFrame([(x,) for x in v], "v long")
+    path = tmp + "/table"
+    assert K.append_once(rows(1, 2), path, "a") and not K.append_once(rows(1, 2), path, "a")
+    assert K.append_once(rows(2, 3), path, "b/2")
+    rows(7).write.parquet(path + "/rows/part=dead")  # a job that ended before its log entry
+    assert sorted(r.v for r in K.read_once(spark, path).collect()) == [1, 2, 2, 3]

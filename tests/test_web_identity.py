@@ -225,3 +225,13 @@ def test_registration_matches_in_order_model(spark):
     got = A.registration_outcomes(spark.createDataFrame(att, ATT),
                                   spark.createDataFrame([(e,) for e in existing], "email string"))
     assert {r["seq"]: r["outcome"] for r in got.collect()} == want
+
+
+def test_registered_users_get_the_same_id_each_time(spark):
+    import uuid
+
+    a = spark.createDataFrame([(1, "a@x.io", 9), (2, "a@x.io", 9), (3, "b@x.io", 3), (4, "é@x.io", 12)], "seq long, email string, password_length long")
+    first, second = ({r.email: r.user_id for r in A.registered_users(A.registration_outcomes(a)).collect()} for _ in range(2))
+    assert first == second and set(first) == {"a@x.io", "é@x.io"}
+    for i in first.values():
+        assert uuid.UUID(i).version == 8 and uuid.UUID(i).variant == uuid.RFC_4122
