@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import column_of, id_text_crc, staged, words_of
+from tessera.llm.common import column_of, id_text_crc, staged_lean, words_of
 
 #: Contexts are numbers below this one; 0 is the start of a text.
 CONTEXTS = 1 << 63
@@ -558,13 +558,13 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
     driver gets nothing."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.pmod(id_text_crc(id_col), F.lit(folds)) == fold).alias("held"), F.col(text_col).cast("string").alias("text"))
     context_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = staged(chunks(src, 4 * context_parts), "lm-chunks")
+    rows = staged_lean(chunks(src, 4 * context_parts), "lm-chunks")
     pairs = rows.where(F.col("kind") == _PAIRS)
-    counts = staged(_by_part(pairs, _add_up), "lm-counts")
+    counts = staged_lean(_by_part(pairs, _add_up), "lm-counts")
     kinds = lambda df, *k: df.where(F.col("kind").isin(*k))
 
     def merged(sent: DataFrame, number: int) -> DataFrame:
-        return staged(_by_part(sent, _merge, number), f"lm-totals-{number}")
+        return staged_lean(_by_part(sent, _merge, number), f"lm-totals-{number}")
 
     history = [merged(counts.mapInArrow(lambda b: _first(b, seed, context_parts), _BLOBS), 0)]
     for k in range(1, SWEEPS + 1):
