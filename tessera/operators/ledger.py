@@ -134,15 +134,16 @@ def ledger_outcomes(events: DataFrame, known: DataFrame, chunk_rows: int = CHUNK
     ``known`` are the ``counters`` before the first event. Titles are not
     null. A borrow needs fewer active loans than the event's copies, a return
     an active loan of its borrower."""
-    numbered = position_in_key(events, "book_title", "seq", "__pos", chunk_width)
-    chunk = F.floor((F.col("__pos") - 1) / F.lit(chunk_rows)).cast("long")
-    rows = numbered.select("book_title", chunk.alias("chunk"), "seq", "kind", _who(F.col("borrower_name")).alias("who"), "copies")
-    rows = _staged(rows, "events")
-    long_titles = rows.filter("chunk = 1").select("book_title").distinct()
     first = known.withColumn("chunk", F.lit(0).cast("long"))
-    if long_titles.isEmpty():
-        starts = first
+    columns = ["seq", "kind", _who(F.col("borrower_name")).alias("who"), "copies"]
+    sizes = events.groupBy("book_title").agg(F.count(F.lit(1)).alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= chunk_rows:
+        rows, starts = events.select("book_title", F.lit(0).cast("long").alias("chunk"), *columns), first
     else:
+        numbered = position_in_key(events, "book_title", "seq", "__pos", chunk_width)
+        chunk = F.floor((F.col("__pos") - 1) / F.lit(chunk_rows)).cast("long")
+        rows = _staged(numbered.select("book_title", chunk.alias("chunk"), *columns), "events")
+        long_titles = rows.filter("chunk = 1").select("book_title").distinct()
         later = _chunk_starts(rows.join(long_titles, "book_title", "left_semi"), known, chunk_width).filter("n <> 0")
         starts = first.join(long_titles, "book_title", "left_anti").unionByName(later)
     return _in_order(rows, starts).mapInPandas(_replay(True), "seq long, outcome string")

@@ -198,7 +198,7 @@ def split_effects(source: DataFrame, grammar: Grammar) -> DataFrame:
 
 
 def split_states(effects: DataFrame, grammar: Grammar) -> DataFrame:
-    """(file, block, inside, depth, record, rank) each split begins with.
+    """(file, block, inside, depth, record) each split begins with.
 
     A split sets the state, keeps it or swaps it: the state before a split is
     the last one set, swapped as often as splits since did. ``record`` counts
@@ -214,15 +214,14 @@ def split_states(effects: DataFrame, grammar: Grammar) -> DataFrame:
     own = lambda c: F.when(F.col("inside"), F.col(f"{c}_in")).otherwise(F.col(f"{c}_out"))
     df = df.withColumn("depth", F.coalesce(F.sum(own("delta")).over(before), F.lit(0)))
     ends = F.array_contains(own("stops"), F.lit(grammar.depth) - F.col("depth")).cast("long")
-    df = df.withColumn("record", F.coalesce(F.sum(ends).over(before), F.lit(0)))
-    rank = (F.row_number().over(Window.orderBy(*_SPLIT)) - 1).cast("long").alias("rank")  # one row a split
-    return df.select(*_SPLIT, "inside", "depth", "record", ends.alias("ends"), rank)
+    return df.select(*_SPLIT, "inside", "depth", F.coalesce(F.sum(ends).over(before), F.lit(0)).alias("record"))
 
 
 def _read(source: DataFrame, grammar: Grammar, states: dict | None) -> DataFrame:
     """(file, block, mono, part, fields): records (part 'r') that begin and
-    end in a split, and the fragments before its first record end ('h') and
-    after the last ('t'). Without ``states``, rows without piece bring them."""
+    end in a split, and the fragments up to its first record end ('h'), after
+    the last ('t'), or all of a split without any ('o'). Without ``states``,
+    rows without piece bring them."""
     step, stop = grammar.step, grammar.depth
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +239,7 @@ def _read(source: DataFrame, grammar: Grammar, states: dict | None) -> DataFrame
 
         def tail() -> None:
             if held:
-                out.append((*at, last, "t" if headed else "h", grammar.joint.join(held)))
+                out.append((*at, last, "t" if headed else "o", grammar.joint.join(held)))
 
         last = 0
         for split, texts, monos in _rows(batches):
@@ -272,16 +271,30 @@ def _staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _states(source: DataFrame, grammar: Grammar) -> DataFrame:
+    """The state of every split; files that are one split need no first pass."""
+    splits = source.select(*_SPLIT).distinct()
+    if splits.filter("block > 0").isEmpty():
+        return splits.withColumns({"inside": F.lit(False), "depth": F.lit(0).cast("long"), "record": F.lit(0).cast("long")})
+    return split_states(split_effects(source, grammar), grammar)
+
+
 def records(source: DataFrame, grammar: Grammar, sent_splits: int = SENT_SPLITS) -> DataFrame:
     """(fields array<string>, seq, file, first, closed): every record of the
     files, ``seq`` in the order of (file path, place in the file), ``first``
     for the first one of a file. What a file ends with after its last record
     end is a record too, not ``closed``, without the file's last line end."""
-    states = _staged(split_states(split_effects(source, grammar), grammar), "states")
-    if states.count() <= sent_splits:
-        sent = {(r.file, r.block): (r.inside, r.depth) for r in states.select(*_SPLIT, "inside", "depth").collect()}
+    spark = source.sparkSession
+    states = _states(source, grammar)
+    rank = (F.row_number().over(Window.orderBy(*_SPLIT)) - 1).cast("long")  # one row a split
+    states = states.withColumn("rank", rank)
+    known = states.limit(sent_splits + 1).collect()
+    if len(known) <= sent_splits:
+        sent = {(r.file, r.block): (r.inside, r.depth) for r in known}
+        states = spark.createDataFrame(known, states.schema)
         parts = _read(source, grammar, sent)
     else:
+        states = _staged(states, "states")
         begin = F.shiftleft(F.col("depth"), 1) + F.col("inside").cast("long")
         marks = states.select(F.expr("X''").alias("piece"), *_SPLIT, begin.alias("mono"), F.lit(-1).cast("long").alias("place"))
         rows = source.withColumn("place", F.col("mono")).unionByName(marks)
@@ -289,14 +302,13 @@ def records(source: DataFrame, grammar: Grammar, sent_splits: int = SENT_SPLITS)
         parts = _read(rows, grammar, None)
     whole = parts.filter("part = 'r'").select(*_SPLIT, "mono", "fields")
     # a split's head ends the record that is open before it, its tail opens the next one
-    some = parts.filter("part <> 'r'").join(states.select(*_SPLIT, "record", "ends"), _SPLIT)
+    some = parts.filter("part <> 'r'").join(states.select(*_SPLIT, "record"), _SPLIT)
     some = some.withColumn("record", F.when(F.col("part") == "t", F.col("record") + 1).otherwise(F.col("record")))
-    place = F.struct("block", "mono", (F.col("part") == "h").alias("head"), "ends", F.col("fields")[0].alias("text"))
+    place = F.struct("block", "mono", (F.col("part") == "h").alias("ends"), F.col("fields")[0].alias("text"))
     some = some.groupBy("file", "record").agg(F.sort_array(F.collect_list(place)).alias("of"))
     end = F.element_at("of", -1)
     text = F.array_join(F.transform("of", lambda x: x["text"]), grammar.joint)
-    closed = (end["head"] & (end["ends"] > 0)).alias("closed")
-    some = some.select("file", end["block"].alias("block"), end["mono"].alias("mono"), (F.col("record") == 0).alias("first"), closed, text.alias("text"))
+    some = some.select("file", end["block"].alias("block"), end["mono"].alias("mono"), (F.col("record") == 0).alias("first"), end["ends"].alias("closed"), text.alias("text"))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
