@@ -11,6 +11,7 @@ from tessera.plans.library_q import AS_OF
 from tessera.plans.tables import view, with_views
 from tessera.session import staging_path
 from tessera.plans.replay import write_stream_chunks
+from tessera.streaming.dedup import start_deduplicated
 from tessera.streaming.importer import start_import_stream
 from tessera.streaming.stateful import start_ledger_stream, start_rental_stream
 from tessera.streaming.text import start_text_stream
@@ -81,7 +82,20 @@ def _stream_ledger(spark, sf):
     return spark.read.parquet(sink).drop("batch_id")
 
 
+def _stream_distinct(spark, sf):
+    """Which vehicles had which kind of event, each told once; the delay is
+    longer than the log."""
+    src = staging_path(spark, "stream-distinct-src")
+    ev = view(spark, sf, "vehicle_events_v").select("seq", F.col("ts").cast("timestamp").alias("ts"), "vehicle_id", "kind")
+    write_stream_chunks(ev, src, "vehicle_id", files_per_chunk=FILES_PER_CHUNK)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", FILES_PER_CHUNK).parquet(src)
+    sink, ckpt = staging_path(spark, "stream-distinct"), staging_path(spark, "stream-ckpt")
+    start_deduplicated(stream, ["vehicle_id", "kind"], "ts", "36500 days", sink, ckpt).awaitTermination()
+    return spark.read.parquet(sink).select("vehicle_id", "kind")
+
+
 QUERIES = {
+    "stream_distinct_events": _stream_distinct,
     "stream_import": _stream_import,
     "stream_text_sentiment": _stream_text,
     "stream_rental_outcomes": _stream_rental,
@@ -94,6 +108,7 @@ from tessera.plans.payroll_q import ORACLE as _PAY  # noqa: E402
 from tessera.plans.library_q import ORACLE as _LIB  # noqa: E402
 
 ORACLE = {
+    "stream_distinct_events": with_views("SELECT DISTINCT vehicle_id, kind FROM vehicle_events_v", "vehicle_events_v"),
     "stream_import": "SELECT user_id, name, email, outcome FROM (" + _SRC["csv_user_parse"].replace(
         "SELECT CAST(row_number() OVER (ORDER BY seq) AS BIGINT) AS row_no, user_id", "SELECT user_id") + ")",
     "stream_text_sentiment": with_views(f", {_TEXT_C} SELECT doc_id, clean_text AS text, sentiment, score FROM r "

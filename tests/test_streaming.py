@@ -110,3 +110,22 @@ def test_import_batch_leaves_other_buckets_alone(spark, tmp):
     state = BucketState(spark, ids, "user_id long", ["user_id"], 32)
     assert [b for b, n in state.versions().items() if 0 in n] == state.touched(spark.createDataFrame([(7,)], "user_id long"))
     assert spark.read.parquet(out).count() == 2
+
+
+def test_repeats_within_the_watermark_are_dropped_and_state_expires(spark, tmp):
+    import datetime
+
+    from tessera.streaming.dedup import start_deduplicated
+
+    schema, at = "id long, ts timestamp", lambda h, m: datetime.datetime(2024, 1, 1, h, m)
+    batches = [[(k, at(10, 0)) for k in range(20)], [(1, at(10, 4)), (2, at(9, 58)), (30, at(10, 5))], [(99, at(12, 0))], [(98, at(12, 1))], [(1, at(12, 2))]]
+    src = os.path.join(tmp, "in")
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = start_deduplicated(stream, ["id"], "ts", "10 minutes", os.path.join(tmp, "out"), os.path.join(tmp, "ck"))
+    q.awaitTermination()
+    rows = sorted((r.id, r.ts) for r in spark.read.parquet(os.path.join(tmp, "out")).collect())
+    assert [r for r in rows if r[0] in (1, 2, 30)] == [(1, at(10, 0)), (1, at(12, 2)), (2, at(10, 0)), (30, at(10, 5))]
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert max(held) >= 21 and held[-1] < 10  # the keys of ten o'clock are forgotten
