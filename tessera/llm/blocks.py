@@ -24,7 +24,7 @@ BLOCK_BYTES = 4_000_000
 
 def plain_texts(column: pa.Array) -> pa.Array:
     """A string column without nulls (empty instead), copied from offset 0."""
-    texts = pc.fill_null(column, "")
+    texts = pc.fill_null(column.cast(pa.string()), "")
     return pa.concat_arrays([texts, texts[:0]])
 
 
