@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import py_int
+from tessera.session import staging_path
 from tessera.sources.files import csv_headers, list_files
 from tessera.sources.ranges import CSV, records
 from tessera.sources.ranges import pieces as csv_pieces
@@ -33,7 +34,11 @@ def user_rows(pieces: DataFrame) -> DataFrame:
 
 
 def _scan(spark: SparkSession, path) -> DataFrame:
-    return user_rows(csv_pieces(spark, path, CSV))
+    """The rows, written once: imports use them several times, and the files
+    are parsed in Python."""
+    rows, parsed = user_rows(csv_pieces(spark, path, CSV)), staging_path(spark, "users-parsed")
+    rows.write.parquet(parsed)
+    return spark.read.schema(rows.schema).parquet(parsed)
 
 
 def check_headers(spark: SparkSession, files: list[str], expected: list[str] = HEADER) -> None:
