@@ -14,10 +14,6 @@ from tessera.session import staging_path
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
-#: Spark's switch that drops an action's shuffle files when it ends.
-_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut, a
     lost executor re-reads files, and every later use sees the same rows."""
@@ -26,18 +22,6 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def staged_lean(df: DataFrame, label: str) -> DataFrame:
-    """``staged``, and what the write shuffled is dropped with it, not when the
-    driver happens to collect its garbage. The session's setting is put back."""
-    conf = df.sparkSession.conf
-    before = conf.get(_DROP_SHUFFLES, "false")
-    conf.set(_DROP_SHUFFLES, "true")
-    try:
-        return staged(df, label)
-    finally:
-        conf.set(_DROP_SHUFFLES, before)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
