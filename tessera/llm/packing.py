@@ -31,6 +31,9 @@ from tessera.llm.token_count import byte_alphabet
 
 #: Segments whose ids are kept in each worker, new segments encoded in one text.
 KEEP_ENTRIES, GROUP = 600_000, 256
+#: Characters from which a text goes through tokenizers (tiktoken's matcher
+#: fails on a million characters of white space).
+LONG_CHARS = 500_000
 #: Rows per rank bucket, so that no task ranks all pieces of a common length.
 BUCKET_ROWS = 5_000
 #: Rounds of the multiplicative weights, how fast weights fall with cover,
@@ -44,7 +47,7 @@ class SegmentIds:
 
     New segments go through tiktoken with the file's tokens as ranks, which
     gives the ids of tokenizers in less time; those that hold an added token
-    go through tokenizers itself."""
+    and very long ones go through tokenizers itself."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -80,9 +83,8 @@ class SegmentIds:
             yield block.joined(pa.array(values, pa.binary()), "")
 
     def _ids(self, text: str) -> np.ndarray:
-        for mark in self.added:
-            if mark in text:
-                return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        if len(text) >= LONG_CHARS or any(mark in text for mark in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
         return np.array(self.plain.encode_ordinary(text), dtype="<u4")
 
     def _new(self, keys: list[str]) -> list[bytes]:
@@ -125,7 +127,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int = 0, id_
             for coded in encoder.rows(plain_texts(column_of(b, "text"))):
                 at = np.frombuffer(coded.buffers()[1], np.int64, len(coded) + 1).tolist()
                 data = memoryview(coded.buffers()[2] or b"").cast("B")
-                for doc, i, j in zip(ids, at, at[1:]):
+                for i, j, doc in zip(at, at[1:], ids):  # ids last: the end of a block takes none
                     parts = cut((j - i) // 4 + 1, capacity)  # the last one ends with the end id
                     crcs = [zlib.crc32(data[i + 4 * s : min(i + 4 * (s + n), j)]) for s, n in parts]
                     crcs[-1] = zlib.crc32(end, crcs[-1])

@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers as P
 from tokenizers import Tokenizer
 
-from tessera.llm.packing import SegmentIds, cut, knapsack, pack, plan
+from tessera.llm.packing import SegmentIds, cut, knapsack, pack, pieces, plan
 
 JSON = P.path("byte_bpe_50k.json")
 
@@ -72,3 +72,22 @@ def test_pack_places_every_piece(spark):
         assert at <= 64
     assert len(sequences) <= ceil(sum(r.length for r in out) / 64) * 1.05 + 1
     assert pack(df.limit(0), JSON, capacity=64).collect() == []
+
+
+def test_rows_of_several_blocks_keep_their_ids(spark):
+    """A batch is handled in blocks of text; each row keeps its own id."""
+    texts = [w * (300_000 * k) for k, w in enumerate(["ab ", "cd ", "ef gh ", "x, ", "é ", "the "])] + [None, "last"]
+    df = spark.createDataFrame([(10 + i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    got = Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in pieces(df, JSON, 2048).collect())
+    lib, want = Tokenizer.from_file(JSON), Counter()
+    for i, t in enumerate(texts):
+        ids = lib.encode(t or "", add_special_tokens=False).ids + [0]
+        for k, (s, n) in enumerate(cut(len(ids), 2048)):
+            want[(10 + i, k, s, n, zlib.crc32(np.array(ids[s : s + n], "<u4").tobytes()))] += 1
+    assert got == want
+
+
+def test_white_space_without_end():
+    lib, enc = Tokenizer.from_file(JSON), SegmentIds(JSON)
+    text = "a" + " " * 1_200_000 + "b"
+    assert np.frombuffer(next(enc.encode([text])), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
