@@ -6,10 +6,13 @@ reads a whole log: it is cut into chunks of ``chunk_rows`` consecutive events
 and every chunk is replayed by itself from assumed counters. What a chunk ends
 with is then what the next one starts with (the title's count goes to the next
 chunk, a borrower's to the next chunk that names them), and chunks whose start
-changed are replayed again, until none does. The first chunk starts from known
-counters, so after k rounds the first k chunks are final whatever was assumed;
-usually far fewer rounds are needed, as full or empty shelves make chunks end
-alike from different starts. Titles of one chunk need no round at all.
+changed are replayed again, until none does. From round to round a task replays
+spans of more consecutive chunks, up to ``SPAN_ROWS`` events, and hands the
+counters on inside a span, so that a difference which no chunk absorbs passes
+many chunks a round. The first chunk starts from known counters, so every round
+makes one more span final whatever was assumed; fewer rounds are needed where
+full or empty shelves make chunks end alike from different starts. Titles of
+one chunk need no round at all.
 """
 
 from __future__ import annotations
@@ -25,9 +28,11 @@ from tessera.session import staging_path
 
 #: Events of a title that one chunk holds.
 CHUNK_ROWS = 1 << 17
+#: Events of a title that one task replays in a round, and how fast spans grow.
+SPAN_ROWS, SPAN_GROWTH = 1 << 20, 4
 
 _TOTAL = "t"  # key of a title's own counter; borrowers have "b" + name, a null one "n"
-_CHUNK = ["book_title", "chunk"]
+_CHUNK, _SPAN = ["book_title", "chunk"], ["book_title", "span"]
 COUNTERS = "book_title string, who string, n long"
 
 
@@ -38,23 +43,26 @@ def _who(borrower: Column) -> Column:
 def _replay(outcomes: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """Rows sorted by (title, chunk, event, seq), a chunk's counters ahead of
     its events -> the outcome of every event, or every counter's start and
-    end. Frames are read one at a time; a chunk's counters are the state."""
+    end by chunk. Counters that a span's earlier chunks have are carried on.
+    Frames are read one at a time; a span's counters are the state."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, held, start = None, {}, {}
+        at, reach, held, start = None, None, {}, {}
 
         def ends() -> Iterator[tuple]:
             return ((*at, who, n, held[who]) for who, n in start.items())
 
         for pdf in frames:
             out: list[tuple] = []
-            for title, chunk, seq, kind, who, n in zip(*(pdf[c] for c in ("book_title", "chunk", "seq", "kind", "who", "n"))):
+            for title, chunk, span, seq, kind, who, n in zip(*(pdf[c] for c in ("book_title", "chunk", "span", "seq", "kind", "who", "n"))):
                 if at != (title, chunk):
                     if not outcomes:
                         out.extend(ends())
-                    at, held, start = (title, chunk), {}, {}
+                    if reach != (title, span):
+                        held = {}
+                    at, reach, start = (title, chunk), (title, span), {}
                 if kind == "start":
-                    held[who] = start[who] = int(n)
+                    start[who] = held.setdefault(who, int(n))
                     continue
                 total, own = held.get(_TOTAL, 0), held.get(who, 0)
                 if kind == "borrow":
@@ -73,10 +81,10 @@ def _replay(outcomes: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Da
 
 
 def _in_order(events: DataFrame, starts: DataFrame) -> DataFrame:
-    """Events and counters (title, chunk, who, n), each chunk in one task, sorted."""
-    rows = events.select(*_CHUNK, F.lit(True).alias("event"), "seq", "kind", "who", F.col("copies").cast("long").alias("n"))
-    counters = starts.select(*_CHUNK, F.lit(False).alias("event"), F.lit(0).cast("long").alias("seq"), F.lit("start").alias("kind"), "who", "n")
-    return rows.unionByName(counters).repartition(*_CHUNK).sortWithinPartitions(*_CHUNK, "event", "seq")
+    """Events and counters (title, chunk, span, who, n), each span in one task, sorted."""
+    rows = events.select(*_CHUNK, "span", F.lit(True).alias("event"), "seq", "kind", "who", F.col("copies").cast("long").alias("n"))
+    counters = starts.select(*_CHUNK, "span", F.lit(False).alias("event"), F.lit(0).cast("long").alias("seq"), F.lit("start").alias("kind"), "who", "n")
+    return rows.unionByName(counters).repartition(*_SPAN).sortWithinPartitions(*_CHUNK, "event", "seq")
 
 
 def _staged(df: DataFrame, label: str) -> DataFrame:
@@ -85,9 +93,10 @@ def _staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _chunk_starts(events: DataFrame, known: DataFrame, chunk_width: int) -> DataFrame:
+def _chunk_starts(events: DataFrame, known: DataFrame, chunk_width: int, most: int) -> DataFrame:
     """(title, chunk, who, n): every counter at every chunk's start, for titles
-    of more than one chunk, by repeated replays."""
+    of more than one chunk, by repeated replays of spans of up to ``most``
+    chunks."""
     pairs = events.select(*_CHUNK, "who").distinct()
     earlier = previous_in_key(pairs, ["book_title", "who"], "chunk", "chunk", "before", chunk_width)
     own = events.select(*_CHUNK).distinct().withColumns({"who": F.lit(_TOTAL), "before": F.expr("if(chunk > 0, chunk - 1, null)")})
@@ -95,12 +104,16 @@ def _chunk_starts(events: DataFrame, known: DataFrame, chunk_width: int) -> Data
     # ``before``: the chunk whose end is this chunk's start; none: the known count
     links = _staged(links.select(*_CHUNK, "who", "before", F.coalesce("n", F.lit(0)).cast("long").alias("known")), "links")
     starts, changed, ends = links.select(*_CHUNK, "who", F.col("known").alias("n")), None, None
+    final, width = 0, 1  # chunks that cannot change, chunks of a span
     while True:
-        todo = events if changed is None else events.join(changed, _CHUNK, "left_semi")
-        given = starts if changed is None else starts.join(changed, _CHUNK, "left_semi")
+        span = F.floor((F.col("chunk") - F.lit(final)) / F.lit(width)).cast("long")
+        todo, given = events.withColumn("span", span), starts.withColumn("span", span)
+        if changed is not None:
+            spans = changed.select("book_title", span.alias("span")).distinct()
+            todo, given = todo.join(spans, _SPAN, "left_semi"), given.join(spans, _SPAN, "left_semi")
         new = _in_order(todo, given).mapInPandas(_replay(False), "book_title string, chunk long, who string, start long, end long")
         if ends is not None:
-            new = new.unionByName(ends.join(changed, _CHUNK, "left_anti"))
+            new = new.unionByName(ends.withColumn("span", span).join(spans, _SPAN, "left_anti").drop("span"))
         ends = _staged(new, "ends")
         last = ends.select("book_title", F.col("chunk").alias("before"), "who", "end")
         now = links.join(last, ["book_title", "before", "who"], "left").join(ends.select(*_CHUNK, "who", "start"), [*_CHUNK, "who"])
@@ -108,6 +121,7 @@ def _chunk_starts(events: DataFrame, known: DataFrame, chunk_width: int) -> Data
         starts, changed = now.drop("start"), now.filter("n <> start").select(*_CHUNK).distinct()
         if now.filter("n <> start").isEmpty():
             return starts
+        final, width = final + width, min(width * SPAN_GROWTH, most)
 
 
 def counters(loans: DataFrame) -> DataFrame:
@@ -128,7 +142,8 @@ def after_events(before: DataFrame, done: DataFrame) -> DataFrame:
     return before.unionByName(moved).groupBy("book_title", "who").agg(F.sum("n").alias("n")).filter("n <> 0")
 
 
-def ledger_outcomes(events: DataFrame, known: DataFrame, chunk_rows: int = CHUNK_ROWS, chunk_width: int = DEFAULT_CHUNK) -> DataFrame:
+def ledger_outcomes(events: DataFrame, known: DataFrame, chunk_rows: int = CHUNK_ROWS, chunk_width: int = DEFAULT_CHUNK,
+                    span_rows: int = SPAN_ROWS) -> DataFrame:
     """(seq, outcome) of each event (seq, book_title, kind, borrower_name, copies).
 
     ``known`` are the ``counters`` before the first event. Titles are not
@@ -144,6 +159,7 @@ def ledger_outcomes(events: DataFrame, known: DataFrame, chunk_rows: int = CHUNK
         chunk = F.floor((F.col("__pos") - 1) / F.lit(chunk_rows)).cast("long")
         rows = _staged(numbered.select("book_title", chunk.alias("chunk"), *columns), "events")
         long_titles = rows.filter("chunk = 1").select("book_title").distinct()
-        later = _chunk_starts(rows.join(long_titles, "book_title", "left_semi"), known, chunk_width).filter("n <> 0")
+        later = _chunk_starts(rows.join(long_titles, "book_title", "left_semi"), known, chunk_width, max(1, span_rows // chunk_rows)).filter("n <> 0")
         starts = first.join(long_titles, "book_title", "left_anti").unionByName(later)
-    return _in_order(rows, starts).mapInPandas(_replay(True), "seq long, outcome string")
+    one = F.col("chunk").alias("span")  # each chunk by itself
+    return _in_order(rows.select("*", one), starts.select("*", one)).mapInPandas(_replay(True), "seq long, outcome string")

@@ -83,6 +83,27 @@ def test_no_task_reads_more_than_a_chunk_of_a_title(spark, monkeypatch):
     assert rounds[-2] < rounds[0]  # later rounds replay only what changed
 
 
+def test_a_difference_passes_many_chunks_a_round(spark, monkeypatch):
+    """Readers who seldom return: what a chunk starts with matters in all the
+    chunks after it, yet rounds grow with the logarithm of their number."""
+    books, loans, events = case(8, 600, 250, (3, 3))
+    ends, plain = [], ledger._staged
+    monkeypatch.setattr(ledger, "_staged", lambda df, label: (ends.append(label), plain(df, label))[1])
+    got = B.loan_ledger(*frames(spark, books, loans, events), chunk_rows=6, chunk_width=1 << 20).collect()
+    assert {r.seq: r.outcome for r in got} == in_order(books, loans, events)
+    assert ends.count("ends") <= 6
+
+
+@pytest.mark.parametrize("most", [1, 2, 3])
+def test_spans_of_any_size_give_the_outcomes_in_order(spark, most):
+    books, loans, events = case(9, 150, 20, (1, 4))
+    ev, bk, ln = frames(spark, books, loans, events)
+    found = ev.join(B.first_titles(bk), ev["isbn"] == B.F.col("__isbn")).select("seq", "book_title", "kind", "borrower_name", "copies")
+    got = ledger.ledger_outcomes(found, ledger.counters(ln), chunk_rows=12, span_rows=12 * most).collect()
+    want = in_order(books, loans, events)
+    assert {r.seq: r.outcome for r in got} == {s: o for s, o in want.items() if o != "book_not_found"}
+
+
 def test_empty_log_and_unknown_books(spark):
     books, loans, _ = case(1, 10, 2, (1, 1))
     assert B.loan_ledger(*frames(spark, books, loans, [(1, "borrow", "x", "none")])).collect()[0].outcome == "book_not_found"
