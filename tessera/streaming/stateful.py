@@ -32,7 +32,7 @@ def _started(stream: DataFrame, handle, checkpoint: str, available_now: bool) ->
 
 
 def _staged(batch: DataFrame, label: str) -> DataFrame:
-    """A batch's events, read from their source once."""
+    """A batch's events, or what all batches use, read from the source once."""
     path = staging_path(batch.sparkSession, label)
     batch.write.parquet(path)
     return batch.sparkSession.read.schema(batch.schema).parquet(path)
@@ -63,16 +63,17 @@ def start_ledger_stream(events: DataFrame, books: DataFrame, loans: DataFrame, s
         return BucketState(spark, state, COUNTERS, ["book_title"], buckets)
 
     held(events.sparkSession).seed(counters(loans))
+    titles = _staged(first_titles(books), "ledger-titles")
 
+    # the joins of a batch are merged: broadcasts would go through the driver batch after batch
     def handle(batch: DataFrame, batch_id: int) -> None:
-        titles = first_titles(books)
-        ev = batch.join(titles, batch["isbn"] == F.col("__isbn"), "left").drop("__isbn")
+        ev = batch.join(titles.hint("merge"), batch["isbn"] == F.col("__isbn"), "left").drop("__isbn")
         ev = _staged(ev.select("seq", "book_title", "kind", "borrower_name", "copies"), "ledger-batch")
         found = ev.filter("book_title IS NOT NULL")
         counts = held(batch.sparkSession)
         touched = counts.touched(found)
         before = counts.read(touched, batch_id)
-        out = found.join(ledger_outcomes(found, before, **chunks), "seq") \
+        out = found.join(ledger_outcomes(found, before, **chunks).hint("merge"), "seq") \
             .unionByName(ev.filter("book_title IS NULL").withColumn("outcome", F.lit("book_not_found")))
         done = write_batch(out.select("seq", "book_title", "kind", "borrower_name", "outcome"), sink, batch_id)
         counts.write(after_events(before, done.filter("book_title IS NOT NULL")), batch_id)
