@@ -39,8 +39,11 @@ def sentiment_columns(cleaned: Column, positive: Sequence[str] = POSITIVE_WORDS,
     pos = F.coalesce(F.arrays_overlap(tokens, _lexicon(positive)), F.lit(False))
     neg = F.coalesce(F.arrays_overlap(tokens, _lexicon(negative)), F.lit(False))
     score = (pos.cast("int") - neg.cast("int")).cast("int")
-    label = F.when(score > 0, "positive").when(score < 0, "negative").otherwise("neutral")
-    return score, label
+    return score, sentiment_label(score)
+
+
+def sentiment_label(score: Column) -> Column:
+    return F.when(score > 0, "positive").when(score < 0, "negative").otherwise("neutral")
 
 
 def text_errors(df: DataFrame, text: str = "text", cleaned: str = "clean_text") -> DataFrame:
@@ -63,11 +66,12 @@ def clean_and_score(df: DataFrame, text: str = "text", positive: Sequence[str] =
                     negative: Sequence[str] = NEGATIVE_WORDS) -> DataFrame:
     """P25: clean -> analyse with per-row error columns. Result columns:
     input columns + clean_text, score, sentiment, error_stage, error_code.
-    The cleaned text is computed once; the later columns refer to it."""
+    The cleaned text and the score are computed once; the later columns refer
+    to them."""
     out = text_errors(clean(df, text), text)
-    score, label = sentiment_columns(F.col("clean_text"), positive, negative)
+    score, _ = sentiment_columns(F.col("clean_text"), positive, negative)
     ok = F.col("error_stage").isNull()
-    return out.withColumn("score", F.when(ok, score)).withColumn("sentiment", F.when(ok, label))
+    return out.withColumn("score", F.when(ok, score)).withColumn("sentiment", F.when(ok, sentiment_label(F.col("score"))))
 
 
 def split_outcomes(scored: DataFrame) -> tuple[DataFrame, DataFrame]:

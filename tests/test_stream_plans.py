@@ -1,5 +1,7 @@
 import os
 
+from pyspark.sql import functions as F
+
 from tessera.operators import library as B
 from tessera.streaming import stateful
 
@@ -25,3 +27,18 @@ def test_a_ledger_batch_broadcasts_no_table(spark, tmp, monkeypatch):
     assert len(plans) == 2 and not any("Broadcast" in p for p in plans)
     got = sorted(map(tuple, spark.read.parquet(sink).select("seq", "outcome").collect()))
     assert got == sorted(map(tuple, B.loan_ledger(ev, books, loans).select("seq", "outcome").collect()))
+
+
+def test_text_batches_are_scored_once_over_all_slots(spark, tmp):
+    from tessera.streaming.text import start_text_stream
+
+    src, sink, quarantine = (os.path.join(tmp, n) for n in ("src", "sink", "quarantine"))
+    rows = [(i, "en", [f"A good day {i}", None, "?!", " ", "bad, bad"][i % 5]) for i in range(100)]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").coalesce(1).write.parquet(src)
+    start_text_stream(spark, src, "doc_id long, lang string, text string", sink, quarantine, os.path.join(tmp, "ck")).awaitTermination()
+    ok = spark.read.parquet(sink)
+    assert sorted((r.doc_id, r.text, r.sentiment, r.score) for r in ok.collect()) == sorted(
+        (i, f"a good day {i}", "positive", 1) if i % 5 == 0 else (i, "bad bad", "negative", -1) for i in range(100) if i % 5 in (0, 4))
+    assert {r.error_code for r in spark.read.parquet(quarantine).collect()} == {"null_text", "empty_after_cleaning", "empty_text"}
+    assert ok.select(F.input_file_name()).distinct().count() > 1
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
