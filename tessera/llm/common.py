@@ -22,6 +22,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
+    """As ``staged``, with each file holding one hash bucket of ``key``, so that
+    grouping by ``key`` needs no exchange. The files stay, as ``staged``'s do; the
+    table's name is only needed to read them as buckets."""
+    spark, path = df.sparkSession, staging_path(df.sparkSession, f"llm-{label}")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    return out
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Have executors delete the shuffle files of jobs that are over: Spark does
+    so when the driver's garbage is collected, which it may not be for long."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -16,13 +16,17 @@ A sweep draws the tables of every dish from their exact distribution, given
 the totals of the sweep before (generalised Stirling numbers with the
 discount). Sweeps are seeded by partition and number; the tables of dishes
 with several customers are carried from sweep to sweep. Words are told apart by
-64-bit hashes. Texts travel once: a chunk of documents keeps, for each token,
-the number of its (word, context) pair, sends its pairs to the partitions of
-the words and gets a probability back for each.
+64-bit hashes. Texts are read once: a chunk of documents keeps its words and,
+for each token, the number of its word; it sends its (word, context) pairs to
+the partitions of the words and gets a probability back for each.
+
+Chunks, and what a partition of the words holds of the counts, are written in
+hash buckets and stay there: only what one partition tells others is exchanged.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable, Iterator
 
@@ -35,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import column_of, id_text_crc, staged, words_of
+from tessera.llm.common import bucketed, column_of, drop_shuffles, id_text_crc, staged, words_of
 
 #: Contexts are numbers below this one; 0 is the start of a text.
 CONTEXTS = 1 << 63
@@ -46,6 +50,10 @@ CONTEXT_STRENGTH, PARENT_STRENGTH, SWEEPS, SETTLING = 1.0, 1.0, 7, 2
 TABLED = 512
 #: Text bytes in a chunk of documents.
 CHUNK_BYTES = 16 << 20
+#: Packed bytes of contexts in a partition of the contexts, if there are many; and
+#: so many partitions before they get larger. Each hears from each partition of the
+#: words in every sweep, so they are not as many as shuffle partitions.
+CONTEXT_BYTES, CONTEXT_PARTS = 16 << 20, 16
 #: Stands for the end of a text; no word holds a space.
 END = b" "
 
@@ -91,8 +99,8 @@ def part_of(words: np.ndarray, parts: int) -> np.ndarray:
     return ((words >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
 
 
-def _chunk(ids: pa.Array, held: np.ndarray, texts: pa.Array, chunk: int, parts: int) -> Iterator[pa.RecordBatch]:
-    """The rows of one chunk: its documents, and its pairs by partition."""
+def _chunk(ids: pa.Array, held: np.ndarray, texts: pa.Array, chunk: int) -> pa.RecordBatch:
+    """The row of one chunk: its documents, their tokens and the words' hashes."""
     flat, n = words_of(texts)
     coded = flat.dictionary_encode()
     del flat
@@ -100,49 +108,23 @@ def _chunk(ids: pa.Array, held: np.ndarray, texts: pa.Array, chunk: int, parts:
     hashes = np.array([xxhash.xxh64_intdigest(w) for w in spelled], dtype=np.uint64)
     end = len(spelled) - 1
     del spelled
-    order = np.argsort(hashes)
-    words = hashes[order]
-    rank = np.empty(len(order), np.int32)
-    rank[order] = np.arange(len(order), dtype=np.int32)
-    contexts, follow = np.unique(np.r_[0, contexts_of(hashes)], return_inverse=True)
-    follow = follow[1:]
     sizes = n + 1  # with the end
-    ends = np.cumsum(sizes) - 1
     token = np.full(int(sizes.sum()), end, np.int32)
     inner = np.ones(len(token), bool)
-    inner[ends] = False
+    inner[np.cumsum(sizes) - 1] = False
     token[inner] = coded.indices.to_numpy()
     del coded, inner
-    key = rank[token].astype(np.int64) * len(contexts)
-    key[1:] += follow[token[:-1]]
-    starts = ends + 1 - sizes
-    key[starts] = rank[token[starts]].astype(np.int64) * len(contexts)
-    del token
-    pair, index = np.unique(key, return_inverse=True)
-    del key
-    index = index.astype(np.uint32)
-    learned = np.bincount(index, np.repeat(~held, sizes), len(pair)).astype(np.uint32)
-    # numbered by frequency in the chunk's record, so that most numbers are small
-    often = np.argsort(-np.bincount(index, minlength=len(pair)), kind="stable").astype(np.uint32)
-    number = np.empty(len(pair), np.uint32)
-    number[often] = np.arange(len(pair), dtype=np.uint32)
+    # words are numbered by frequency, so that most numbers are small
+    often = np.argsort(-np.bincount(token, minlength=len(hashes)), kind="stable")
+    number = np.empty(len(often), np.uint32)
+    number[often] = np.arange(len(often), dtype=np.uint32)
     null = ids.is_null().to_numpy(zero_copy_only=False)
     values = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    yield _row(chunk, -1, _DOCS, values, null, held, sizes.astype(np.uint32), number[index], often)
-    del index, number, often
-    word_of, its_context = pair // len(contexts), pair % len(contexts)
-    many = np.bincount(word_of, minlength=len(words)).astype(np.uint32)
-    where = part_of(words, parts)
-    begin = np.r_[0, np.cumsum(many)]
-    cuts = np.r_[np.flatnonzero(np.r_[True, where[1:] != where[:-1]]), len(words)]
-    for lo, hi in zip(cuts, cuts[1:]):
-        a, b = begin[lo], begin[hi]
-        here, at = np.unique(its_context[a:b], return_inverse=True)
-        yield _row(chunk, int(where[lo]), _PAIRS, words[lo:hi], many[lo:hi], np.diff(contexts[here], prepend=0), at.astype(np.uint32), learned[a:b])
-
-
-def chunks(docs: DataFrame, parts: int) -> DataFrame:
-    """Document and pair rows of all chunks, from (doc_id, held, text)."""
+    return _row(chunk, -1, _DOCS, values, null, held, sizes.astype(np.uint32), number[token], hashes[often])
+
+
+def chunks(docs: DataFrame) -> DataFrame:
+    """A row for each chunk, from (doc_id, held, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -152,12 +134,46 @@ def chunks(docs: DataFrame, parts: int) -> DataFrame:
             at = 0
             while at < b.num_rows:
                 stop = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + CHUNK_BYTES, "right")))
-                yield from _chunk(ids[at:stop], held[at:stop], text[at:stop], number, parts)
+                yield _chunk(ids[at:stop], held[at:stop], text[at:stop], number)
                 number, at = number + 1, stop
 
     return docs.mapInArrow(run, _BLOBS)
 
 
+class Tokens:
+    """A chunk's row: its documents, and the (word, context) pair of each token."""
+
+    def __init__(self, row: tuple):
+        self.ids, self.null, self.held, sizes, token, words = _arrays(row, np.int64, bool, bool, np.uint32, np.uint32, np.uint64)
+        self.sizes = sizes.astype(np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        order = np.argsort(words)
+        self.words = words[order]
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.contexts, follow = np.unique(np.r_[0, contexts_of(words)], return_inverse=True)
+        key = (rank * len(self.contexts))[token]
+        first = key[self.starts]
+        key[1:] += follow[1:][token[:-1]]
+        key[self.starts] = first
+        del token
+        self.pair, self.index = np.unique(key, return_inverse=True)
+
+    def asked(self, chunk: int, parts: int) -> Iterator[pa.RecordBatch]:
+        """The chunk's pairs by partition of the words."""
+        words, contexts, pair = self.words, self.contexts, self.pair
+        learned = np.bincount(self.index, np.repeat(~self.held, self.sizes), len(pair)).astype(np.uint32)
+        word_of, its_context = pair // len(contexts), pair % len(contexts)
+        many = np.bincount(word_of, minlength=len(words)).astype(np.uint32)
+        where = part_of(words, parts)
+        begin = np.r_[0, np.cumsum(many)]
+        cuts = np.r_[np.flatnonzero(np.r_[True, where[1:] != where[:-1]]), len(words)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            a, b = begin[lo], begin[hi]
+            here, at = np.unique(its_context[a:b], return_inverse=True)
+            yield _row(chunk, int(where[lo]), _PAIRS, words[lo:hi], many[lo:hi], np.diff(contexts[here], prepend=0), at.astype(np.uint32), learned[a:b])
+
+
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for b in batches:
         yield from zip(*(c.to_pylist() for c in b.columns))
@@ -191,7 +207,8 @@ class Counts:
     """A partition's row: all pairs, and those with training customers."""
 
     def __init__(self, row: tuple):
-        self.words, self.many, steps, self.at, self.n, self.sizes, self.steps = _arrays(row, np.uint64, np.uint32, np.int64, np.uint32, np.int64, np.int64, np.uint32)
+        self.words, self.many, steps, self.at, self.n = _arrays(row, np.uint64, np.uint32, np.int64, np.uint32, np.int64)
+        self.row = row
         self.contexts = np.cumsum(steps)
         self.many, self.at = self.many.astype(np.int64), self.at.astype(np.int64)
         self.word_of = np.repeat(np.arange(len(self.words)), self.many)
@@ -212,8 +229,9 @@ class Counts:
 
     def members(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(chunk, its words, its pairs) as positions here."""
-        sizes = self.sizes.reshape(-1, 3)
-        cuts = np.split(self.steps.astype(np.int64), np.cumsum(np.r_[sizes[:, 1], sizes[:, 2]])[:-1])
+        sizes, steps = (unpack(c, k) for c, k in zip(self.row[8:], (np.int64, np.uint32)))
+        sizes = sizes.reshape(-1, 3)
+        cuts = np.split(steps.astype(np.int64), np.cumsum(np.r_[sizes[:, 1], sizes[:, 2]])[:-1])
         for k, (chunk, _, _) in enumerate(sizes.tolist()):
             yield chunk, np.cumsum(cuts[k]), np.cumsum(cuts[k + len(sizes)])
 
@@ -248,6 +266,7 @@ def reseat(tables: np.ndarray, strength: np.ndarray, discount: float, moves: int
         tables[rows, np.minimum(seat, tables.shape[1] - 1)] += 1
 
 
+@functools.lru_cache(8)
 def _log_stirling(most: int, discount: float) -> np.ndarray:
     """log S(n, t) for n, t up to ``most``: the summed weights of the seatings
     of n customers at t tables, a table of m weighing (1 - discount) ... (m - 1 - discount)."""
@@ -312,7 +331,8 @@ def sampled_tables(customers: np.ndarray, strength: np.ndarray, discount: float,
     out = np.minimum(customers, 1)
     strength = np.maximum(strength, 1e-12)
     several = customers[(customers > 1) & (customers <= TABLED)]
-    stirling = _log_stirling(int(several.max(initial=1)), discount)
+    most = int(several.max(initial=1))
+    stirling = _log_stirling(min(TABLED, 1 << most.bit_length()), discount)  # few sizes: the partitions of a task share them
     order = np.argsort(customers, kind="stable")
     sizes = customers[order]
     begin = int(np.searchsorted(sizes, 1, "right"))
@@ -445,7 +465,7 @@ def _cuts(contexts: np.ndarray, parts: int) -> np.ndarray:
 
 def _first(batches: Iterator[pa.RecordBatch], seed: int, parts: int) -> Iterator[pa.RecordBatch]:
     """From the partitions of the words to those of the contexts: contexts,
-    customers and tables, one table a dish; and on their way back, the rows of the sweeps."""
+    customers and tables, one table a dish."""
     for r in _cells(batches):
         counts = Counts(r)
         s = Sampler(r[1], counts.learned(), seed, counts.contexts)
@@ -453,7 +473,13 @@ def _first(batches: Iterator[pa.RecordBatch], seed: int, parts: int) -> Iterator
         cuts = _cuts(counts.contexts, parts)
         for c, (a, b) in enumerate(zip(cuts, cuts[1:])):
             yield _row(r[1], c, _SENT, model, tables[a:b], customers[a:b], np.diff(counts.contexts[a:b], prepend=0))
-        yield _row(r[1], r[1] % parts, _CORE, *(x.astype(np.int64) for x in counts.core()), cuts)
+
+
+def _cores(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """What sweeps need of each partition of the words."""
+    for r in _cells(batches):
+        counts = Counts(r)
+        yield _row(r[0], r[1], _CORE, *(x.astype(np.int64) for x in counts.core()), _cuts(counts.contexts, parts))
 
 
 def _merge(key: tuple, batches: Iterator[pa.RecordBatch], number: int) -> Iterator[pa.RecordBatch]:
@@ -547,6 +573,36 @@ def _by_part(rows: DataFrame, run: Callable, *more: int) -> DataFrame:
     return rows.groupBy("part").applyInArrow(each, _BLOBS)
 
 
+def _at(own: DataFrame, key: str, rows: DataFrame, run: Callable, schema: str, *more: int) -> DataFrame:
+    """``run`` over the groups of bucketed rows and others; only the others are exchanged."""
+
+    def each(key: tuple, own: pa.Table, rows: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(run(key, [*own.to_batches(), *rows.to_batches()], *more))
+
+    return own.groupBy(key).cogroup(rows.groupBy(key)).applyInArrow(each, schema)
+
+
+def _add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The scores of a chunk's documents."""
+    found, own = {}, None
+    for r in _cells(batches):
+        if r[2] == _DOCS:
+            own = r
+        else:
+            found[r[1]] = r  # by partition: the order of the words
+    answers = [_arrays(found[k], np.float32, np.int64, np.uint32, float) for k in sorted(found)]
+    tokens, words = answers[0][3]
+    logs = np.concatenate([a[0] for a in answers]).astype(np.float64)
+    count = np.concatenate([np.repeat(a[1], a[2]) for a in answers])
+    t = Tokens(own)
+    base = np.log10((count + 0.5) / (tokens + 0.5 * (words + 1)))
+    per_doc = lambda x: np.add.reduceat(x[t.index], t.starts)
+    yield pa.RecordBatch.from_arrays([
+        pa.array(t.ids, pa.int64(), mask=t.null), pa.array(t.held), pa.array(t.sizes), pa.array(per_doc((count > 0).astype(np.int64))),
+        pa.array(np.full(len(t.ids), int(tokens), np.int64)), pa.array(per_doc(base)), pa.array(per_doc(logs)),
+    ], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = 1, folds: int = 5, seed: int = 0) -> DataFrame:
     """One row per row: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score and score (log10 probability of the text and its end).
@@ -555,50 +611,38 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
     not ``fold``. Null and empty texts are an end alone; repeated rows are
     learned as often as they come; null ids are kept (the text of their id is
     empty); an empty table gives no rows; other columns are ignored. The
-    driver gets nothing."""
+    driver gets one number."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.pmod(id_text_crc(id_col), F.lit(folds)) == fold).alias("held"), F.col(text_col).cast("string").alias("text"))
-    context_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = staged(chunks(src, 4 * context_parts), "lm-chunks")
-    pairs = rows.where(F.col("kind") == _PAIRS)
-    counts = staged(_by_part(pairs, _add_up), "lm-counts")
+    spark = docs.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = 4 * buckets
     kinds = lambda df, *k: df.where(F.col("kind").isin(*k))
 
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in _cells(batches):
+            yield from Tokens(r).asked(r[0], parts)
+
+    rows = bucketed(chunks(src), "lm-chunks", "chunk", buckets)
+    counts = bucketed(_by_part(rows.mapInArrow(asked, _BLOBS), _add_up), "lm-counts", "part", buckets)
+    drop_shuffles(spark)
+    size = counts.agg(F.sum(F.length("c"))).first()[0] or 0  # of contexts
+    context_parts = min(buckets, max(CONTEXT_PARTS, size // CONTEXT_BYTES))
+    core = bucketed(counts.mapInArrow(lambda b: _cores(b, context_parts), _BLOBS), "lm-core", "part", buckets)
+
     def merged(sent: DataFrame, number: int) -> DataFrame:
-        return staged(_by_part(sent, _merge, number), f"lm-totals-{number}")
+        out = staged(_by_part(sent, _merge, number), f"lm-totals-{number}")
+        drop_shuffles(spark)
+        return out
 
     history = [merged(counts.mapInArrow(lambda b: _first(b, seed, context_parts), _BLOBS), 0)]
     for k in range(1, SWEEPS + 1):
-        before = kinds(history[0], _CORE).unionByName(kinds(history[-1], _BACK, _STATE))
-        sent = _by_part(before, _sweep, k, seed, context_parts)
+        sent = _at(core, "part", kinds(history[-1], _BACK, _STATE), _sweep, _BLOBS, k, seed, context_parts)
         history.append(merged(sent.unionByName(kinds(history[0], _MEMBERS)), k))
-    asked = counts.unionByName(kinds(history[0], _BACK))
+    told = kinds(history[0], _BACK)
     for h in history[1 + SETTLING :]:
-        asked = asked.unionByName(kinds(h, _BACK, _STATE))
-    answers = _by_part(asked, _answer, seed)
-
-    def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, own = {}, None
-        for r in _cells(batches):
-            if r[2] == _DOCS:
-                own = r
-            else:
-                found[r[1]] = r  # by partition: the order of the words
-        answers = [_arrays(found[k], np.float32, np.int64, np.uint32, float) for k in sorted(found)]
-        tokens, words = answers[0][3]
-        logs = np.concatenate([a[0] for a in answers]).astype(np.float64)
-        count = np.concatenate([np.repeat(a[1], a[2]) for a in answers])
-        ids, null, held, sizes, number, often = _arrays(own, np.int64, bool, bool, np.uint32, np.uint32, np.uint32)
-        sizes = sizes.astype(np.int64)
-        starts = np.cumsum(sizes) - sizes
-        base = np.log10((count + 0.5) / (tokens + 0.5 * (words + 1)))
-        per_doc = lambda x: np.add.reduceat(x[often][number], starts)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(ids, pa.int64(), mask=null), pa.array(held), pa.array(sizes), pa.array(per_doc((count > 0).astype(np.int64))),
-            pa.array(np.full(len(ids), int(tokens), np.int64)), pa.array(per_doc(base)), pa.array(per_doc(logs)),
-        ], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    records = rows.where(F.col("kind") == _DOCS)
-    return records.unionByName(answers).groupBy("chunk").applyInArrow(add, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        told = told.unionByName(kinds(h, _BACK, _STATE))
+    answers = _at(counts, "part", told, _answer, _BLOBS, seed)
+    return _at(rows, "chunk", answers, _add, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

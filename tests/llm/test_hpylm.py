@@ -178,3 +178,80 @@ def test_sampled_tables_of_millions_of_customers():
     """Then t - 1 is a Poisson number with mean strength / discount."""
     got = sampled_tables(np.full(1500, 10_000_000), np.full(1500, 5.0), 0.8, 6, np.random.default_rng(6))
     assert abs(got.mean() - 7.25) < 0.3 and abs(got.var() - 6.25) < 1.2
+
+
+def some_documents(spark):
+    rng = np.random.default_rng(8)
+    rows = [(k, " ".join(f"w{x}" for x in rng.zipf(1.3, 80) % 5000)) for k in range(300)]
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+
+
+def plan_of(df, capsys):
+    capsys.readouterr()
+    df.explain("formatted")
+    return capsys.readouterr().out
+
+
+def test_bucketed_rows_are_grouped_where_they_lie(spark, capsys):
+    from tessera.llm.common import bucketed
+
+    df = spark.range(100).selectExpr("id % 7 as k", "id").repartition(5)
+    out = bucketed(df, "test-rows", "k", 3)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
+    counted = out.groupBy("k").count()
+    assert sorted(map(tuple, counted.collect())) == [(k, 15 if k < 2 else 14) for k in range(7)]
+    assert "Exchange" not in plan_of(counted, capsys)
+    assert not [t for t in spark.catalog.listTables() if "test_rows" in t.name]
+    assert bucketed(df.limit(0), "test-rows", "k", 3).collect() == []
+
+
+def test_chunks_and_counts_are_not_exchanged(spark, capsys):
+    """What partitions tell each other is; texts and counts are read in buckets."""
+    plan = plan_of(scores(some_documents(spark)), capsys)
+    assert plan.count("Bucketed: true") == 2 and plan.count("FlatMapCoGroupsInArrow") >= 2
+
+
+def test_pairs_are_not_staged(spark, monkeypatch):
+    """Chunks keep a number a token; their pairs are only sent."""
+    import tessera.llm.hpylm as module
+
+    seen = {}
+
+    def noted(name):
+        plain = getattr(module, name)
+
+        def wrapped(df, label, *more):
+            seen[label] = plain(df, label, *more)
+            return seen[label]
+
+        monkeypatch.setattr(module, name, wrapped)
+
+    noted("staged")
+    noted("bucketed")
+    scores(some_documents(spark))
+    kinds = {label: {r.kind for r in df.select("kind").distinct().collect()} for label, df in seen.items()}
+    assert kinds["lm-chunks"] == {module._DOCS} and not any(module._PAIRS in k for k in kinds.values())
+    assert not any(module._CORE in k for label, k in kinds.items() if label != "lm-core")
+
+
+def test_partitions_of_the_contexts_change_nothing(spark, monkeypatch):
+    """Any number of them gives the same scores, and sweeps send no more rows than they need."""
+    import tessera.llm.hpylm as module
+
+    docs, out = some_documents(spark), {}
+    for n in (1, 16):
+        monkeypatch.setattr(module, "CONTEXT_PARTS", n)
+        out[n] = sorted(map(tuple, scores(docs).collect()))
+    assert len(out[1]) == 300 and out[1] == out[16]
+
+
+def test_stirling_tables_are_shared():
+    """The same draws, whatever the largest dish is beside the others."""
+    from tessera.llm.hpylm import _log_stirling
+
+    _log_stirling.cache_clear()
+    for most in range(260, 500, 20):
+        sampled_tables(np.array([3, most]), np.ones(2), 0.5, 6, np.random.default_rng(1))
+    assert _log_stirling.cache_info().misses == 1
+    small, large = _log_stirling(16, 0.4), _log_stirling(64, 0.4)
+    assert np.array_equal(small, large[:17, :17])
