@@ -58,3 +58,30 @@ def test_floats_and_empty(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     assert sorted(map(tuple, embedding_components(df).collect())) == [(1, 1, 1, True), (2, 1, 1, False), (9, 0, 9, True)]
     assert embedding_components(df.limit(0)).collect() == []
+
+
+def test_no_tile_is_exchanged_for_its_pairs(spark, monkeypatch):
+    """Pairs of tiles grow with the square of the vectors; what tasks write to
+    each other must not. Every pair of tiles that may hold links comes once."""
+    import tessera.llm.pca_dedup as module
+
+    monkeypatch.setattr(module, "TILE", 10)
+    plans, made, plain = {}, [], module.staged
+
+    def watched(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        out = plain(df, label)
+        made.extend([out] if label == "tiles" else [])
+        return out
+
+    monkeypatch.setattr(module, "staged", watched)
+    rng = np.random.default_rng(3)
+    vectors = cluster(rng, 300, 12, 0.15, 30).tolist()
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>").repartition(3)
+    assert sorted(map(tuple, embedding_components(df).collect()), key=str) == expected(list(enumerate(vectors)))
+    assert "Exchange" not in plans["vector-links"] and "Exchange" in plans["tiles"]
+    held = {r.tile: np.frombuffer(r.x).reshape(-1, 12) for r in made[0].collect()}
+    pairs = [(r.a_tile, r.b_tile) for r in module.tile_pairs(made[0], 0.95).collect()]
+    assert len(held) > 20 and len(pairs) == len({frozenset(p) for p in pairs})
+    linked_tiles = {frozenset((s, t)) for s, a in held.items() for t, b in held.items() if any(linked(v, w) for v in a for w in b)}
+    assert linked_tiles <= {frozenset(p) for p in pairs}
