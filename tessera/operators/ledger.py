@@ -1,37 +1,39 @@
 """Ordered borrow / return logs solved in chunks (the general case of W5).
 
 A title's events depend on two counters: its active loans, and the active
-loans of each borrower. Both are carried from event to event, yet no task
-reads a whole log: it is cut into chunks of ``chunk_rows`` consecutive events
-and every chunk is replayed by itself from assumed counters. What a chunk ends
-with is then what the next one starts with (the title's count goes to the next
-chunk, a borrower's to the next chunk that names them), and chunks whose start
-changed are replayed again, until none does. From round to round a task replays
-spans of more consecutive chunks, up to ``SPAN_ROWS`` events, and hands the
-counters on inside a span, so that a difference which no chunk absorbs passes
-many chunks a round. The first chunk starts from known counters, so every round
-makes one more span final whatever was assumed; fewer rounds are needed where
-full or empty shelves make chunks end alike from different starts. Titles of
-one chunk need no round at all.
+loans of each borrower. Both are carried from event to event, so every event
+may hang on all those before it; what can be done apart is. A title's log is
+cut into chunks of ``chunk_rows`` consecutive events, and spans of them are
+packed in parallel: borrowers as numbers, the rest as arrays, one row for up to
+``SPAN_ROWS`` events. The packed spans of a title are walked in order by one
+task, which holds one span and the title's active loans and writes down the
+counters that each chunk starts with; different titles are walked side by side.
+From these starts all chunks are replayed in parallel. However a title's
+counters go, its log is read a fixed number of times. Titles of one chunk are
+replayed at once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import DEFAULT_CHUNK, position_in_key, previous_in_key
+from tessera.operators.ordering import DEFAULT_CHUNK, position_in_key
 from tessera.session import staging_path
 
 #: Events of a title that one chunk holds.
 CHUNK_ROWS = 1 << 17
-#: Events of a title that one task replays in a round, and how fast spans grow.
-SPAN_ROWS, SPAN_GROWTH = 1 << 20, 4
+#: Events of a title that are packed into one row, or one chunk's if that is more.
+SPAN_ROWS = 1 << 17
 
 _TOTAL = "t"  # key of a title's own counter; borrowers have "b" + name, a null one "n"
+_NO_COPIES = -1 << 63  # for unknown copies: no borrow
+_START, _BORROW, _RETURN = 0, 1, 2  # what a row sent to Python is
 _CHUNK, _SPAN = ["book_title", "chunk"], ["book_title", "span"]
 COUNTERS = "book_title string, who string, n long"
 
@@ -40,51 +42,148 @@ def _who(borrower: Column) -> Column:
     return F.coalesce(F.concat(F.lit("b"), borrower), F.lit("n"))
 
 
-def _replay(outcomes: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Rows sorted by (title, chunk, event, seq), a chunk's counters ahead of
-    its events -> the outcome of every event, or every counter's start and
-    end by chunk. Counters that a span's earlier chunks have are carried on.
-    Frames are read one at a time; a span's counters are the state."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, reach, held, start = None, None, {}, {}
-
-        def ends() -> Iterator[tuple]:
-            return ((*at, who, n, held[who]) for who, n in start.items())
-
-        for pdf in frames:
-            out: list[tuple] = []
-            for title, chunk, span, seq, kind, who, n in zip(*(pdf[c] for c in ("book_title", "chunk", "span", "seq", "kind", "who", "n"))):
-                if at != (title, chunk):
-                    if not outcomes:
-                        out.extend(ends())
-                    if reach != (title, span):
-                        held = {}
-                    at, reach, start = (title, chunk), (title, span), {}
-                if kind == "start":
-                    start[who] = held.setdefault(who, int(n))
-                    continue
-                total, own = held.get(_TOTAL, 0), held.get(who, 0)
-                if kind == "borrow":
-                    step, word = (1, "borrowed") if total < n else (0, "no_copies")
-                else:
-                    step, word = (-1, "returned") if own > 0 else (0, "no_active_loan")
-                if step:
-                    held[_TOTAL], held[who] = total + step, own + step
-                if outcomes:
-                    out.append((int(seq), word))
-            yield pd.DataFrame(out, columns=["seq", "outcome"] if outcomes else [*_CHUNK, "who", "start", "end"])
-        if not outcomes and at is not None:
-            yield pd.DataFrame(list(ends()), columns=[*_CHUNK, "who", "start", "end"])
+def _edges(batch: pa.RecordBatch, *columns: str) -> np.ndarray:
+    """By row whether it differs from the one before in ``columns``; the first does."""
+    code = lambda v: (v.dictionary_encode().indices if pa.types.is_string(v.type) else v).to_numpy()
+    new = np.ones(len(batch), bool)
+    if len(batch):
+        new[1:] = np.any([c[1:] != c[:-1] for c in (code(batch.column(c)) for c in columns)], axis=0)
+    return new
+
+
+def _names(column: pa.Array) -> list[str]:
+    """A string column as Python strings, each made once."""
+    coded = column.dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    return [names[i] for i in _list(coded.indices)]
+
+
+def _list(column: pa.Array) -> list:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
 
-    return run
+def _limits(copies: pa.Array) -> pa.Array:
+    return pc.fill_null(copies, _NO_COPIES)
+
+
+def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (chunk, title, event, seq), a chunk's counters ahead of
+    its events -> the outcome of every event."""
+    words = pa.array(["borrowed", "no_copies", "returned", "no_active_loan"])
+    at, total, held = None, 0, {}
+    for b in batches:
+        out: list[int] = []
+        new = _edges(b, *_CHUNK).tolist()
+        if new and at == (b.column("book_title")[0].as_py(), b.column("chunk")[0].as_py()):
+            new[0] = False
+        for first, what, who, n in zip(new, _list(b.column("what")), _names(b.column("who")), _list(_limits(b.column("n")))):
+            if first:
+                total, held = 0, {}
+            if what == _START:
+                if who == _TOTAL:
+                    total = n
+                else:
+                    held[who] = n
+            elif what == _BORROW:
+                out.append(0 if total < n else 1)
+                if total < n:
+                    total += 1
+                    held[who] = held.get(who, 0) + 1
+            elif own := held.get(who, 0):
+                out.append(2)
+                total -= 1
+                held[who] = own - 1
+            else:
+                out.append(3)
+        if new:
+            at = (b.column("book_title")[-1].as_py(), b.column("chunk")[-1].as_py())
+        yield pa.RecordBatch.from_arrays([b.column("seq").filter(pc.not_equal(b.column("what"), _START)), words.take(pa.array(out, pa.int8()))], ["seq", "outcome"])
+
+
+_PACKED = "book_title string, chunk long, chunks binary, sizes binary, whos array<string>, who_at binary, borrows binary, limits binary"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Events sorted by (span, title, chunk, seq) -> one row per span:
+    its chunks and their sizes, its borrowers, and by event the borrower's
+    place among them, whether it is a borrow, and the copies."""
+    at, parts = None, []
+
+    def row() -> pa.RecordBatch:
+        t = pa.Table.from_batches(parts)
+        column = lambda c: t.column(c).combine_chunks()
+        chunks, sizes = np.unique(column("chunk").to_numpy(), return_counts=True)
+        who = column("who").dictionary_encode()
+        borrows, limits = column("what").to_numpy() == _BORROW, _limits(column("n")).to_numpy()
+        arrays = [a.tobytes() for a in (chunks.astype(np.int64), sizes.astype(np.int64), who.indices.to_numpy().astype(np.int32), borrows.astype(np.uint8), limits.astype(np.int64))]
+        values = [at[0], int(chunks[0]), *arrays[:2], who.dictionary.to_pylist(), *arrays[2:]]
+        types = [pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, types)], [c.split()[0] for c in _PACKED.split(", ")])
+
+    for b in batches:
+        cuts = np.flatnonzero(_edges(b, *_SPAN)).tolist()
+        for lo, hi in zip(cuts, [*cuts[1:], len(b)]):
+            key = (b.column("book_title")[lo].as_py(), b.column("span")[lo].as_py())
+            if at != key:
+                if parts:
+                    yield row()
+                at, parts = key, []
+            parts.append(b.slice(lo, hi - lo))
+    if at is not None:
+        yield row()
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (title, chunk), a title's counters ahead of its packed
+    spans -> (title, chunk, who, n): the counters other than 0 that each chunk
+    starts with, of the borrowers that it names."""
+    at, total, held = None, 0, {}  # held: the title's active loans by borrower
+    for b in batches:
+        for k, (title, event, who, n) in enumerate(zip(*(b.column(c).to_pylist() for c in ("book_title", "event", "who", "n")))):
+            if at != title:
+                at, total, held = title, 0, {}
+            if not event:
+                if who == _TOTAL:
+                    total = n
+                else:
+                    held[who] = n
+                continue
+            array = lambda c, kind: np.frombuffer(b.column(c)[k].as_py(), kind)  # noqa: B023, E731
+            chunks, sizes, whos = array("chunks", np.int64), array("sizes", np.int64), b.column("whos")[k].as_py()
+            who_at, borrows, limits = array("who_at", np.int32), array("borrows", np.uint8), array("limits", np.int64)
+            counts = [held.get(w, 0) for w in whos]
+            before, out = counts.copy(), []
+            for chunk, hi, size in zip(chunks.tolist(), np.cumsum(sizes).tolist(), sizes.tolist()):
+                own = slice(hi - size, hi)
+                out.append((chunk, _TOTAL, total))
+                out.extend((chunk, whos[i], counts[i]) for i in np.unique(who_at[own]).tolist() if counts[i])
+                for i, borrow, limit in zip(who_at[own].tolist(), borrows[own].tolist(), limits[own].tolist()):
+                    if borrow:
+                        if total < limit:
+                            total += 1
+                            counts[i] += 1
+                    elif counts[i]:
+                        total -= 1
+                        counts[i] -= 1
+            for w, was, now in zip(whos, before, counts):
+                if now:
+                    held[w] = now
+                elif was:
+                    del held[w]
+            yield pa.RecordBatch.from_arrays([pa.array([title] * len(out), pa.string()), *(pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.int64())))], [*_CHUNK, "who", "n"])
 
 
 def _in_order(events: DataFrame, starts: DataFrame) -> DataFrame:
     """Events and counters (title, chunk, span, who, n), each span in one task, sorted."""
-    rows = events.select(*_CHUNK, "span", F.lit(True).alias("event"), "seq", "kind", "who", F.col("copies").cast("long").alias("n"))
+    rows = events.withColumns({"event": F.lit(True), "n": F.col("copies").cast("long")}).drop("copies")
     counters = starts.select(*_CHUNK, "span", F.lit(False).alias("event"), F.lit(0).cast("long").alias("seq"), F.lit("start").alias("kind"), "who", "n")
-    return rows.unionByName(counters).repartition(*_SPAN).sortWithinPartitions(*_CHUNK, "event", "seq")
+    return rows.unionByName(counters, allowMissingColumns=True).repartition(*_SPAN).sortWithinPartitions("span", *_CHUNK, "event", "seq")
+
+
+def _coded(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows in order as they are sent to Python: few columns, few of them text."""
+    what = F.when(~F.col("event"), _START).when(F.col("kind") == "borrow", _BORROW).otherwise(_RETURN).cast("byte")
+    return rows.select("book_title", *columns, what.alias("what"), "who", "n")
 
 
 def _staged(df: DataFrame, label: str) -> DataFrame:
@@ -93,35 +192,16 @@ def _staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _chunk_starts(events: DataFrame, known: DataFrame, chunk_width: int, most: int) -> DataFrame:
-    """(title, chunk, who, n): every counter at every chunk's start, for titles
-    of more than one chunk, by repeated replays of spans of up to ``most``
-    chunks."""
-    pairs = events.select(*_CHUNK, "who").distinct()
-    earlier = previous_in_key(pairs, ["book_title", "who"], "chunk", "chunk", "before", chunk_width)
-    own = events.select(*_CHUNK).distinct().withColumns({"who": F.lit(_TOTAL), "before": F.expr("if(chunk > 0, chunk - 1, null)")})
-    links = earlier.unionByName(own).join(known, ["book_title", "who"], "left")
-    # ``before``: the chunk whose end is this chunk's start; none: the known count
-    links = _staged(links.select(*_CHUNK, "who", "before", F.coalesce("n", F.lit(0)).cast("long").alias("known")), "links")
-    starts, changed, ends = links.select(*_CHUNK, "who", F.col("known").alias("n")), None, None
-    final, width = 0, 1  # chunks that cannot change, chunks of a span
-    while True:
-        span = F.floor((F.col("chunk") - F.lit(final)) / F.lit(width)).cast("long")
-        todo, given = events.withColumn("span", span), starts.withColumn("span", span)
-        if changed is not None:
-            spans = changed.select("book_title", span.alias("span")).distinct()
-            todo, given = todo.join(spans, _SPAN, "left_semi"), given.join(spans, _SPAN, "left_semi")
-        new = _in_order(todo, given).mapInPandas(_replay(False), "book_title string, chunk long, who string, start long, end long")
-        if ends is not None:
-            new = new.unionByName(ends.withColumn("span", span).join(spans, _SPAN, "left_anti").drop("span"))
-        ends = _staged(new, "ends")
-        last = ends.select("book_title", F.col("chunk").alias("before"), "who", "end")
-        now = links.join(last, ["book_title", "before", "who"], "left").join(ends.select(*_CHUNK, "who", "start"), [*_CHUNK, "who"])
-        now = _staged(now.select(*_CHUNK, "who", F.coalesce("end", "known").alias("n"), "start"), "starts")
-        starts, changed = now.drop("start"), now.filter("n <> start").select(*_CHUNK).distinct()
-        if now.filter("n <> start").isEmpty():
-            return starts
-        final, width = final + width, min(width * SPAN_GROWTH, most)
+def _chunk_starts(events: DataFrame, known: DataFrame, width: int) -> DataFrame:
+    """(title, chunk, who, n): the counters other than 0 at every chunk's start,
+    from spans of ``width`` chunks that are packed apart and walked in order."""
+    span = F.floor(F.col("chunk") / F.lit(width)).cast("long").alias("span")
+    whole = F.lit(0).cast("long").alias("span")
+    none = known.where(F.lit(False)).select("*", F.lit(0).cast("long").alias("chunk"), whole)
+    packed = _coded(_in_order(events.select("*", span), none), "span", "chunk").mapInArrow(_pack, _PACKED)
+    spans = packed.select("*", whole, F.lit(0).cast("long").alias("seq"), F.lit("span").alias("kind"), F.lit(None).cast("string").alias("who"), F.lit(None).alias("copies"))
+    walked = _in_order(spans, known.select("*", F.lit(0).cast("long").alias("chunk"), whole))
+    return _staged(walked.mapInArrow(_walk, "book_title string, chunk long, who string, n long").filter("n <> 0"), "starts")
 
 
 def counters(loans: DataFrame) -> DataFrame:
@@ -149,17 +229,19 @@ def ledger_outcomes(events: DataFrame, known: DataFrame, chunk_rows: int = CHUNK
     ``known`` are the ``counters`` before the first event. Titles are not
     null. A borrow needs fewer active loans than the event's copies, a return
     an active loan of its borrower."""
-    first = known.withColumn("chunk", F.lit(0).cast("long"))
+    at_first = lambda df: df.withColumn("chunk", F.lit(0).cast("long"))
     columns = ["seq", "kind", _who(F.col("borrower_name")).alias("who"), "copies"]
     sizes = events.groupBy("book_title").agg(F.count(F.lit(1)).alias("n"))
     if (sizes.agg(F.max("n")).first()[0] or 0) <= chunk_rows:
-        rows, starts = events.select("book_title", F.lit(0).cast("long").alias("chunk"), *columns), first
+        rows, starts = events.select("book_title", F.lit(0).cast("long").alias("chunk"), *columns), at_first(known)
     else:
         numbered = position_in_key(events, "book_title", "seq", "__pos", chunk_width)
         chunk = F.floor((F.col("__pos") - 1) / F.lit(chunk_rows)).cast("long")
         rows = _staged(numbered.select("book_title", chunk.alias("chunk"), *columns), "events")
-        long_titles = rows.filter("chunk = 1").select("book_title").distinct()
-        later = _chunk_starts(rows.join(long_titles, "book_title", "left_semi"), known, chunk_width, max(1, span_rows // chunk_rows)).filter("n <> 0")
-        starts = first.join(long_titles, "book_title", "left_anti").unionByName(later)
+        long_titles = _staged(rows.filter("chunk = 1").select("book_title").distinct(), "titles")
+        known = _staged(known, "known")
+        long = lambda df: df.join(long_titles, "book_title", "left_semi")
+        later = _chunk_starts(long(rows), long(known), max(1, span_rows // chunk_rows))
+        starts = at_first(known).join(long_titles, "book_title", "left_anti").unionByName(later)
     one = F.col("chunk").alias("span")  # each chunk by itself
-    return _in_order(rows.select("*", one), starts.select("*", one)).mapInPandas(_replay(True), "seq long, outcome string")
+    return _coded(_in_order(rows.select("*", one), starts.select("*", one)), "chunk", "seq").mapInArrow(_replay, "seq long, outcome string")

@@ -110,3 +110,22 @@ def test_empty_log_and_unknown_books(spark):
     ev, bk, ln = frames(spark, books, loans, [(1, "borrow", "x", "0")])
     assert B.loan_ledger(ev.limit(0), bk, ln).collect() == []
     assert B.loan_ledger(ev, bk, ln.limit(0)).collect()[0].outcome == "borrowed"
+
+
+def test_a_log_is_read_a_fixed_number_of_times(spark, monkeypatch):
+    """Readers who seldom return, a hundred chunks and spans of four: the log
+    is packed once, walked once and replayed once, in batches of a few rows."""
+    books, loans, events = case(10, 1200, 250, (3, 3))
+    ev, bk, ln = frames(spark, books, loans, events)
+    found = ev.join(B.first_titles(bk), ev["isbn"] == B.F.col("__isbn")).select("seq", "book_title", "kind", "borrower_name", "copies")
+    calls, plain = [], ledger._in_order
+    monkeypatch.setattr(ledger, "_in_order", lambda rows, starts: (calls.append(rows.columns), plain(rows, starts))[1])
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        got = ledger.ledger_outcomes(found, ledger.counters(ln), chunk_rows=6, span_rows=24).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert {r.seq: r.outcome for r in got} == {s: o for s, o in in_order(books, loans, events).items() if o != "book_not_found"}
+    assert len(calls) == 3
