@@ -89,7 +89,7 @@ def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if total < n:
                     total += 1
                     held[who] = held.get(who, 0) + 1
-            elif own := held.get(who, 0):
+            elif (own := held.get(who, 0)) > 0:
                 out.append(2)
                 total -= 1
                 held[who] = own - 1
@@ -162,7 +162,7 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         if total < limit:
                             total += 1
                             counts[i] += 1
-                    elif counts[i]:
+                    elif counts[i] > 0:
                         total -= 1
                         counts[i] -= 1
             for w, was, now in zip(whos, before, counts):

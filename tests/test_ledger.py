@@ -129,3 +129,13 @@ def test_a_log_is_read_a_fixed_number_of_times(spark, monkeypatch):
         spark.conf.set(key, before)
     assert {r.seq: r.outcome for r in got} == {s: o for s, o in in_order(books, loans, events).items() if o != "book_not_found"}
     assert len(calls) == 3
+
+
+@pytest.mark.parametrize("chunk", [2, 100])
+def test_a_count_below_zero_is_no_loan(spark, chunk):
+    """A stream's state may hold one where a seq came twice."""
+    known = spark.createDataFrame([("Hot", "bx", -1), ("Hot", "by", 1)], ledger.COUNTERS)
+    events = [(1, "borrow", "x"), (2, "return", "y"), (3, "return", "x"), (4, "borrow", "x"), (5, "return", "x")]
+    df = spark.createDataFrame([(s, "Hot", k, w, 9) for s, k, w in events], "seq long, book_title string, kind string, borrower_name string, copies long")
+    got = {r.seq: r.outcome for r in ledger.ledger_outcomes(df, known, chunk_rows=chunk).collect()}
+    assert got == {1: "borrowed", 2: "returned", 3: "no_active_loan", 4: "borrowed", 5: "returned"}
